@@ -65,3 +65,93 @@ SELECT Id,
        array_to_string(label, '|') AS tags
 FROM questions
 """
+
+
+# ---------------------------------------------------------------- labels ----
+
+ORACLE["tag_split"] = _with(QUESTIONS) + """
+SELECT Id, CAST(generate_subscripts(label, 1) - 1 AS BIGINT) AS pos, unnest(label) AS tag
+FROM questions
+"""
+
+ORACLE["tag_filter"] = _with(QUESTIONS) + """,
+kept AS (SELECT Id, list_filter(label, lambda t: t IN ('en', 'de', 'toxic')) AS label FROM questions)
+SELECT Id, array_to_string(label, '|') AS tags, CAST(len(label) AS BIGINT) AS n_tags
+FROM kept WHERE len(label) > 0
+"""
+
+ORACLE["label_targets"] = _with(QUESTIONS) + """,
+vocab AS (SELECT list(lbl ORDER BY lbl) AS v FROM (SELECT DISTINCT unnest(label) AS lbl FROM questions))
+SELECT Id,
+       array_to_string(list_transform(v, lambda x: CASE WHEN list_contains(label, x) THEN '1' ELSE '0' END), '')
+         AS targets
+FROM questions CROSS JOIN vocab
+"""
+
+ORACLE["label_counts"] = _with(QUESTIONS) + """
+SELECT lbl AS label, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT unnest(label) AS lbl FROM questions) GROUP BY lbl
+"""
+
+ORACLE["label_cardinality"] = _with(QUESTIONS) + """
+SELECT CAST((SELECT count(DISTINCT l) FROM (SELECT unnest(label) AS l FROM questions)) AS BIGINT) AS n_labels,
+       CAST(count(*) AS BIGINT) AS n_posts,
+       CAST(sum(len(label)) AS BIGINT) AS n_assignments,
+       round(sum(len(label)) / count(*), 6) AS mean_labels
+FROM questions
+"""
+
+ORACLE["stable_split"] = _with(QUESTIONS) + """
+SELECT Id, CASE WHEN ((Id * 7919 + 7 * 104729) % 1000 + 1000) % 1000 < 800 THEN 'train' ELSE 'test' END AS side
+FROM questions
+"""
+
+# ------------------------------------------------------------------ text ----
+
+_WS = "[ \\t\\n\\x0B\\f\\r]"
+
+
+def _sql_list(words):
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+
+TOKENS = QUESTIONS + f""",
+low AS (SELECT Id, lower(Body) AS t, regexp_replace(lower(Body), '{_WS}+$', '') AS r FROM questions),
+tok AS (
+  SELECT Id,
+         CASE WHEN t = '' THEN ['']
+              WHEN r = '' THEN []::VARCHAR[]
+              ELSE string_split_regex(r, '{_WS}') END AS toks
+  FROM low
+),
+tok_ns AS (
+  SELECT Id, list_filter(toks, lambda x: NOT list_contains({_sql_list(ENGLISH_STOP_WORDS)}, lower(x))) AS toks
+  FROM tok
+)"""
+
+ORACLE["tokens"] = _with(TOKENS) + """
+SELECT Id, CAST(generate_subscripts(toks, 1) - 1 AS BIGINT) AS pos, unnest(toks) AS token FROM tok
+"""
+
+ORACLE["tokens_nostop"] = _with(TOKENS) + """
+SELECT Id, CAST(generate_subscripts(toks, 1) - 1 AS BIGINT) AS pos, unnest(toks) AS token FROM tok_ns
+"""
+
+ORACLE["doc_freq"] = _with(TOKENS) + """
+SELECT term, CAST(count(DISTINCT Id) AS BIGINT) AS df
+FROM (SELECT Id, unnest(toks) AS term FROM tok_ns) GROUP BY term
+"""
+
+ORACLE["tfidf_terms"] = _with(TOKENS) + """,
+tf AS (SELECT Id, term, count(*) AS tf FROM (SELECT Id, unnest(toks) AS term FROM tok_ns) GROUP BY Id, term),
+dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+n AS (SELECT count(*) AS n FROM questions)
+SELECT tf.Id, tf.term, CAST(tf.tf AS BIGINT) AS tf, CAST(dfq.df AS BIGINT) AS df,
+       round(CASE WHEN dfq.df >= 2 THEN ln((n.n + 1.0) / (dfq.df + 1.0)) ELSE 0.0 END, 6) AS idf,
+       round(tf.tf * CASE WHEN dfq.df >= 2 THEN ln((n.n + 1.0) / (dfq.df + 1.0)) ELSE 0.0 END, 6) AS tfidf
+FROM tf JOIN dfq ON tf.term = dfq.term CROSS JOIN n
+"""
+
+ORACLE["hashing_tf_mass"] = _with(TOKENS) + """
+SELECT Id, CAST(len(toks) AS BIGINT) AS n_tokens, CAST(len(toks) AS BIGINT) AS mass FROM tok_ns
+"""

@@ -42,3 +42,116 @@ def q_questions_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("Score").cast("bigint").alias("Score"), F.col("ViewCount").cast("bigint").alias("ViewCount"),
         "OwnerDisplayName", "Title", "Body",
         F.array_join("label", "|").alias("tags"))
+
+
+# ---------------------------------------------------------------- labels ----
+
+# Tags kept by the tag-filter query (a parameter of the operator).
+FILTER_TAGS = ["en", "de", "toxic"]
+
+
+@register
+def q_tag_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (post, position, tag) of the split tag text."""
+    q = questions(spark, sf_dir)
+    return q.select(F.col("Id").cast("bigint").alias("Id"),
+                    F.posexplode("label").alias("pos", "tag")) \
+            .withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@register
+def q_tag_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tag sets reduced to FILTER_TAGS; posts left with none are dropped."""
+    from tagloom.operators.labels import filter_tags
+    q = filter_tags(questions(spark, sf_dir).select("Id", "label"), FILTER_TAGS)
+    return q.select(F.col("Id").cast("bigint").alias("Id"), F.array_join("label", "|").alias("tags"),
+                    F.size("label").cast("bigint").alias("n_tags"))
+
+
+@register
+def q_label_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary-relevance targets of every post over the sorted tag vocabulary."""
+    from tagloom.operators.labels import label_vocabulary, target_string
+    q = questions(spark, sf_dir).select("Id", "label")
+    vocab = label_vocabulary(q)
+    return q.select(F.col("Id").cast("bigint").alias("Id"), target_string(vocab).alias("targets"))
+
+
+@register
+def q_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.operators.labels import label_counts
+    return label_counts(questions(spark, sf_dir).select("label")) \
+        .withColumn("n", F.col("n").cast("bigint"))
+
+
+@register
+def q_label_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.operators.labels import label_cardinality
+    return label_cardinality(questions(spark, sf_dir).select("Id", "label"))
+
+
+@register
+def q_stable_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train/test side of every post (deterministic, 80/20, seed 7)."""
+    from tagloom.operators.labels import split_column
+    q = questions(spark, sf_dir)
+    return q.select(F.col("Id").cast("bigint").alias("Id"),
+                    split_column("Id", 0.8, 7, method="arith").alias("side"))
+
+
+# ------------------------------------------------------------------ text ----
+
+def _question_text(spark, sf_dir):
+    """Question id and whole text (the body holds the complete document)."""
+    return questions(spark, sf_dir).select(F.col("Id").cast("bigint").alias("Id"), F.col("Body").alias("text"))
+
+
+@register
+def q_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokenizer stage over whole texts: one row per (post, position, token)."""
+    from tagloom.operators.features import text_tokenizer
+    t = text_tokenizer("text", "toks").transform(_question_text(spark, sf_dir))
+    return t.select("Id", F.posexplode("toks").alias("pos", "token")) \
+            .withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@register
+def q_tokens_nostop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokenizer + StopWordsRemover stages: tokens left after stop words."""
+    from tagloom.operators.features import stop_words_remover, text_tokenizer
+    t = text_tokenizer("text", "toks").transform(_question_text(spark, sf_dir))
+    t = stop_words_remover("toks", "kept").transform(t)
+    return t.select("Id", F.posexplode("kept").alias("pos", "token")) \
+            .withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@register
+def q_doc_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(term, df): documents containing each non-stop term."""
+    from tagloom.operators.features import document_frequencies, term_frequencies
+    tf = term_frequencies(_question_text(spark, sf_dir), "Id", "text")
+    return document_frequencies(tf).withColumn("df", F.col("df").cast("bigint"))
+
+
+@register
+def q_tfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact-term TF-IDF with minimum document frequency 2."""
+    from tagloom.operators.features import exact_tfidf
+    w = exact_tfidf(_question_text(spark, sf_dir), "Id", "text", min_doc_freq=2)
+    return w.select(F.col("id").alias("Id"), "term", F.col("tf").cast("bigint").alias("tf"),
+                    F.col("df").cast("bigint").alias("df"),
+                    F.round("idf", 6).alias("idf"), F.round("tfidf", 6).alias("tfidf"))
+
+
+@register
+def q_hashing_tf_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HashingTF invariant: the vector's total mass equals the token count."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    from tagloom.operators.features import hashing_tf, stop_words_remover, text_tokenizer
+    stages = [text_tokenizer("text", "toks"), stop_words_remover("toks", "kept"),
+              hashing_tf(1000, "kept", "tf")]
+    t = Pipeline(stages=stages).fit(_question_text(spark, sf_dir)).transform(_question_text(spark, sf_dir))
+    mass = F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda a, x: a + x)
+    return t.select("Id", F.size("kept").cast("bigint").alias("n_tokens"),
+                    mass.cast("bigint").alias("mass"))
