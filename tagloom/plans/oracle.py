@@ -155,3 +155,88 @@ FROM tf JOIN dfq ON tf.term = dfq.term CROSS JOIN n
 ORACLE["hashing_tf_mass"] = _with(TOKENS) + """
 SELECT Id, CAST(len(toks) AS BIGINT) AS n_tokens, CAST(len(toks) AS BIGINT) AS mass FROM tok_ns
 """
+
+
+# --------------------------------------------------------------- metrics ----
+
+PSEUDO = QUESTIONS + """,
+vocab AS (SELECT list(lbl ORDER BY lbl) AS v FROM (SELECT DISTINCT unnest(label) AS lbl FROM questions)),
+pt AS (
+  SELECT Id, year(CreationDate) AS Year, label,
+         list_concat(list_filter(label, lambda t: t <> 'toxic'),
+                     CASE WHEN Score > 2000 THEN ['quality'] ELSE []::VARCHAR[] END) AS ptags
+  FROM questions
+),
+pl AS (
+  SELECT Id, Year,
+         list_filter(list_transform(ptags, lambda x: CAST(list_position(v, x) - 1 AS DOUBLE)),
+                     lambda i: i IS NOT NULL AND i >= 0) AS p,
+         list_filter(list_transform(label, lambda x: CAST(list_position(v, x) - 1 AS DOUBLE)),
+                     lambda i: i IS NOT NULL AND i >= 0) AS l
+  FROM pt CROSS JOIN vocab
+),
+rs AS (
+  SELECT Id, Year, p, l, len(p) AS np, len(l) AS nl,
+         coalesce(list_sum(list_transform(list_distinct(p), lambda x:
+             least(len(list_filter(p, lambda y: y = x)), len(list_filter(l, lambda y: y = x))))), 0) AS inter
+  FROM pl
+),
+terms AS (
+  SELECT Id, Year, l,
+         CASE WHEN np > 0 THEN inter / np ELSE 0.0 END AS rp,
+         CASE WHEN nl = 0 THEN 'NaN'::DOUBLE ELSE inter / nl END AS rr,
+         CASE WHEN np + nl = 0 THEN 'NaN'::DOUBLE ELSE 2.0 * inter / (np + nl) END AS rf1,
+         CASE WHEN nl + np - inter = 0 THEN 'NaN'::DOUBLE ELSE inter / (nl + np - inter) END AS racc,
+         CAST(nl + np - 2 * inter AS DOUBLE) AS rham,
+         CASE WHEN p = l THEN 1.0 ELSE 0.0 END AS rsub
+  FROM rs
+),
+per_label AS (
+  SELECT x AS label,
+         sum(least(cp, cl)) AS tp, sum(greatest(cp - cl, 0)) AS fp, sum(greatest(cl - cp, 0)) AS fn
+  FROM (SELECT x, len(list_filter(p, lambda y: y = x)) AS cp, len(list_filter(l, lambda y: y = x)) AS cl
+        FROM (SELECT p, l, unnest(list_distinct(list_concat(p, l))) AS x FROM pl))
+  GROUP BY x
+)"""
+
+
+def _rowwise_select(group: str) -> str:
+    sel = f"{group}, " if group else ""
+    by = f"GROUP BY {group}" if group else ""
+    nl = (f"(SELECT count(DISTINCT x) FROM (SELECT unnest(l) AS x FROM terms t2 WHERE t2.{group} = t.{group}))"
+          if group else "(SELECT count(DISTINCT x) FROM (SELECT unnest(l) AS x FROM terms))")
+    return f"""
+SELECT {sel}CAST(count(*) AS BIGINT) AS n, CAST({nl} AS BIGINT) AS n_labels,
+       round(avg(rp), 6) AS precision, round(avg(rr), 6) AS recall, round(avg(rf1), 6) AS f1,
+       round(avg(racc), 6) AS accuracy,
+       round(sum(rham) / (count(*) * {nl}), 6) AS hammingLoss,
+       round(avg(rsub), 6) AS subsetAccuracy
+FROM terms t {by}
+"""
+
+
+ORACLE["metrics_rowwise"] = _with(PSEUDO) + _rowwise_select("")
+
+ORACLE["metrics_by_year"] = _with(PSEUDO) + _rowwise_select("Year").replace(
+    "SELECT Year, ", "SELECT CAST(Year AS BIGINT) AS Year, ", 1)
+
+ORACLE["metrics_micro"] = _with(PSEUDO) + """
+SELECT CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(fn) AS BIGINT) AS fn,
+       round(sum(tp) / (sum(tp) + sum(fp)), 6) AS microPrecision,
+       round(sum(tp) / (sum(tp) + sum(fn)), 6) AS microRecall,
+       round(2 * sum(tp) / (2 * sum(tp) + sum(fp) + sum(fn)), 6) AS microF1
+FROM per_label
+"""
+
+ORACLE["metrics_by_label"] = _with(PSEUDO) + """,
+scored AS (
+  SELECT label, tp, fp, fn,
+         CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS prec,
+         CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS rec
+  FROM per_label
+)
+SELECT v[CAST(label AS INTEGER) + 1] AS tag, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+       CAST(fn AS BIGINT) AS fn, round(prec, 6) AS precision, round(rec, 6) AS recall,
+       round(CASE WHEN prec + rec = 0 THEN 0.0 ELSE 2 * prec * rec / (prec + rec) END, 6) AS f1
+FROM scored CROSS JOIN vocab
+"""

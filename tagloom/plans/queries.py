@@ -155,3 +155,63 @@ def q_hashing_tf_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
     mass = F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda a, x: a + x)
     return t.select("Id", F.size("kept").cast("bigint").alias("n_tokens"),
                     mass.cast("bigint").alias("mass"))
+
+
+# --------------------------------------------------------------- metrics ----
+
+def _pseudo_predictions(spark, sf_dir):
+    """(Id, Year, prediction, label) index arrays from a fixed rule.
+
+    The rule (drop 'toxic', add 'quality' when the text is longer than 2000
+    characters, possibly twice) gives right, wrong, missing and repeated
+    predictions; both arrays are coded to indexes of the sorted vocabulary.
+    """
+    from tagloom.functions.tags import label_indexes
+    from tagloom.operators.labels import label_vocabulary
+    q = questions(spark, sf_dir).select("Id", "Year", "Score", "label")
+    vocab = label_vocabulary(q)
+    pred = F.concat(F.filter("label", lambda t: t != "toxic"),
+                    F.when(F.col("Score") > 2000, F.array(F.lit("quality")))
+                     .otherwise(F.array().cast("array<string>")))
+    return q.select("Id", "Year", label_indexes(pred, vocab).alias("prediction"),
+                    label_indexes("label", vocab).alias("label")), vocab
+
+
+def _round_all(df, cols):
+    return df.select(*[F.round(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+_ROW_METRICS = ["precision", "recall", "f1", "accuracy", "hammingLoss", "subsetAccuracy"]
+
+
+@register
+def q_metrics_rowwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.operators.metrics import rowwise_metrics
+    pl, _ = _pseudo_predictions(spark, sf_dir)
+    return _round_all(rowwise_metrics(pl), _ROW_METRICS)
+
+
+@register
+def q_metrics_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.operators.metrics import rowwise_metrics
+    pl, _ = _pseudo_predictions(spark, sf_dir)
+    out = rowwise_metrics(pl, group_cols=["Year"]).withColumn("Year", F.col("Year").cast("bigint"))
+    return _round_all(out, _ROW_METRICS)
+
+
+@register
+def q_metrics_micro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.operators.metrics import micro_metrics
+    pl, _ = _pseudo_predictions(spark, sf_dir)
+    return _round_all(micro_metrics(pl), ["microPrecision", "microRecall", "microF1"])
+
+
+@register
+def q_metrics_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.functions.tags import decode_indexes
+    from tagloom.operators.metrics import by_label_metrics
+    pl, vocab = _pseudo_predictions(spark, sf_dir)
+    m = by_label_metrics(pl)
+    m = m.select(decode_indexes(F.array("label"), vocab)[0].alias("tag"), "tp", "fp", "fn",
+                 "precision", "recall", "f1")
+    return _round_all(m, ["precision", "recall", "f1"])
