@@ -21,6 +21,8 @@ posts AS (
          ELSE CAST(length(split_part(d.text, chr(10), 1)) AS VARCHAR) END AS _ViewCount,
     d.text AS _Body,
     d.source AS _OwnerDisplayName,
+    strftime(DATE '2018-01-01' + CAST(d.doc_id % 900 AS INTEGER), '%Y-%m-%d') || 'T21:42:52.667'
+      AS _LastActivityDate,
     split_part(d.text, chr(10), 1) AS _Title,
     CASE WHEN l.doc_id IS NOT NULL THEN
       '<' || d.lang || '><' || d.source || '>'
@@ -240,3 +242,57 @@ SELECT v[CAST(label AS INTEGER) + 1] AS tag, CAST(tp AS BIGINT) AS tp, CAST(fp A
        round(CASE WHEN prec + rec = 0 THEN 0.0 ELSE 2 * prec * rec / (prec + rec) END, 6) AS f1
 FROM scored CROSS JOIN vocab
 """
+
+
+# ------------------------------------------------------- sources / sinks ----
+
+_XML = """
+SELECT _Id, _PostTypeId, _CreationDate, _Score, _ViewCount, _Body, _OwnerDisplayName,
+       _LastActivityDate, _Title, _Tags
+FROM posts
+"""
+ORACLE["xml_scan"] = _with(POSTS) + _XML
+ORACLE["xml_linewise"] = _with(POSTS) + _XML
+ORACLE["xml_rechunk"] = _with(POSTS) + _XML
+
+ORACLE["questions_parquet_year"] = _with(QUESTIONS) + """
+SELECT Id, CAST(month(CreationDate) AS BIGINT) AS Month, Title, array_to_string(label, '|') AS tags
+FROM questions WHERE year(CreationDate) = 2019
+"""
+
+# --------------------------------------------------------------- scoring ----
+
+ORACLE["decode_labels"] = _with(PSEUDO) + """
+SELECT Id, array_to_string(list_transform(p, lambda i: v[CAST(i AS INTEGER) + 1]), '|') AS tags
+FROM pl CROSS JOIN vocab
+"""
+
+ORACLE["score_json"] = _with(PSEUDO) + """
+SELECT Id, CAST(to_json({'tags': list_transform(p, lambda i: v[CAST(i AS INTEGER) + 1])}) AS VARCHAR) AS reply
+FROM pl CROSS JOIN vocab
+"""
+
+ORACLE["request_rejects"] = _with(POSTS) + """
+SELECT CAST(_Id AS BIGINT) AS Id,
+       CASE WHEN coalesce(trim(_Title), '') = '' OR _Body IS NULL THEN 'rejected' ELSE 'accepted' END AS status,
+       CASE WHEN coalesce(trim(_Title), '') = '' THEN 'title is required'
+            WHEN _Body IS NULL THEN 'body is required' END AS reason
+FROM posts
+"""
+
+# ---------------------------------------------------------------- models ----
+# Model fits are not expressible in SQL; the persistence and streaming
+# queries check an invariant instead: every held-out post scored, no
+# prediction changed (n_mismatch = 0).
+
+HELD_OUT = QUESTIONS + """,
+held_out AS (
+  SELECT Id FROM questions
+  WHERE len(list_filter(label, lambda t: t IN ('de', 'en', 'es', 'fr', 'quality', 'toxic'))) > 0
+    AND ((Id * 7919 + 7 * 104729) % 1000 + 1000) % 1000 >= 800
+)"""
+
+ORACLE["br_save_load"] = _with(HELD_OUT) + """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_mismatch FROM held_out
+"""
+ORACLE["stream_score"] = ORACLE["br_save_load"]

@@ -215,3 +215,213 @@ def q_metrics_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = m.select(decode_indexes(F.array("label"), vocab)[0].alias("tag"), "tp", "fp", "fn",
                  "precision", "recall", "f1")
     return _round_all(m, ["precision", "recall", "f1"])
+
+
+# ------------------------------------------------------- sources / sinks ----
+
+_XML_COLS = ["_Id", "_PostTypeId", "_CreationDate", "_Score", "_ViewCount", "_Body",
+             "_OwnerDisplayName", "_LastActivityDate", "_Title", "_Tags"]
+
+
+def _written_posts_xml(spark, sf_dir, max_records=None):
+    from tagloom.session import scratch_path
+    from tagloom.sources.xml import write_posts_xml
+    path = scratch_path(spark, "posts-xml")
+    write_posts_xml(posts_fixture(spark, sf_dir), path, max_records_per_file=max_records)
+    return path
+
+
+@register
+def q_xml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts written as an XML dump and read back with the all-text schema."""
+    from tagloom.sources.xml import read_posts_xml
+    return read_posts_xml(spark, _written_posts_xml(spark, sf_dir)).select(*_XML_COLS)
+
+
+@register
+def q_xml_linewise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same dump read line by line (one row element per line; root lines dropped)."""
+    from tagloom.sources.schema import raw_post_schema
+    path = _written_posts_xml(spark, sf_dir)
+    df = (spark.read.format("xml").option("rowTag", "row").option("multiLine", "false")
+          .schema(raw_post_schema()).load(path))
+    return df.where(F.col("_Id").isNotNull()).select(*_XML_COLS)
+
+
+@register
+def q_xml_rechunk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dump re-chunked into files of at most 250 rows, read back."""
+    from tagloom.sources.xml import read_posts_xml
+    return read_posts_xml(spark, _written_posts_xml(spark, sf_dir, 250)).select(*_XML_COLS)
+
+
+@register
+def q_questions_parquet_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Question table saved partitioned by Year/Month; 2019 read back by
+    partition pruning, three columns projected."""
+    from tagloom.session import scratch_path
+    from tagloom.sources.questions import load_questions, save_questions
+    path = scratch_path(spark, "questions")
+    save_questions(questions(spark, sf_dir), path)
+    q = load_questions(spark, path, columns=("Id", "Month", "label", "Title"), year=2019)
+    return q.select(F.col("Id").cast("bigint").alias("Id"), F.col("Month").cast("bigint").alias("Month"),
+                    "Title", F.array_join("label", "|").alias("tags"))
+
+
+# --------------------------------------------------------------- scoring ----
+
+@register
+def q_decode_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index arrays decoded back to tag strings with the model vocabulary."""
+    from tagloom.functions.tags import decode_indexes
+    pl, vocab = _pseudo_predictions(spark, sf_dir)
+    return pl.select(F.col("Id").cast("bigint").alias("Id"),
+                     F.array_join(decode_indexes("prediction", vocab), "|").alias("tags"))
+
+
+@register
+def q_score_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON reply {"tags": [...]} of each scored post."""
+    from tagloom.functions.tags import decode_indexes
+    from tagloom.operators.scoring import reply_json
+    pl, vocab = _pseudo_predictions(spark, sf_dir)
+    return pl.select(F.col("Id").cast("bigint").alias("Id"),
+                     decode_indexes("prediction", vocab).alias("t")) \
+             .select("Id", reply_json("t").alias("reply"))
+
+
+@register
+def q_request_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every post as a scoring request: accepted, or rejected with a reason."""
+    from tagloom.operators.scoring import request_status
+    p = posts_fixture(spark, sf_dir).select(F.col("_Id").cast("bigint").alias("Id"),
+                                            F.col("_Title").alias("Title"), F.col("_Body").alias("Body"))
+    st = request_status()
+    return p.select("Id", F.when(st.isNull(), F.lit("accepted")).otherwise(F.lit("rejected")).alias("status"),
+                    st.alias("reason"))
+
+
+# ------------------------------------------------------------- models ----
+
+# Tags the model queries train on (the experiment's tag selection).
+MODEL_TAGS = ["de", "en", "es", "fr", "quality", "toxic"]
+_SPLIT_SEED = 7
+_MODELS: dict = {}
+
+
+def _model_data(spark, sf_dir):
+    from tagloom.operators.labels import filter_tags, split_column
+    q = filter_tags(questions(spark, sf_dir).select("Id", "label", "Title", "Body"), MODEL_TAGS)
+    side = split_column("Id", 0.8, _SPLIT_SEED, method="arith")
+    return q.where(side == "train"), q.where(side == "test")
+
+
+def fitted_model(spark, sf_dir):
+    """Tagging pipeline fitted on the training side (memoised per session)."""
+    from tagloom.plans.experiment import base_classifier, tagging_pipeline
+    key = (id(spark), sf_dir)
+    if key not in _MODELS:
+        train, _ = _model_data(spark, sf_dir)
+        _MODELS[key] = tagging_pipeline("Body", base_classifier(tol=0.01), parallelism=6).fit(train)
+    return _MODELS[key]
+
+
+@register
+def q_br_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary relevance (logistic regression per tag) fitted on 80% of the
+    posts, tags predicted for the other 20%."""
+    _, test = _model_data(spark, sf_dir)
+    out = fitted_model(spark, sf_dir).transform(test)
+    return out.select(F.col("Id").cast("bigint").alias("Id"),
+                      F.array_join("predictionLabel", "|").alias("tags"),
+                      F.size("prediction").cast("bigint").alias("n_tags"))
+
+
+@register
+def q_br_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row-wise multi-label metrics of the held-out predictions (tag strings)."""
+    from tagloom.operators.metrics import rowwise_metrics
+    _, test = _model_data(spark, sf_dir)
+    out = fitted_model(spark, sf_dir).transform(test)
+    return rowwise_metrics(out, "predictionLabel", "label")
+
+
+def _mismatches(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(n_rows, n_mismatch) of two (Id, tags) tables joined on Id."""
+    j = a.alias("a").join(b.alias("b"), F.col("a.Id") == F.col("b.Id"), "full_outer")
+    differs = ~F.col("a.tags").eqNullSafe(F.col("b.tags")) | F.col("a.Id").isNull() | F.col("b.Id").isNull()
+    return j.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+                 F.sum(F.when(differs, 1).otherwise(0)).cast("bigint").alias("n_mismatch"))
+
+
+@register
+def q_br_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted pipeline saved and reloaded: predictions must not change."""
+    from pyspark.ml import PipelineModel
+    from tagloom.session import scratch_path
+    _, test = _model_data(spark, sf_dir)
+    model = fitted_model(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    model.write().overwrite().save(path)
+    back = PipelineModel.load(path)
+    a = model.transform(test).select("Id", F.array_join("predictionLabel", "|").alias("tags"))
+    b = back.transform(test).select("Id", F.array_join("predictionLabel", "|").alias("tags"))
+    return _mismatches(a, b)
+
+
+@register
+def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out posts streamed through the saved pipeline equal batch scoring."""
+    from tagloom.session import scratch_path
+    from tagloom.streaming.score_stream import read_request_stream, start_scoring
+    _, test = _model_data(spark, sf_dir)
+    model = fitted_model(spark, sf_dir)
+    src, out, ck = (scratch_path(spark, n) for n in ("requests", "scored", "ckpt"))
+    test.select("Id", "Title", "Body").write.mode("overwrite").parquet(src)
+    schema = spark.read.parquet(src).schema
+    q = start_scoring(read_request_stream(spark, src, schema, max_files_per_trigger=2), model, out, ck)
+    q.awaitTermination()
+    streamed = spark.read.parquet(out).select("Id", F.array_join("tags", "|").alias("tags"))
+    batch = model.transform(test).select("Id", F.array_join("predictionLabel", "|").alias("tags"))
+    return _mismatches(streamed, batch)
+
+
+def _tuning_features(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    from tagloom.operators.features import feature_stages
+    train, _ = _model_data(spark, sf_dir)
+    fm = Pipeline(stages=feature_stages("Body")).fit(train)
+    return fm.transform(train).select("Id", "label", "features")
+
+
+@register
+def q_threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 6-point grid (maxIter 100 x tol {0.01, 0.1} x threshold {0.5, 0.65,
+    0.8}) evaluated with 2 fits per tag instead of 6."""
+    from pyspark.ml.classification import LogisticRegression
+    from tagloom.operators.relevance import BinaryRelevance
+    from tagloom.operators.tuning import reference_grid, threshold_sweep
+    lr = LogisticRegression()
+    br = BinaryRelevance(classifier=lr, parallelism=6)
+    sweep = threshold_sweep(br, _tuning_features(spark, sf_dir), reference_grid(lr))
+    return sweep.select("params", "threshold", "n", "hammingLoss", "f1", "precision", "recall")
+
+
+@register
+def q_tvs_best_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TrainValidationSplit over the binary-relevance stage (features fitted
+    once), Hamming loss: the chosen grid point and its validation metric."""
+    from pyspark.ml.classification import LogisticRegression
+    from tagloom.operators.relevance import BinaryRelevance
+    from tagloom.operators.tuning import reference_grid, tag_evaluator, train_validation
+    lr = LogisticRegression()
+    br = BinaryRelevance(classifier=lr, parallelism=6, stringPredictionCol="predictionLabel")
+    grid = reference_grid(lr)
+    feats = _tuning_features(spark, sf_dir).cache()
+    tvs = train_validation(br, grid, tag_evaluator("hammingLoss"), seed=11).fit(feats)
+    feats.unpersist()
+    best = min(range(len(grid)), key=lambda i: tvs.validationMetrics[i])
+    pm = grid[best]
+    row = {"maxIter": int(pm[lr.maxIter]), "tol": float(pm[lr.tol]), "threshold": float(pm[lr.threshold]),
+           "hammingLoss": float(tvs.validationMetrics[best])}
+    return spark.createDataFrame([row])
