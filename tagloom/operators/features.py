@@ -12,7 +12,7 @@ from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.text import ENGLISH_STOP_WORDS, remove_stop_words, tokenize
+from tagloom.functions.text import ENGLISH_STOP_WORDS, tokenize
 
 
 def text_tokenizer(input_col: str = "Title", output_col: str = "TitleSplitted") -> Tokenizer:
@@ -46,11 +46,15 @@ def feature_stages(text_col: str = "Title", num_features: int = 1000, min_doc_fr
 
 
 def terms(df: DataFrame, id_col: str, text_col: str, drop_stop_words: bool = True) -> DataFrame:
-    """(id, term) rows: one per token occurrence."""
-    toks = tokenize(text_col)
+    """(id, term) rows: one per token occurrence.
+
+    Stop words are removed after the explode with an IN list, which Catalyst
+    turns into a hash-set lookup inside generated code.
+    """
+    out = df.select(F.col(id_col).alias("id"), F.explode(tokenize(text_col)).alias("term"))
     if drop_stop_words:
-        toks = remove_stop_words(toks)
-    return df.select(F.col(id_col).alias("id"), F.explode(toks).alias("term"))
+        out = out.where(~F.lower(F.col("term")).isin(list(ENGLISH_STOP_WORDS)))
+    return out
 
 
 def term_frequencies(df: DataFrame, id_col: str, text_col: str,

@@ -80,3 +80,16 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def spread_thin_input(df, *keys: str):
+    """Hash-redistribute a DataFrame that arrives in fewer partitions than the
+    cluster has cores (e.g. one large unsplittable file), so that the
+    CPU-heavy text work after it runs in parallel. Inputs that are already
+    split at least that finely (any large table) are returned unchanged, so
+    this adds no shuffle at scale."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys) if keys else df.repartition(cores)

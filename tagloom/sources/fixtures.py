@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.session import spread_thin_input
 from tagloom.sources.schema import RAW_POST_FIELDS
 
 
@@ -29,7 +30,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def posts_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw post rows (all-string columns, dump attribute names)."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    docs = spread_thin_input(
+        read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars"),
+        "doc_id")
     flags = read_table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("l_doc_id"), "quality", "toxic")
     # labels is narrow (three integers per row); Spark broadcasts it only when
