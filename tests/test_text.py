@@ -1,0 +1,44 @@
+from pyspark.ml.feature import StopWordsRemover, Tokenizer
+from pyspark.sql import functions as F
+
+from tagloom.functions.text import ENGLISH_STOP_WORDS, remove_stop_words, tokenize
+from tagloom.operators.features import exact_tfidf, term_frequencies
+
+TEXTS = ["How  to Parse, in Python", "", " lead and trail ", "   ", "Tab\there\nNew line\r\n",
+         "ÉCOLE Straße ÑANDÚ", "the THE The a"]
+
+
+def test_stop_word_list_is_sparks(spark):
+    assert ENGLISH_STOP_WORDS == list(StopWordsRemover.loadDefaultStopWords("english"))
+    assert len(ENGLISH_STOP_WORDS) == 181
+
+
+def test_tokenize_twin_matches_stages(spark):
+    df = spark.createDataFrame([(t,) for t in TEXTS], "t string")
+    df = Tokenizer(inputCol="t", outputCol="stage").transform(df)
+    df = StopWordsRemover(inputCol="stage", outputCol="stage_ns").transform(df)
+    df = df.withColumn("twin", tokenize("t")).withColumn("twin_ns", remove_stop_words("twin"))
+    for r in df.collect():
+        assert r["stage"] == r["twin"], r["t"]
+        assert r["stage_ns"] == r["twin_ns"], r["t"]
+
+
+def test_fixture_tokens(spark):
+    df = spark.createDataFrame([("How  to Parse, in Python",), ("",), (" lead and trail ",)], "t string")
+    got = [r["n"] for r in df.select(remove_stop_words(tokenize("t")).alias("n")).collect()]
+    assert got == [["", "parse,", "python"], [""], ["", "lead", "trail"]]
+
+
+def test_exact_tfidf_weights(spark):
+    import math
+    df = spark.createDataFrame([(1, "apple banana apple"), (2, "banana cherry"), (3, "")], "id long, t string")
+    tf = {(r["id"], r["term"]): r["tf"] for r in term_frequencies(df, "id", "t").collect()}
+    assert tf[(1, "apple")] == 2 and tf[(2, "cherry")] == 1
+    w = {(r["id"], r["term"]): r for r in exact_tfidf(df, "id", "t", min_doc_freq=2).collect()}
+    n = 3
+    assert w[(1, "banana")]["idf"] == math.log((n + 1) / (2 + 1))
+    assert w[(1, "apple")]["idf"] == 0.0          # df 1 < minDocFreq 2
+    assert w[(1, "apple")]["tfidf"] == 0.0
+    w0 = {(r["id"], r["term"]): r for r in exact_tfidf(df, "id", "t").collect()}
+    assert w0[(1, "apple")]["tfidf"] == 2 * math.log((n + 1) / (1 + 1))
+    assert (3, "") in w0 and F is not None
