@@ -55,3 +55,71 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = stable_split(data, 0.8, seed=7)
     model = tagging_pipeline("Body", base_classifier(tol=0.1)).fit(train)
     return model.transform(test).select("Id", "label", "predictionLabel")
+
+
+def random_split(df: DataFrame, ratio: float = 0.8, seed: int | None = None):
+    """``randomSplit`` into (train, test); use ``stable_split`` when the split
+    must not depend on partitioning."""
+    train, test = df.randomSplit([ratio, 1.0 - ratio], seed)
+    return train, test
+
+
+def run_experiment(spark: SparkSession, questions_path: str | None = None, *, data: DataFrame | None = None,
+                   tags: Sequence[str] | None = None, text_col: str = "Title", train_ratio: float = 0.8,
+                   seed: int = 7, grid_tol=(0.01, 0.1), grid_threshold=(0.5, 0.65, 0.8), max_iter: int = 100,
+                   tuning: str = "sweep", parallelism: int = 4):
+    """Train, tune and evaluate a tagging model end to end.
+
+    Reads the question table (``questions_path``, only Id/label/text columns)
+    or takes ``data``; keeps ``tags``; splits train/test by id; tunes the
+    member logistic regressions on a validation part of train by Hamming loss
+    (``tuning='sweep'``: one fit per tol, thresholds swept; ``'tvs'``:
+    TrainValidationSplit over every grid point); refits the whole pipeline on
+    all of train with the chosen params; scores test.
+
+    Returns ``(model, predictions, metrics, micro)``: the fitted
+    PipelineModel, the scored test rows, a one-row DataFrame of the row-wise
+    metrics with the chosen params, and a one-row DataFrame of the micro
+    metrics.
+    """
+    from pyspark.ml.classification import LogisticRegression
+
+    from tagloom.operators.metrics import micro_metrics, rowwise_metrics
+    from tagloom.operators.tuning import (best_of_sweep, reference_grid, tag_evaluator,
+                                          threshold_sweep, train_validation)
+    from tagloom.sources.questions import load_questions
+
+    if data is None:
+        if questions_path is None:
+            raise ValueError("give questions_path or data")
+        data = load_questions(spark, questions_path, columns=("Id", "label", text_col))
+    if tags:
+        data = filter_tags(data, tags)
+    train, test = stable_split(data, train_ratio, seed)
+
+    fpipe = Pipeline(stages=feature_stages(text_col))
+    fmodel = fpipe.fit(train)
+    feats = fmodel.transform(train).select("Id", "label", "features")
+    lr = LogisticRegression()
+    br = BinaryRelevance(classifier=lr, parallelism=parallelism, stringPredictionCol="predictionLabel")
+    grid = reference_grid(lr, (max_iter,), grid_tol, grid_threshold)
+    if tuning == "sweep":
+        best = best_of_sweep(threshold_sweep(br, feats, grid, train_ratio, seed + 1))
+        chosen = dict(x.split("=") for x in best["params"].split(", "))
+        params = {"maxIter": int(chosen["maxIter"]), "tol": float(chosen["tol"]),
+                  "threshold": float(best["threshold"])}
+    elif tuning == "tvs":
+        feats = feats.cache()
+        tvs = train_validation(br, grid, tag_evaluator("hammingLoss"), train_ratio, seed + 1).fit(feats)
+        feats.unpersist()
+        i = min(range(len(grid)), key=lambda j: tvs.validationMetrics[j])
+        params = {p.name: v for p, v in grid[i].items()}
+    else:
+        raise ValueError("tuning must be 'sweep' or 'tvs'")
+    clf = base_classifier(threshold=params["threshold"], max_iter=params["maxIter"], tol=params["tol"])
+    model = tagging_pipeline(text_col, clf, parallelism=parallelism).fit(train)
+    predictions = model.transform(test)
+    row = rowwise_metrics(predictions, "predictionLabel", "label")
+    micro = micro_metrics(predictions.select("predictionLabel", "label"), "predictionLabel", "label")
+    metrics = row.select("*", *[F.lit(v).alias(k) for k, v in params.items()])
+    return model, predictions, metrics, micro

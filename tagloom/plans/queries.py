@@ -425,3 +425,17 @@ def q_tvs_best_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = {"maxIter": int(pm[lr.maxIter]), "tol": float(pm[lr.tol]), "threshold": float(pm[lr.threshold]),
            "hammingLoss": float(tvs.validationMetrics[best])}
     return spark.createDataFrame([row])
+
+
+@register
+def q_experiment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The end-to-end experiment: question table on storage -> tag filter ->
+    split -> threshold-sweep tuning -> refit -> held-out metrics and the
+    chosen parameters (one row)."""
+    from tagloom.plans.experiment import run_experiment
+    from tagloom.session import scratch_path
+    from tagloom.sources.questions import save_questions
+    path = scratch_path(spark, "questions")
+    save_questions(questions(spark, sf_dir), path)
+    _, _, metrics, _ = run_experiment(spark, path, tags=MODEL_TAGS, text_col="Body", parallelism=6)
+    return metrics
