@@ -52,3 +52,94 @@ def score_table(model_path: str, requests: DataFrame, output_path: str, rejects_
     score(model, valid, keep).write.mode("overwrite").format(fmt).save(output_path)
     if rejects_path:
         rejects.select(*keep, "reason").write.mode("overwrite").format(fmt).save(rejects_path)
+
+
+# ------------------------------------------------------- linear SQL scorer ----
+# For many tags the chained member transforms grow the plan by one projection
+# per tag. Linear members can instead be scored as relational algebra over a
+# (tag, feature, weight) table: one join, one grouped sum, one comparison.
+
+import math  # noqa: E402
+
+# Weight tables up to this size are broadcast (their size is known exactly on
+# the driver: they are built from fitted parameters). Larger ones are joined
+# by shuffle, where AQE splits a hot feature's partition.
+BROADCAST_WEIGHTS_MAX_BYTES = 64 * 1024 * 1024
+_BYTES_PER_WEIGHT_ROW = 24
+
+
+def logit(p: float) -> float:
+    """Margin threshold equivalent to a probability threshold."""
+    if p <= 0.0:
+        return -math.inf
+    if p >= 1.0:
+        return math.inf
+    return math.log(p / (1.0 - p))
+
+
+def linear_weight_tables(spark, model):
+    """(weights, bias) DataFrames from a BinaryRelevanceModel of linear members:
+    weights (label int, i int, w double) for non-zero coefficients, bias
+    (label int, b double). Returns also the number of weight rows."""
+    rows, bias = [], []
+    for k, m in enumerate(model.models):
+        coef = m.coefficients
+        idx = coef.indices if hasattr(coef, "indices") else range(len(coef))
+        vals = coef.values if hasattr(coef, "values") else coef
+        for i, w in zip(idx, vals):
+            if w != 0.0:
+                rows.append((k, int(i), float(w)))
+        bias.append((k, float(m.intercept)))
+    weights = spark.createDataFrame(rows, "label int, i int, w double")
+    return weights, spark.createDataFrame(bias, "label int, b double"), len(rows)
+
+
+def sparse_entries(df, id_col: str, features_col: str):
+    """(id, i, v) for the non-zero entries of a vector column."""
+    from pyspark.ml.functions import vector_to_array
+    return (df.select(F.col(id_col).alias("id"),
+                      F.posexplode(vector_to_array(features_col)).alias("i", "v"))
+              .where(F.col("v") != 0.0))
+
+
+def linear_decisions(entries, weights, bias, threshold: float, n_weight_rows: int | None = None,
+                     ids=None):
+    """Positive (id, label) pairs of a linear multi-label model, in SQL.
+
+    entries (id, i, v), weights (label, i, w), bias (label, b).
+    margin(id, label) = b + sum(v * w); positive iff margin > logit(threshold)
+    — the members' rule probability > threshold. Every document gets every
+    label's bias row (k rows per document: the output space of k tags), so a
+    document without evidence for a label still compares its bias. ``ids``
+    (one ``id`` column) lists the documents; default: those with entries.
+    """
+    if n_weight_rows is not None and n_weight_rows * _BYTES_PER_WEIGHT_ROW <= BROADCAST_WEIGHTS_MAX_BYTES:
+        weights = F.broadcast(weights)
+    evidence = entries.join(weights, "i").select("id", "label", (F.col("v") * F.col("w")).alias("m"))
+    labels = [r["label"] for r in bias.select("label").collect()]
+    biases = dict((r["label"], r["b"]) for r in bias.collect())
+    prior = ((ids if ids is not None else entries.select("id").distinct())
+             .select("id", F.explode(F.array(*[F.struct(F.lit(k).alias("label"), F.lit(biases[k]).alias("m"))
+                                               for k in labels])).alias("s"))
+             .select("id", "s.label", "s.m"))
+    margins = evidence.unionByName(prior).groupBy("id", "label").agg(F.sum("m").alias("margin"))
+    return margins.where(F.col("margin") > F.lit(logit(threshold)))
+
+
+def decisions_to_arrays(decisions, vocabulary, id_col: str = "id"):
+    """(id, prediction array<double> ascending, predictionLabel array<string>)."""
+    from tagloom.functions.tags import decode_indexes
+    g = decisions.groupBy(id_col).agg(F.array_sort(F.collect_list(F.col("label").cast("double"))).alias("prediction"))
+    return g.withColumn("predictionLabel", decode_indexes("prediction", vocabulary))
+
+
+def score_linear_model(model, df, id_col: str = "Id", features_col: str = "features",
+                       threshold: float | None = None):
+    """Score a BinaryRelevanceModel of logistic-regression members through
+    :func:`linear_decisions` (same decisions as ``model.transform``)."""
+    spark = df.sparkSession
+    weights, bias, n = linear_weight_tables(spark, model)
+    t = threshold if threshold is not None else model.models[0].getThreshold()
+    entries = sparse_entries(df, id_col, features_col)
+    dec = linear_decisions(entries, weights, bias, t, n, ids=df.select(F.col(id_col).alias("id")))
+    return decisions_to_arrays(dec, model.vocabulary)

@@ -296,3 +296,38 @@ ORACLE["br_save_load"] = _with(HELD_OUT) + """
 SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_mismatch FROM held_out
 """
 ORACLE["stream_score"] = ORACLE["br_save_load"]
+
+
+ORACLE["linear_score_rule"] = _with(TOKENS) + """,
+mq AS (
+  SELECT Id, list_filter(label, lambda t: t IN ('de', 'en', 'es', 'fr', 'quality', 'toxic')) AS label
+  FROM questions
+),
+q AS (SELECT Id, label FROM mq WHERE len(label) > 0),
+lv AS (SELECT list(lbl ORDER BY lbl) AS v FROM (SELECT DISTINCT unnest(label) AS lbl FROM q)),
+presence AS (
+  SELECT DISTINCT t.Id AS id, t.term
+  FROM (SELECT Id, unnest(toks) AS term FROM tok_ns) t JOIN q ON t.Id = q.Id
+),
+doclab AS (
+  SELECT DISTINCT Id AS id, CAST(list_position(v, l) - 1 AS INTEGER) AS label
+  FROM (SELECT Id, unnest(label) AS l FROM q) CROSS JOIN lv
+),
+n AS (SELECT count(*) AS n FROM q),
+stats AS (SELECT label, count(*) AS n_l, (SELECT n FROM n) - count(*) AS n_o FROM doclab GROUP BY label),
+a AS (SELECT d.label, p.term, count(*) AS a FROM presence p JOIN doclab d ON p.id = d.id GROUP BY d.label, p.term),
+dfq AS (SELECT term, count(*) AS df FROM presence GROUP BY term),
+w AS (
+  SELECT a.label, a.term,
+         ln((a.a + 1.0) / (s.n_l + 2.0)) - ln((dfq.df - a.a + 1.0) / (s.n_o + 2.0)) AS w
+  FROM a JOIN dfq ON a.term = dfq.term JOIN stats s ON a.label = s.label
+),
+margins AS (
+  SELECT id, label, sum(m) AS margin FROM (
+    SELECT p.id, w.label, w.w AS m FROM presence p JOIN w ON p.term = w.term
+    UNION ALL
+    SELECT q.Id AS id, s.label, ln(s.n_l / s.n_o) AS m FROM q CROSS JOIN stats s
+  ) GROUP BY id, label
+)
+SELECT CAST(id AS BIGINT) AS Id, v[label + 1] AS tag FROM margins CROSS JOIN lv WHERE margin > 0
+"""

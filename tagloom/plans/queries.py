@@ -439,3 +439,40 @@ def q_experiment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     save_questions(questions(spark, sf_dir), path)
     _, _, metrics, _ = run_experiment(spark, path, tags=MODEL_TAGS, text_col="Body", parallelism=6)
     return metrics
+
+
+@register
+def q_linear_score_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linear multi-label scoring as SQL (join + grouped sum + compare).
+
+    Coefficients come from a fixed rule over the data: for tag L and term t,
+    w = ln((a+1)/(n_L+2)) - ln((b+1)/(n_other+2)) with a / b the posts with /
+    without L containing t, bias = ln(n_L / n_other); a post gets L when
+    bias + sum of w over its distinct terms > logit(0.5). Output: the
+    positive (Id, tag) pairs over all posts with a model tag.
+    """
+    from tagloom.functions.tags import label_indexes
+    from tagloom.operators.features import terms
+    from tagloom.operators.labels import filter_tags, label_vocabulary
+    from tagloom.operators.scoring import linear_decisions
+    q = filter_tags(questions(spark, sf_dir).select("Id", "label", "Body"), MODEL_TAGS)
+    vocab = label_vocabulary(q)
+    presence = terms(q, "Id", "Body").distinct()
+    doclab = q.select(F.col("Id").alias("id"),
+                      F.explode(F.array_distinct(label_indexes("label", vocab))).alias("label")) \
+              .withColumn("label", F.col("label").cast("int"))
+    n_docs = q.count()
+    stats = doclab.groupBy("label").agg(F.count(F.lit(1)).alias("n_l")) \
+                  .withColumn("n_o", F.lit(n_docs) - F.col("n_l"))
+    a = presence.join(doclab, "id").groupBy("label", "term").agg(F.count(F.lit(1)).alias("a"))
+    dfreq = presence.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    w = (a.join(dfreq, "term").join(F.broadcast(stats), "label")
+         .select("label", F.col("term").alias("i"),
+                 (F.log((F.col("a") + 1.0) / (F.col("n_l") + 2.0))
+                  - F.log((F.col("df") - F.col("a") + 1.0) / (F.col("n_o") + 2.0))).alias("w")))
+    bias = stats.select("label", F.log(F.col("n_l") / F.col("n_o")).alias("b"))
+    entries = presence.select("id", F.col("term").alias("i"), F.lit(1.0).alias("v"))
+    dec = linear_decisions(entries, w, bias, 0.5, ids=q.select(F.col("Id").alias("id")))
+    names = F.array(*[F.lit(t) for t in vocab])
+    return dec.select(F.col("id").cast("bigint").alias("Id"),
+                      F.element_at(names, F.col("label") + 1).alias("tag"))

@@ -138,3 +138,14 @@ def test_top_n_and_weight(feats):
     w = feats.withColumn("w", F.lit(1.0))
     m2 = _br(weightCol="w", labels=["en"]).fit(w)
     assert m2.models[0].getWeightCol() == "w"
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8])
+def test_linear_sql_scorer_equals_chained(feats, threshold):
+    from tagloom.operators.scoring import score_linear_model
+    train, test = stable_split(feats, 0.8, 7)
+    lr = LogisticRegression(maxIter=50, tol=1e-4, threshold=threshold)
+    model = BinaryRelevance(classifier=lr).fit(train)
+    chained = {r["Id"]: list(r["prediction"]) for r in model.transform(test).collect()}
+    sql = {r["id"]: list(r["prediction"]) for r in score_linear_model(model, test).collect()}
+    assert {k: v for k, v in chained.items() if v} == sql
