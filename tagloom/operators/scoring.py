@@ -116,8 +116,8 @@ def linear_decisions(entries, weights, bias, threshold: float, n_weight_rows: in
     if n_weight_rows is not None and n_weight_rows * _BYTES_PER_WEIGHT_ROW <= BROADCAST_WEIGHTS_MAX_BYTES:
         weights = F.broadcast(weights)
     evidence = entries.join(weights, "i").select("id", "label", (F.col("v") * F.col("w")).alias("m"))
-    labels = [r["label"] for r in bias.select("label").collect()]
-    biases = dict((r["label"], r["b"]) for r in bias.collect())
+    biases = {r["label"]: r["b"] for r in bias.collect()}     # k rows: one per tag
+    labels = sorted(biases)
     prior = ((ids if ids is not None else entries.select("id").distinct())
              .select("id", F.explode(F.array(*[F.struct(F.lit(k).alias("label"), F.lit(biases[k]).alias("m"))
                                                for k in labels])).alias("s"))

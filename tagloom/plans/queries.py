@@ -457,7 +457,9 @@ def q_linear_score_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.operators.scoring import linear_decisions
     q = filter_tags(questions(spark, sf_dir).select("Id", "label", "Body"), MODEL_TAGS)
     vocab = label_vocabulary(q)
-    presence = terms(q, "Id", "Body").distinct()
+    # (post, distinct term) feeds three joins/aggregates: tokenise once and
+    # cut the lineage with a reliable checkpoint (shared checkpoint folder)
+    presence = terms(q, "Id", "Body").distinct().checkpoint()
     doclab = q.select(F.col("Id").alias("id"),
                       F.explode(F.array_distinct(label_indexes("label", vocab))).alias("label")) \
               .withColumn("label", F.col("label").cast("int"))
