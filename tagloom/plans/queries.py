@@ -455,10 +455,12 @@ def q_linear_score_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.operators.features import terms
     from tagloom.operators.labels import filter_tags, label_vocabulary
     from tagloom.operators.scoring import linear_decisions
+    from tagloom.session import ensure_checkpoint_dir
     q = filter_tags(questions(spark, sf_dir).select("Id", "label", "Body"), MODEL_TAGS)
     vocab = label_vocabulary(q)
     # (post, distinct term) feeds three joins/aggregates: tokenise once and
     # cut the lineage with a reliable checkpoint (shared checkpoint folder)
+    ensure_checkpoint_dir(spark)
     presence = terms(q, "Id", "Body").distinct().checkpoint()
     doclab = q.select(F.col("Id").alias("id"),
                       F.explode(F.array_distinct(label_indexes("label", vocab))).alias("label")) \
