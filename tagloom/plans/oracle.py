@@ -184,7 +184,7 @@ rs AS (
   FROM pl
 ),
 terms AS (
-  SELECT Id, Year, l,
+  SELECT Id, Year, l, CAST(len(l) AS BIGINT) AS n_true,
          CASE WHEN np > 0 THEN inter / np ELSE 0.0 END AS rp,
          CASE WHEN nl = 0 THEN 'NaN'::DOUBLE ELSE inter / nl END AS rr,
          CASE WHEN np + nl = 0 THEN 'NaN'::DOUBLE ELSE 2.0 * inter / (np + nl) END AS rf1,
@@ -222,6 +222,8 @@ ORACLE["metrics_rowwise"] = _with(PSEUDO) + _rowwise_select("")
 ORACLE["metrics_by_year"] = _with(PSEUDO) + _rowwise_select("Year").replace(
     "SELECT Year, ", "SELECT CAST(Year AS BIGINT) AS Year, ", 1)
 
+ORACLE["metrics_subset"] = _with(PSEUDO) + _rowwise_select("n_true")
+
 ORACLE["metrics_micro"] = _with(PSEUDO) + """
 SELECT CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(fn) AS BIGINT) AS fn,
        round(sum(tp) / (sum(tp) + sum(fp)), 6) AS microPrecision,

@@ -199,6 +199,15 @@ def q_metrics_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_all(out, _ROW_METRICS)
 
 
+@register
+def q_metrics_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All row-wise metrics (exact-match rate among them) per true tag-set size."""
+    from tagloom.operators.metrics import rowwise_metrics
+    pl, _ = _pseudo_predictions(spark, sf_dir)
+    pl = pl.withColumn("n_true", F.size("label").cast("bigint"))
+    return _round_all(rowwise_metrics(pl, group_cols=["n_true"]), _ROW_METRICS)
+
+
 @register
 def q_metrics_micro(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.operators.metrics import micro_metrics
