@@ -298,6 +298,7 @@ ORACLE["br_save_load"] = _with(HELD_OUT) + """
 SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_mismatch FROM held_out
 """
 ORACLE["stream_score"] = ORACLE["br_save_load"]
+ORACLE["br_linear_score"] = ORACLE["br_save_load"]
 
 
 ORACLE["linear_score_rule"] = _with(TOKENS) + """,

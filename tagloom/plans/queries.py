@@ -489,3 +489,21 @@ def q_linear_score_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array(*[F.lit(t) for t in vocab])
     return dec.select(F.col("id").cast("bigint").alias("Id"),
                       F.element_at(names, F.col("label") + 1).alias("tag"))
+
+
+@register
+def q_br_linear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted model's logistic-regression members scored in SQL form (one
+    join on the feature index, one grouped sum, one comparison): must equal
+    the chained member transforms on every held-out post."""
+    from tagloom.operators.scoring import score_linear_model
+    _, test = _model_data(spark, sf_dir)
+    model = fitted_model(spark, sf_dir)
+    feats = model.transform(test)          # features and chained predictions
+    br = model.stages[-1]
+    sql = score_linear_model(br, feats.select("Id", "features"))
+    a = feats.select("Id", F.array_join("predictionLabel", "|").alias("tags"))
+    b = feats.select("Id").join(sql.select(F.col("id").alias("Id"), "predictionLabel"), "Id", "left") \
+             .select("Id", F.array_join(F.coalesce("predictionLabel", F.array().cast("array<string>")), "|")
+                     .alias("tags"))
+    return _mismatches(a, b)
