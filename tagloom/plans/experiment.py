@@ -123,3 +123,30 @@ def run_experiment(spark: SparkSession, questions_path: str | None = None, *, da
     micro = micro_metrics(predictions.select("predictionLabel", "label"), "predictionLabel", "label")
     metrics = row.select("*", *[F.lit(v).alias(k) for k, v in params.items()])
     return model, predictions, metrics, micro
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``python -m tagloom.plans.experiment QUESTIONS_PATH [TAG ...]``
+
+    Trains and evaluates on a saved question table and prints the chosen
+    parameters and the held-out metrics (Hamming loss, f1, precision, recall).
+    """
+    import sys
+
+    from tagloom.session import get_session
+    args = list(sys.argv[1:] if argv is None else argv)
+    if not args:
+        print("usage: python -m tagloom.plans.experiment QUESTIONS_PATH [TAG ...]", file=sys.stderr)
+        return 2
+    spark = get_session()
+    _, _, metrics, micro = run_experiment(spark, args[0], tags=args[1:] or None)
+    row = metrics.first().asDict()
+    row.update(micro.first().asDict())
+    for key in ("maxIter", "tol", "threshold", "hammingLoss", "f1", "precision", "recall", "accuracy",
+                "subsetAccuracy", "microPrecision", "microRecall", "microF1"):
+        print(f"{key:16s} {row[key]}")
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

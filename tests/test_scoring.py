@@ -70,3 +70,16 @@ def test_pipeline_persists_with_features(spark, saved_model):
     assert [type(s).__name__ for s in m.stages][-1] == "BinaryRelevanceModel"
     assert isinstance(Pipeline(stages=feature_stages()).getStages()[0].getInputCol(), str)
     assert F is not None
+
+
+def test_experiment_cli(spark, tmp_path, capsys):
+    from tagloom.operators.etl import questions_from_posts
+    from tagloom.plans.experiment import main
+    from tagloom.sources.fixtures import posts_fixture
+    from tagloom.sources.questions import save_questions
+    assert main([]) == 2
+    path = str(tmp_path / "q")
+    save_questions(questions_from_posts(posts_fixture(spark, SF)), path)
+    assert main([path, "en", "de", "fr", "es"]) == 0
+    out = capsys.readouterr().out
+    assert "hammingLoss" in out and "threshold" in out
