@@ -1,0 +1,370 @@
+"""Joint training of many per-tag logistic regressions in one pass per step.
+
+``BinaryRelevance`` runs k independent fits; each is an iterative sequence of
+Spark jobs, so k tags cost about k x iterations passes over the data. For
+many tags this estimator trains the same model family (one L2-regularised
+logistic regression per tag, shared features) with one distributed pass per
+optimisation step for *all* tags:
+
+* the training projection (sparse feature entries + tag indexes) is cached
+  once;
+* each step broadcasts the k x d coefficient matrix (its size is checked
+  against ``maxModelBytes``), and ``mapInPandas`` computes, per partition and
+  in bounded row blocks, the loss and gradient of every tag with dense BLAS
+  on the block; partitions emit one packed partial each;
+* partials are summed in two levels (about sqrt(P) groups, then the driver),
+  so no task and not the driver receives all P partials at scale;
+* the driver runs one L-BFGS per tag, vectorised over tags (each tag has its
+  own history, line search and convergence test; converged tags freeze).
+
+Scoring is an Arrow-batched pandas UDF over the sparse feature entries
+(stateless, so it also runs on streams). Use it when k is large (hundreds
+or more); for a handful of tags ``BinaryRelevance`` with JVM members is
+cheaper per pass.
+"""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+
+import numpy as np
+import pandas as pd
+from pyspark import StorageLevel, cloudpickle, keyword_only
+from pyspark.ml import Estimator, Model
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol, HasTol
+from pyspark.ml.util import (DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader,
+                             MLWritable, MLWriter)
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tagloom.functions.tags import decode_indexes, label_indexes
+from tagloom.operators.labels import label_vocabulary
+
+_BLOCK_BYTES = 16 * 1024 * 1024
+
+# The task-side functions of this module are shipped by value, so executors
+# need numpy/pandas but not this package on their Python path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class _MultiTagParams(HasLabelCol, HasFeaturesCol, HasPredictionCol, HasMaxIter, HasTol):
+    regParam = Param(Params._dummy(), "regParam", "L2 penalty (on coefficients, not intercepts)",
+                     typeConverter=TypeConverters.toFloat)
+    threshold = Param(Params._dummy(), "threshold", "tag predicted iff probability > threshold",
+                      typeConverter=TypeConverters.toFloat)
+    stringPredictionCol = Param(Params._dummy(), "stringPredictionCol", "tag strings output ('' = none)",
+                                typeConverter=TypeConverters.toString)
+    labels = Param(Params._dummy(), "labels", "explicit tag vocabulary (empty = from the data)",
+                   typeConverter=TypeConverters.toListString)
+    minSupport = Param(Params._dummy(), "minSupport", "tags assigned at least this often",
+                       typeConverter=TypeConverters.toInt)
+    topN = Param(Params._dummy(), "topN", "N most frequent tags (0 = all)", typeConverter=TypeConverters.toInt)
+    maxModelBytes = Param(Params._dummy(), "maxModelBytes", "largest coefficient matrix to broadcast",
+                          typeConverter=TypeConverters.toInt)
+    history = Param(Params._dummy(), "history", "L-BFGS memory", typeConverter=TypeConverters.toInt)
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self._setDefault(labelCol="label", featuresCol="features", predictionCol="prediction",
+                         maxIter=100, tol=1e-6, regParam=0.0, threshold=0.5, stringPredictionCol="",
+                         labels=[], minSupport=1, topN=0, maxModelBytes=1 << 30, history=10)
+
+
+def _sparse_cols(features_col: str):
+    """Sparse (indices, values) of a vector column, computed in the JVM."""
+    arr = vector_to_array(features_col)
+    idx = F.filter(F.sequence(F.lit(0), F.size(arr) - 1), lambda i: arr[i] != 0.0)
+    return idx.alias("__idx"), F.transform(idx, lambda i: arr[i]).alias("__val")
+
+
+def _dense_block(idx: pd.Series, val: pd.Series, d: int) -> np.ndarray:
+    lengths = idx.map(len).to_numpy()
+    x = np.zeros((len(idx), d))
+    if lengths.sum():
+        rows = np.repeat(np.arange(len(idx)), lengths)
+        x[rows, np.concatenate(idx.to_numpy()).astype(np.int64)] = np.concatenate(val.to_numpy())
+    return x
+
+
+def _partial_fn(bc, k: int, d: int):
+    """Per-partition loss/gradient of all k tags at the broadcast point."""
+    def run(batches):
+        w, b = bc.value
+        loss, gw, gb = np.zeros(k), np.zeros((k, d)), np.zeros(k)
+        rows_per_block = max(1, _BLOCK_BYTES // (8 * max(d, k)))
+        for pdf in batches:
+            for s in range(0, len(pdf), rows_per_block):
+                blk = pdf.iloc[s:s + rows_per_block]
+                x = _dense_block(blk["__idx"], blk["__val"], d)
+                y = np.zeros((len(blk), k))
+                lab = blk["__lab"].to_numpy()
+                lens = np.fromiter((len(v) for v in lab), dtype=np.int64, count=len(lab))
+                if lens.sum():
+                    y[np.repeat(np.arange(len(blk)), lens), np.concatenate(lab).astype(np.int64)] = 1.0
+                m = x @ w.T + b
+                loss += (np.logaddexp(0.0, m) - y * m).sum(axis=0)
+                r = 0.5 * (1.0 + np.tanh(0.5 * m)) - y
+                gw += r.T @ x
+                gb += r.sum(axis=0)
+        yield pd.DataFrame({"part": [np.concatenate([loss, gb, gw.ravel()]).tobytes()]})
+    return run
+
+
+def _sum_fn(batches):
+    total = None
+    for pdf in batches:
+        for blob in pdf["part"]:
+            v = np.frombuffer(blob, dtype=np.float64)
+            total = v.copy() if total is None else total + v
+    if total is not None:
+        yield pd.DataFrame({"part": [total.tobytes()]})
+
+
+class MultiTagLogisticRegression(Estimator, _MultiTagParams, MLReadable, MLWritable):
+    """One logistic regression per tag, all trained together (see module doc)."""
+
+    @keyword_only
+    def __init__(self, *, labelCol="label", featuresCol="features", predictionCol="prediction",
+                 stringPredictionCol="", maxIter=100, tol=1e-6, regParam=0.0, threshold=0.5,
+                 labels=None, minSupport=1, topN=0, maxModelBytes=1 << 30, history=10):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    # -- distributed objective ------------------------------------------------
+    def _objective(self, data: DataFrame, n: int, k: int, d: int, n_parts: int):
+        spark = data.sparkSession
+        reg = self.getOrDefault(self.regParam)
+        groups = max(1, int(math.ceil(math.sqrt(n_parts)))) if n_parts > 16 else 0
+
+        def evaluate(w: np.ndarray, b: np.ndarray):
+            bc = spark.sparkContext.broadcast((w, b))
+            try:
+                parts = data.mapInPandas(_partial_fn(bc, k, d), "part binary")
+                if groups:
+                    parts = parts.repartition(groups).mapInPandas(_sum_fn, "part binary")
+                total = np.zeros(2 * k + k * d)
+                for r in parts.collect():
+                    total += np.frombuffer(r["part"], dtype=np.float64)
+            finally:
+                bc.destroy()
+            loss = total[:k] / n + 0.5 * reg * (w * w).sum(axis=1)
+            gb = total[k:2 * k] / n
+            gw = total[2 * k:].reshape(k, d) / n + reg * w
+            return loss, np.hstack([gw, gb[:, None]])
+        return evaluate
+
+    def _fit(self, dataset: DataFrame) -> "MultiTagLogisticModel":
+        label_col, features_col = self.getLabelCol(), self.getFeaturesCol()
+        vocab = list(self.getOrDefault(self.labels)) or label_vocabulary(
+            dataset.select(label_col), label_col, self.getOrDefault(self.minSupport),
+            self.getOrDefault(self.topN) or None)
+        k = len(vocab)
+        first = dataset.select(features_col).first()
+        if first is None or k == 0:
+            raise ValueError("no training rows or no tags")
+        d = int(getattr(first[0], "size", None) or len(first[0]))
+        if k * (d + 1) * 8 > self.getOrDefault(self.maxModelBytes):
+            raise ValueError(f"{k} tags x {d} features exceed maxModelBytes; reduce tags or features")
+        data = dataset.select(*_sparse_cols(features_col),
+                              label_indexes(label_col, vocab).cast("array<int>").alias("__lab"))
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        cached = data
+        try:
+            n = data.count()
+            # small training sets: fewer, fuller partitions (coalesce, no
+            # shuffle); each step is one job, so per-task overhead adds up
+            wanted = max(1, -(-n * 8 * d // (128 * 1024 * 1024)))
+            if wanted < data.rdd.getNumPartitions():
+                data = data.coalesce(wanted)
+            counts = np.zeros(k)
+            for r in data.select(F.explode(F.array_distinct("__lab")).alias("l")).groupBy("l").count().collect():
+                counts[r["l"]] = r["count"]
+            f = self._objective(data, n, k, d, data.rdd.getNumPartitions())
+            x0 = np.zeros((k, d + 1))
+            p = np.clip(counts / n, 1e-12, 1 - 1e-12)
+            x0[:, d] = np.log(p / (1 - p))          # start at the prior log-odds
+            x = _lbfgs(lambda z: f(z[:, :d], z[:, d]), x0, self.getMaxIter(), self.getTol(),
+                       self.getOrDefault(self.history))
+        finally:
+            cached.unpersist()
+        model = MultiTagLogisticModel(labels=vocab, coefficients=x[:, :d], intercepts=x[:, d])
+        self._copyValues(model)
+        model._set(labels=vocab)
+        return model
+
+    def write(self) -> MLWriter:
+        return _Writer(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _Reader(cls)
+
+
+def _lbfgs(fg, x0: np.ndarray, max_iter: int, tol: float, m: int) -> np.ndarray:
+    """k independent L-BFGS minimisations sharing each evaluation.
+
+    ``fg(X)`` returns (f (k,), G (k, p)) for all rows of X in one pass over
+    the data. Every row runs its own state machine (direction, backtracking
+    Armijo line search with quadratic interpolation, history, convergence on
+    the relative decrease of f below ``tol``), so one pass advances every row
+    by one trial: rows backtracking do not hold the others back. Finished rows
+    stay fixed.
+    """
+    k, p = x0.shape
+    x = x0.copy()
+    f, g = fg(x)
+    s_hist = np.zeros((m, k, p))
+    y_hist = np.zeros((m, k, p))
+    rho = np.zeros((m, k))
+    active = np.ones(k, dtype=bool)
+    iters = np.zeros(k, dtype=np.int64)
+    backtracks = np.zeros(k, dtype=np.int64)
+
+    def directions(gr):
+        q = gr.copy()
+        alpha = np.zeros((m, k))
+        for i in range(m - 1, -1, -1):
+            alpha[i] = rho[i] * np.einsum("kp,kp->k", s_hist[i], q)
+            q -= alpha[i][:, None] * y_hist[i]
+        yy = np.einsum("kp,kp->k", y_hist[m - 1], y_hist[m - 1])
+        has = (rho[m - 1] > 0) & (yy > 0)
+        gamma = np.where(has, 1.0 / np.where(has, rho[m - 1] * yy, 1.0), 1.0)
+        r = gamma[:, None] * q
+        for i in range(m):
+            beta = rho[i] * np.einsum("kp,kp->k", y_hist[i], r)
+            r += (alpha[i] - beta)[:, None] * s_hist[i]
+        d = -r
+        sl = np.einsum("kp,kp->k", gr, d)
+        bad = sl >= 0                           # not a descent direction: steepest descent
+        d[bad] = -gr[bad]
+        sl[bad] = -np.einsum("kp,kp->k", gr[bad], gr[bad])
+        first = ~(rho > 0).any(axis=0)
+        st = np.where(first, 1.0 / np.maximum(np.sqrt(np.einsum("kp,kp->k", gr, gr)), 1.0), 1.0)
+        return d, sl, st
+
+    direction, slope, step = directions(g)
+    while active.any():
+        trial = np.where(active[:, None], x + step[:, None] * direction, x)
+        ft, gt = fg(trial)
+        ok = active & (ft <= f + 1e-4 * step * slope)
+        # rejected trials: backtrack by quadratic interpolation within [0.1, 0.5]
+        rej = active & ~ok
+        curv = ft - f - slope * step
+        t_q = np.where(curv > 0, -slope * step * step / (2.0 * np.where(curv > 0, curv, 1.0)), 0.5 * step)
+        step = np.where(rej, np.clip(t_q, 0.1 * step, 0.5 * step), step)
+        backtracks += rej
+        active &= ~(rej & (backtracks > 30))    # no progress possible along this direction
+        if ok.any():
+            sv, yv = trial - x, gt - g
+            sy = np.einsum("kp,kp->k", sv, yv)
+            upd = ok & (sy > 1e-12)
+            s_hist = np.roll(s_hist, -1, axis=0)
+            y_hist = np.roll(y_hist, -1, axis=0)
+            rho = np.roll(rho, -1, axis=0)
+            # rows that did not update keep their newest pair in the last slot
+            s_hist[-1] = np.where(upd[:, None], sv, s_hist[-2] if m > 1 else 0.0)
+            y_hist[-1] = np.where(upd[:, None], yv, y_hist[-2] if m > 1 else 0.0)
+            rho[-1] = np.where(upd, 1.0 / np.where(upd, sy, 1.0), rho[-2] if m > 1 else 0.0)
+            if m > 1:
+                s_hist[-2] = np.where(upd[:, None], s_hist[-2], 0.0)
+                y_hist[-2] = np.where(upd[:, None], y_hist[-2], 0.0)
+                rho[-2] = np.where(upd, rho[-2], 0.0)
+            converged = ok & (np.abs(f - ft) <= tol * np.maximum(np.abs(f), 1e-12))
+            x = np.where(ok[:, None], trial, x)
+            f = np.where(ok, ft, f)
+            g = np.where(ok[:, None], gt, g)
+            iters += ok
+            backtracks[ok] = 0
+            active &= ~converged & (iters < max_iter)
+            d_new, sl_new, st_new = directions(g)
+            direction = np.where(ok[:, None], d_new, direction)
+            slope = np.where(ok, sl_new, slope)
+            step = np.where(ok, st_new, step)
+    return x
+
+
+class MultiTagLogisticModel(Model, _MultiTagParams, MLReadable, MLWritable):
+    """k linear tag scorers; prediction = ascending indexes with probability
+    > threshold, plus optional tag strings."""
+
+    def __init__(self, labels=None, coefficients=None, intercepts=None):
+        super().__init__()
+        self._set(labels=list(labels or []))
+        self.coefficients = np.asarray(coefficients if coefficients is not None else np.zeros((0, 0)))
+        self.intercepts = np.asarray(intercepts if intercepts is not None else np.zeros(0))
+
+    @property
+    def vocabulary(self) -> list[str]:
+        return list(self.getOrDefault(self.labels))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        from pyspark.sql.functions import pandas_udf
+        spark = dataset.sparkSession
+        bc = spark.sparkContext.broadcast((self.coefficients, self.intercepts))
+        t = self.getOrDefault(self.threshold)
+        cut = math.inf if t >= 1 else (-math.inf if t <= 0 else math.log(t / (1 - t)))
+        d = self.coefficients.shape[1]
+
+        @pandas_udf("array<double>")
+        def predict(idx: pd.Series, val: pd.Series) -> pd.Series:
+            w, b = bc.value
+            out = []
+            step = max(1, _BLOCK_BYTES // (8 * max(d, 1)))
+            for s in range(0, len(idx), step):
+                m = _dense_block(idx.iloc[s:s + step], val.iloc[s:s + step], d) @ w.T + b
+                out.extend([np.flatnonzero(row > cut).astype(np.float64) for row in m])
+            return pd.Series(out)
+
+        idx, val = _sparse_cols(self.getFeaturesCol())
+        out = dataset.withColumn(self.getPredictionCol(), predict(idx, val))
+        if self.getOrDefault(self.stringPredictionCol):
+            out = out.withColumn(self.getOrDefault(self.stringPredictionCol),
+                                 decode_indexes(self.getPredictionCol(), self.vocabulary))
+        return out
+
+    def write(self) -> MLWriter:
+        return _Writer(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _Reader(cls)
+
+
+class _Writer(MLWriter):
+    def __init__(self, instance):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        inst = self.instance
+        params = {p.name: v for p, v in inst._paramMap.items()}
+        DefaultParamsWriter.saveMetadata(inst, path, self.sparkSession, paramMap=params)
+        if isinstance(inst, MultiTagLogisticModel):
+            rows = [(i, float(inst.intercepts[i]), [float(v) for v in inst.coefficients[i]])
+                    for i in range(len(inst.intercepts))]
+            (self.sparkSession.createDataFrame(rows, "label int, b double, w array<double>")
+             .write.mode("overwrite").parquet(os.path.join(path, "coefficients")))
+
+
+class _Reader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str):
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        if issubclass(self.cls, MultiTagLogisticModel):
+            rows = sorted(self.sparkSession.read.parquet(os.path.join(path, "coefficients")).collect(),
+                          key=lambda r: r["label"])
+            inst = self.cls(labels=meta["paramMap"].get("labels", []),
+                            coefficients=np.array([r["w"] for r in rows]),
+                            intercepts=np.array([r["b"] for r in rows]))
+        else:
+            inst = self.cls()
+        inst._resetUid(meta["uid"])
+        DefaultParamsReader.getAndSetParams(inst, meta)
+        return inst

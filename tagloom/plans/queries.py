@@ -507,3 +507,23 @@ def q_br_linear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select("Id", F.array_join(F.coalesce("predictionLabel", F.array().cast("array<string>")), "|")
                      .alias("tags"))
     return _mismatches(a, b)
+
+
+@register
+def q_mt_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tag of the vocabulary (no tag filter) trained jointly: one
+    distributed pass per optimisation step for all tags; held-out posts
+    tagged (Id, tags, n_tags)."""
+    from pyspark.ml import Pipeline
+    from tagloom.operators.features import feature_stages
+    from tagloom.operators.labels import split_column
+    from tagloom.operators.multitag import MultiTagLogisticRegression
+    q = questions(spark, sf_dir).select("Id", "label", "Body")
+    side = split_column("Id", 0.8, _SPLIT_SEED, method="arith")
+    train, test = q.where(side == "train"), q.where(side == "test")
+    mt = MultiTagLogisticRegression(regParam=0.01, maxIter=40, tol=1e-6, threshold=0.5,
+                                    stringPredictionCol="predictionLabel")
+    model = Pipeline(stages=[*feature_stages("Body"), mt]).fit(train)
+    out = model.transform(test)
+    return out.select(F.col("Id").cast("bigint").alias("Id"), F.array_join("predictionLabel", "|").alias("tags"),
+                      F.size("prediction").cast("bigint").alias("n_tags"))

@@ -1,0 +1,81 @@
+import numpy as np
+import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
+from pyspark.sql import functions as F
+
+from tagloom.operators.features import feature_stages
+from tagloom.operators.multitag import MultiTagLogisticModel, MultiTagLogisticRegression, _lbfgs
+from tagloom.plans.experiment import LANG_TAGS, training_posts
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_lbfgs_independent_quadratics():
+    rng = np.random.default_rng(0)
+    k, p = 5, 8
+    a = [np.diag(rng.uniform(0.5, 20.0, p)) for _ in range(k)]
+    c = rng.normal(size=(k, p))
+
+    def fg(x):
+        f = np.array([0.5 * (x[j] - c[j]) @ a[j] @ (x[j] - c[j]) for j in range(k)])
+        g = np.stack([a[j] @ (x[j] - c[j]) for j in range(k)])
+        return f, g
+
+    x = _lbfgs(fg, np.zeros((k, p)), 200, 1e-14, 10)
+    assert np.allclose(x, c, atol=1e-5)
+
+
+@pytest.fixture(scope="module")
+def feats(spark):
+    data = training_posts(spark, SF, LANG_TAGS + ["quality"])
+    fm = Pipeline(stages=feature_stages("Body")).fit(data)
+    df = fm.transform(data).select("Id", "label", "features").repartition(3).cache()
+    df.count()
+    return df
+
+
+@pytest.fixture(scope="module")
+def model(feats):
+    return MultiTagLogisticRegression(regParam=0.05, tol=1e-10, maxIter=100,
+                                      stringPredictionCol="tags").fit(feats)
+
+
+def test_matches_per_tag_logistic_regression(feats, model):
+    assert model.vocabulary == sorted(LANG_TAGS + ["quality"])
+    ours = {r["Id"]: list(r["prediction"]) for r in model.transform(feats).collect()}
+    theirs = {i: [] for i in ours}
+    for j, tag in enumerate(model.vocabulary):
+        lr = LogisticRegression(regParam=0.05, standardization=False, tol=1e-10, maxIter=500, labelCol="y")
+        lm = lr.fit(feats.withColumn("y", F.array_contains("label", tag).cast("double")))
+        c = lm.coefficients.toArray()
+        assert np.abs(c - model.coefficients[j]).max() <= 0.02 * max(np.abs(c).max(), 1e-3)
+        assert abs(lm.intercept - model.intercepts[j]) <= 0.02 * max(abs(lm.intercept), 1.0)
+        for r in lm.transform(feats).select("Id", "prediction").collect():
+            if r["prediction"] == 1.0:
+                theirs[r["Id"]].append(float(j))
+    agree = sum(ours[i] == theirs[i] for i in ours) / len(ours)
+    assert agree >= 0.97
+
+
+def test_output_and_save_load(feats, model, tmp_path):
+    out = model.transform(feats)
+    assert out.schema["prediction"].dataType.simpleString() == "array<double>"
+    r = out.first()
+    assert r["tags"] == [model.vocabulary[int(i)] for i in r["prediction"]]
+    p = str(tmp_path / "mt")
+    model.save(p)
+    back = MultiTagLogisticModel.load(p)
+    assert back.vocabulary == model.vocabulary
+    a = sorted((x["Id"], tuple(x["prediction"])) for x in out.collect())
+    b = sorted((x["Id"], tuple(x["prediction"])) for x in back.transform(feats).collect())
+    assert a == b
+    est = MultiTagLogisticRegression(regParam=0.5, maxIter=7)
+    est.save(str(tmp_path / "est"))
+    e2 = MultiTagLogisticRegression.load(str(tmp_path / "est"))
+    assert e2.getOrDefault(e2.regParam) == 0.5 and e2.getMaxIter() == 7
+
+
+def test_model_size_is_checked(feats):
+    with pytest.raises(ValueError, match="maxModelBytes"):
+        MultiTagLogisticRegression(maxModelBytes=1000).fit(feats)
