@@ -150,7 +150,7 @@ class MultiTagLogisticRegression(Estimator, _MultiTagParams, MLReadable, MLWrita
                 for r in parts.collect():
                     total += np.frombuffer(r["part"], dtype=np.float64)
             finally:
-                bc.destroy()
+                bc.unpersist()
             loss = total[:k] / n + 0.5 * reg * (w * w).sum(axis=1)
             gb = total[k:2 * k] / n
             gw = total[2 * k:].reshape(k, d) / n + reg * w
