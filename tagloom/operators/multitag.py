@@ -74,11 +74,29 @@ class _MultiTagParams(HasLabelCol, HasFeaturesCol, HasPredictionCol, HasMaxIter,
                          labels=[], minSupport=1, topN=0, maxModelBytes=1 << 30, history=10)
 
 
-def _sparse_cols(features_col: str):
-    """Sparse (indices, values) of a vector column, computed in the JVM."""
-    arr = vector_to_array(features_col)
-    idx = F.filter(F.sequence(F.lit(0), F.size(arr) - 1), lambda i: arr[i] != 0.0)
-    return idx.alias("__idx"), F.transform(idx, lambda i: arr[i]).alias("__val")
+def _with_sparse_cols(df: DataFrame, features_col: str) -> DataFrame:
+    """Add sparse (indices, values) arrays of a vector column, in the JVM.
+
+    The dense array is projected first and referenced by name, so the vector
+    is converted once per row, not once per element inside the lambdas.
+    """
+    arr = df.withColumn("__arr", vector_to_array(features_col))
+    idx = F.filter(F.sequence(F.lit(0), F.size("__arr") - 1), lambda i: F.col("__arr")[i] != 0.0)
+    out = arr.withColumn("__idx", idx)
+    return out.withColumn("__val", F.transform("__idx", lambda i: F.col("__arr")[i])).drop("__arr")
+
+
+def _vector_block(vectors: pd.Series, d: int) -> np.ndarray:
+    """Dense row block from ML vectors as they reach pandas (their struct
+    form: type 0 sparse with indices/values, type 1 dense with values)."""
+    x = np.zeros((len(vectors), d))
+    for r, v in enumerate(vectors):
+        vals = np.asarray(v["values"], dtype=np.float64)
+        if v["type"] == 0:
+            x[r, np.asarray(v["indices"], dtype=np.int64)] = vals
+        else:
+            x[r, :len(vals)] = vals
+    return x
 
 
 def _dense_block(idx: pd.Series, val: pd.Series, d: int) -> np.ndarray:
@@ -99,7 +117,7 @@ def _partial_fn(bc, k: int, d: int):
         for pdf in batches:
             for s in range(0, len(pdf), rows_per_block):
                 blk = pdf.iloc[s:s + rows_per_block]
-                x = _dense_block(blk["__idx"], blk["__val"], d)
+                x = _vector_block(blk["__features"], d)
                 y = np.zeros((len(blk), k))
                 lab = blk["__lab"].to_numpy()
                 lens = np.fromiter((len(v) for v in lab), dtype=np.int64, count=len(lab))
@@ -159,25 +177,27 @@ class MultiTagLogisticRegression(Estimator, _MultiTagParams, MLReadable, MLWrita
 
     def _fit(self, dataset: DataFrame) -> "MultiTagLogisticModel":
         label_col, features_col = self.getLabelCol(), self.getFeaturesCol()
-        vocab = list(self.getOrDefault(self.labels)) or label_vocabulary(
-            dataset.select(label_col), label_col, self.getOrDefault(self.minSupport),
-            self.getOrDefault(self.topN) or None)
-        k = len(vocab)
-        first = dataset.select(features_col).first()
-        if first is None or k == 0:
-            raise ValueError("no training rows or no tags")
-        d = int(getattr(first[0], "size", None) or len(first[0]))
-        if k * (d + 1) * 8 > self.getOrDefault(self.maxModelBytes):
-            raise ValueError(f"{k} tags x {d} features exceed maxModelBytes; reduce tags or features")
-        data = dataset.select(*_sparse_cols(features_col),
-                              label_indexes(label_col, vocab).cast("array<int>").alias("__lab"))
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
-        cached = data
+        # one pass over the upstream plan fills the cache; the vocabulary, the
+        # feature size and every optimisation step read from it
+        base = dataset.select(F.col(features_col).alias("__features"), label_col)
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            n = data.count()
-            # small training sets: fewer, fuller partitions (coalesce, no
-            # shuffle); each step is one job, so per-task overhead adds up
-            wanted = max(1, -(-n * 8 * d // (128 * 1024 * 1024)))
+            n = base.count()
+            vocab = list(self.getOrDefault(self.labels)) or label_vocabulary(
+                base, label_col, self.getOrDefault(self.minSupport), self.getOrDefault(self.topN) or None)
+            k = len(vocab)
+            if n == 0 or k == 0:
+                raise ValueError("no training rows or no tags")
+            d = int(base.select("__features").first()[0].size)
+            if k * (d + 1) * 8 > self.getOrDefault(self.maxModelBytes):
+                raise ValueError(f"{k} tags x {d} features exceed maxModelBytes; reduce tags or features")
+            data = base.select("__features",
+                               label_indexes(label_col, vocab).cast("array<int>").alias("__lab"))
+            # each step is one job over all tags: keep one partition per core
+            # at least, fewer only when the input is split finer than needed
+            # (coalesce, no shuffle) so per-task overhead does not dominate
+            cores = data.sparkSession.sparkContext.defaultParallelism
+            wanted = max(cores, -(-n * 8 * d // (128 * 1024 * 1024)))
             if wanted < data.rdd.getNumPartitions():
                 data = data.coalesce(wanted)
             counts = np.zeros(k)
@@ -190,7 +210,7 @@ class MultiTagLogisticRegression(Estimator, _MultiTagParams, MLReadable, MLWrita
             x = _lbfgs(lambda z: f(z[:, :d], z[:, d]), x0, self.getMaxIter(), self.getTol(),
                        self.getOrDefault(self.history))
         finally:
-            cached.unpersist()
+            base.unpersist()
         model = MultiTagLogisticModel(labels=vocab, coefficients=x[:, :d], intercepts=x[:, d])
         self._copyValues(model)
         model._set(labels=vocab)
@@ -319,8 +339,9 @@ class MultiTagLogisticModel(Model, _MultiTagParams, MLReadable, MLWritable):
                 out.extend([np.flatnonzero(row > cut).astype(np.float64) for row in m])
             return pd.Series(out)
 
-        idx, val = _sparse_cols(self.getFeaturesCol())
-        out = dataset.withColumn(self.getPredictionCol(), predict(idx, val))
+        cols = [c for c in dataset.columns if c != self.getPredictionCol()]
+        sp = _with_sparse_cols(dataset, self.getFeaturesCol())
+        out = sp.select(*cols, predict(F.col("__idx"), F.col("__val")).alias(self.getPredictionCol()))
         if self.getOrDefault(self.stringPredictionCol):
             out = out.withColumn(self.getOrDefault(self.stringPredictionCol),
                                  decode_indexes(self.getPredictionCol(), self.vocabulary))
