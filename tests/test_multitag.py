@@ -79,3 +79,18 @@ def test_output_and_save_load(feats, model, tmp_path):
 def test_model_size_is_checked(feats):
     with pytest.raises(ValueError, match="maxModelBytes"):
         MultiTagLogisticRegression(maxModelBytes=1000).fit(feats)
+
+
+def test_pipeline_stream_equals_batch(spark, tmp_path):
+    from tagloom.streaming.score_stream import read_request_stream, start_scoring
+    data = training_posts(spark, SF, LANG_TAGS)
+    mt = MultiTagLogisticRegression(maxIter=15, regParam=0.01, stringPredictionCol="predictionLabel")
+    model = Pipeline(stages=[*feature_stages("Title"), mt]).fit(data)
+    src = str(tmp_path / "src")
+    data.select("Id", "Title", "Body").repartition(3).write.parquet(src)
+    q = start_scoring(read_request_stream(spark, src, spark.read.parquet(src).schema, max_files_per_trigger=1),
+                      model, str(tmp_path / "out"), str(tmp_path / "ck"))
+    q.awaitTermination()
+    streamed = {r["Id"]: list(r["tags"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    batch = {r["Id"]: list(r["predictionLabel"]) for r in model.transform(data).collect()}
+    assert streamed == batch and len(batch) == data.count()
