@@ -108,22 +108,31 @@ def linear_decisions(entries, weights, bias, threshold: float, n_weight_rows: in
 
     entries (id, i, v), weights (label, i, w), bias (label, b).
     margin(id, label) = b + sum(v * w); positive iff margin > logit(threshold)
-    — the members' rule probability > threshold. Every document gets every
-    label's bias row (k rows per document: the output space of k tags), so a
-    document without evidence for a label still compares its bias. ``ids``
-    (one ``id`` column) lists the documents; default: those with entries.
+    — the members' rule probability > threshold.
+
+    Only pairs with evidence (a shared non-zero feature) are aggregated. A
+    pair without evidence has margin b, so it is positive only for the
+    "default-on" labels whose bias alone clears the cut; those pairs are
+    added for the documents in ``ids`` (one ``id`` column; default: documents
+    with entries) that have no evidence row for the label. Nothing scales
+    with documents x all labels, only with the evidence and the output.
     """
+    cut = logit(threshold)
     if n_weight_rows is not None and n_weight_rows * _BYTES_PER_WEIGHT_ROW <= BROADCAST_WEIGHTS_MAX_BYTES:
         weights = F.broadcast(weights)
-    evidence = entries.join(weights, "i").select("id", "label", (F.col("v") * F.col("w")).alias("m"))
     biases = {r["label"]: r["b"] for r in bias.collect()}     # k rows: one per tag
-    labels = sorted(biases)
-    prior = ((ids if ids is not None else entries.select("id").distinct())
-             .select("id", F.explode(F.array(*[F.struct(F.lit(k).alias("label"), F.lit(biases[k]).alias("m"))
-                                               for k in labels])).alias("s"))
-             .select("id", "s.label", "s.m"))
-    margins = evidence.unionByName(prior).groupBy("id", "label").agg(F.sum("m").alias("margin"))
-    return margins.where(F.col("margin") > F.lit(logit(threshold)))
+    bias_df = bias.sparkSession.createDataFrame(sorted(biases.items()), "label int, b double")
+    sums = (entries.join(weights, "i")
+            .groupBy("id", "label").agg(F.sum(F.col("v") * F.col("w")).alias("dot")))
+    scored = sums.join(F.broadcast(bias_df), "label")         # k rows, bounded by the model
+    positive = scored.where(F.col("dot") + F.col("b") > F.lit(cut)).select("id", "label")
+    default_on = sorted(k for k, b in biases.items() if b > cut)
+    if not default_on:
+        return positive
+    docs = ids if ids is not None else entries.select("id").distinct()
+    cand = docs.select("id", F.explode(F.array(*[F.lit(k) for k in default_on])).alias("label"))
+    silent = cand.join(sums.select("id", "label"), ["id", "label"], "left_anti")
+    return positive.unionByName(silent)
 
 
 def decisions_to_arrays(decisions, vocabulary, id_col: str = "id"):
