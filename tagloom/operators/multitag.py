@@ -347,6 +347,26 @@ class MultiTagLogisticModel(Model, _MultiTagParams, MLReadable, MLWritable):
                                  decode_indexes(self.getPredictionCol(), self.vocabulary))
         return out
 
+    def margins(self, dataset: DataFrame, output_col: str = "margins") -> DataFrame:
+        """Add the k per-tag margins (log-odds) as an array<double> column."""
+        from pyspark.sql.functions import pandas_udf
+        bc = dataset.sparkSession.sparkContext.broadcast((self.coefficients, self.intercepts))
+        d = self.coefficients.shape[1]
+
+        @pandas_udf("array<double>")
+        def margin(idx: pd.Series, val: pd.Series) -> pd.Series:
+            w, b = bc.value
+            out = []
+            step = max(1, _BLOCK_BYTES // (8 * max(d, 1)))
+            for s in range(0, len(idx), step):
+                m = _dense_block(idx.iloc[s:s + step], val.iloc[s:s + step], d) @ w.T + b
+                out.extend(list(m))
+            return pd.Series(out)
+
+        cols = [c for c in dataset.columns if c != output_col]
+        sp = _with_sparse_cols(dataset, self.getFeaturesCol())
+        return sp.select(*cols, margin(F.col("__idx"), F.col("__val")).alias(output_col))
+
     def write(self) -> MLWriter:
         return _Writer(self)
 
@@ -355,6 +375,45 @@ class MultiTagLogisticModel(Model, _MultiTagParams, MLReadable, MLWritable):
         return _Reader(cls)
 
 
+def multitag_threshold_sweep(estimator: MultiTagLogisticRegression, features: DataFrame, grid: list[dict],
+                             train_ratio: float = 0.8, seed: int = 11, id_col: str = "Id") -> DataFrame:
+    """Evaluate a grid of {regParam, maxIter, threshold} points, fitting once
+    per (regParam, maxIter): validation margins are computed once and every
+    threshold is scored in one grouped aggregate (tag strings against tag
+    strings). One row per grid point with all row-wise metrics."""
+    from tagloom.operators.labels import split_column
+    from tagloom.operators.metrics import rowwise_metrics
+    side = split_column(id_col, train_ratio, seed)
+    data = features.persist(StorageLevel.MEMORY_AND_DISK)
+    groups: dict = {}
+    for pt in grid:
+        key = (float(pt.get("regParam", estimator.getOrDefault(estimator.regParam))),
+               int(pt.get("maxIter", estimator.getMaxIter())))
+        groups.setdefault(key, []).append(float(pt.get("threshold", 0.5)))
+    results = []
+    try:
+        train, valid = data.where(side == "train"), data.where(side == "test")
+        label_col = estimator.getLabelCol()
+        for (reg, iters), thresholds in groups.items():
+            model = estimator.copy({estimator.regParam: reg, estimator.maxIter: iters}).fit(train)
+            scored = model.margins(valid, "__m")
+            cuts = [(t, math.log(t / (1 - t)) if 0 < t < 1 else (math.inf if t >= 1 else -math.inf))
+                    for t in thresholds]
+            swept = scored.select(
+                F.explode(F.array(*[F.struct(F.lit(t).alias("threshold"), F.lit(c).alias("cut"))
+                                    for t, c in cuts])).alias("tc"),
+                "__m", F.col(label_col).alias("label"))
+            picked = F.filter(F.transform("__m", lambda m, i: F.when(m > F.col("tc.cut"), i.cast("double"))
+                                          .otherwise(F.lit(-1.0))), lambda v: v >= 0)
+            swept = swept.select(F.col("tc.threshold").alias("threshold"),
+                                 decode_indexes(picked, model.vocabulary).alias("prediction"), "label")
+            for row in rowwise_metrics(swept, group_cols=["threshold"]).collect():
+                results.append({"params": f"maxIter={iters}, regParam={reg}", **row.asDict()})
+    finally:
+        data.unpersist()
+    return features.sparkSession.createDataFrame(results)
+
+
 class _Writer(MLWriter):
     def __init__(self, instance):
         super().__init__()

@@ -67,7 +67,8 @@ def random_split(df: DataFrame, ratio: float = 0.8, seed: int | None = None):
 def run_experiment(spark: SparkSession, questions_path: str | None = None, *, data: DataFrame | None = None,
                    tags: Sequence[str] | None = None, text_col: str = "Title", train_ratio: float = 0.8,
                    seed: int = 7, grid_tol=(0.01, 0.1), grid_threshold=(0.5, 0.65, 0.8), max_iter: int = 100,
-                   tuning: str = "sweep", parallelism: int = 4):
+                   tuning: str = "sweep", parallelism: int = 4, trainer: str = "binary_relevance",
+                   grid_reg=(0.0, 0.01)):
     """Train, tune and evaluate a tagging model end to end.
 
     Reads the question table (``questions_path``, only Id/label/text columns)
@@ -77,6 +78,9 @@ def run_experiment(spark: SparkSession, questions_path: str | None = None, *, da
     TrainValidationSplit over every grid point); refits the whole pipeline on
     all of train with the chosen params; scores test.
 
+    ``trainer='multitag'`` trains all tags jointly (MultiTagLogisticRegression)
+    and tunes regParam x threshold by a sweep (one fit per regParam).
+
     Returns ``(model, predictions, metrics, micro)``: the fitted
     PipelineModel, the scored test rows, a one-row DataFrame of the row-wise
     metrics with the chosen params, and a one-row DataFrame of the micro
@@ -100,6 +104,23 @@ def run_experiment(spark: SparkSession, questions_path: str | None = None, *, da
     fpipe = Pipeline(stages=feature_stages(text_col))
     fmodel = fpipe.fit(train)
     feats = fmodel.transform(train).select("Id", "label", "features")
+    if trainer == "multitag":
+        from tagloom.operators.multitag import MultiTagLogisticRegression, multitag_threshold_sweep
+        est = MultiTagLogisticRegression(maxIter=max_iter, stringPredictionCol="predictionLabel")
+        grid = [{"regParam": r, "maxIter": max_iter, "threshold": t} for r in grid_reg for t in grid_threshold]
+        best = best_of_sweep(multitag_threshold_sweep(est, feats, grid, train_ratio, seed + 1))
+        chosen = dict(x.split("=") for x in best["params"].split(", "))
+        params = {"maxIter": int(chosen["maxIter"]), "regParam": float(chosen["regParam"]),
+                  "threshold": float(best["threshold"])}
+        final = est.copy({est.regParam: params["regParam"], est.threshold: params["threshold"]})
+        model = Pipeline(stages=[*feature_stages(text_col), final]).fit(train)
+        predictions = model.transform(test)
+        row = rowwise_metrics(predictions, "predictionLabel", "label")
+        micro = micro_metrics(predictions.select("predictionLabel", "label"), "predictionLabel", "label")
+        metrics = row.select("*", *[F.lit(v).alias(k) for k, v in params.items()])
+        return model, predictions, metrics, micro
+    if trainer != "binary_relevance":
+        raise ValueError("trainer must be 'binary_relevance' or 'multitag'")
     lr = LogisticRegression()
     br = BinaryRelevance(classifier=lr, parallelism=parallelism, stringPredictionCol="predictionLabel")
     grid = reference_grid(lr, (max_iter,), grid_tol, grid_threshold)

@@ -527,3 +527,14 @@ def q_mt_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = model.transform(test)
     return out.select(F.col("Id").cast("bigint").alias("Id"), F.array_join("predictionLabel", "|").alias("tags"),
                       F.size("prediction").cast("bigint").alias("n_tags"))
+
+
+@register
+def q_mt_experiment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The experiment with every tag trained jointly: regParam {0, 0.01} x
+    threshold {0.5, 0.65, 0.8} tuned by a sweep (2 fits), refit, held-out
+    metrics and the chosen parameters (one row)."""
+    from tagloom.plans.experiment import run_experiment
+    q = questions(spark, sf_dir).select("Id", "label", "Body")
+    _, _, metrics, _ = run_experiment(spark, data=q, text_col="Body", trainer="multitag", max_iter=40)
+    return metrics

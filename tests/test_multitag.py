@@ -94,3 +94,18 @@ def test_pipeline_stream_equals_batch(spark, tmp_path):
     streamed = {r["Id"]: list(r["tags"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     batch = {r["Id"]: list(r["predictionLabel"]) for r in model.transform(data).collect()}
     assert streamed == batch and len(batch) == data.count()
+
+
+def test_threshold_sweep_equals_refit(feats):
+    from tagloom.operators.labels import split_column
+    from tagloom.operators.metrics import rowwise_metrics
+    from tagloom.operators.multitag import multitag_threshold_sweep
+    est = MultiTagLogisticRegression(maxIter=20, regParam=0.01, stringPredictionCol="tags")
+    grid = [{"regParam": 0.01, "maxIter": 20, "threshold": t} for t in (0.5, 0.8)]
+    sweep = {r["threshold"]: r for r in multitag_threshold_sweep(est, feats, grid, seed=5).collect()}
+    side = split_column("Id", 0.8, 5)
+    train, valid = feats.where(side == "train"), feats.where(side == "test")
+    model = est.fit(train)
+    for t in (0.5, 0.8):
+        m = rowwise_metrics(model.copy({model.threshold: t}).transform(valid), "tags", "label").first()
+        assert sweep[t]["hammingLoss"] == pytest.approx(m["hammingLoss"])
