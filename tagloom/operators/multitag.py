@@ -99,6 +99,17 @@ def _vector_block(vectors: pd.Series, d: int) -> np.ndarray:
     return x
 
 
+def _score_block(idx: pd.Series, val: pd.Series, w: np.ndarray, wt, b: np.ndarray, d: int) -> np.ndarray:
+    """Margins of a block of rows given as sparse (indices, values) arrays."""
+    if d <= DENSE_MAX_FEATURES:
+        return _dense_block(idx, val, d) @ w.T + b
+    lengths = idx.map(len).to_numpy()
+    rows = np.repeat(np.arange(len(idx)), lengths)
+    cols = np.concatenate(idx.to_numpy()).astype(np.int64) if lengths.sum() else np.zeros(0, np.int64)
+    vals = np.concatenate(val.to_numpy()).astype(np.float64) if lengths.sum() else np.zeros(0)
+    return _sparse_margins(rows, cols, vals, len(idx), wt, b)
+
+
 def _dense_block(idx: pd.Series, val: pd.Series, d: int) -> np.ndarray:
     lengths = idx.map(len).to_numpy()
     x = np.zeros((len(idx), d))
@@ -108,25 +119,77 @@ def _dense_block(idx: pd.Series, val: pd.Series, d: int) -> np.ndarray:
     return x
 
 
+# Feature spaces up to this width use dense row blocks and BLAS; wider ones
+# (large hash spaces) work on the non-zero entries only.
+DENSE_MAX_FEATURES = 4096
+
+
+def _vector_entries(vectors: pd.Series):
+    """(row, col, val) arrays of the non-zero entries of a block of vectors."""
+    rows, cols, vals = [], [], []
+    for r, v in enumerate(vectors):
+        val = np.asarray(v["values"], dtype=np.float64)
+        col = (np.asarray(v["indices"], dtype=np.int64) if v["type"] == 0
+               else np.arange(len(val), dtype=np.int64))
+        keep = val != 0.0
+        rows.append(np.full(int(keep.sum()), r, dtype=np.int64))
+        cols.append(col[keep])
+        vals.append(val[keep])
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return np.concatenate(rows), np.concatenate(cols), np.concatenate(vals)
+
+
+def _block_margins_and_grad(vectors: pd.Series, y: np.ndarray, w: np.ndarray, wt: np.ndarray,
+                            b: np.ndarray, d: int):
+    """Margins M (rows x k) and a function giving R^T X for residuals R."""
+    n_rows = len(vectors)
+    if d <= DENSE_MAX_FEATURES:
+        x = _vector_block(vectors, d)
+        return x @ w.T + b, (lambda r: r.T @ x)
+    rows, cols, vals = _vector_entries(vectors)
+    return _sparse_margins(rows, cols, vals, n_rows, wt, b), (lambda r: _sparse_rtx(rows, cols, vals, r, d))
+
+
+def _chunks(n: int, k: int):
+    step = max(1, _BLOCK_BYTES // (8 * max(k, 1)))        # entries x k temporaries stay bounded
+    return (slice(s, s + step) for s in range(0, n, step))
+
+
+def _sparse_margins(rows, cols, vals, n_rows: int, wt: np.ndarray, b: np.ndarray) -> np.ndarray:
+    m = np.tile(b, (n_rows, 1))
+    for sl in _chunks(len(rows), len(b)):
+        np.add.at(m, rows[sl], vals[sl, None] * wt[cols[sl]])     # sum of v * w[:, c] per row
+    return m
+
+
+def _sparse_rtx(rows, cols, vals, r: np.ndarray, d: int) -> np.ndarray:
+    gt = np.zeros((d, r.shape[1]))
+    for sl in _chunks(len(rows), r.shape[1]):
+        np.add.at(gt, cols[sl], vals[sl, None] * r[rows[sl]])     # sum of v * r[row] per column
+    return gt.T
+
+
 def _partial_fn(bc, k: int, d: int):
     """Per-partition loss/gradient of all k tags at the broadcast point."""
     def run(batches):
         w, b = bc.value
+        wt = np.ascontiguousarray(w.T) if d > DENSE_MAX_FEATURES else None
         loss, gw, gb = np.zeros(k), np.zeros((k, d)), np.zeros(k)
-        rows_per_block = max(1, _BLOCK_BYTES // (8 * max(d, k)))
+        width = min(d, DENSE_MAX_FEATURES) + k
+        rows_per_block = max(1, _BLOCK_BYTES // (8 * width))
         for pdf in batches:
             for s in range(0, len(pdf), rows_per_block):
                 blk = pdf.iloc[s:s + rows_per_block]
-                x = _vector_block(blk["__features"], d)
                 y = np.zeros((len(blk), k))
                 lab = blk["__lab"].to_numpy()
                 lens = np.fromiter((len(v) for v in lab), dtype=np.int64, count=len(lab))
                 if lens.sum():
                     y[np.repeat(np.arange(len(blk)), lens), np.concatenate(lab).astype(np.int64)] = 1.0
-                m = x @ w.T + b
+                m, rtx = _block_margins_and_grad(blk["__features"], y, w, wt, b, d)
                 loss += (np.logaddexp(0.0, m) - y * m).sum(axis=0)
                 r = 0.5 * (1.0 + np.tanh(0.5 * m)) - y
-                gw += r.T @ x
+                gw += rtx(r)
                 gb += r.sum(axis=0)
         yield pd.DataFrame({"part": [np.concatenate([loss, gb, gw.ravel()]).tobytes()]})
     return run
@@ -332,10 +395,11 @@ class MultiTagLogisticModel(Model, _MultiTagParams, MLReadable, MLWritable):
         @pandas_udf("array<double>")
         def predict(idx: pd.Series, val: pd.Series) -> pd.Series:
             w, b = bc.value
+            wt = np.ascontiguousarray(w.T) if d > DENSE_MAX_FEATURES else None
             out = []
-            step = max(1, _BLOCK_BYTES // (8 * max(d, 1)))
+            step = max(1, _BLOCK_BYTES // (8 * (min(d, DENSE_MAX_FEATURES) + len(b))))
             for s in range(0, len(idx), step):
-                m = _dense_block(idx.iloc[s:s + step], val.iloc[s:s + step], d) @ w.T + b
+                m = _score_block(idx.iloc[s:s + step], val.iloc[s:s + step], w, wt, b, d)
                 out.extend([np.flatnonzero(row > cut).astype(np.float64) for row in m])
             return pd.Series(out)
 
@@ -356,10 +420,11 @@ class MultiTagLogisticModel(Model, _MultiTagParams, MLReadable, MLWritable):
         @pandas_udf("array<double>")
         def margin(idx: pd.Series, val: pd.Series) -> pd.Series:
             w, b = bc.value
+            wt = np.ascontiguousarray(w.T) if d > DENSE_MAX_FEATURES else None
             out = []
-            step = max(1, _BLOCK_BYTES // (8 * max(d, 1)))
+            step = max(1, _BLOCK_BYTES // (8 * (min(d, DENSE_MAX_FEATURES) + len(b))))
             for s in range(0, len(idx), step):
-                m = _dense_block(idx.iloc[s:s + step], val.iloc[s:s + step], d) @ w.T + b
+                m = _score_block(idx.iloc[s:s + step], val.iloc[s:s + step], w, wt, b, d)
                 out.extend(list(m))
             return pd.Series(out)
 

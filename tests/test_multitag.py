@@ -109,3 +109,33 @@ def test_threshold_sweep_equals_refit(feats):
     for t in (0.5, 0.8):
         m = rowwise_metrics(model.copy({model.threshold: t}).transform(valid), "tags", "label").first()
         assert sweep[t]["hammingLoss"] == pytest.approx(m["hammingLoss"])
+
+
+def test_sparse_path_equals_dense(monkeypatch):
+    import pandas as pd
+
+    from tagloom.operators import multitag as mt
+    rng = np.random.default_rng(1)
+    d, k, n = 50, 4, 30
+    x = np.zeros((n, d))
+    vecs, idx, val = [], [], []
+    for r in range(n):
+        i = np.sort(rng.choice(d, 5, replace=False))
+        v = rng.normal(size=5)
+        x[r, i] = v
+        vecs.append({"type": 0, "size": d, "indices": i, "values": v})
+        idx.append(i)
+        val.append(v)
+    vecs, idx, val = pd.Series(vecs), pd.Series(idx), pd.Series(val)
+    w, b = rng.normal(size=(k, d)), rng.normal(size=k)
+    y = (rng.random((n, k)) > 0.5).astype(float)
+    r = rng.normal(size=(n, k))
+    m1, g1 = mt._block_margins_and_grad(vecs, y, w, None, b, d)
+    s1 = mt._score_block(idx, val, w, None, b, d)
+    monkeypatch.setattr(mt, "DENSE_MAX_FEATURES", 10)
+    monkeypatch.setattr(mt, "_BLOCK_BYTES", 200)           # force several entry chunks
+    wt = np.ascontiguousarray(w.T)
+    m2, g2 = mt._block_margins_and_grad(vecs, y, w, wt, b, d)
+    s2 = mt._score_block(idx, val, w, wt, b, d)
+    assert np.allclose(m1, x @ w.T + b) and np.allclose(m1, m2) and np.allclose(s1, s2)
+    assert np.allclose(g1(r), g2(r)) and np.allclose(g1(r), r.T @ x)
