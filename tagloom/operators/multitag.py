@@ -191,18 +191,41 @@ def _partial_fn(bc, k: int, d: int):
                 r = 0.5 * (1.0 + np.tanh(0.5 * m)) - y
                 gw += rtx(r)
                 gb += r.sum(axis=0)
-        yield pd.DataFrame({"part": [np.concatenate([loss, gb, gw.ravel()]).tobytes()]})
+        yield pd.DataFrame({"part": [_pack(loss, gb, gw)]})
     return run
 
 
-def _sum_fn(batches):
-    total = None
-    for pdf in batches:
-        for blob in pdf["part"]:
-            v = np.frombuffer(blob, dtype=np.float64)
-            total = v.copy() if total is None else total + v
-    if total is not None:
-        yield pd.DataFrame({"part": [total.tobytes()]})
+def _pack(loss: np.ndarray, gb: np.ndarray, gw: np.ndarray) -> bytes:
+    """A partial as bytes: loss (k), intercept gradient (k), then only the
+    feature columns the partition touched (their ids and k x n values), so a
+    partial over text grows with the distinct features seen, not with d."""
+    touched = np.flatnonzero(np.any(gw != 0.0, axis=0))
+    k = len(loss)
+    head = np.array([k, len(touched)], dtype=np.float64)
+    return np.concatenate([head, loss, gb, touched.astype(np.float64), gw[:, touched].ravel()]).tobytes()
+
+
+def _unpack_into(blob: bytes, total_loss, total_gb, total_gw) -> None:
+    v = np.frombuffer(blob, dtype=np.float64)
+    k, nt = int(v[0]), int(v[1])
+    total_loss += v[2:2 + k]
+    total_gb += v[2 + k:2 + 2 * k]
+    cols = v[2 + 2 * k:2 + 2 * k + nt].astype(np.int64)
+    total_gw[:, cols] += v[2 + 2 * k + nt:].reshape(k, nt)
+
+
+def _sum_fn_for(k: int, d: int):
+    """Middle level of the two-level sum: add the partials of one group."""
+    def run(batches):
+        loss, gb, gw = np.zeros(k), np.zeros(k), np.zeros((k, d))
+        seen = False
+        for pdf in batches:
+            for blob in pdf["part"]:
+                _unpack_into(blob, loss, gb, gw)
+                seen = True
+        if seen:
+            yield pd.DataFrame({"part": [_pack(loss, gb, gw)]})
+    return run
 
 
 class MultiTagLogisticRegression(Estimator, _MultiTagParams, MLReadable, MLWritable):
@@ -226,15 +249,15 @@ class MultiTagLogisticRegression(Estimator, _MultiTagParams, MLReadable, MLWrita
             try:
                 parts = data.mapInPandas(_partial_fn(bc, k, d), "part binary")
                 if groups:
-                    parts = parts.repartition(groups).mapInPandas(_sum_fn, "part binary")
-                total = np.zeros(2 * k + k * d)
+                    parts = parts.repartition(groups).mapInPandas(_sum_fn_for(k, d), "part binary")
+                loss, gb, gw = np.zeros(k), np.zeros(k), np.zeros((k, d))
                 for r in parts.collect():
-                    total += np.frombuffer(r["part"], dtype=np.float64)
+                    _unpack_into(r["part"], loss, gb, gw)
             finally:
                 bc.unpersist()
-            loss = total[:k] / n + 0.5 * reg * (w * w).sum(axis=1)
-            gb = total[k:2 * k] / n
-            gw = total[2 * k:].reshape(k, d) / n + reg * w
+            loss = loss / n + 0.5 * reg * (w * w).sum(axis=1)
+            gb = gb / n
+            gw = gw / n + reg * w
             return loss, np.hstack([gw, gb[:, None]])
         return evaluate
 
