@@ -10,8 +10,10 @@ optimisation step for *all* tags:
   once;
 * each step broadcasts the k x d coefficient matrix (its size is checked
   against ``maxModelBytes``), and ``mapInPandas`` computes, per partition and
-  in bounded row blocks, the loss and gradient of every tag with dense BLAS
-  on the block; partitions emit one packed partial each;
+  in bounded row blocks, the loss and gradient of every tag: dense BLAS on
+  the block for feature spaces up to ``DENSE_MAX_FEATURES``, sparse entries
+  (in bounded chunks) for wider ones; each partition emits one packed
+  partial holding only the feature columns it touched;
 * partials are summed in two levels (about sqrt(P) groups, then the driver),
   so no task and not the driver receives all P partials at scale;
 * the driver runs one L-BFGS per tag, vectorised over tags (each tag has its
