@@ -49,12 +49,12 @@ LANG_TAGS = ["de", "en", "es", "fr"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit the tagging pipeline on the language tags (80% of posts, whole
-    texts) and tag the other 20%: (Id, label, predictionLabel)."""
+    """Fit the tagging pipeline on the language tags (training side: 80% of
+    the posts, whole texts) and tag every post: (Id, label, predictionLabel)."""
     data = training_posts(spark, sf_dir, LANG_TAGS)
-    train, test = stable_split(data, 0.8, seed=7)
+    train, _ = stable_split(data, 0.8, seed=7)
     model = tagging_pipeline("Body", base_classifier(tol=0.1)).fit(train)
-    return model.transform(test).select("Id", "label", "predictionLabel")
+    return model.transform(data).select("Id", "label", "predictionLabel")
 
 
 def random_split(df: DataFrame, ratio: float = 0.8, seed: int | None = None):

@@ -319,10 +319,13 @@ _MODELS: dict = {}
 
 
 def _model_data(spark, sf_dir):
+    """(train, all): the training side of the split, and every post with a
+    model tag (each carrying its ``side``) — models are fitted on the
+    training side and every post of the table is scored."""
     from tagloom.operators.labels import filter_tags, split_column
     q = filter_tags(questions(spark, sf_dir).select("Id", "label", "Title", "Body"), MODEL_TAGS)
-    side = split_column("Id", 0.8, _SPLIT_SEED, method="arith")
-    return q.where(side == "train"), q.where(side == "test")
+    q = q.withColumn("side", split_column("Id", 0.8, _SPLIT_SEED, method="arith"))
+    return q.where(F.col("side") == "train"), q
 
 
 def fitted_model(spark, sf_dir):
@@ -337,22 +340,23 @@ def fitted_model(spark, sf_dir):
 
 @register
 def q_br_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Binary relevance (logistic regression per tag) fitted on 80% of the
-    posts, tags predicted for the other 20%."""
-    _, test = _model_data(spark, sf_dir)
-    out = fitted_model(spark, sf_dir).transform(test)
-    return out.select(F.col("Id").cast("bigint").alias("Id"),
+    """Binary relevance (logistic regression per tag) fitted on the training
+    side (80%); every post tagged, with its side."""
+    _, posts = _model_data(spark, sf_dir)
+    out = fitted_model(spark, sf_dir).transform(posts)
+    return out.select(F.col("Id").cast("bigint").alias("Id"), "side",
                       F.array_join("predictionLabel", "|").alias("tags"),
                       F.size("prediction").cast("bigint").alias("n_tags"))
 
 
 @register
 def q_br_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row-wise multi-label metrics of the held-out predictions (tag strings)."""
+    """Row-wise multi-label metrics (tag strings) on the training and the
+    held-out side: one row per side."""
     from tagloom.operators.metrics import rowwise_metrics
-    _, test = _model_data(spark, sf_dir)
-    out = fitted_model(spark, sf_dir).transform(test)
-    return rowwise_metrics(out, "predictionLabel", "label")
+    _, posts = _model_data(spark, sf_dir)
+    out = fitted_model(spark, sf_dir).transform(posts)
+    return rowwise_metrics(out, "predictionLabel", "label", group_cols=["side"])
 
 
 def _mismatches(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -368,7 +372,7 @@ def q_br_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fitted pipeline saved and reloaded: predictions must not change."""
     from pyspark.ml import PipelineModel
     from tagloom.session import scratch_path
-    _, test = _model_data(spark, sf_dir)
+    _, test = _model_data(spark, sf_dir)       # every post with a model tag
     model = fitted_model(spark, sf_dir)
     path = scratch_path(spark, "model")
     model.write().overwrite().save(path)
@@ -380,7 +384,7 @@ def q_br_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Held-out posts streamed through the saved pipeline equal batch scoring."""
+    """Every post streamed through the fitted pipeline equals batch scoring."""
     from tagloom.session import scratch_path
     from tagloom.streaming.score_stream import read_request_stream, start_scoring
     _, test = _model_data(spark, sf_dir)
@@ -495,7 +499,7 @@ def q_linear_score_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_br_linear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fitted model's logistic-regression members scored in SQL form (one
     join on the feature index, one grouped sum, one comparison): must equal
-    the chained member transforms on every held-out post."""
+    the chained member transforms on every post."""
     from tagloom.operators.scoring import score_linear_model
     _, test = _model_data(spark, sf_dir)
     model = fitted_model(spark, sf_dir)
@@ -512,20 +516,22 @@ def q_br_linear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def q_mt_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tag of the vocabulary (no tag filter) trained jointly: one
-    distributed pass per optimisation step for all tags; held-out posts
-    tagged (Id, tags, n_tags)."""
+    distributed pass per optimisation step for all tags; fitted on the
+    training side, every post tagged (Id, side, tags, n_tags)."""
     from pyspark.ml import Pipeline
     from tagloom.operators.features import feature_stages
     from tagloom.operators.labels import split_column
     from tagloom.operators.multitag import MultiTagLogisticRegression
     q = questions(spark, sf_dir).select("Id", "label", "Body")
     side = split_column("Id", 0.8, _SPLIT_SEED, method="arith")
-    train, test = q.where(side == "train"), q.where(side == "test")
+    q = q.withColumn("side", side)
+    train = q.where(F.col("side") == "train")
     mt = MultiTagLogisticRegression(regParam=0.01, maxIter=40, tol=1e-6, threshold=0.5,
                                     stringPredictionCol="predictionLabel")
     model = Pipeline(stages=[*feature_stages("Body"), mt]).fit(train)
-    out = model.transform(test)
-    return out.select(F.col("Id").cast("bigint").alias("Id"), F.array_join("predictionLabel", "|").alias("tags"),
+    out = model.transform(q)
+    return out.select(F.col("Id").cast("bigint").alias("Id"), "side",
+                      F.array_join("predictionLabel", "|").alias("tags"),
                       F.size("prediction").cast("bigint").alias("n_tags"))
 
 
