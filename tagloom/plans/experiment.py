@@ -131,8 +131,10 @@ def run_experiment(spark: SparkSession, questions_path: str | None = None, *, da
                   "threshold": float(best["threshold"])}
     elif tuning == "tvs":
         feats = feats.cache()
-        tvs = train_validation(br, grid, tag_evaluator("hammingLoss"), train_ratio, seed + 1).fit(feats)
-        feats.unpersist()
+        try:
+            tvs = train_validation(br, grid, tag_evaluator("hammingLoss"), train_ratio, seed + 1).fit(feats)
+        finally:
+            feats.unpersist()
         i = min(range(len(grid)), key=lambda j: tvs.validationMetrics[j])
         params = {p.name: v for p, v in grid[i].items()}
     else:

@@ -431,8 +431,10 @@ def q_tvs_best_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     br = BinaryRelevance(classifier=lr, parallelism=6, stringPredictionCol="predictionLabel")
     grid = reference_grid(lr)
     feats = _tuning_features(spark, sf_dir).cache()
-    tvs = train_validation(br, grid, tag_evaluator("hammingLoss"), seed=11, parallelism=3).fit(feats)
-    feats.unpersist()
+    try:
+        tvs = train_validation(br, grid, tag_evaluator("hammingLoss"), seed=11, parallelism=3).fit(feats)
+    finally:
+        feats.unpersist()
     best = min(range(len(grid)), key=lambda i: tvs.validationMetrics[i])
     pm = grid[best]
     row = {"maxIter": int(pm[lr.maxIter]), "tol": float(pm[lr.tol]), "threshold": float(pm[lr.threshold]),
