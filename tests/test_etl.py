@@ -71,3 +71,15 @@ def test_partitioned_parquet_and_pruning(spark, tmp_path):
     plan = sel._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "Year" in plan
     assert "Body" not in sel._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1][:200]
+
+
+def test_dynamic_overwrite_keeps_other_months(spark, tmp_path):
+    q = questions_from_posts(read_posts_xml(spark, _dump(tmp_path)), drop_bad_dates=True)
+    path = str(tmp_path / "incremental")
+    save_questions(q, path)
+    newer = q.where(F.col("Year") == 2019).withColumn("Score", F.lit(99))
+    save_questions(newer, path, dynamic_overwrite=True)
+    back = {r["Id"]: r["Score"] for r in spark.read.parquet(path).collect()}
+    assert back == {1: 5, 4: 99}          # 2018-07 untouched, 2019-01 replaced
+    save_questions(newer, path)            # static overwrite replaces the whole table
+    assert [r["Id"] for r in spark.read.parquet(path).collect()] == [4]
