@@ -37,3 +37,21 @@ def test_partition_pruning(spark):
     plan = _plan(E.queries()["questions_parquet_year"](spark, SF))
     assert "PartitionFilters: [isnotnull(Year" in plan and "(Year#" in plan
     assert "ReadSchema: struct<Id:bigint,Title:string,label:array<string>>" in plan
+
+
+def test_spread_thin_input_only_when_needed(spark):
+    from tagloom.session import spread_thin_input
+    cores = spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread_thin_input(wide, "id") is wide                    # no shuffle added
+    thin = spark.range(0, 1000, numPartitions=1)
+    spread = spread_thin_input(thin, "id")
+    assert spread.rdd.getNumPartitions() == cores
+    assert "Exchange hashpartitioning(id" in _plan(spread)
+
+
+def test_checkpoint_folder_comes_from_session(spark):
+    from tagloom.session import ensure_checkpoint_dir, scratch_path
+    base = ensure_checkpoint_dir(spark)
+    assert base == spark.sparkContext.getCheckpointDir()
+    assert scratch_path(spark, "x").startswith(base.rstrip("/") + "/tagloom-scratch/x-")
