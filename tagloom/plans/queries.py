@@ -250,11 +250,9 @@ def q_xml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def q_xml_linewise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same dump read line by line (one row element per line; root lines dropped)."""
-    from tagloom.sources.schema import raw_post_schema
+    from tagloom.sources.xml import read_posts_xml
     path = _written_posts_xml(spark, sf_dir)
-    df = (spark.read.format("xml").option("rowTag", "row").option("multiLine", "false")
-          .schema(raw_post_schema()).load(path))
-    return df.where(F.col("_Id").isNotNull()).select(*_XML_COLS)
+    return read_posts_xml(spark, path, line_wise=True).select(*_XML_COLS)
 
 
 @register

@@ -83,3 +83,23 @@ def test_dynamic_overwrite_keeps_other_months(spark, tmp_path):
     assert back == {1: 5, 4: 99}          # 2018-07 untouched, 2019-01 replaced
     save_questions(newer, path)            # static overwrite replaces the whole table
     assert [r["Id"] for r in spark.read.parquet(path).collect()] == [4]
+
+
+def test_one_large_dump_is_read_in_parallel(spark, tmp_path):
+    from tagloom.sources.fixtures import posts_fixture
+    posts = posts_fixture(spark, "/root/testdata/sf0.01")
+    out = str(tmp_path / "one")
+    write_posts_xml(posts.coalesce(1), out)
+    files = [f for f in os.listdir(out) if f.endswith(".xml")]
+    assert len(files) == 1 and os.path.getsize(os.path.join(out, files[0])) > 2 * 1024 * 1024
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(512 * 1024))
+    try:
+        assert read_posts_xml(spark, out).rdd.getNumPartitions() == 1    # one document
+        df = read_posts_xml(spark, out, line_wise=True)
+        assert df.rdd.getNumPartitions() > 2
+        assert df.count() == posts.count()
+        assert sorted(r["_Id"] for r in df.select("_Id").collect()) == \
+            sorted(r["_Id"] for r in posts.select("_Id").collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
