@@ -139,3 +139,22 @@ def test_sparse_path_equals_dense(monkeypatch):
     s2 = mt._score_block(idx, val, w, wt, b, d)
     assert np.allclose(m1, x @ w.T + b) and np.allclose(m1, m2) and np.allclose(s1, s2)
     assert np.allclose(g1(r), g2(r)) and np.allclose(g1(r), r.T @ x)
+
+
+def test_sparse_and_dense_paths_fit_alike(spark, monkeypatch):
+    from tagloom.operators import multitag as mt
+    data = training_posts(spark, SF, LANG_TAGS)
+    fm = Pipeline(stages=feature_stages("Title", num_features=8192)).fit(data)
+    f = fm.transform(data).select("Id", "label", "features").cache()
+    est = MultiTagLogisticRegression(maxIter=10, regParam=0.05)
+    monkeypatch.setattr(mt, "DENSE_MAX_FEATURES", 4096)         # 8192 > 4096: sparse entries
+    sparse = est.fit(f)
+    monkeypatch.setattr(mt, "DENSE_MAX_FEATURES", 16384)        # dense row blocks
+    dense = est.fit(f)
+    assert np.allclose(sparse.coefficients, dense.coefficients, atol=1e-8)
+    assert np.allclose(sparse.intercepts, dense.intercepts, atol=1e-8)
+    a = sorted((r["Id"], tuple(r["prediction"])) for r in sparse.transform(f).collect())
+    monkeypatch.setattr(mt, "DENSE_MAX_FEATURES", 4096)
+    b = sorted((r["Id"], tuple(r["prediction"])) for r in dense.transform(f).collect())
+    assert a == b
+    f.unpersist()
