@@ -329,7 +329,7 @@ def _model_data(spark, sf_dir):
 def fitted_model(spark, sf_dir):
     """Tagging pipeline fitted on the training side (memoised per session)."""
     from tagloom.plans.experiment import base_classifier, tagging_pipeline
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         train, _ = _model_data(spark, sf_dir)
         _MODELS[key] = tagging_pipeline("Body", base_classifier(tol=0.01), parallelism=6).fit(train)
