@@ -1,19 +1,81 @@
-"""The corpus pipeline: stages over ``documents`` by the operators of
-``tagloom.llm``. Each stage takes (spark, docs, sf_dir) and returns a frame,
-which is written and read again as the next one's ``docs``."""
+"""The corpus pipeline: toxicity filter, exact dedup, near-duplicate removal,
+source mix, and BPE encoding of what is left.
+
+Every stage takes (spark, docs, sf_dir) and returns a frame, which is written
+and read again as the next one's ``docs``; all but the last return the columns
+of ``documents``, further columns of the input included. Each works on all
+rows its predecessor kept. Empty tables go through every stage.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from tagloom.llm.bpe_tree import round_trip
 from tagloom.llm.common import read, written
+from tagloom.llm.exact_dedup import exact_dedup
+from tagloom.llm.queries import tokenizer_file
+from tagloom.llm.shingle_join import similar_texts
+from tagloom.llm.source_mix import mixed_documents
+from tagloom.llm.toxicity import learn, toxic_score
 
-STAGES: list = []
-
-#: The first stage learns its weights from labels: no SQL.
+#: The filter learns its weights and the near-duplicate join draws tokens: no SQL.
 ORACLE_SQL = None
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.5 or more go; null and empty texts stay."""
+    model = learn(docs, read(spark, sf_dir, "labels"))
+    return docs.where(toxic_score(model) < 0.5)
+
+
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows whose doc_id was kept; of rows that repeat a doc_id and a text,
+    one (the least by the other columns)."""
+    ids = kept.select(F.col("doc_id").alias("_kept"))
+    found = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    rest = sorted(c for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map" not in kind)
+    one = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*rest) if rest else Window.partitionBy(
+        "doc_id", F.xxhash64("text")).orderBy("doc_id")
+    return found.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
+
+
+def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts (A-Z in either case) the largest doc_id stays. Rows that
+    repeat an id with other texts stay or go together."""
+    return _only(docs, exact_dedup(docs).where("kept"))
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by similarity 0.8 the smallest doc_id stays. Texts
+    without words have no similarity and stay."""
+    return _only(docs, similar_texts(docs).where("kept"))
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it (0, 1 or 2 times): the whole
+    passes over its shard, and once more for the documents that a seeded even
+    choice along their sizes picks to fill the quota."""
+    return mixed_documents(docs)
+
+
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids, and whether the ids decode to the text."""
+    coded = round_trip(docs, tokenizer_file("byte_bpe_50k.json"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("exact_dedup", exact_dedup_stage),
+    ("near_dedup", near_dedup_stage),
+    ("source_mix", mix_stage),
+    ("bpe", encode_stage),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:

@@ -128,9 +128,42 @@ g AS (SELECT n, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY n
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t.n) AS text_sha256 FROM t JOIN g ON t.n = g.n
 """
 
+OP5 = """
+WITH t AS (
+  SELECT conv_id, coalesce(floor(turn / 64), -1)::BIGINT AS piece, turn, role, replace(coalesce(text, ''), '<|', '< |') AS body
+  FROM conversations
+),
+sp AS (SELECT DISTINCT conv_id, role AS speaker FROM conversations WHERE role IS NOT NULL),
+r AS (
+  SELECT t.conv_id, speaker, piece, turn, role, body, role IS NOT DISTINCT FROM speaker AS own,
+    CASE WHEN role IS NOT DISTINCT FROM speaker THEN '<|assistant|>
+'
+      ELSE '<|user' || coalesce(':' || replace(role, '<|', '< |'), '') || '|>
+' END AS head
+  FROM t JOIN sp ON t.conv_id IS NOT DISTINCT FROM sp.conv_id
+),
+l AS (
+  SELECT *, coalesce(sum(length(head) + length(body) + 8) OVER (
+    PARTITION BY conv_id, speaker, piece ORDER BY turn NULLS FIRST, role NULLS FIRST, body
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + length(head) AS first FROM r
+),
+p AS (
+  SELECT conv_id, speaker, piece, count(*) AS n_turns,
+    string_agg(head || body || '<|end|>
+', '' ORDER BY first) AS text,
+    coalesce(string_agg(first || ':' || (first + length(body) + 7), ',' ORDER BY first) FILTER (WHERE own), '') AS masks
+  FROM l GROUP BY ALL
+)
+SELECT conv_id, speaker, piece,
+  coalesce(sum(length(text)) OVER (PARTITION BY conv_id, speaker ORDER BY piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset",
+  n_turns::INTEGER AS n_turns, length(text)::INTEGER AS n_chars, sha256(text) AS text_sha256, masks
+FROM p
+"""
+
 LLM_ORACLE = {
     "op1_embedding_neardup": OP1,
     "op2_ngram_jaccard": OP2,
     "op3_source_mix": OP3,
     "op4_exact_dedup": OP4,
+    "op5_chat_rotation": OP5,
 }

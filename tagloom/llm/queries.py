@@ -11,13 +11,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm.bpe_tree import round_trip
+from tagloom.llm.chat_rotation import rotate
 from tagloom.llm.common import read
 from tagloom.llm.embedding_neardup import near_vectors
 from tagloom.llm.exact_dedup import exact_dedup
+from tagloom.llm.language_id import identify
 from tagloom.llm.prefix_tokens import prefix_tokens, tokens_of
 from tagloom.llm.secret_scan import find_secrets
 from tagloom.llm.shingle_join import similar_texts
 from tagloom.llm.source_mix import mix_sources
+from tagloom.llm.toxicity import toxicity
 
 TOKEN_LIMIT = 4096
 
@@ -44,6 +47,23 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op5_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per conversation, speaker and piece, with digests of the
+    rendered text and its masks."""
+    spans = F.array_join(F.transform("masks", lambda m: F.concat_ws(":", m["start"], m["end"])), ",")
+    return rotate(read(spark, sf_dir, "conversations")).select(
+        "conv_id", "speaker", "piece", "offset", "n_turns", F.length("text").alias("n_chars"),
+        F.sha2("text", 256).alias("text_sha256"), spans.alias("masks"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = prefix_tokens(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
     return counted.select("doc_id", "n_bytes", tokens_of("prefix_tokens").alias("n_tokens")).withColumn(
@@ -78,6 +98,9 @@ LLM_QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_source_mix": op3_source_mix,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_chat_rotation": op5_chat_rotation,
+    "op6_language_id": op6_language_id,
+    "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_secret_scan": op10_secret_scan,

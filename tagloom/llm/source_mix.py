@@ -98,50 +98,73 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, block_wo
     documents of their own, laid one behind the other. No rows give no rows;
     other columns are ignored. The same rows always give the same mix.
     """
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = written(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), size.alias("size")), "sizes")
-    return mix_sized(rows, weights, share, block_words, shard_words, seed)
+    rows = written(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), _size().alias("size")), "sizes")
+    laid = _with_quotas(rows, rows, weights, share, block_words, shard_words, seed)
+    in_shard = Window.partitionBy("no", "shard").orderBy("at", F.col("doc_id").asc_nulls_first(), "size")
+    laid = laid.withColumn("end", F.sum("size").over(in_shard.rowsBetween(Window.unboundedPreceding, 0)))
+    # of the blocks before b, the seeded even choice takes (b * extra + phase) div n
+    taken = [F.expr(
+        f"passes * ({x}) + {block_words} * (((({x}) div {block_words}) * extra + phase) div n)"
+        f" + (({x}) % {block_words}) * (((({x}) div {block_words} + 1) * extra + phase) div n"
+        f" - ((({x}) div {block_words}) * extra + phase) div n)") for x in ("end", "end - size")]
+    return laid.select("doc_id", "size", "source_size", "target", (taken[0] - taken[1]).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, block_words: int = BLOCK_WORDS,
+                    shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
+    """The mix in whole documents: every row as often as it is taken (0, 1 or
+    2 times), with its columns as they were.
+
+    A shard's whole passes repeat all its documents; for the rest of its quota
+    a seeded, even choice along the documents' sizes is taken once more, so
+    that the words taken keep close to the quota.
+    """
+    sizes = written(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), _size().alias("size")), "sizes")
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long"), F.col("source").cast("string"), _size().alias("size"))
+    laid = _with_quotas(rows, sizes, weights, share, block_words, shard_words, seed)
+    by_size = Window.partitionBy("no", "shard").orderBy("size", "at", F.col("doc_id").asc_nulls_first())
+    laid = laid.withColumn("i", F.row_number().over(by_size).cast("long"))
+    copies = F.expr("passes + (i * extra + phase) div n - ((i - 1) * extra + phase) div n").cast("int")
+    return laid.where(copies > 0).select("doc", F.explode(F.sequence(F.lit(1), copies)).alias("copy")).select("doc.*")
 
 
-def mix_sized(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, block_words: int = BLOCK_WORDS,
-              shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
-    """``mix_sources`` over rows (doc_id, source, size)."""
+def _size() -> Column:
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def _with_quotas(rows: DataFrame, sizes: DataFrame, weights, share, block_words, shard_words, seed) -> DataFrame:
+    """Rows (doc_id, source, size and others) with their source's target and
+    their shard's quota: passes over all n blocks, extra blocks, and phase.
+    ``sizes`` holds the same doc_id, source and size, cheap to read again."""
     by_name = Window.partitionBy(F.lit(1)).orderBy(F.col("source").asc_nulls_last())
-    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn(
+    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn(
         "no", F.row_number().over(by_name) - 1)
     aimed = targets(sources, weights, share)
-    total = F.sum("target").over(Window.partitionBy(F.lit(1)))
+    total = F.sum("target").over(Window.partitionBy(F.lit(1)).orderBy("no").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing))
     aimed = aimed.withColumn("_seats", F.round(total / block_words).cast("long"))
     # one row per source: written once, so that every use sees the same numbers
     aimed = written(apportion(aimed, "target", "_seats", [], ["no"], "blocks").withColumn(
         "shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long")), "mix-sources")
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    dealt = rows.join(
-        aimed.select(F.col("source").alias("_s"), "no", "shards", "target", "source_size"),
-        F.col("source").eqNullSafe(F.col("_s"))).select(
-        "doc_id", "size", "source_size", "target", "no",
-        F.pmod(_number(F.lit(f"shard{seed}"), key), F.col("shards")).alias("shard"),
-        _number(F.lit(f"order{seed}"), key).alias("at"))
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+        to = aimed.select(F.col("source").alias("_s"), "no", "shards", "target", "source_size")
+        return rows.join(to, F.col("source").eqNullSafe(F.col("_s"))).withColumn(
+            "shard", F.pmod(_number(F.lit(f"shard{seed}"), key), F.col("shards"))).withColumn(
+            "at", _number(F.lit(f"order{seed}"), key)).drop("_s", "shards")
+
     # source -> regions of REGION shards -> shards: no window holds more than
     # the regions of a source or the shards of a region
-    shards = written(dealt.groupBy("no", "shard").agg(F.sum("size").alias("words")).withColumn(
+    shards = written(dealt(sizes).groupBy("no", "shard").agg(F.sum("size").alias("words")).withColumn(
         "region", F.expr(f"shard div {REGION}")), "mix-shards")
     regions = shards.groupBy("no", "region").agg(F.sum("words").alias("region_words")).join(
         aimed.select("no", "blocks"), "no")
     regions = apportion(regions, "region_words", "blocks", ["no"], ["region"], "region_blocks")
     quotas = apportion(shards.join(regions.select("no", "region", "region_blocks"), ["no", "region"]),
                        "words", "region_blocks", ["no", "region"], ["shard"], "quota")
-    in_shard = Window.partitionBy("no", "shard").orderBy("at", F.col("doc_id").asc_nulls_first(), "size")
-    laid = dealt.withColumn("end", F.sum("size").over(in_shard.rowsBetween(Window.unboundedPreceding, 0)))
-    laid = laid.join(quotas.select("no", "shard", "words", "quota"), ["no", "shard"])
-    n = F.ceil(F.col("words") / block_words).cast("long")
-    laid = laid.withColumn("n", F.greatest(n, F.lit(1).cast("long"))).withColumn(
-        "q", F.least(F.col("quota"), 2 * F.col("n")))
-    laid = laid.withColumn("passes", F.expr("q div n")).withColumn("extra", F.expr("q % n")).withColumn(
-        "phase", F.pmod(_number(F.lit(f"phase{seed}"), F.col("no").cast("string"), F.col("shard").cast("string")), F.col("n")))
-    # of the blocks before b, the seeded even choice takes (b * extra + phase) div n
-    taken = [F.expr(
-        f"passes * ({x}) + {block_words} * (((({x}) div {block_words}) * extra + phase) div n)"
-        f" + (({x}) % {block_words}) * (((({x}) div {block_words} + 1) * extra + phase) div n"
-        f" - ((({x}) div {block_words}) * extra + phase) div n)") for x in ("end", "end - size")]
-    return laid.select("doc_id", "size", "source_size", "target", (taken[0] - taken[1]).alias("taken"), "no", "shard")
+    n = F.greatest(F.ceil(F.col("words") / block_words), F.lit(1)).cast("long")
+    quotas = quotas.withColumn("n", n).withColumn("q", F.least(F.col("quota"), 2 * F.col("n")))
+    phase = F.pmod(_number(F.lit(f"phase{seed}"), F.col("no").cast("string"), F.col("shard").cast("string")), F.col("n"))
+    quotas = quotas.select("no", "shard", "n", F.expr("q div n").alias("passes"), F.expr("q % n").alias("extra"), phase.alias("phase"))
+    return dealt(rows).join(quotas, ["no", "shard"])
