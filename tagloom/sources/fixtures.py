@@ -3,9 +3,10 @@
 ``documents`` left-joined with ``labels`` becomes a table shaped like the rows
 of a post dump (every attribute a string, ``_``-prefixed names):
 
-* a document with a ``labels`` row is a question (type 1) tagged
-  ``<lang><source>`` plus ``<Quality>`` / ``<Toxic>`` when those flags are 1;
-* a document without one is an answer (type 2) with no tags;
+* every fifth document (``doc_id`` divisible by 5) is an answer (type 2), the
+  others are questions (type 1);
+* every post is tagged ``<lang><source>`` plus ``<Quality>`` / ``<Toxic>``
+  when a label says so;
 * the title is the first line of the text, the body the whole text;
 * the creation date is spread over 900 days from 2018-01-01 by ``doc_id``;
 * ``_ViewCount`` holds the text ``n/a`` for German documents, so the typed
@@ -39,7 +40,7 @@ def posts_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     # its measured size is under the broadcast threshold, otherwise both sides
     # are shuffled on doc_id (unique keys: no hot key on this join).
     j = docs.join(flags, docs.doc_id == flags.l_doc_id, "left")
-    is_question = F.col("l_doc_id").isNotNull()
+    is_question = F.col("doc_id") % 5 != 0
     created = F.concat(
         F.date_format(F.date_add(F.lit("2018-01-01").cast("date"),
                                  F.pmod(F.col("doc_id"), F.lit(900)).cast("int")), "yyyy-MM-dd"),
@@ -60,6 +61,6 @@ def posts_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_OwnerDisplayName": F.col("source"),
         "_LastActivityDate": created,
         "_Title": F.split_part(F.col("text"), F.lit("\n"), F.lit(1)),
-        "_Tags": F.when(is_question, tags),
+        "_Tags": tags,
     }
     return j.select([values.get(name, null).alias(name) for name, _ in RAW_POST_FIELDS])

@@ -63,12 +63,6 @@ def raw_post_schema() -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType(), True) for name, _ in RAW_POST_FIELDS])
 
 
-def typed_post_schema() -> T.StructType:
-    """The logical (typed) schema of a post row."""
-    kinds = {"int": T.IntegerType(), "string": T.StringType()}
-    return T.StructType([T.StructField(n, kinds[k], True) for n, k in RAW_POST_FIELDS])
-
-
 def question_schema() -> T.StructType:
     """Schema of the question table produced by the ETL, in column order."""
     date_cols = {"CreationDate", "ClosedDate", "CommunityOwnedDate", "LastEditDate",

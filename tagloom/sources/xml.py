@@ -1,17 +1,21 @@
-"""Post dump in XML: parallel read, re-chunked write.
+"""Post dump in XML: parallel read with rejects, re-chunked write.
 
 A dump is one ``<posts>`` root with one self-closing ``<row .../>`` element
 per post, attributes holding the fields. Spark's XML source reads it with a
 declared schema (attributes become ``_``-prefixed columns). Every attribute
 is read as text: a typed read fails a whole file on one bad cell.
 
-A large single dump file with one row per line is read in parallel byte
-ranges (``line_wise=True``), so no pre-splitting of the file is needed.
+By default a dump with one row per line is read in parallel byte ranges. No
+line is lost: what is no row, no root and no header goes to ``xml_rejects``
+with a reason. Dumps whose elements span lines are read as whole documents
+(``line_wise=False``), where a malformed element fails the read.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagloom.sources.schema import raw_post_schema
 
@@ -19,27 +23,54 @@ ROW_TAG = "row"
 ROOT_TAG = "posts"
 
 
-def read_posts_xml(spark: SparkSession, path: str, row_tag: str = ROW_TAG,
-                   schema=None, drop_non_rows: bool = True, line_wise: bool = False) -> DataFrame:
-    """Read post rows from XML files (a file, a folder or a glob).
+# Reasons of a rejected line.
+REASON_MALFORMED = "malformed row element"
+REASON_NO_ID = "row without Id"
+_CORRUPT = "_corrupt_line"
 
-    ``line_wise=True`` is for dumps with one row element per line (the
-    usual dump layout, and what ``write_posts_xml`` produces: newlines inside
-    values are written as character references). Each file is then split
-    into byte ranges of ``spark.sql.files.maxPartitionBytes`` and read in
-    parallel; the root and header lines become all-NULL rows, dropped here.
-    The default mode parses each file as one document (one task per file).
+
+def _lines(spark: SparkSession, path: str, row_tag: str, root_tag: str, schema) -> DataFrame:
+    """Every line of the dump but blank ones, the XML header and the root's
+    tags: parsed columns, or the line itself in the corrupt column."""
+    fields = [f for f in (schema or raw_post_schema()) if f.name != _CORRUPT]
+    df = (spark.read.format("xml")
+          .option("rowTag", row_tag).option("multiLine", "false").option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", _CORRUPT)
+          .schema(T.StructType([*fields, T.StructField(_CORRUPT, T.StringType(), True)]))
+          .load(path))
+    frame = rf"^\uFEFF?\s*((<\?[^>]*\?>|<!--[^>]*-->|</?{root_tag}(\s[^>]*)?/?>)\s*)*$"
+    return df.where(F.col(_CORRUPT).isNull() | ~F.col(_CORRUPT).rlike(frame))
+
+
+def read_posts_xml(spark: SparkSession, path: str, row_tag: str = ROW_TAG, schema=None,
+                   line_wise: bool = True, root_tag: str = ROOT_TAG) -> DataFrame:
+    """Post rows with an Id from XML files (a file, a folder or a glob).
+
+    ``line_wise`` is for dumps with one row element per line (the usual dump
+    layout, and what ``write_posts_xml`` produces: newlines inside values are
+    written as character references). Each file is split into byte ranges of
+    ``spark.sql.files.maxPartitionBytes``; lines that hold no whole row are
+    found by :func:`xml_rejects`. Otherwise each file is parsed as one
+    document (one task per file) and a malformed element fails the read.
     """
-    r = (spark.read.format("xml")
-         .option("rowTag", row_tag)
-         .option("mode", "PERMISSIVE")
-         .schema(schema or raw_post_schema()))
     if line_wise:
-        r = r.option("multiLine", "false")
-    df = r.load(path)
-    if drop_non_rows:
-        df = df.where(df["_Id"].isNotNull())
-    return df
+        df = _lines(spark, path, row_tag, root_tag, schema)
+        return df.where(F.col(_CORRUPT).isNull() & F.col("_Id").isNotNull()).drop(_CORRUPT)
+    df = (spark.read.format("xml").option("rowTag", row_tag).option("mode", "FAILFAST")
+          .schema(schema or raw_post_schema()).load(path))
+    return df.where(F.col("_Id").isNotNull())
+
+
+def xml_rejects(spark: SparkSession, path: str, row_tag: str = ROW_TAG, root_tag: str = ROOT_TAG) -> DataFrame:
+    """(line, reason) of the lines that ``read_posts_xml`` does not return.
+
+    A row element that spans lines is malformed on each of them. ``line`` is
+    NULL for a well-formed row without an Id: its other fields are not kept.
+    """
+    df = _lines(spark, path, row_tag, root_tag, None)
+    reason = F.when(F.col(_CORRUPT).isNotNull(), F.lit(REASON_MALFORMED)).when(
+        F.col("_Id").isNull(), F.lit(REASON_NO_ID))
+    return df.select(F.trim(F.col(_CORRUPT)).alias("line"), reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def write_posts_xml(df: DataFrame, path: str, max_records_per_file: int | None = None,

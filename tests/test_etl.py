@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tagloom.operators.etl import questions_from_posts
@@ -18,6 +19,41 @@ DUMP = """<?xml version="1.0" encoding="utf-8"?>
 """
 
 
+DAMAGED = """\ufeff<?xml version="1.0" encoding="utf-8"?>
+<posts>
+  <row Id="1" PostTypeId="1" Title="ok" />
+  <row Id="2" PostTypeId="1" Title="bare & amp" />
+  <row Id="3" PostTypeId="1" Title="after the bad one" />
+  <row Id="4" PostTypeId="1"
+   Title="two lines" />
+
+  <row PostTypeId="1" Title="no id" />
+  <row Id="6" PostTypeId="1" Title="child"><t>t</t></row>
+</posts>
+"""
+
+
+def test_no_line_is_lost(spark, tmp_path):
+    from tagloom.sources.xml import REASON_MALFORMED, REASON_NO_ID, xml_rejects
+    path = tmp_path / "Damaged.xml"
+    path.write_text(DAMAGED)
+    assert sorted(r["_Id"] for r in read_posts_xml(spark, str(path)).collect()) == ["1", "3", "6"]
+    rejects = [(r["line"], r["reason"]) for r in xml_rejects(spark, str(path)).collect()]
+    assert sorted(rejects, key=repr) == sorted([
+        ('<row Id="2" PostTypeId="1" Title="bare & amp" />', REASON_MALFORMED),
+        ('<row Id="4" PostTypeId="1"', REASON_MALFORMED), ('Title="two lines" />', REASON_MALFORMED), (None, REASON_NO_ID)], key=repr)
+
+
+def test_whole_documents_fail_loudly(spark, tmp_path):
+    path = tmp_path / "Damaged.xml"
+    path.write_text(DAMAGED)
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        read_posts_xml(spark, str(path), line_wise=False).collect()
+    good = "\n".join(x for x in DAMAGED.splitlines() if "amp" not in x)
+    path.write_text(good.replace("\ufeff", ""))
+    assert sorted(r["_Id"] for r in read_posts_xml(spark, str(path), line_wise=False).collect()) == ["1", "3", "4", "6"]
+
+
 def _dump(tmp_path):
     p = tmp_path / "Posts.xml"
     p.write_text(DUMP)
@@ -95,8 +131,8 @@ def test_one_large_dump_is_read_in_parallel(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(512 * 1024))
     try:
-        assert read_posts_xml(spark, out).rdd.getNumPartitions() == 1    # one document
-        df = read_posts_xml(spark, out, line_wise=True)
+        assert read_posts_xml(spark, out, line_wise=False).rdd.getNumPartitions() == 1    # one document
+        df = read_posts_xml(spark, out)
         assert df.rdd.getNumPartitions() > 2
         assert df.count() == posts.count()
         assert sorted(r["_Id"] for r in df.select("_Id").collect()) == \
