@@ -7,34 +7,20 @@ scoring) and for oracle checks.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the whitespace class of the tokenizer (Java's \s).
 WHITESPACE_CLASS = "[ \\t\\n\\x0B\\f\\r]"
 
-# --- fixed values: Spark's default English stop-word list (181 words), in its order ---
-ENGLISH_STOP_WORDS = [
-    'i', 'me', 'my', 'myself', 'we', 'our', 'ours', 'ourselves', 'you', 'your', 'yours',
-    'yourself', 'yourselves', 'he', 'him', 'his', 'himself', 'she', 'her', 'hers',
-    'herself', 'it', 'its', 'itself', 'they', 'them', 'their', 'theirs', 'themselves',
-    'what', 'which', 'who', 'whom', 'this', 'that', 'these', 'those', 'am', 'is', 'are',
-    'was', 'were', 'be', 'been', 'being', 'have', 'has', 'had', 'having', 'do', 'does',
-    'did', 'doing', 'a', 'an', 'the', 'and', 'but', 'if', 'or', 'because', 'as', 'until',
-    'while', 'of', 'at', 'by', 'for', 'with', 'about', 'against', 'between', 'into',
-    'through', 'during', 'before', 'after', 'above', 'below', 'to', 'from', 'up', 'down',
-    'in', 'out', 'on', 'off', 'over', 'under', 'again', 'further', 'then', 'once', 'here',
-    'there', 'when', 'where', 'why', 'how', 'all', 'any', 'both', 'each', 'few', 'more',
-    'most', 'other', 'some', 'such', 'no', 'nor', 'not', 'only', 'own', 'same', 'so',
-    'than', 'too', 'very', 's', 't', 'can', 'will', 'just', 'don', 'should', 'now', "i'll",
-    "you'll", "he'll", "she'll", "we'll", "they'll", "i'd", "you'd", "he'd", "she'd",
-    "we'd", "they'd", "i'm", "you're", "he's", "she's", "it's", "we're", "they're", "i've",
-    "we've", "you've", "they've", "isn't", "aren't", "wasn't", "weren't", "haven't",
-    "hasn't", "hadn't", "don't", "doesn't", "didn't", "won't", "wouldn't", "shan't",
-    "shouldn't", "mustn't", "can't", "couldn't", 'cannot', 'could', "here's", "how's",
-    "let's", 'ought', "that's", "there's", "what's", "when's", "where's", "who's", "why's",
-    'would',
-]
+
+@functools.cache
+def stop_words() -> tuple[str, ...]:
+    """Spark's default English stop words."""
+    from pyspark.ml.feature import StopWordsRemover
+    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
 
 
 def _c(col: str | Column) -> Column:
@@ -55,8 +41,7 @@ def tokenize(col: str | Column) -> Column:
             .otherwise(F.split(trimmed, WHITESPACE_CLASS, -1)))
 
 
-def remove_stop_words(col: str | Column, stop_words: list[str] | None = None) -> Column:
+def remove_stop_words(col: str | Column, drop: list[str] | None = None) -> Column:
     """Drop stop words, comparing case-insensitively (``''`` is kept)."""
-    words = [w.lower() for w in (ENGLISH_STOP_WORDS if stop_words is None else stop_words)]
-    stop = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
-    return F.filter(_c(col), lambda t: ~F.array_contains(stop, F.lower(t)))
+    words = [w.lower() for w in (stop_words() if drop is None else drop)]
+    return F.filter(_c(col), lambda t: ~F.lower(t).isin(words)) if words else _c(col)

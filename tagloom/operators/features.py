@@ -12,7 +12,13 @@ from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.text import ENGLISH_STOP_WORDS, tokenize
+from tagloom.functions.text import remove_stop_words, stop_words, tokenize
+from tagloom.session import written
+
+# A document-frequency table of at most this many rows is broadcast; larger
+# ones are joined by shuffle, where both sides are plain exchanges and AQE
+# splits the partition of a hot term.
+BROADCAST_TERMS = 200_000
 
 
 def text_tokenizer(input_col: str = "Title", output_col: str = "TitleSplitted") -> Tokenizer:
@@ -20,9 +26,9 @@ def text_tokenizer(input_col: str = "Title", output_col: str = "TitleSplitted")
 
 
 def stop_words_remover(input_col: str = "TitleSplitted", output_col: str = "TitleStop",
-                       stop_words: list[str] | None = None) -> StopWordsRemover:
+                       words: list[str] | None = None) -> StopWordsRemover:
     return StopWordsRemover(inputCol=input_col, outputCol=output_col,
-                            stopWords=list(ENGLISH_STOP_WORDS if stop_words is None else stop_words))
+                            stopWords=list(stop_words() if words is None else words))
 
 
 def hashing_tf(num_features: int = 1000, input_col: str = "TitleStop",
@@ -45,28 +51,46 @@ def feature_stages(text_col: str = "Title", num_features: int = 1000, min_doc_fr
     ]
 
 
+def _tokens(text_col: str, drop_stop_words: bool):
+    toks = tokenize(text_col)
+    return remove_stop_words(toks) if drop_stop_words else toks
+
+
 def terms(df: DataFrame, id_col: str, text_col: str, drop_stop_words: bool = True) -> DataFrame:
-    """(id, term) rows: one per token occurrence.
+    """(id, term) rows: one per distinct term of a document.
 
-    Stop words are removed after the explode with an IN list, which Catalyst
-    turns into a hash-set lookup inside generated code.
+    Repeats are removed inside the row, so nothing is shuffled for it.
     """
-    out = df.select(F.col(id_col).alias("id"), F.explode(tokenize(text_col)).alias("term"))
-    if drop_stop_words:
-        out = out.where(~F.lower(F.col("term")).isin(list(ENGLISH_STOP_WORDS)))
-    return out
+    distinct = F.array_distinct(_tokens(text_col, drop_stop_words))
+    return df.select(F.col(id_col).alias("id"), F.explode(distinct).alias("term"))
 
 
 def term_frequencies(df: DataFrame, id_col: str, text_col: str,
                      drop_stop_words: bool = True) -> DataFrame:
-    """(id, term, tf): occurrences of each term in each document."""
-    return (terms(df, id_col, text_col, drop_stop_words)
-            .groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    """(id, term, tf): occurrences of each term in each document.
+
+    Counted inside the row: the sorted tokens are cut where the term changes.
+    A document is one row, so no shuffle is needed.
+    """
+    rows = df.select(F.col(id_col).alias("id"), F.array_sort(_tokens(text_col, drop_stop_words)).alias("s"))
+    new = F.transform("s", lambda t, i: F.when((i == 0) | (F.get("s", i - 1) != t), i))
+    rows = rows.withColumn("at", F.filter(new, lambda i: i.isNotNull()))
+    runs = F.transform("at", lambda i, k: F.struct(
+        F.get("s", i).alias("term"),
+        (F.coalesce(F.get("at", k + 1), F.size("s")) - i).cast("bigint").alias("tf")))
+    return rows.select("id", F.explode(runs).alias("r")).select("id", "r.term", "r.tf")
+
+
+def document_frequencies(df: DataFrame, id_col: str, text_col: str, drop_stop_words: bool = True) -> DataFrame:
+    """(term, df): documents containing each term. One exchange, with partial
+    counts per partition before it."""
+    return terms(df, id_col, text_col, drop_stop_words).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def document_frequencies(tf: DataFrame) -> DataFrame:
-    """(term, df): documents containing each term (from a tf table)."""
-    return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+def join_by_term(rows: DataFrame, table: DataFrame, n_rows: int, col: str = "term") -> DataFrame:
+    """``rows`` joined to a per-term ``table`` of ``n_rows`` rows (a written
+    table): broadcast below BROADCAST_TERMS, by shuffle beyond."""
+    return rows.join(F.broadcast(table) if n_rows <= BROADCAST_TERMS else table, col)
 
 
 def exact_tfidf(df: DataFrame, id_col: str, text_col: str, min_doc_freq: int = 0,
@@ -75,15 +99,14 @@ def exact_tfidf(df: DataFrame, id_col: str, text_col: str, min_doc_freq: int = 0
 
     idf = ln((N + 1) / (df + 1)), and 0 for terms in fewer than
     ``min_doc_freq`` documents; N counts every input document (also those
-    without terms). N is one scalar job; the df table is joined back on term
-    (AQE broadcasts it when small and splits a hot term's partition when
-    both sides are large).
+    without terms). The df table is written, so that its size is known and its
+    join has plain exchanges.
     """
     n_docs = df.select(id_col).count()
+    dfreq = written(document_frequencies(df, id_col, text_col, drop_stop_words), "doc-freq")
     tf = term_frequencies(df, id_col, text_col, drop_stop_words)
-    dfreq = document_frequencies(tf)
     weight = F.when(F.col("df") >= min_doc_freq,
                     F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0))).otherwise(F.lit(0.0))
-    return (tf.join(dfreq, "term")
-              .select("id", "term", "tf", "df", weight.alias("idf"))
-              .withColumn("tfidf", F.col("tf") * F.col("idf")))
+    return (join_by_term(tf, dfreq, dfreq.count())
+            .select("id", "term", "tf", "df", weight.alias("idf"))
+            .withColumn("tfidf", F.col("tf") * F.col("idf")))

@@ -1,7 +1,7 @@
 from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
-from tagloom.functions.text import ENGLISH_STOP_WORDS, remove_stop_words, tokenize
+from tagloom.functions.text import remove_stop_words, stop_words, tokenize
 from tagloom.operators.features import exact_tfidf, term_frequencies
 
 TEXTS = ["How  to Parse, in Python", "", " lead and trail ", "   ", "Tab\there\nNew line\r\n",
@@ -9,8 +9,8 @@ TEXTS = ["How  to Parse, in Python", "", " lead and trail ", "   ", "Tab\there\n
 
 
 def test_stop_word_list_is_sparks(spark):
-    assert ENGLISH_STOP_WORDS == list(StopWordsRemover.loadDefaultStopWords("english"))
-    assert len(ENGLISH_STOP_WORDS) == 181
+    from tagloom.plans.oracle import ENGLISH_STOP_WORDS      # the oracle's own list
+    assert list(stop_words()) == ENGLISH_STOP_WORDS == list(StopWordsRemover.loadDefaultStopWords("english"))
 
 
 def test_tokenize_twin_matches_stages(spark):
@@ -29,6 +29,14 @@ def test_fixture_tokens(spark):
     assert got == [["", "parse,", "python"], [""], ["", "lead", "trail"]]
 
 
+def test_term_counts_inside_the_row(spark):
+    from collections import Counter
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "id long, t string")
+    toks = {r["id"]: r["k"] for r in df.select("id", tokenize("t").alias("k")).collect()}
+    got = {(r["id"], r["term"]): r["tf"] for r in term_frequencies(df, "id", "t", drop_stop_words=False).collect()}
+    assert got == {(i, t): n for i, k in toks.items() for t, n in Counter(k).items()}
+
+
 def test_exact_tfidf_weights(spark):
     import math
     df = spark.createDataFrame([(1, "apple banana apple"), (2, "banana cherry"), (3, "")], "id long, t string")
