@@ -92,7 +92,9 @@ def split_column(id_col: str = "Id", ratio: float = 0.8, seed: int = 0, method:
     if method == "hash":
         bucket = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1000))
     elif method == "arith":
-        bucket = F.pmod(F.col(id_col).cast("bigint") * F.lit(7919) + F.lit(seed * 104729), F.lit(1000))
+        # reduced before the product: large ids do not overflow
+        low = F.pmod(F.col(id_col).cast("bigint"), F.lit(1000))
+        bucket = F.pmod(low * F.lit(7919) + F.lit(seed * 104729), F.lit(1000))
     else:
         raise ValueError(f"unknown split method {method!r}")
     return F.when(bucket < cut, F.lit("train")).otherwise(F.lit("test"))

@@ -19,10 +19,11 @@ REASON_NO_BODY = "body is required"
 def request_status(title_col: str = "Title", body_col: str = "Body") -> Column:
     """NULL for a valid request, else the reason it is rejected.
 
-    A title must be present and not blank; a body must be present (any text,
-    also empty).
+    A title must hold a character beyond blanks and control characters (up to
+    U+0020); a body must be present (any text, also empty).
     """
-    return (F.when(F.coalesce(F.trim(F.col(title_col)), F.lit("")) == "", F.lit(REASON_NO_TITLE))
+    blank = ~F.coalesce(F.col(title_col).rlike(r"[^\x00-\x20]"), F.lit(False))
+    return (F.when(blank, F.lit(REASON_NO_TITLE))
              .when(F.col(body_col).isNull(), F.lit(REASON_NO_BODY)))
 
 
@@ -80,7 +81,8 @@ def logit(p: float) -> float:
 def linear_weight_tables(spark, model):
     """(weights, bias) DataFrames from a BinaryRelevanceModel of linear members:
     weights (label int, i int, w double) for non-zero coefficients, bias
-    (label int, b double). Returns also the number of weight rows."""
+    (label int, b double, cut double: the member's own margin threshold).
+    Returns also the number of weight rows."""
     rows, bias = [], []
     for k, m in enumerate(model.models):
         coef = m.coefficients
@@ -89,26 +91,29 @@ def linear_weight_tables(spark, model):
         for i, w in zip(idx, vals):
             if w != 0.0:
                 rows.append((k, int(i), float(w)))
-        bias.append((k, float(m.intercept)))
+        bias.append((k, float(m.intercept), logit(m.getThreshold())))
     weights = spark.createDataFrame(rows, "label int, i int, w double")
-    return weights, spark.createDataFrame(bias, "label int, b double"), len(rows)
+    return weights, spark.createDataFrame(bias, "label int, b double, cut double"), len(rows)
 
 
 def sparse_entries(df, id_col: str, features_col: str):
-    """(id, i, v) for the non-zero entries of a vector column."""
-    from pyspark.ml.functions import vector_to_array
-    return (df.select(F.col(id_col).alias("id"),
-                      F.posexplode(vector_to_array(features_col)).alias("i", "v"))
-              .where(F.col("v") != 0.0))
+    """(id, i, v) for the non-zero entries of a vector column: the stored
+    entries of a sparse vector, the positions of a dense one."""
+    u = F.unwrap_udt(F.col(features_col))
+    v = df.select(F.col(id_col).alias("id"), u.alias("u"))
+    places = F.coalesce(F.col("u.indices"), F.sequence(F.lit(0), F.greatest(F.size("u.values") - 1, F.lit(0))))
+    pairs = F.arrays_zip(places.alias("i"), F.col("u.values").alias("v"))
+    return v.select("id", F.explode(pairs).alias("e")).select("id", "e.i", "e.v").where("v != 0.0")
 
 
 def linear_decisions(entries, weights, bias, threshold: float, n_weight_rows: int | None = None,
                      ids=None):
     """Positive (id, label) pairs of a linear multi-label model, in SQL.
 
-    entries (id, i, v), weights (label, i, w), bias (label, b).
-    margin(id, label) = b + sum(v * w); positive iff margin > logit(threshold)
-    — the members' rule probability > threshold.
+    entries (id, i, v), weights (label, i, w), bias (label, b, and optionally
+    cut). margin(id, label) = b + sum(v * w); positive iff margin > the
+    label's cut, by default logit(threshold) — the members' rule probability
+    > threshold.
 
     Only pairs with evidence (a shared non-zero feature) are aggregated. A
     pair without evidence has margin b, so it is positive only for the
@@ -120,13 +125,15 @@ def linear_decisions(entries, weights, bias, threshold: float, n_weight_rows: in
     cut = logit(threshold)
     if n_weight_rows is not None and n_weight_rows * _BYTES_PER_WEIGHT_ROW <= BROADCAST_WEIGHTS_MAX_BYTES:
         weights = F.broadcast(weights)
-    biases = {r["label"]: r["b"] for r in bias.collect()}     # k rows: one per tag
-    bias_df = bias.sparkSession.createDataFrame(sorted(biases.items()), "label int, b double")
+    if "cut" not in bias.columns:
+        bias = bias.withColumn("cut", F.lit(cut))
+    biases = sorted((r["label"], r["b"], r["cut"]) for r in bias.collect())     # k rows: one per tag
+    bias_df = bias.sparkSession.createDataFrame(biases, "label int, b double, cut double")
     sums = (entries.join(weights, "i")
             .groupBy("id", "label").agg(F.sum(F.col("v") * F.col("w")).alias("dot")))
     scored = sums.join(F.broadcast(bias_df), "label")         # k rows, bounded by the model
-    positive = scored.where(F.col("dot") + F.col("b") > F.lit(cut)).select("id", "label")
-    default_on = sorted(k for k, b in biases.items() if b > cut)
+    positive = scored.where(F.col("dot") + F.col("b") > F.col("cut")).select("id", "label")
+    default_on = [k for k, b, at in biases if b > at]
     if not default_on:
         return positive
     docs = ids if ids is not None else entries.select("id").distinct()
@@ -148,7 +155,9 @@ def score_linear_model(model, df, id_col: str = "Id", features_col: str = "featu
     :func:`linear_decisions` (same decisions as ``model.transform``)."""
     spark = df.sparkSession
     weights, bias, n = linear_weight_tables(spark, model)
-    t = threshold if threshold is not None else model.models[0].getThreshold()
+    if threshold is not None:      # one threshold instead of each member's own
+        bias = bias.drop("cut")
     entries = sparse_entries(df, id_col, features_col)
-    dec = linear_decisions(entries, weights, bias, t, n, ids=df.select(F.col(id_col).alias("id")))
+    dec = linear_decisions(entries, weights, bias, 0.5 if threshold is None else threshold, n,
+                           ids=df.select(F.col(id_col).alias("id")))
     return decisions_to_arrays(dec, model.vocabulary)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library's plans assume. AQE re-plans joins at runtime (it
 # demotes a side to broadcast only when its measured size is under
@@ -54,8 +56,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
-    A cluster names it in ``spark.checkpoint.dir``; we only create our own
-    folder when none is configured (local runs and tests).
+    A cluster names it in ``spark.checkpoint.dir``. A folder of this machine
+    is made only for a local master, where it is shared by all threads;
+    without a configured folder any other master is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -65,7 +68,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master or ""
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"master {master!r} needs a shared folder in spark.checkpoint.dir")
         configured = tempfile.mkdtemp(prefix="tagloom-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -80,13 +87,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tagloom-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side helpers can use the path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared scratch folder and read it
+    back: it survives lost executors, and joins of it get plain exchanges,
+    whose large partitions adaptive execution can split."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread_thin_input(df, *keys: str):

@@ -3,9 +3,9 @@
 The same ``PipelineModel`` that scores tables scores a stream: every stage
 (tokenizer, stop words, hashed TF, IDF, the binary-relevance members and the
 index/tag expressions) is a per-row projection with no action, so the
-streaming plan is a stateless map. Rejected requests and scored posts go to
-two sinks of one ``foreachBatch``; the checkpoint makes the sink
-exactly-once across restarts and executor loss.
+streaming plan is a stateless map: each micro-batch is read and scored once.
+Rejected requests keep their reason and get no tags; the checkpoint makes the
+file sink exactly-once across restarts and executor loss.
 """
 
 from __future__ import annotations
@@ -30,18 +30,15 @@ def score_stream(requests: DataFrame, model: PipelineModel, keep=("Id",),
                  tags_col: str = "predictionLabel") -> DataFrame:
     """Streaming DataFrame of (kept columns, reason, tags, reply).
 
-    Invalid requests keep a reason and NULL tags; the model runs on the valid
-    ones only (both branches are projections of the same micro-batch).
+    Invalid requests keep a reason and NULL tags and reply. Every row goes
+    through the model once, with empty text where it is missing.
     """
-    reason = request_status()
-    with_reason = requests.withColumn("reason", reason)
-    valid = with_reason.where(F.col("reason").isNull())
-    scored = model.transform(valid).select(*keep, "reason", F.col(tags_col).alias("tags"),
-                                           reply_json(tags_col).alias("reply"))
-    rejected = with_reason.where(F.col("reason").isNotNull()).select(
-        *keep, "reason", F.lit(None).cast("array<string>").alias("tags"),
-        F.lit(None).cast("string").alias("reply"))
-    return scored.unionByName(rejected)
+    rows = requests.withColumn("reason", request_status())
+    for c in ("Title", "Body"):
+        rows = rows.withColumn(c, F.coalesce(c, F.lit("")))
+    valid = F.col("reason").isNull()
+    return model.transform(rows).select(*keep, "reason", F.when(valid, F.col(tags_col)).alias("tags"),
+                                        F.when(valid, reply_json(tags_col)).alias("reply"))
 
 
 def start_scoring(requests: DataFrame, model: PipelineModel, output_path: str, checkpoint_path: str,

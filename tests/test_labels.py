@@ -58,3 +58,10 @@ def test_stable_split_is_deterministic(spark):
     arith = df.select(split_column("Id", 0.8, 7, "arith").alias("s")).groupBy("s").count().collect()
     assert {r["s"]: r["count"] for r in arith}["train"] == 1600
     assert df.select(split_column("Id", 0.5, 1)).where(F.col(df.columns[0]).isNull()).count() == 0
+
+
+def test_arith_split_of_large_ids(spark):
+    big = [2**63 - 1, 2**62, -2**63, -5, 1234567890123456789]
+    df = spark.createDataFrame([(i,) for i in big], "Id long")
+    got = {r["Id"]: r["s"] for r in df.select("Id", split_column("Id", 0.8, 7, "arith").alias("s")).collect()}
+    assert got == {i: "train" if (i * 7919 + 7 * 104729) % 1000 < 800 else "test" for i in big}

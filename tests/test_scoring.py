@@ -24,11 +24,12 @@ def saved_model(spark, tmp_path_factory):
 
 def test_request_validation(spark):
     df = spark.createDataFrame([(1, "t", "b"), (2, "", "b"), (3, "  ", "b"), (4, None, "b"), (5, "t", None),
-                                (6, "t", "")], "Id long, Title string, Body string")
+                                (6, "t", ""), (7, "\t\x01 ", "b"), (8, "\u00a0", "b")], "Id long, Title string, Body string")
     valid, rejects = split_requests(df)
-    assert sorted(r["Id"] for r in valid.collect()) == [1, 6]
+    assert sorted(r["Id"] for r in valid.collect()) == [1, 6, 8]
     reasons = {r["Id"]: r["reason"] for r in rejects.collect()}
-    assert reasons == {2: REASON_NO_TITLE, 3: REASON_NO_TITLE, 4: REASON_NO_TITLE, 5: REASON_NO_BODY}
+    assert reasons == {2: REASON_NO_TITLE, 3: REASON_NO_TITLE, 4: REASON_NO_TITLE, 5: REASON_NO_BODY,
+                       7: REASON_NO_TITLE}
 
 
 def test_reply_json(spark):
