@@ -149,3 +149,43 @@ def test_linear_sql_scorer_equals_chained(feats, threshold):
     chained = {r["Id"]: list(r["prediction"]) for r in model.transform(test).collect()}
     sql = {r["id"]: list(r["prediction"]) for r in score_linear_model(model, test).collect()}
     assert {k: v for k, v in chained.items() if v} == sql
+
+
+def test_linear_scorer_keeps_each_members_threshold(feats):
+    from tagloom.operators.scoring import score_linear_model
+    model = _br().fit(feats)
+    model.models[0].setThreshold(0.95)
+    chained = {r["Id"]: list(r["prediction"]) for r in model.transform(feats).collect()}
+    sql = {r["id"]: list(r["prediction"]) for r in score_linear_model(model, feats).collect()}
+    assert {k: v for k, v in chained.items() if v} == sql
+
+
+def test_sparse_entries_of_both_kinds(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from tagloom.operators.scoring import sparse_entries
+    rows = [(1, Vectors.sparse(2**18, {5: 1.0, 70000: 2.0})), (2, Vectors.dense([0.0, 3.0])), (3, Vectors.sparse(9, {})), (4, Vectors.dense([]))]
+    got = sorted(tuple(r) for r in sparse_entries(spark.createDataFrame(rows, ["id", "f"]), "id", "f").collect())
+    assert got == [(1, 5, 1.0), (1, 70000, 2.0), (2, 1, 3.0)]
+
+
+def test_raw_scores_and_declared_schema(feats):
+    br = _br(rawPredictionCol="raw")
+    model = br.fit(feats)
+    out = model.transform(feats)
+    assert out.columns[-3:] == ["prediction", "predictionLabel", "raw"]
+    declared = model.transformSchema(feats.schema)
+    assert declared.simpleString() == out.schema.simpleString() == br.transformSchema(feats.schema).simpleString()
+    for r in out.limit(30).collect():
+        assert list(r["prediction"]) == [float(i) for i, x in enumerate(r["raw"]) if x > 0]
+
+
+def test_asks_for_a_classifier(feats):
+    with pytest.raises(ValueError, match="needs a classifier"):
+        BinaryRelevance().fit(feats)
+
+
+def test_cached_input_is_not_cached_again(spark, feats):
+    from tagloom.operators.relevance import _reads_cache
+    assert _reads_cache(feats) and _reads_cache(feats.select("features", "label").where("Id > 3"))
+    assert not _reads_cache(spark.range(5))
