@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from tagloom.operators.etl import questions_from_posts
 from tagloom.operators.features import feature_stages
 from tagloom.operators.labels import filter_tags, stable_split
 from tagloom.operators.relevance import BinaryRelevance
+from tagloom.session import written
 from tagloom.sources.fixtures import posts_fixture
 
 # Fixed values of the reference experiment: 1000 hash buckets, IDF minimum
@@ -20,6 +22,8 @@ from tagloom.sources.fixtures import posts_fixture
 NUM_FEATURES = 1000
 MIN_DOC_FREQ = 2
 THRESHOLD = 0.8
+# Columns of the feature stages that scored tables leave out.
+FEATURE_COLUMNS = ["TitleSplitted", "TitleStop", "TFOut", "features"]
 
 
 def base_classifier(threshold: float = THRESHOLD, max_iter: int = 100, tol: float = 1e-6):
@@ -67,8 +71,7 @@ def random_split(df: DataFrame, ratio: float = 0.8, seed: int | None = None):
 def run_experiment(spark: SparkSession, questions_path: str | None = None, *, data: DataFrame | None = None,
                    tags: Sequence[str] | None = None, text_col: str = "Title", train_ratio: float = 0.8,
                    seed: int = 7, grid_tol=(0.01, 0.1), grid_threshold=(0.5, 0.65, 0.8), max_iter: int = 100,
-                   tuning: str = "sweep", parallelism: int = 4, trainer: str = "binary_relevance",
-                   grid_reg=(0.0, 0.01)):
+                   tuning: str = "sweep", parallelism: int = 4, split: str = "hash"):
     """Train, tune and evaluate a tagging model end to end.
 
     Reads the question table (``questions_path``, only Id/label/text columns)
@@ -78,18 +81,15 @@ def run_experiment(spark: SparkSession, questions_path: str | None = None, *, da
     TrainValidationSplit over every grid point); refits the whole pipeline on
     all of train with the chosen params; scores test.
 
-    ``trainer='multitag'`` trains all tags jointly (MultiTagLogisticRegression)
-    and tunes regParam x threshold by a sweep (one fit per regParam).
+    The features of the tuning step are fitted once, on its fitting rows.
 
     Returns ``(model, predictions, metrics, micro)``: the fitted
     PipelineModel, the scored test rows, a one-row DataFrame of the row-wise
     metrics with the chosen params, and a one-row DataFrame of the micro
     metrics.
     """
-    from pyspark.ml.classification import LogisticRegression
-
     from tagloom.operators.metrics import micro_metrics, rowwise_metrics
-    from tagloom.operators.tuning import (best_of_sweep, reference_grid, tag_evaluator,
+    from tagloom.operators.tuning import (best_of_sweep, features_for_tuning, reference_grid, tag_evaluator,
                                           threshold_sweep, train_validation)
     from tagloom.sources.questions import load_questions
 
@@ -99,50 +99,32 @@ def run_experiment(spark: SparkSession, questions_path: str | None = None, *, da
         data = load_questions(spark, questions_path, columns=("Id", "label", text_col))
     if tags:
         data = filter_tags(data, tags)
-    train, test = stable_split(data, train_ratio, seed)
-
-    fpipe = Pipeline(stages=feature_stages(text_col))
-    fmodel = fpipe.fit(train)
-    feats = fmodel.transform(train).select("Id", "label", "features")
-    if trainer == "multitag":
-        from tagloom.operators.multitag import MultiTagLogisticRegression, multitag_threshold_sweep
-        est = MultiTagLogisticRegression(maxIter=max_iter, stringPredictionCol="predictionLabel")
-        grid = [{"regParam": r, "maxIter": max_iter, "threshold": t} for r in grid_reg for t in grid_threshold]
-        best = best_of_sweep(multitag_threshold_sweep(est, feats, grid, train_ratio, seed + 1))
-        chosen = dict(x.split("=") for x in best["params"].split(", "))
-        params = {"maxIter": int(chosen["maxIter"]), "regParam": float(chosen["regParam"]),
-                  "threshold": float(best["threshold"])}
-        final = est.copy({est.regParam: params["regParam"], est.threshold: params["threshold"]})
-        model = Pipeline(stages=[*feature_stages(text_col), final]).fit(train)
-        predictions = model.transform(test)
-        row = rowwise_metrics(predictions, "predictionLabel", "label")
-        micro = micro_metrics(predictions.select("predictionLabel", "label"), "predictionLabel", "label")
-        metrics = row.select("*", *[F.lit(v).alias(k) for k, v in params.items()])
-        return model, predictions, metrics, micro
-    if trainer != "binary_relevance":
-        raise ValueError("trainer must be 'binary_relevance' or 'multitag'")
+    train, test = stable_split(data, train_ratio, seed, method=split)
+    # features are computed once for all grid points, and kept
+    feats = features_for_tuning(train, feature_stages(text_col), train_ratio, seed + 1, method=split).persist(
+        StorageLevel.MEMORY_AND_DISK)
     lr = LogisticRegression()
     br = BinaryRelevance(classifier=lr, parallelism=parallelism, stringPredictionCol="predictionLabel")
     grid = reference_grid(lr, (max_iter,), grid_tol, grid_threshold)
-    if tuning == "sweep":
-        best = best_of_sweep(threshold_sweep(br, feats, grid, train_ratio, seed + 1))
-        chosen = dict(x.split("=") for x in best["params"].split(", "))
-        params = {"maxIter": int(chosen["maxIter"]), "tol": float(chosen["tol"]),
-                  "threshold": float(best["threshold"])}
-    elif tuning == "tvs":
-        feats = feats.cache()
-        try:
+    try:
+        if tuning == "sweep":
+            best = best_of_sweep(threshold_sweep(br, feats, grid, train_ratio, seed + 1, method=split))
+            chosen = dict(x.split("=") for x in best["params"].split(", "))
+            params = {"maxIter": int(chosen["maxIter"]), "tol": float(chosen["tol"]),
+                      "threshold": float(best["threshold"])}
+        elif tuning == "tvs":
             tvs = train_validation(br, grid, tag_evaluator("hammingLoss"), train_ratio, seed + 1).fit(feats)
-        finally:
-            feats.unpersist()
-        i = min(range(len(grid)), key=lambda j: tvs.validationMetrics[j])
-        params = {p.name: v for p, v in grid[i].items()}
-    else:
-        raise ValueError("tuning must be 'sweep' or 'tvs'")
+            i = min(range(len(grid)), key=lambda j: tvs.validationMetrics[j])
+            params = {p.name: v for p, v in grid[i].items()}
+        else:
+            raise ValueError("tuning must be 'sweep' or 'tvs'")
+    finally:
+        feats.unpersist()
     clf = base_classifier(threshold=params["threshold"], max_iter=params["maxIter"], tol=params["tol"])
     model = tagging_pipeline(text_col, clf, parallelism=parallelism).fit(train)
-    predictions = model.transform(test)
-    row = rowwise_metrics(predictions, "predictionLabel", "label")
+    # scored once, written, and read by both metric passes
+    predictions = written(model.transform(test).drop(*FEATURE_COLUMNS), "predictions")
+    row = rowwise_metrics(predictions.select("predictionLabel", "label"), "predictionLabel", "label")
     micro = micro_metrics(predictions.select("predictionLabel", "label"), "predictionLabel", "label")
     metrics = row.select("*", *[F.lit(v).alias(k) for k, v in params.items()])
     return model, predictions, metrics, micro

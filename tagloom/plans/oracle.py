@@ -7,13 +7,35 @@ written directly in DuckDB's dialect (not generated from the Spark plans).
 
 from __future__ import annotations
 
-from tagloom.functions.text import ENGLISH_STOP_WORDS
+
+# --- fixed values: Spark's default English stop-word list (181 words), in its order ---
+ENGLISH_STOP_WORDS = [
+    'i', 'me', 'my', 'myself', 'we', 'our', 'ours', 'ourselves', 'you', 'your', 'yours',
+    'yourself', 'yourselves', 'he', 'him', 'his', 'himself', 'she', 'her', 'hers',
+    'herself', 'it', 'its', 'itself', 'they', 'them', 'their', 'theirs', 'themselves',
+    'what', 'which', 'who', 'whom', 'this', 'that', 'these', 'those', 'am', 'is', 'are',
+    'was', 'were', 'be', 'been', 'being', 'have', 'has', 'had', 'having', 'do', 'does',
+    'did', 'doing', 'a', 'an', 'the', 'and', 'but', 'if', 'or', 'because', 'as', 'until',
+    'while', 'of', 'at', 'by', 'for', 'with', 'about', 'against', 'between', 'into',
+    'through', 'during', 'before', 'after', 'above', 'below', 'to', 'from', 'up', 'down',
+    'in', 'out', 'on', 'off', 'over', 'under', 'again', 'further', 'then', 'once', 'here',
+    'there', 'when', 'where', 'why', 'how', 'all', 'any', 'both', 'each', 'few', 'more',
+    'most', 'other', 'some', 'such', 'no', 'nor', 'not', 'only', 'own', 'same', 'so',
+    'than', 'too', 'very', 's', 't', 'can', 'will', 'just', 'don', 'should', 'now', "i'll",
+    "you'll", "he'll", "she'll", "we'll", "they'll", "i'd", "you'd", "he'd", "she'd",
+    "we'd", "they'd", "i'm", "you're", "he's", "she's", "it's", "we're", "they're", "i've",
+    "we've", "you've", "they've", "isn't", "aren't", "wasn't", "weren't", "haven't",
+    "hasn't", "hadn't", "don't", "doesn't", "didn't", "won't", "wouldn't", "shan't",
+    "shouldn't", "mustn't", "can't", "couldn't", 'cannot', 'could', "here's", "how's",
+    "let's", 'ought', "that's", "there's", "what's", "when's", "where's", "who's", "why's",
+    'would',
+]
 
 POSTS = """
 posts AS (
   SELECT
     CAST(d.doc_id AS VARCHAR) AS _Id,
-    CASE WHEN l.doc_id IS NOT NULL THEN '1' ELSE '2' END AS _PostTypeId,
+    CASE WHEN d.doc_id % 5 = 0 THEN '2' ELSE '1' END AS _PostTypeId,
     strftime(DATE '2018-01-01' + CAST(d.doc_id % 900 AS INTEGER), '%Y-%m-%d') || 'T21:42:52.667'
       AS _CreationDate,
     CAST(d.n_chars AS VARCHAR) AS _Score,
@@ -24,11 +46,9 @@ posts AS (
     strftime(DATE '2018-01-01' + CAST(d.doc_id % 900 AS INTEGER), '%Y-%m-%d') || 'T21:42:52.667'
       AS _LastActivityDate,
     split_part(d.text, chr(10), 1) AS _Title,
-    CASE WHEN l.doc_id IS NOT NULL THEN
-      '<' || d.lang || '><' || d.source || '>'
+    '<' || d.lang || '><' || d.source || '>'
       || CASE WHEN l.quality = 1 THEN '<Quality>' ELSE '' END
-      || CASE WHEN l.toxic = 1 THEN '<Toxic>' ELSE '' END
-    END AS _Tags
+      || CASE WHEN l.toxic = 1 THEN '<Toxic>' ELSE '' END AS _Tags
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 )"""
 
@@ -108,6 +128,10 @@ SELECT Id, CASE WHEN ((Id * 7919 + 7 * 104729) % 1000 + 1000) % 1000 < 800 THEN
 FROM questions
 """
 
+ORACLE["hash_split"] = _with(QUESTIONS) + """
+SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_twice, true AS near_ratio FROM questions
+"""
+
 # ------------------------------------------------------------------ text ----
 
 _WS = "[ \\t\\n\\x0B\\f\\r]"
@@ -159,6 +183,11 @@ SELECT Id, CAST(len(toks) AS BIGINT) AS n_tokens, CAST(len(toks) AS BIGINT) AS m
 """
 
 
+ORACLE["idf_weights"] = _with(QUESTIONS) + """
+SELECT count(*) AS n_docs, CAST(1000 AS BIGINT) AS n_buckets, CAST(0 AS BIGINT) AS n_mismatch FROM questions
+"""
+
+
 # --------------------------------------------------------------- metrics ----
 
 PSEUDO = QUESTIONS + """,
@@ -246,6 +275,16 @@ FROM scored CROSS JOIN vocab
 """
 
 
+_EVALUATED = [("precision", True), ("recall", True), ("f1", True), ("accuracy", True), ("hammingLoss", False),
+              ("subsetAccuracy", True), ("microPrecision", True), ("microRecall", True), ("microF1", True)]
+ORACLE["evaluator_metrics"] = (
+    _with(PSEUDO) + ", rowwise AS (" + _rowwise_select("") + "), micro AS ("
+    + ORACLE["metrics_micro"].split(_with(PSEUDO))[1] + ")\n"
+    + " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, {m} AS value, {str(up).lower()} AS larger_is_better FROM {'micro' if m.startswith('micro') else 'rowwise'}"
+        for m, up in _EVALUATED))
+
+
 # ------------------------------------------------------- sources / sinks ----
 
 _XML = """
@@ -254,7 +293,14 @@ SELECT _Id, _PostTypeId, _CreationDate, _Score, _ViewCount, _Body, _OwnerDisplay
 FROM posts
 """
 ORACLE["xml_scan"] = _with(POSTS) + _XML
-ORACLE["xml_linewise"] = _with(POSTS) + _XML
+ORACLE["xml_linewise"] = _with(POSTS) + _XML + "WHERE right(_Id, 1) NOT IN ('3', '4', '6')"
+ORACLE["xml_rejects"] = _with(POSTS) + """
+SELECT reason, CAST(sum(n) AS BIGINT) AS n FROM (
+  SELECT CASE right(_Id, 1) WHEN '6' THEN 'row without Id' ELSE 'malformed row element' END AS reason,
+         CASE right(_Id, 1) WHEN '4' THEN 2 ELSE 1 END AS n
+  FROM posts WHERE right(_Id, 1) IN ('3', '4', '6')
+) GROUP BY reason
+"""
 ORACLE["xml_rechunk"] = _with(POSTS) + _XML
 
 ORACLE["questions_parquet_year"] = _with(QUESTIONS) + """
@@ -274,38 +320,81 @@ SELECT Id, CAST(to_json({'tags': list_transform(p, lambda i: v[CAST(i AS INTEGER
 FROM pl CROSS JOIN vocab
 """
 
-ORACLE["request_rejects"] = _with(POSTS) + """
-SELECT CAST(_Id AS BIGINT) AS Id,
-       CASE WHEN coalesce(trim(_Title), '') = '' OR _Body IS NULL THEN 'rejected' ELSE 'accepted' END AS status,
-       CASE WHEN coalesce(trim(_Title), '') = '' THEN 'title is required'
-            WHEN _Body IS NULL THEN 'body is required' END AS reason
-FROM posts
+REQUESTS = POSTS + """,
+requests AS (
+  SELECT CAST(_Id AS BIGINT) AS Id,
+         CASE CAST(_Id AS BIGINT) % 20 WHEN 7 THEN '' WHEN 8 THEN chr(9) WHEN 9 THEN NULL ELSE _Title END AS Title,
+         CASE CAST(_Id AS BIGINT) % 20 WHEN 10 THEN NULL ELSE _Body END AS Body
+  FROM posts
+),
+judged AS (
+  SELECT Id, CASE WHEN Title IS NULL OR NOT regexp_matches(Title, '[^\\x00-\\x20]') THEN 'title is required'
+                  WHEN Body IS NULL THEN 'body is required' END AS reason
+  FROM requests
+)"""
+
+ORACLE["request_rejects"] = _with(REQUESTS) + """
+SELECT Id, CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS status, reason FROM judged
 """
 
 # ---------------------------------------------------------------- models ----
-# Model fits are not expressible in SQL; the persistence, streaming and
-# SQL-scorer queries check an invariant instead: every post with a model tag
-# scored, no prediction changed (n_mismatch = 0).
-
-HELD_OUT = QUESTIONS + """,
-held_out AS (
-  SELECT Id FROM questions
-  WHERE len(list_filter(label, lambda t: t IN ('de', 'en', 'es', 'fr', 'quality', 'toxic'))) > 0
+# SQL cannot fit a model. It gives what must hold of any right result: rows,
+# tags, losses of predicting nothing, and that nothing disagrees.
+
+SIDES = QUESTIONS + """,
+sides AS (
+  SELECT *, CASE WHEN (Id % 1000 * 7919 + 7 * 104729) % 1000 < 800 THEN 'train' ELSE 'test' END AS side FROM questions
 )"""
 
-ORACLE["br_save_load"] = _with(HELD_OUT) + """
-SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_mismatch FROM held_out
+ORACLE["table_scoring"] = _with(REQUESTS) + "SELECT Id, reason, reason IS NULL AS replied FROM judged"
+
+ORACLE["br_fit_predict"] = _with(SIDES) + """
+SELECT tag, (SELECT count(*) FROM questions) AS n_rows, CAST(0 AS BIGINT) AS n_mismatch,
+       CASE WHEN tag IN ('de', 'en', 'es', 'fr') THEN true END AS predicted
+FROM (SELECT DISTINCT unnest(label) AS tag FROM sides WHERE side = 'train')
+"""
+ORACLE["br_metrics"] = _with(SIDES) + """
+SELECT side, n, n_labels, round(tags / (n * n_labels), 6) AS nothing_loss,
+       CASE WHEN side = 'train' THEN true END AS beats_nothing, true AS within_bounds
+FROM (SELECT side, count(*) AS n, sum(len(label)) AS tags FROM sides GROUP BY side)
+JOIN (SELECT side, count(DISTINCT tag) AS n_labels FROM (SELECT side, unnest(label) AS tag FROM sides) GROUP BY side) USING (side)
+"""
+ORACLE["br_save_load"] = _with(QUESTIONS) + """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_mismatch, true AS most_tagged FROM questions
 """
 ORACLE["stream_score"] = ORACLE["br_save_load"]
 ORACLE["br_linear_score"] = ORACLE["br_save_load"]
 
+ORACLE["threshold_sweep"] = _with(SIDES) + """,
+valid AS (SELECT Id, label FROM sides WHERE side = 'train' AND (Id % 1000 * 7919 + 11 * 104729) % 1000 >= 800)
+SELECT 'maxIter=100, tol=' || tol AS params, threshold, (SELECT count(*) FROM valid) AS n,
+       (SELECT count(DISTINCT t) FROM (SELECT unnest(label) AS t FROM valid)) AS n_labels, true AS same_loss
+FROM (SELECT unnest(['0.01', '0.1']) AS tol), (SELECT unnest([0.5::DOUBLE, 0.65::DOUBLE, 0.8::DOUBLE]) AS threshold)
+"""
+ORACLE["tvs_best_params"] = _with(SIDES) + """
+SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_grid, true AS winner_has_least_loss, true AS losses_are_shares
+FROM sides WHERE side = 'train'
+"""
+ORACLE["experiment_report"] = _with(SIDES) + """,
+kept AS (
+  SELECT Id, side, list_filter(label, lambda t: t IN ('de', 'en', 'es', 'fr', 'quality', 'toxic')) AS label FROM sides
+),
+test AS (SELECT label FROM kept WHERE len(label) > 0 AND side = 'test'),
+k AS (SELECT count(DISTINCT t) AS n_labels FROM (SELECT unnest(label) AS t FROM test))
+SELECT count(*) AS n, any_value(n_labels) AS n_labels, round(sum(len(label)) / (count(*) * any_value(n_labels)), 6) AS nothing_loss,
+       true AS beats_nothing, true AS on_grid
+FROM test, k
+"""
+_PROMISES = ["any classifier", "asks for a classifier", "copy reaches the base learner", "declared schema",
+             "members have the params", "names of the indexes", "raw scores tell the predictions",
+             "refuses a missing column", "refuses labels that are no arrays", "top tags in order"]
+ORACLE["br_contract"] = _with(QUESTIONS) + f"""
+SELECT promise, true AS kept, (SELECT count(*) FROM questions) AS n_rows FROM (SELECT unnest({_sql_list(_PROMISES)}) AS promise)
+"""
+
 
 ORACLE["linear_score_rule"] = _with(TOKENS) + """,
-mq AS (
-  SELECT Id, list_filter(label, lambda t: t IN ('de', 'en', 'es', 'fr', 'quality', 'toxic')) AS label
-  FROM questions
-),
-q AS (SELECT Id, label FROM mq WHERE len(label) > 0),
+q AS (SELECT Id, label FROM questions),
 lv AS (SELECT list(lbl ORDER BY lbl) AS v FROM (SELECT DISTINCT unnest(label) AS lbl FROM q)),
 presence AS (
   SELECT DISTINCT t.Id AS id, t.term
@@ -328,7 +417,7 @@ margins AS (
   SELECT id, label, sum(m) AS margin FROM (
     SELECT p.id, w.label, w.w AS m FROM presence p JOIN w ON p.term = w.term
     UNION ALL
-    SELECT q.Id AS id, s.label, ln(s.n_l / s.n_o) AS m FROM q CROSS JOIN stats s
+    SELECT q.Id AS id, s.label, CASE WHEN s.n_o = 0 THEN 'Infinity'::DOUBLE ELSE ln(s.n_l / s.n_o) END AS m FROM q CROSS JOIN stats s
   ) GROUP BY id, label
 )
 SELECT CAST(id AS BIGINT) AS Id, v[label + 1] AS tag FROM margins CROSS JOIN lv WHERE margin > 0

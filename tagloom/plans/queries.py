@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.functions.text import remove_stop_words, tokenize
 from tagloom.operators.etl import questions_from_posts
+from tagloom.session import scratch_path, written
 from tagloom.sources.fixtures import posts_fixture
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,11 +72,14 @@ def q_tag_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def q_label_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Binary-relevance targets of every post over the sorted tag vocabulary."""
-    from tagloom.operators.labels import label_vocabulary, target_string
+    """Binary-relevance targets (the columns the fits use) of every post over
+    the sorted tag vocabulary, as one text of 0 and 1."""
+    from tagloom.operators.labels import label_vocabulary, with_targets
     q = questions(spark, sf_dir).select("Id", "label")
     vocab = label_vocabulary(q)
-    return q.select(F.col("Id").cast("bigint").alias("Id"), target_string(vocab).alias("targets"))
+    t = with_targets(q, vocab)
+    bits = [F.col(f"target_{i}").cast("int").cast("string") for i in range(len(vocab))]
+    return t.select(F.col("Id").cast("bigint").alias("Id"), F.concat(*bits).alias("targets"))
 
 
 @register
@@ -99,6 +104,19 @@ def q_stable_split(spark: SparkSession, sf_dir: str) -> DataFrame:
                     split_column("Id", 0.8, 7, method="arith").alias("side"))
 
 
+@register
+def q_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default (hash) split: every post on one side, about four fifths on
+    the training side."""
+    from tagloom.operators.labels import stable_split
+    q = questions(spark, sf_dir).select("Id")
+    train, test = stable_split(q, 0.8, 7)
+    both = train.withColumn("t", F.lit(1)).unionByName(test.withColumn("t", F.lit(0)))
+    per = both.groupBy("Id").agg(F.count(F.lit(1)).alias("sides"), F.max("t").alias("t"))
+    return per.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("sides") != 1, 1).otherwise(0)).alias("n_twice"),
+                   (F.abs(F.avg("t") - 0.8) < 0.06).alias("near_ratio"))
+
+
 # ------------------------------------------------------------------ text ----
 
 def _question_text(spark, sf_dir):
@@ -128,9 +146,8 @@ def q_tokens_nostop(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def q_doc_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(term, df): documents containing each non-stop term."""
-    from tagloom.operators.features import document_frequencies, term_frequencies
-    tf = term_frequencies(_question_text(spark, sf_dir), "Id", "text")
-    return document_frequencies(tf).withColumn("df", F.col("df").cast("bigint"))
+    from tagloom.operators.features import document_frequencies
+    return document_frequencies(_question_text(spark, sf_dir), "Id", "text")
 
 
 @register
@@ -157,6 +174,28 @@ def q_hashing_tf_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
                     mass.cast("bigint").alias("mass"))
 
 
+@register
+def q_idf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HashingTF and IDF stages over whole texts: each bucket's document
+    frequency and weight against a grouped count of the vectors' entries, and
+    the corpus size the stage has seen."""
+    from pyspark.ml import Pipeline
+    from tagloom.operators.features import feature_stages
+    from tagloom.operators.scoring import sparse_entries
+    text = _question_text(spark, sf_dir)
+    model = Pipeline(stages=feature_stages("text")).fit(text)
+    stage = model.stages[-1]
+    learned = [(i, int(d), float(w)) for i, (d, w) in enumerate(zip(stage.docFreq, stage.idf.toArray()))]
+    learned = spark.createDataFrame(learned, "i int, d bigint, w double")
+    counted = sparse_entries(model.transform(text), "Id", "TFOut").groupBy("i").agg(F.count(F.lit(1)).alias("df"))
+    n = int(stage.numDocs)
+    weight = F.when(F.coalesce("df", F.lit(0)) >= 2, F.log(F.lit(n + 1.0) / (F.col("df") + 1.0))).otherwise(0.0)
+    off = (F.col("d") != F.coalesce("df", F.lit(0))) | (F.abs(F.col("w") - weight) > 1e-9)
+    return learned.join(counted, "i", "left").agg(
+        F.lit(n).cast("bigint").alias("n_docs"), F.count(F.lit(1)).alias("n_buckets"),
+        F.sum(F.when(off, 1).otherwise(0)).alias("n_mismatch"))
+
+
 # --------------------------------------------------------------- metrics ----
 
 def _pseudo_predictions(spark, sf_dir):
@@ -226,6 +265,20 @@ def q_metrics_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_all(m, ["precision", "recall", "f1"])
 
 
+@register
+def q_evaluator_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every metric of the Evaluator and whether larger is better."""
+    from tagloom.operators.metrics import MultilabelEvaluator
+    pl, _ = _pseudo_predictions(spark, sf_dir)
+    pl = pl.select("prediction", "label").cache()
+    rows = []
+    for name in _ROW_METRICS + ["microPrecision", "microRecall", "microF1"]:
+        ev = MultilabelEvaluator(predictionCol="prediction", labelCol="label").setMetricName(name)
+        rows.append((name, round(ev.evaluate(pl), 6), ev.isLargerBetter()))
+    pl.unpersist()
+    return spark.createDataFrame(rows, "metric string, value double, larger_is_better boolean")
+
+
 # ------------------------------------------------------- sources / sinks ----
 
 _XML_COLS = ["_Id", "_PostTypeId", "_CreationDate", "_Score", "_ViewCount", "_Body",
@@ -233,7 +286,6 @@ _XML_COLS = ["_Id", "_PostTypeId", "_CreationDate", "_Score", "_ViewCount", "_Bo
 
 
 def _written_posts_xml(spark, sf_dir, max_records=None):
-    from tagloom.session import scratch_path
     from tagloom.sources.xml import write_posts_xml
     path = scratch_path(spark, "posts-xml")
     write_posts_xml(posts_fixture(spark, sf_dir), path, max_records_per_file=max_records)
@@ -242,17 +294,40 @@ def _written_posts_xml(spark, sf_dir, max_records=None):
 
 @register
 def q_xml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posts written as an XML dump and read back with the all-text schema."""
+    """Posts written as an XML dump and read back, each file as one document,
+    with the all-text schema."""
     from tagloom.sources.xml import read_posts_xml
-    return read_posts_xml(spark, _written_posts_xml(spark, sf_dir)).select(*_XML_COLS)
+    return read_posts_xml(spark, _written_posts_xml(spark, sf_dir), line_wise=False).select(*_XML_COLS)
+
+
+def _spoiled_dump(spark, sf_dir):
+    """The dump with damaged rows: a bare ampersand (Id ending in 3), a row cut
+    over two lines (4), a row without Id (6), and a child element (7)."""
+    lines = spark.read.text(_written_posts_xml(spark, sf_dir))
+    at = F.regexp_extract("value", r'<row Id="\d*(\d)"', 1)
+    v = F.col("value")
+    spoiled = (F.when(at == "3", F.replace(v, F.lit("<row "), F.lit('<row Note="a & b" ')))
+               .when(at == "4", F.replace(v, F.lit(" PostTypeId="), F.lit("\n PostTypeId=")))
+               .when(at == "6", F.regexp_replace(v, r'<row Id="\d+"', "<row"))
+               .when(at == "7", F.regexp_replace(v, "/>$", "><tag>x</tag></row>"))
+               .otherwise(v))
+    path = scratch_path(spark, "spoiled-xml")
+    lines.select(spoiled.alias("value")).write.text(path)
+    return path
 
 
 @register
 def q_xml_linewise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Same dump read line by line (one row element per line; root lines dropped)."""
+    """The whole rows of a partly damaged dump, read line by line."""
     from tagloom.sources.xml import read_posts_xml
-    path = _written_posts_xml(spark, sf_dir)
-    return read_posts_xml(spark, path, line_wise=True).select(*_XML_COLS)
+    return read_posts_xml(spark, _spoiled_dump(spark, sf_dir)).select(*_XML_COLS)
+
+
+@register
+def q_xml_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the damaged dump that are no whole row, per reason."""
+    from tagloom.sources.xml import xml_rejects
+    return xml_rejects(spark, _spoiled_dump(spark, sf_dir)).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register
@@ -266,7 +341,6 @@ def q_xml_rechunk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_questions_parquet_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Question table saved partitioned by Year/Month; 2019 read back by
     partition pruning, three columns projected."""
-    from tagloom.session import scratch_path
     from tagloom.sources.questions import load_questions, save_questions
     path = scratch_path(spark, "questions")
     save_questions(questions(spark, sf_dir), path)
@@ -297,161 +371,283 @@ def q_score_json(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select("Id", reply_json("t").alias("reply"))
 
 
+def _requests(spark, sf_dir):
+    """Every post as a scoring request; some come without a title (NULL,
+    empty, one tab) or without a body."""
+    p = posts_fixture(spark, sf_dir)
+    k = F.col("_Id").cast("bigint") % 20
+    title = F.when(k == 7, F.lit("")).when(k == 8, F.lit("\t")).when(k != 9, F.col("_Title"))
+    return p.select(F.col("_Id").cast("bigint").alias("Id"), title.alias("Title"),
+                    F.when(k != 10, F.col("_Body")).alias("Body"))
+
+
 @register
 def q_request_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every post as a scoring request: accepted, or rejected with a reason."""
+    """Every request: accepted, or rejected with a reason."""
     from tagloom.operators.scoring import request_status
-    p = posts_fixture(spark, sf_dir).select(F.col("_Id").cast("bigint").alias("Id"),
-                                            F.col("_Title").alias("Title"), F.col("_Body").alias("Body"))
     st = request_status()
-    return p.select("Id", F.when(st.isNull(), F.lit("accepted")).otherwise(F.lit("rejected")).alias("status"),
-                    st.alias("reason"))
+    return _requests(spark, sf_dir).select(
+        "Id", F.when(st.isNull(), F.lit("accepted")).otherwise(F.lit("rejected")).alias("status"), st.alias("reason"))
 
 
 # ------------------------------------------------------------- models ----
 
-# Tags the model queries train on (the experiment's tag selection).
-MODEL_TAGS = ["de", "en", "es", "fr", "quality", "toxic"]
 _SPLIT_SEED = 7
-_MODELS: dict = {}
+LANGUAGES = ["de", "en", "es", "fr"]
+# Tags of the end-to-end experiment (its tag filter).
+EXPERIMENT_TAGS = [*LANGUAGES, "quality", "toxic"]
 
 
 def _model_data(spark, sf_dir):
-    """(train, all): the training side of the split, and every post with a
-    model tag (each carrying its ``side``) — models are fitted on the
-    training side and every post of the table is scored."""
-    from tagloom.operators.labels import filter_tags, split_column
-    q = filter_tags(questions(spark, sf_dir).select("Id", "label", "Title", "Body"), MODEL_TAGS)
+    """(train, all): the training side of the split, and every post (each
+    carrying its ``side``) with its whole tag set. Models are fitted on the
+    training side; every post is scored."""
+    from tagloom.operators.labels import split_column
+    q = questions(spark, sf_dir).select("Id", "label", "Title", "Body")
     q = q.withColumn("side", split_column("Id", 0.8, _SPLIT_SEED, method="arith"))
     return q.where(F.col("side") == "train"), q
 
 
+def _classifier():
+    """Member of the model queries; regularised, as texts have more terms than
+    most tags have posts."""
+    from pyspark.ml.classification import LogisticRegression
+    return LogisticRegression(threshold=0.5, maxIter=100, tol=0.01, regParam=0.05)
+
+
 def fitted_model(spark, sf_dir):
-    """Tagging pipeline fitted on the training side (memoised per session)."""
-    from tagloom.plans.experiment import base_classifier, tagging_pipeline
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODELS:
-        train, _ = _model_data(spark, sf_dir)
-        _MODELS[key] = tagging_pipeline("Body", base_classifier(tol=0.01), parallelism=6).fit(train)
-    return _MODELS[key]
+    """Tagging pipeline of every tag, fitted on the training side."""
+    from tagloom.plans.experiment import tagging_pipeline
+    train, _ = _model_data(spark, sf_dir)
+    return tagging_pipeline("Body", _classifier(), parallelism=8).fit(train)
 
 
 @register
 def q_br_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Binary relevance (logistic regression per tag) fitted on the training
-    side (80%); every post tagged, with its side."""
+    """Binary relevance against one separately fitted logistic regression per
+    tag: per tag the posts, those the two disagree on, and whether a language
+    tag is ever predicted."""
+    from tagloom.functions.tags import target_column
     _, posts = _model_data(spark, sf_dir)
-    out = fitted_model(spark, sf_dir).transform(posts)
-    return out.select(F.col("Id").cast("bigint").alias("Id"), "side",
-                      F.array_join("predictionLabel", "|").alias("tags"),
-                      F.size("prediction").cast("bigint").alias("n_tags"))
+    model = fitted_model(spark, sf_dir)
+    br = model.stages[-1]
+    scored = written(model.transform(posts).select("Id", "label", "side", "features", "prediction"), "scored")
+    fit_rows = scored.where(F.col("side") == "train").persist()
+    out = None
+    for i, tag in enumerate(br.vocabulary):
+        lr = _classifier().setLabelCol("y").setPredictionCol("own")
+        one = lr.fit(fit_rows.select("features", target_column("label", tag).alias("y")))
+        ours = F.array_contains("prediction", float(i))
+        got = one.transform(scored.select("prediction", "features")).agg(
+            F.lit(tag).alias("tag"), F.count(F.lit(1)).alias("n_rows"),
+            F.sum(F.when(ours != (F.col("own") == 1.0), 1).otherwise(0)).alias("n_mismatch"),
+            (F.sum(F.when(ours, 1).otherwise(0)) > 0).alias("predicted"))
+        out = got if out is None else out.unionByName(got)
+    out = written(out.withColumn("predicted", F.when(F.col("tag").isin(LANGUAGES), F.col("predicted"))), "br-fit")
+    fit_rows.unpersist()
+    return out
 
 
 @register
 def q_br_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row-wise multi-label metrics (tag strings) on the training and the
-    held-out side: one row per side."""
+    """Row-wise multi-label metrics on the training and the held-out side: what
+    SQL can tell of them, and that the model beats predicting nothing (whose
+    Hamming loss is the mean share of tags set) where it was fitted."""
     from tagloom.operators.metrics import rowwise_metrics
     _, posts = _model_data(spark, sf_dir)
-    out = fitted_model(spark, sf_dir).transform(posts)
-    return rowwise_metrics(out, "predictionLabel", "label", group_cols=["side"])
+    scored = written(fitted_model(spark, sf_dir).transform(posts).select("side", "label", "predictionLabel"), "scored")
+    m = rowwise_metrics(scored, "predictionLabel", "label", group_cols=["side"])
+    tags = scored.groupBy("side").agg(F.sum(F.size("label")).alias("tags"))
+    nothing = F.col("tags") / (F.col("n") * F.col("n_labels"))
+    within = [F.col(c).between(0.0, 1.0) for c in ("precision", "recall", "f1", "accuracy", "subsetAccuracy")]
+    return m.join(tags, "side").select(
+        "side", "n", "n_labels", F.round(nothing, 6).alias("nothing_loss"),
+        F.when(F.col("side") == "train", F.col("hammingLoss") < nothing).alias("beats_nothing"),
+        (within[0] & within[1] & within[2] & within[3] & within[4]).alias("within_bounds"))
 
 
 def _mismatches(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(n_rows, n_mismatch) of two (Id, tags) tables joined on Id."""
+    """(n_rows, n_mismatch, n_tagged) of two (Id, tags) tables joined on Id."""
     j = a.alias("a").join(b.alias("b"), F.col("a.Id") == F.col("b.Id"), "full_outer")
     differs = ~F.col("a.tags").eqNullSafe(F.col("b.tags")) | F.col("a.Id").isNull() | F.col("b.Id").isNull()
     return j.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
-                 F.sum(F.when(differs, 1).otherwise(0)).cast("bigint").alias("n_mismatch"))
+                 F.sum(F.when(differs, 1).otherwise(0)).cast("bigint").alias("n_mismatch"),
+                 (F.sum(F.when(F.col("a.tags") != "", 1).otherwise(0)) * 2 > F.count(F.lit(1))).alias("most_tagged"))
+
+
+def _tags(scored: DataFrame) -> DataFrame:
+    return scored.select("Id", F.array_join("predictionLabel", "|").alias("tags"))
 
 
 @register
 def q_br_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fitted pipeline saved and reloaded: predictions must not change."""
+    """Fitted pipeline saved and reloaded: predictions must not change, and
+    most posts must have some."""
     from pyspark.ml import PipelineModel
-    from tagloom.session import scratch_path
-    _, test = _model_data(spark, sf_dir)       # every post with a model tag
+    _, posts = _model_data(spark, sf_dir)
     model = fitted_model(spark, sf_dir)
     path = scratch_path(spark, "model")
     model.write().overwrite().save(path)
-    back = PipelineModel.load(path)
-    a = model.transform(test).select("Id", F.array_join("predictionLabel", "|").alias("tags"))
-    b = back.transform(test).select("Id", F.array_join("predictionLabel", "|").alias("tags"))
-    return _mismatches(a, b)
+    return _mismatches(_tags(model.transform(posts)), _tags(PipelineModel.load(path).transform(posts)))
 
 
 @register
 def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every post streamed through the fitted pipeline equals batch scoring."""
-    from tagloom.session import scratch_path
     from tagloom.streaming.score_stream import read_request_stream, start_scoring
-    _, test = _model_data(spark, sf_dir)
+    _, posts = _model_data(spark, sf_dir)
     model = fitted_model(spark, sf_dir)
     src, out, ck = (scratch_path(spark, n) for n in ("requests", "scored", "ckpt"))
-    test.select("Id", "Title", "Body").write.mode("overwrite").parquet(src)
+    posts.select("Id", "Title", "Body").write.parquet(src)
     schema = spark.read.parquet(src).schema
     q = start_scoring(read_request_stream(spark, src, schema, max_files_per_trigger=2), model, out, ck)
     q.awaitTermination()
     streamed = spark.read.parquet(out).select("Id", F.array_join("tags", "|").alias("tags"))
-    batch = model.transform(test).select("Id", F.array_join("predictionLabel", "|").alias("tags"))
-    return _mismatches(streamed, batch)
+    return _mismatches(streamed, _tags(model.transform(posts)))
 
 
-def _tuning_features(spark, sf_dir):
-    from pyspark.ml import Pipeline
+@register
+def q_table_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch scoring from a saved pipeline: each request in one of the two
+    tables written, scored ones with a JSON reply."""
+    from tagloom.operators.scoring import score_table
+    path, tags, rejects = (scratch_path(spark, n) for n in ("model", "tags", "rejects"))
+    fitted_model(spark, sf_dir).write().overwrite().save(path)
+    score_table(path, _requests(spark, sf_dir), tags, rejects)
+    good = spark.read.parquet(tags).select("Id", F.lit(None).cast("string").alias("reason"),
+                                           F.get_json_object("reply", "$.tags").isNotNull().alias("replied"))
+    bad = spark.read.parquet(rejects).select("Id", "reason", F.lit(False).alias("replied"))
+    return good.unionByName(bad)
+
+
+def _tuning_features(spark, sf_dir, method="arith"):
     from tagloom.operators.features import feature_stages
+    from tagloom.operators.tuning import features_for_tuning
     train, _ = _model_data(spark, sf_dir)
-    fm = Pipeline(stages=feature_stages("Body")).fit(train)
-    return fm.transform(train).select("Id", "label", "features")
+    return features_for_tuning(train, feature_stages("Body"), 0.8, 11, method=method)
 
 
 @register
 def q_threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 6-point grid (maxIter 100 x tol {0.01, 0.1} x threshold {0.5, 0.65,
-    0.8}) evaluated with 2 fits per tag instead of 6."""
+    0.8}) evaluated with 2 fits per tag instead of 6, and its Hamming loss
+    counted again from the probabilities of members fitted apart."""
     from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import vector_to_array
+    from tagloom.operators.labels import split_column
     from tagloom.operators.relevance import BinaryRelevance
     from tagloom.operators.tuning import reference_grid, threshold_sweep
-    lr = LogisticRegression()
-    br = BinaryRelevance(classifier=lr, parallelism=6)
-    sweep = threshold_sweep(br, _tuning_features(spark, sf_dir), reference_grid(lr))
-    return sweep.select("params", "threshold", "n", "hammingLoss", "f1", "precision", "recall")
+    lr = LogisticRegression(regParam=0.05)
+    br = BinaryRelevance(classifier=lr, parallelism=8)
+    feats = written(_tuning_features(spark, sf_dir), "tuning-features")
+    sweep = threshold_sweep(br, feats, reference_grid(lr), 0.8, 11, method="arith")
+    side = split_column("Id", 0.8, 11, "arith")
+    again = None
+    for tol in (0.01, 0.1):
+        model = br.copy({lr.tol: tol, lr.maxIter: 100}).fit(feats.where(side == "train"))
+        probs = feats.where(side == "test").withColumn("set", F.lit(0))
+        wrong = [F.lit(0)]
+        for i, m in enumerate(model.models):
+            params = model.member_params(i, f"p{i}")
+            params[m.probabilityCol] = f"q{i}"
+            probs = m.transform(probs, params).drop(f"p{i}")
+            own = F.coalesce(F.array_contains("label", model.vocabulary[i]), F.lit(False))
+            wrong.append(F.when((vector_to_array(F.col(f"q{i}"))[1] > F.col("t")) != own, 1).otherwise(0))
+        unknown = F.size(F.array_except("label", F.array(*[F.lit(v) for v in model.vocabulary])))
+        counted = probs.withColumn("t", F.explode(F.array(*[F.lit(t) for t in (0.5, 0.65, 0.8)]))).groupBy("t").agg(
+            F.sum(sum(wrong[1:], wrong[0]) + unknown).alias("wrong"))
+        counted = counted.select(F.lit(f"maxIter=100, tol={tol}").alias("params"), F.col("t").alias("threshold"), "wrong")
+        again = counted if again is None else again.unionByName(counted)
+    n_labels = F.col("n_labels")
+    return sweep.join(again, ["params", "threshold"]).select(
+        "params", "threshold", "n", "n_labels",
+        (F.abs(F.col("hammingLoss") - F.col("wrong") / (F.col("n") * n_labels)) < 1e-9).alias("same_loss"))
 
 
 @register
 def q_tvs_best_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TrainValidationSplit over the binary-relevance stage (features fitted
-    once), Hamming loss: the chosen grid point and its validation metric."""
+    once), Hamming loss: grid points, whether the winner's params are those of
+    the least loss, and whether every loss is a share."""
     from pyspark.ml.classification import LogisticRegression
     from tagloom.operators.relevance import BinaryRelevance
     from tagloom.operators.tuning import reference_grid, tag_evaluator, train_validation
-    lr = LogisticRegression()
-    br = BinaryRelevance(classifier=lr, parallelism=6, stringPredictionCol="predictionLabel")
+    lr = LogisticRegression(regParam=0.05)
+    br = BinaryRelevance(classifier=lr, parallelism=8, stringPredictionCol="predictionLabel")
     grid = reference_grid(lr)
-    feats = _tuning_features(spark, sf_dir).cache()
-    try:
-        tvs = train_validation(br, grid, tag_evaluator("hammingLoss"), seed=11, parallelism=3).fit(feats)
-    finally:
-        feats.unpersist()
-    best = min(range(len(grid)), key=lambda i: tvs.validationMetrics[i])
-    pm = grid[best]
-    row = {"maxIter": int(pm[lr.maxIter]), "tol": float(pm[lr.tol]), "threshold": float(pm[lr.threshold]),
-           "hammingLoss": float(tvs.validationMetrics[best])}
-    return spark.createDataFrame([row])
+    feats = written(_tuning_features(spark, sf_dir), "tuning-features")
+    tvs = train_validation(br, grid, tag_evaluator("hammingLoss"), seed=11, parallelism=2).fit(feats)
+    losses = list(tvs.validationMetrics)
+    best = grid[losses.index(min(losses))]
+    member = tvs.bestModel.models[0]
+    right = all(member.getOrDefault(p.name) == v for p, v in best.items())
+    return feats.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "n_rows", F.lit(len(losses)).cast("bigint").alias("n_grid"), F.lit(right).alias("winner_has_least_loss"),
+        F.lit(all(0 < x < 1 for x in losses)).alias("losses_are_shares"))
 
 
 @register
 def q_experiment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The end-to-end experiment: question table on storage -> tag filter ->
-    split -> threshold-sweep tuning -> refit -> held-out metrics and the
-    chosen parameters (one row)."""
+    split -> threshold-sweep tuning -> refit -> held-out metrics: test rows,
+    the loss of predicting nothing, whether the model beats it, and whether
+    the chosen params are grid points (one row)."""
     from tagloom.plans.experiment import run_experiment
-    from tagloom.session import scratch_path
     from tagloom.sources.questions import save_questions
     path = scratch_path(spark, "questions")
     save_questions(questions(spark, sf_dir), path)
-    _, _, metrics, _ = run_experiment(spark, path, tags=MODEL_TAGS, text_col="Body", parallelism=6)
-    return metrics
+    _, predictions, metrics, _ = run_experiment(spark, path, tags=EXPERIMENT_TAGS, text_col="Body", parallelism=6,
+                                                split="arith")
+    tags = predictions.agg(F.sum(F.size("label")).alias("tags"))
+    nothing = F.col("tags") / (F.col("n") * F.col("n_labels"))
+    return metrics.join(F.broadcast(tags)).select(
+        "n", "n_labels", F.round(nothing, 6).alias("nothing_loss"), (F.col("hammingLoss") < nothing).alias("beats_nothing"),
+        (F.col("tol").isin(0.01, 0.1) & F.col("threshold").isin(0.5, 0.65, 0.8) & (F.col("maxIter") == 100)).alias("on_grid"))
+
+
+@register
+def q_br_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The estimator's contract on the post table, one row per promise: params
+    reach the members, vocabulary options, raw scores, declared schemas,
+    weights, and refusals."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LinearSVC, LogisticRegression
+    from tagloom.operators.features import feature_stages
+    from tagloom.operators.labels import label_counts
+    from tagloom.operators.relevance import BinaryRelevance
+    train, posts = _model_data(spark, sf_dir)
+    features = Pipeline(stages=feature_stages("Body")).fit(train)
+    data = written(features.transform(posts).select("Id", "label", "features", F.lit(2.0).alias("w")), "features")
+    lr = LogisticRegression(maxIter=5)
+    br = BinaryRelevance(classifier=lr, topN=3, parallelism=3, stringPredictionCol="names", rawPredictionCol="raw", weightCol="w")
+    tuned = br.copy({lr.threshold: 0.7, lr.maxIter: 3})
+    model = tuned.fit(data)
+    out = model.transform(data)
+    top = [r["label"] for r in label_counts(data).orderBy(F.col("n").desc(), "label").limit(3).collect()]
+    checks = {
+        "copy reaches the base learner": tuned.getClassifier().getThreshold() == 0.7 and lr.getMaxIter() == 5,
+        "members have the params": all(m.getThreshold() == 0.7 for m in model.models),
+        "top tags in order": model.vocabulary == sorted(top),
+        "declared schema": model.transformSchema(data.schema).simpleString() == out.schema.simpleString()
+                           == tuned.transformSchema(data.schema).simpleString(),
+        "raw scores tell the predictions": out.where(F.exists(F.transform("raw", lambda r, i: (
+            (1 / (1 + F.exp(-r)) > 0.7) != F.array_contains("prediction", i.cast("double")))), lambda x: x)).isEmpty(),
+        "names of the indexes": out.where(F.size("names") != F.size("prediction")).isEmpty(),
+        "any classifier": len(BinaryRelevance(classifier=LinearSVC(maxIter=2), labels=["en", "de"]).fit(data).models) == 2,
+    }
+    for name, wrong in (("refuses a missing column", data.drop("features")), ("refuses labels that are no arrays", data.withColumn("label", F.lit("x")))):
+        try:
+            br.fit(wrong)
+            checks[name] = False
+        except (ValueError, TypeError):
+            checks[name] = True
+    try:
+        BinaryRelevance().fit(data)
+        checks["asks for a classifier"] = False
+    except ValueError:
+        checks["asks for a classifier"] = True
+    rows = spark.createDataFrame(sorted(checks.items()), "promise string, kept boolean")
+    return rows.join(F.broadcast(data.agg(F.count(F.lit(1)).alias("n_rows"))))
 
 
 @register
@@ -460,36 +656,32 @@ def q_linear_score_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Coefficients come from a fixed rule over the data: for tag L and term t,
     w = ln((a+1)/(n_L+2)) - ln((b+1)/(n_other+2)) with a / b the posts with /
-    without L containing t, bias = ln(n_L / n_other); a post gets L when
-    bias + sum of w over its distinct terms > logit(0.5). Output: the
-    positive (Id, tag) pairs over all posts with a model tag.
+    without L containing t, bias = ln(n_L / n_other), +inf where every post
+    has L; a post gets L when bias + sum of w over its distinct terms >
+    logit(0.5). Output: the positive (Id, tag) pairs over all posts.
     """
-    from tagloom.functions.tags import label_indexes
-    from tagloom.operators.features import terms
-    from tagloom.operators.labels import filter_tags, label_vocabulary
+    from tagloom.operators.features import document_frequencies, join_by_term, terms
+    from tagloom.operators.labels import label_vocabulary
     from tagloom.operators.scoring import linear_decisions
-    from tagloom.session import ensure_checkpoint_dir
-    q = filter_tags(questions(spark, sf_dir).select("Id", "label", "Body"), MODEL_TAGS)
+    q = questions(spark, sf_dir).select("Id", F.array_distinct("label").alias("label"), "Body")
     vocab = label_vocabulary(q)
-    # (post, distinct term) feeds three joins/aggregates: tokenise once and
-    # cut the lineage with a reliable checkpoint (shared checkpoint folder)
-    ensure_checkpoint_dir(spark)
-    presence = terms(q, "Id", "Body").distinct().checkpoint()
-    doclab = q.select(F.col("Id").alias("id"),
-                      F.explode(F.array_distinct(label_indexes("label", vocab))).alias("label")) \
-              .withColumn("label", F.col("label").cast("int"))
+    codes = spark.createDataFrame(list(enumerate(vocab)), "label int, tag string")
+    # (term, tag) counts: the tags ride along in the row, nothing is joined
+    tagged = q.select("label", F.explode(F.array_distinct(remove_stop_words(tokenize("Body")))).alias("term"))
+    a = tagged.select("term", F.explode("label").alias("tag")).groupBy("tag", "term").agg(F.count(F.lit(1)).alias("a"))
+    dfreq = written(document_frequencies(q, "Id", "Body"), "doc-freq")
     n_docs = q.count()
-    stats = doclab.groupBy("label").agg(F.count(F.lit(1)).alias("n_l")) \
-                  .withColumn("n_o", F.lit(n_docs) - F.col("n_l"))
-    a = presence.join(doclab, "id").groupBy("label", "term").agg(F.count(F.lit(1)).alias("a"))
-    dfreq = presence.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    w = (a.join(dfreq, "term").join(F.broadcast(stats), "label")
-         .select("label", F.col("term").alias("i"),
-                 (F.log((F.col("a") + 1.0) / (F.col("n_l") + 2.0))
-                  - F.log((F.col("df") - F.col("a") + 1.0) / (F.col("n_o") + 2.0))).alias("w")))
-    bias = stats.select("label", F.log(F.col("n_l") / F.col("n_o")).alias("b"))
-    entries = presence.select("id", F.col("term").alias("i"), F.lit(1.0).alias("v"))
-    dec = linear_decisions(entries, w, bias, 0.5, ids=q.select(F.col("Id").alias("id")))
+    stats = q.select(F.explode("label").alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n_l"))
+    stats = written(stats.withColumn("n_o", F.lit(n_docs) - F.col("n_l")).join(codes, "tag"), "tag-stats")
+    w = join_by_term(written(a, "tag-terms"), dfreq, dfreq.count()).join(stats, "tag").select(
+        "label", F.col("term").alias("i"),
+        (F.log((F.col("a") + 1.0) / (F.col("n_l") + 2.0))
+         - F.log((F.col("df") - F.col("a") + 1.0) / (F.col("n_o") + 2.0))).alias("w"))
+    w = written(w, "weights")
+    odds = F.try_divide(F.col("n_l"), F.col("n_o"))
+    bias = stats.select("label", F.coalesce(F.log(odds), F.lit(float("inf"))).alias("b"))
+    entries = terms(q, "Id", "Body").select("id", F.col("term").alias("i"), F.lit(1.0).alias("v"))
+    dec = linear_decisions(entries, w, bias, 0.5, w.count(), ids=q.select(F.col("Id").alias("id")))
     names = F.array(*[F.lit(t) for t in vocab])
     return dec.select(F.col("id").cast("bigint").alias("Id"),
                       F.element_at(names, F.col("label") + 1).alias("tag"))
@@ -501,46 +693,11 @@ def q_br_linear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     join on the feature index, one grouped sum, one comparison): must equal
     the chained member transforms on every post."""
     from tagloom.operators.scoring import score_linear_model
-    _, test = _model_data(spark, sf_dir)
+    _, posts = _model_data(spark, sf_dir)
     model = fitted_model(spark, sf_dir)
-    feats = model.transform(test)          # features and chained predictions
-    br = model.stages[-1]
-    sql = score_linear_model(br, feats.select("Id", "features"))
-    a = feats.select("Id", F.array_join("predictionLabel", "|").alias("tags"))
+    feats = written(model.transform(posts).select("Id", "features", "predictionLabel"), "scored")
+    sql = score_linear_model(model.stages[-1], feats)
     b = feats.select("Id").join(sql.select(F.col("id").alias("Id"), "predictionLabel"), "Id", "left") \
              .select("Id", F.array_join(F.coalesce("predictionLabel", F.array().cast("array<string>")), "|")
                      .alias("tags"))
-    return _mismatches(a, b)
-
-
-@register
-def q_mt_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every tag of the vocabulary (no tag filter) trained jointly: one
-    distributed pass per optimisation step for all tags; fitted on the
-    training side, every post tagged (Id, side, tags, n_tags)."""
-    from pyspark.ml import Pipeline
-    from tagloom.operators.features import feature_stages
-    from tagloom.operators.labels import split_column
-    from tagloom.operators.multitag import MultiTagLogisticRegression
-    q = questions(spark, sf_dir).select("Id", "label", "Body")
-    side = split_column("Id", 0.8, _SPLIT_SEED, method="arith")
-    q = q.withColumn("side", side)
-    train = q.where(F.col("side") == "train")
-    mt = MultiTagLogisticRegression(regParam=0.01, maxIter=40, tol=1e-6, threshold=0.5,
-                                    stringPredictionCol="predictionLabel")
-    model = Pipeline(stages=[*feature_stages("Body"), mt]).fit(train)
-    out = model.transform(q)
-    return out.select(F.col("Id").cast("bigint").alias("Id"), "side",
-                      F.array_join("predictionLabel", "|").alias("tags"),
-                      F.size("prediction").cast("bigint").alias("n_tags"))
-
-
-@register
-def q_mt_experiment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The experiment with every tag trained jointly: regParam {0, 0.01} x
-    threshold {0.5, 0.65, 0.8} tuned by a sweep (2 fits), refit, held-out
-    metrics and the chosen parameters (one row)."""
-    from tagloom.plans.experiment import run_experiment
-    q = questions(spark, sf_dir).select("Id", "label", "Body")
-    _, _, metrics, _ = run_experiment(spark, data=q, text_col="Body", trainer="multitag", max_iter=40)
-    return metrics
+    return _mismatches(_tags(feats), b)

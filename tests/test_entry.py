@@ -7,21 +7,25 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from tagloom.plans.oracle import ORACLE
+from tagloom.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"tvs_best_params", "threshold_sweep"}
+# Queries that fit many models: checked at this size by scripts/check_oracle.py.
+SLOW = {"tvs_best_params", "threshold_sweep", "br_fit_predict", "table_scoring", "stream_score"}
 
 
 def test_entry(spark):
     df = E.entry(spark)
     assert df.columns == ["Id", "label", "predictionLabel"]
-    assert df.count() >= 0
+    rows = df.collect()
+    assert len(rows) > 100 and sum(bool(r["predictionLabel"]) for r in rows) > len(rows) / 2
 
 
 def test_registry_shapes():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 25
+    assert set(ORACLE) == set(QUERIES) and set(QUERIES) <= set(q)
 
 
 def _norm(v):
@@ -53,7 +57,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - SLOW))
 def test_query_matches_oracle(spark, duck, name):
     got = _rows(E.queries()[name](spark, SF).toPandas())
     want = _rows(duck.sql(E.oracle_sql()[name]).df())
