@@ -33,12 +33,13 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """Rows whose doc_id was kept; of rows that repeat a doc_id and a text,
     one (the least by the other columns)."""
-    ids = kept.select(F.col("doc_id").alias("_kept"))
-    found = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    rest = sorted(c for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map" not in kind)
-    one = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*rest) if rest else Window.partitionBy(
-        "doc_id", F.xxhash64("text")).orderBy("doc_id")
-    return found.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
+    # the row travels as one struct: its columns may have any names
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"))
+    ids = kept.select(F.col("doc_id").alias("kept_id"))
+    found = rows.join(ids, F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
+    rest = [F.col(f"doc.`{c}`") for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map" not in kind]
+    one = Window.partitionBy("id", F.xxhash64("doc.text")).orderBy(*(rest or ["id"]))
+    return found.withColumn("n", F.row_number().over(one)).where("n = 1").select("doc.*")
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
