@@ -44,7 +44,7 @@ def tagging_pipeline(text_col: str = "Title", classifier=None, num_features: int
 def training_posts(spark: SparkSession, sf_dir: str, tags: Sequence[str] | None = None) -> DataFrame:
     """Questions of the posts fixture: Id, label, Title, Body (optionally
     reduced to ``tags``)."""
-    q = questions_from_posts(posts_fixture(spark, sf_dir)).select("Id", "label", "Title", "Body")
+    q = questions_from_posts(posts_fixture(spark, sf_dir, spread=True)).select("Id", "label", "Title", "Body")
     return filter_tags(q, tags) if tags else q
 
 

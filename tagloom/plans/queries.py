@@ -25,8 +25,8 @@ def register(fn):
     return fn
 
 
-def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions_from_posts(posts_fixture(spark, sf_dir))
+def questions(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return questions_from_posts(posts_fixture(spark, sf_dir, spread))
 
 
 def _date_text(col: str):
@@ -121,7 +121,7 @@ def q_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _question_text(spark, sf_dir):
     """Question id and whole text (the body holds the complete document)."""
-    return questions(spark, sf_dir).select(F.col("Id").cast("bigint").alias("Id"), F.col("Body").alias("text"))
+    return questions(spark, sf_dir, spread=True).select(F.col("Id").cast("bigint").alias("Id"), F.col("Body").alias("text"))
 
 
 @register
@@ -403,7 +403,7 @@ def _model_data(spark, sf_dir):
     carrying its ``side``) with its whole tag set. Models are fitted on the
     training side; every post is scored."""
     from tagloom.operators.labels import split_column
-    q = questions(spark, sf_dir).select("Id", "label", "Title", "Body")
+    q = questions(spark, sf_dir, spread=True).select("Id", "label", "Title", "Body")
     q = q.withColumn("side", split_column("Id", 0.8, _SPLIT_SEED, method="arith"))
     return q.where(F.col("side") == "train"), q
 
@@ -663,7 +663,7 @@ def q_linear_score_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.operators.features import document_frequencies, join_by_term, terms
     from tagloom.operators.labels import label_vocabulary
     from tagloom.operators.scoring import linear_decisions
-    q = questions(spark, sf_dir).select("Id", F.array_distinct("label").alias("label"), "Body")
+    q = questions(spark, sf_dir, spread=True).select("Id", F.array_distinct("label").alias("label"), "Body")
     vocab = label_vocabulary(q)
     codes = spark.createDataFrame(list(enumerate(vocab)), "label int, tag string")
     # (term, tag) counts: the tags ride along in the row, nothing is joined

@@ -29,11 +29,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def posts_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw post rows (all-string columns, dump attribute names)."""
-    docs = spread_thin_input(
-        read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars"),
-        "doc_id")
+def posts_fixture(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Raw post rows (all-string columns, dump attribute names).
+
+    ``spread`` is for work on the texts: a table in fewer parts than there are
+    cores is dealt over them first.
+    """
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    if spread:
+        docs = spread_thin_input(docs, "doc_id")
     flags = read_table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("l_doc_id"), "quality", "toxic")
     # labels is narrow (three integers per row); Spark broadcasts it only when
