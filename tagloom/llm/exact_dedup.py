@@ -7,10 +7,11 @@ one name. Two texts are equal exactly when they finish in the same round with
 the same name: names are ranks of compared contents, so nothing can collide.
 
 Scale: block contents are shuffled once. The sort is range-partitioned on
-(content, document, position), so a block that a third of all documents share
-is cut over as many tasks as its rows need; a name that crosses a partition
-border is mended from one summary row per partition. Later rounds move two
-integers per pair.
+(digest of the content, document, position), so a block that a third of all
+documents share is cut over as many tasks as its rows need; a name that
+crosses a partition border is mended from one summary row per partition. The
+sample that finds the range borders holds digests, not contents. Later rounds
+move two integers per pair.
 """
 
 from __future__ import annotations
@@ -99,13 +100,16 @@ def _ranked(keys: list[str], names: list[str]):
     return rank
 
 
-def name_by_rank(df: DataFrame, keys: list[str], ties: list[str]) -> DataFrame:
+def name_by_rank(df: DataFrame, keys: list[str], ties: list[str], first: tuple[str, ...] = ()) -> DataFrame:
     """Replace the key columns by ``name``: the rank of the key among all
-    distinct keys, from 1. ``ties`` cut rows of one key over partitions."""
-    rest = [c for c in df.columns if c not in keys]
+    distinct keys, from 1, in the order of ``first`` (short functions of the
+    key that the ranges are cut by; default: the key) and the key. ``ties``
+    cut rows of one key over partitions."""
+    rest = [c for c in df.columns if c not in keys and c not in first]
+    ranges = list(first) or keys
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema if f.name in rest)
     ranked = written(
-        df.repartitionByRange(*keys, *ties).sortWithinPartitions(*keys, *ties)
+        df.repartitionByRange(*ranges, *ties).sortWithinPartitions(*first, *keys, *ties)
         .mapInArrow(_ranked(keys, rest), f"{schema}, part long, rank long, first binary, last binary"), "names")
     order = Window.orderBy("part")
     # one row per partition: a key cut by a border counts once
@@ -125,7 +129,8 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     repeat an id and a text one is kept. A repeated id with another text is
     another document. No rows give no rows; other columns are ignored.
     """
-    names = name_by_rank(text_blocks(docs, block_bytes), ["block"], ["doc_id", "sha", "pos"])
+    blocks = text_blocks(docs, block_bytes).withColumn("digest", F.unhex(F.sha2("block", 256)))
+    names = name_by_rank(blocks, ["block"], ["doc_id", "sha", "pos"], ("digest",))
     names = names.withColumn("copies", F.lit(1).cast("long"))
     longest = names.agg(F.max("n_blocks")).first()[0] or 1
     ids, level = [], 0
