@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagloom.session import scratch_path
 
+#: Hash values that ``likely`` broadcasts at most, 8 bytes each.
+HASH_SLOTS = 1 << 20
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -18,3 +22,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def likely(rows: DataFrame, column: str, wanted: DataFrame, other: str) -> DataFrame:
+    """Rows whose ``column`` may be among ``wanted``'s ``other``: a filter that
+    lets through all wanted rows and few others, for use before a shuffle.
+
+    At most HASH_SLOTS hash values are broadcast, however many are wanted; with
+    more than that the filter only lets more rows through.
+    """
+    def slot(name: str):
+        return F.pmod(F.xxhash64(name), F.lit(HASH_SLOTS))
+
+    slots = wanted.select(slot(other).alias("_slot")).distinct()
+    return rows.withColumn("_slot", slot(column)).join(F.broadcast(slots), "_slot", "left_semi").drop("_slot")

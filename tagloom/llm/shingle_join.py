@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.cells import over_cells, to_cells
-from tagloom.llm.common import written
+from tagloom.llm.common import likely, written
 from tagloom.llm.components import forest, linked_rows
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
@@ -39,7 +39,6 @@ ALIKE = 0.7
 DEEP_SAMPLES = 16
 BLOCK_ROWS = 256
 CACHE_WORDS = 500_000
-FLUSH_BYTES = 4 << 20
 
 
 def run_count(threshold: float = THRESHOLD, recall: float = RECALL, branches: int = BRANCHES) -> int:
@@ -130,13 +129,14 @@ def similar_texts(docs: DataFrame, threshold: float = THRESHOLD, words: int = WO
                                               F.min("doc_id").alias("low")), "set-classes")
     leaves = _leaves(classes, runs, depth, leaf_rows)
     names = leaves.groupBy("key").agg(F.sort_array(F.collect_list("path")).alias("paths"))  # at most runs * 2^depth
-    known = written(classes.join(names, "key"), "leaf-classes")
+    names = written(names, "leaf-names")
+    known = written(likely(classes, "key", names, "key").join(names, "key"), "leaf-classes")
     estimate = threshold - 5 * math.sqrt(threshold * (1 - threshold) / samples)
     cells = to_cells(leaves.join(known.select("key", "sample", "paths"), "key"), "path", "members", F.xxhash64("key"), block_rows)
     wanted = written(over_cells(cells, _candidates(estimate), "path long, key binary").distinct(), "candidates")
     sizes = written(wanted.groupBy("path").agg(F.count("*").alias("members")), "candidate-sizes")
     wanted = written(wanted.join(sizes, "path"), "sized-candidates")
-    owners = written(wanted.select("key").distinct().join(known, "key"), "candidate-classes")
+    owners = written(likely(known, "key", wanted, "key").join(wanted.select("key").distinct(), "key"), "candidate-classes")
     whole = written(_whole_sets(rows, owners, words, seed), "candidate-sets")
     cells = to_cells(wanted.join(whole, "key"), "path", "members", F.xxhash64("key"), block_rows)
     found = written(over_cells(cells, _compare(estimate, threshold), "key binary, links long, a binary, b binary"), "text-links")
@@ -204,7 +204,9 @@ def _leaves(classes: DataFrame, runs: int, depth: int, leaf_rows: int) -> DataFr
         crowded = sized.where("not leaf")
         if last or crowded.isEmpty():
             return leaves
-        nodes = crowded.select("key", "path", "members").join(classes.select("key", "sample"), "key")
+        # few classes are in crowded nodes: only their tokens are moved
+        classes = likely(classes, "key", crowded, "key").select("key", "sample")
+        nodes = crowded.select("key", "path", "members").join(classes, "key")
     return leaves
 
 
@@ -271,7 +273,7 @@ def _whole_sets(rows: DataFrame, owners: DataFrame, words: int, seed: int) -> Da
                 part = at.slice(a, 256)
                 yield pa.record_batch([*(batch.column(c).take(part) for c, _ in fields[:-1]), pa.array(grams[a:a + 256], pa.binary())], schema=schema)
 
-    return rows.join(owners, F.col("doc_id").eqNullSafe(F.col("low"))).select("text", "key", "sample", "copies", "paths").mapInArrow(
+    return likely(rows, "doc_id", owners, "low").join(owners, F.col("doc_id").eqNullSafe(F.col("low"))).select("text", "key", "sample", "copies", "paths").mapInArrow(
         sets, "key binary, sample binary, copies long, paths array<long>, grams binary")
 
 
