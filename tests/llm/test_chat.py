@@ -60,3 +60,33 @@ def test_masked_text_is_the_speakers(spark):
     frame = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
     for r in check(frame):
         assert all(r.text[m.start:m.end].endswith("<|end|>") for m in r.masks)
+
+
+def test_crowded_turns_are_cut_by_rows(spark):
+    """Thousands of rows with one turn number, without one, or with numbers
+    that start again: no piece holds more than the pieces' turns."""
+    r = random.Random(1)
+    rows = [(1, 5, r.choice(["a", "b", None]), f"{'long ' * 60}{r.randint(0, 900)}") for _ in range(3000)]
+    rows += [(1, None, "a", "same")] * 2000 + [(1, 70, "b", "after"), (3, 0, "c", "alone")]
+    rows += [(None, t % 8, ("a", "b")[t % 2], r.choice(["<|x", "", None, f"{t}"])) for t in range(3000)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # ranges over several partitions
+    try:
+        got = rotate(frame, 64).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(x.n_turns for x in got) <= 64
+    held = defaultdict(list)
+    for x in got:
+        held[x.conv_id, x.speaker].append(x)
+    want = defaultdict(lambda: ["", []])
+    for conv, speaker, _, offset, _, text, masks in map(eval, brute(rows, 64)):
+        whole = want[conv, speaker]
+        assert offset == len(whole[0])  # repr order of pieces -1, 0, 1
+        whole[0] += text
+        whole[1] += [(offset + a, offset + b) for a, b in masks]
+    assert set(held) == set(want)
+    for key, pieces in held.items():
+        pieces.sort(key=lambda x: x.offset)
+        assert all(a.offset + len(a.text) == b.offset and a.piece <= b.piece for a, b in zip(pieces, pieces[1:]))
+        assert ["".join(x.text for x in pieces), [(x.offset + m.start, x.offset + m.end) for x in pieces for m in x.masks]] == want[key]
