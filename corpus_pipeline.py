@@ -9,14 +9,14 @@ rows its predecessor kept. Empty tables go through every stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm.bpe_tree import round_trip
 from tagloom.llm.common import read, written
-from tagloom.llm.exact_dedup import exact_dedup
+from tagloom.llm.exact_dedup import exact_dedup, text_key
 from tagloom.llm.queries import tokenizer_file
-from tagloom.llm.shingle_join import similar_texts
+from tagloom.llm.shingle_join import raw_key, similar_texts
 from tagloom.llm.source_mix import mixed_documents
 from tagloom.llm.toxicity import learn, toxic_score
 
@@ -30,28 +30,33 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return docs.where(toxic_score(model) < 0.5)
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows whose doc_id was kept; of rows that repeat a doc_id and a text,
-    one (the least by the other columns)."""
+def _only(docs: DataFrame, key: Column, kept: DataFrame, kept_key: Column) -> DataFrame:
+    """Rows whose doc_id and key were kept; of rows that repeat both, one (the
+    least by the other columns, then the text)."""
     # the row travels as one struct: its columns may have any names
-    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"))
-    ids = kept.select(F.col("doc_id").alias("kept_id"))
-    found = rows.join(ids, F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
+    rows = docs.select(F.struct("*").alias("doc"), F.concat_ws(":", F.col("doc_id").cast("long"), key).alias("at"))
     rest = [F.col(f"doc.`{c}`") for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map" not in kind]
-    one = Window.partitionBy("id", F.xxhash64("doc.text")).orderBy(*(rest or ["id"]))
-    return found.withColumn("n", F.row_number().over(one)).where("n = 1").select("doc.*")
+    # copies meet before they are moved, so no task holds all rows of an id or a text
+    one = rows.groupBy("at").agg(F.min_by("doc", F.struct(*rest, F.col("doc.text"))).alias("doc"))
+    at = kept.select(F.concat_ws(":", "doc_id", kept_key).alias("at"))
+    return one.join(at, "at", "left_semi").select("doc.*")
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts (A-Z in either case) the largest doc_id stays. Rows that
-    repeat an id with other texts stay or go together."""
-    return _only(docs, exact_dedup(docs).where("kept"))
+    """Of equal texts (A-Z in either case) the row with the largest doc_id
+    stays, null ids ranking lowest. Ids may repeat: rows that share only the id
+    are told apart by their texts."""
+    kept = exact_dedup(docs).where("kept")
+    return _only(docs, text_key(F.col("text").cast("binary")), kept, F.col("text_sha256"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by similarity 0.8 the smallest doc_id stays. Texts
-    without words have no similarity and stay."""
-    return _only(docs, similar_texts(docs).where("kept"))
+    """Of each group linked by similarity 0.8 the smallest doc_id stays, null
+    ids ranking highest, and one text where several of the group have that id.
+    Texts without words have no similarity and stay."""
+    kept = similar_texts(docs, named=True).where("kept")
+    kept = kept.groupBy("doc_id", F.coalesce("root", "sha")).agg(F.min("sha").alias("sha"))
+    return _only(docs, F.hex(raw_key(F.col("text"))), kept, F.hex("sha"))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,9 +84,11 @@ def forest(near) -> list[tuple[int, int]]:
     return tree_links(parent)
 
 
-def linked_rows(keyed: DataFrame, row_id: str, found: DataFrame) -> DataFrame:
+def linked_rows(keyed: DataFrame, row_id: str, found: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
     """Rows (row_id, key) and what cells found (key, links, a, b) -> one row
-    per row: row_id, n_links, component_id (the smallest id reached), kept.
+    per row: row_id, n_links, component_id (the smallest id reached), kept, and
+    ``more``: columns of ``keyed``, or root, the name of the component (ids may
+    repeat, so component_id does not name it).
 
     Rows of one key are copies and link with each other. Counts go through
     the classes; only written tables meet in joins.
@@ -99,6 +101,7 @@ def linked_rows(keyed: DataFrame, row_id: str, found: DataFrame) -> DataFrame:
     classes = written(classes, "classes")
     lowest = written(classes.groupBy("root").agg(F.min("low").alias("component_id")), "lowest")
     of_class = written(classes.join(lowest, "root").select(
-        "key", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id"), "class-results")
-    return keyed.select(row_id, "key").join(of_class, "key").select(
-        row_id, "n_links", "component_id", F.col(row_id).eqNullSafe(F.col("component_id")).alias("kept"))
+        "key", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id",
+        *(c for c in more if c == "root")), "class-results")
+    return keyed.select(row_id, "key", *(c for c in more if c != "root")).join(of_class, "key").select(
+        row_id, "n_links", "component_id", F.col(row_id).eqNullSafe(F.col("component_id")).alias("kept"), *more)

@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tagloom.llm.common import written
 
@@ -60,6 +61,12 @@ def text_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         cut, "doc_id long, sha binary, n_blocks long, pos long, block binary")
 
 
+@F.arrow_udf(StringType())
+def text_key(text: pa.Array) -> pa.Array:
+    """``text_sha256`` of texts given as binary."""
+    return pa.array([hashlib.sha256((x.as_py() or b"").lower()).hexdigest() for x in text], pa.string())
+
+
 def _ranked(keys: list[str], names: list[str]):
     """Task function: ranks of the distinct keys of one sorted partition, and
     at its end a summary row with the partition's first and last key."""

@@ -25,7 +25,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.cells import over_cells, to_cells
@@ -110,8 +110,14 @@ def _set_key(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
 
 
+def raw_key(text: Column) -> Column:
+    """Digest of a text as it is; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text.cast("binary"), F.lit(b"")), 256))
+
+
 def similar_texts(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, recall: float = RECALL,
-                  leaf_rows: int = LEAF_ROWS, depth: int = DEPTH, seed: int = SEED, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                  leaf_rows: int = LEAF_ROWS, depth: int = DEPTH, seed: int = SEED, block_rows: int = BLOCK_ROWS,
+                  named: bool = False) -> DataFrame:
     """One row per document: doc_id, n_links (other documents at ``threshold``
     or more), component_id (smallest doc_id reached by links), kept.
 
@@ -119,10 +125,15 @@ def similar_texts(docs: DataFrame, threshold: float = THRESHOLD, words: int = WO
     texts have no n-grams and link with nothing; texts with equal n-gram sets
     always link. Repeated rows count as documents. A null doc_id counts as the
     largest. No rows give no rows; other columns are ignored.
+
+    Rows of one id with different texts are different documents; ``named`` adds
+    what tells them apart: sha (``raw_key``) and root, the name of the component
+    (null without n-grams).
     """
     runs = run_count(threshold, recall)
     samples = BRANCHES * runs + DEEP_SAMPLES * (depth - 1)
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
+                       *([raw_key(F.col("text")).alias("sha")] if named else []))
     keyed = written(_sampled(rows, words, samples, seed), "sampled")
     sets = keyed.where("key is not null")
     classes = written(sets.groupBy("key").agg(F.first("sample").alias("sample"), F.count("*").alias("copies"),
@@ -141,13 +152,15 @@ def similar_texts(docs: DataFrame, threshold: float = THRESHOLD, words: int = WO
     cells = to_cells(wanted.join(whole, "key"), "path", "members", F.xxhash64("key"), block_rows)
     found = written(over_cells(cells, _compare(estimate, threshold), "key binary, links long, a binary, b binary"), "text-links")
     alone = keyed.where("key is null").select(
-        "doc_id", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
-    return linked_rows(sets.select("doc_id", "key"), "doc_id", found).unionByName(alone)
+        "doc_id", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"),
+        *(["sha", F.lit(None).cast("binary").alias("root")] if named else []))
+    return linked_rows(sets, "doc_id", found, ("sha", "root") if named else ()).unionByName(alone)
 
 
 def _sampled(rows: DataFrame, words: int, samples: int, seed: int) -> DataFrame:
-    """(doc_id, key of the n-gram set or null, drawn tokens)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("sample", pa.binary())])
+    """(doc_id, key of the n-gram set or null, drawn tokens, and sha if given)."""
+    sha = [c for c in rows.columns if c == "sha"]
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("sample", pa.binary()), *((c, pa.binary()) for c in sha)])
 
     def sample(batches):
         shingler = _shingler(words, samples, seed)
@@ -157,9 +170,9 @@ def _sampled(rows: DataFrame, words: int, samples: int, seed: int) -> DataFrame:
                 grams = shingler.shingles(text.as_py())
                 keys.append(_set_key(grams) if len(grams) else None)
                 drawn.append(shingler.drawn(grams).tobytes() if len(grams) else None)
-            yield pa.record_batch([batch.column(0), pa.array(keys, pa.binary()), pa.array(drawn, pa.binary())], schema=schema)
+            yield pa.record_batch([batch.column(0), pa.array(keys, pa.binary()), pa.array(drawn, pa.binary()), *(batch.column(c) for c in sha)], schema=schema)
 
-    return rows.mapInArrow(sample, "doc_id long, key binary, sample binary")
+    return rows.mapInArrow(sample, ", ".join(["doc_id long, key binary, sample binary", *(f"{c} binary" for c in sha)]))
 
 
 def _children(level: int, runs: int):

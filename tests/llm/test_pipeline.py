@@ -89,3 +89,28 @@ def test_odd_rows_and_empty_tables(spark, odd, none, tmp_path):
                 texts = [(r.text or "").lower() for r in docs.collect()]
                 assert len(texts) == len(set(texts))
         docs.collect()
+
+
+def _stage(spark, stage, rows):
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id long, text string, no int").repartition(3)
+    out = stage(spark, docs, "").collect()
+    return sorted(((r.doc_id, r.text) for r in out), key=repr)
+
+
+def test_exact_stage_decides_row_by_row(spark):
+    rows = [(None, "T"), (9, "t"), (None, "U"), (7, "A"), (7, "X"), (9, "x"), (9, "X"), (None, None), (3, ""), (4, "É\x00Z"), (None, "É\x00z"),
+            *[(None, "U")] * 3]
+    want = [(9, "t"), (None, "U"), (7, "A"), (9, "x"), (3, ""), (4, "É\x00Z")]
+    assert _stage(spark, C.exact_dedup_stage, rows) == sorted(want, key=repr)
+
+
+def test_near_stage_decides_row_by_row(spark):
+    def text(name, last="end"):
+        return " ".join(f"{name}{k}" for k in range(60)) + " " + last
+
+    rows = [(7, text("a")), (7, text("x")), (5, text("x", "fin")), (None, text("x", "stop")), (None, text("b")), (None, text("b", "fin")),
+            (None, text("c")), (8, text("d")), (8, text("d", "fin")), (8, text("e")), (None, ""), (2, " ")]
+    got = _stage(spark, C.near_dedup_stage, rows)
+    assert len(got) == 8
+    assert {(7, text("a")), (5, text("x", "fin")), (None, text("c")), (8, text("e")), (None, ""), (2, " ")} <= set(got)
+    assert sum(d is None and t.startswith("b0") for d, t in got) == 1 and sum(d == 8 and t.startswith("d0") for d, t in got) == 1
