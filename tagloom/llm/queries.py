@@ -16,6 +16,7 @@ from tagloom.llm.common import read
 from tagloom.llm.embedding_neardup import near_vectors
 from tagloom.llm.exact_dedup import exact_dedup
 from tagloom.llm.language_id import identify
+from tagloom.llm.piece_rounds import piece_round_trip
 from tagloom.llm.prefix_tokens import prefix_tokens, tokens_of
 from tagloom.llm.secret_scan import find_secrets
 from tagloom.llm.shingle_join import similar_texts
@@ -71,7 +72,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = round_trip(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return _digests(round_trip(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")))
+
+
+def _digests(coded: DataFrame) -> DataFrame:
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
@@ -93,6 +97,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 
+def op13_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digests(piece_round_trip(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model")))
+
+
 LLM_QUERIES = {
     "op1_embedding_neardup": op1_embedding_neardup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -104,4 +112,5 @@ LLM_QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_secret_scan": op10_secret_scan,
+    "op13_piece_round_trip": op13_piece_round_trip,
 }
