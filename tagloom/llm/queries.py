@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm.bpe_tree import round_trip
+from tagloom.llm.chat_repair import damage, repair, summaries
 from tagloom.llm.chat_rotation import rotate
 from tagloom.llm.common import read
 from tagloom.llm.embedding_neardup import near_vectors
@@ -97,6 +98,16 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 
+def op11_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations without a row left have zeros and the digest of nothing."""
+    conversations = read(spark, sf_dir, "conversations")
+    found = summaries(repair(damage(conversations))).withColumnRenamed("conv_id", "of")
+    rows = conversations.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    return rows.select(
+        "conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digests(piece_round_trip(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model")))
 
@@ -112,5 +123,6 @@ LLM_QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_secret_scan": op10_secret_scan,
+    "op11_chat_repair": op11_chat_repair,
     "op13_piece_round_trip": op13_piece_round_trip,
 }
