@@ -160,10 +160,46 @@ SELECT conv_id, speaker, piece,
 FROM p
 """
 
+# Every document is scored for every item.
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+),
+s AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS total FROM d WHERE len(terms) > 0),
+i AS (
+  SELECT item_id, row_number() OVER () AS q, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)
+),
+q AS (SELECT q, any_value(item_id) AS item_id, term, count(*) AS times FROM i GROUP BY q, term),
+t AS (
+  SELECT r, any_value(doc_id) AS doc_id, any_value(n)::BIGINT AS n, term, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY r, term
+),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+p AS (
+  SELECT r, doc_id, term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT
+    * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // total))) AS part
+  FROM t JOIN f USING (term), s
+),
+m AS (
+  SELECT q, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id, sum(times * part)::BIGINT AS score
+  FROM q JOIN p USING (term) GROUP BY q, r
+),
+k AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM m WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
 LLM_ORACLE = {
     "op1_embedding_neardup": OP1,
     "op2_ngram_jaccard": OP2,
     "op3_source_mix": OP3,
     "op4_exact_dedup": OP4,
     "op5_chat_rotation": OP5,
+    "op12_ranked_search": OP12,
 }

@@ -19,6 +19,7 @@ from tagloom.llm.exact_dedup import exact_dedup
 from tagloom.llm.language_id import identify
 from tagloom.llm.piece_rounds import piece_round_trip
 from tagloom.llm.prefix_tokens import prefix_tokens, tokens_of
+from tagloom.llm.ranked_search import ranked_search
 from tagloom.llm.secret_scan import find_secrets
 from tagloom.llm.shingle_join import similar_texts
 from tagloom.llm.source_mix import mix_sources
@@ -108,6 +109,10 @@ def op11_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read(spark, sf_dir, "benchmark"), read(spark, sf_dir, "documents"))
+
+
 def op13_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digests(piece_round_trip(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model")))
 
@@ -124,5 +129,6 @@ LLM_QUERIES = {
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_secret_scan": op10_secret_scan,
     "op11_chat_repair": op11_chat_repair,
+    "op12_ranked_search": op12_ranked_search,
     "op13_piece_round_trip": op13_piece_round_trip,
 }
