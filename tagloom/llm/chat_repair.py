@@ -207,25 +207,29 @@ def _chunks(rows: DataFrame, chunk_rows: int) -> DataFrame:
         "conv_id", F.spark_partition_id().alias("part"), "turn", "role", "text")
 
     def cut(batches):
-        held, last, part, chunk, chars, conv = ([], [], []), None, 0, 0, 0, None
+        held, last, part, chunk, chars, schema = ([], [], []), None, 0, 0, 0, None
+        done, done_chars = [], 0
 
         def flush():
-            arrays = [pa.array([v], t) for v, t in zip((part, chunk, *held), _CHUNK.types)]
-            return pa.record_batch([conv, *arrays], names=["conv_id", *_CHUNK.names])
+            return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*done), schema)], schema=schema)
 
         for batch in batches:
-            ids = batch.column(0)
-            for k, (turn, role, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)))):
-                here = ids[k].as_py()
+            schema = pa.schema([pa.field("conv_id", batch.schema.field(0).type), *_CHUNK])
+            for here, at, turn, role, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if held[0] and (here != last or len(held[0]) >= chunk_rows or chars > CHUNK_CHARS):
-                    yield flush()
+                    done.append((last, part, chunk, *held))
+                    done_chars += chars
                     held, chunk, chars = ([], [], []), chunk + 1, 0
+                    if done_chars > CHUNK_CHARS:
+                        yield flush()
+                        done, done_chars = [], 0
                 if not held[0]:
-                    last, conv, part = here, ids.slice(k, 1), batch.column(1)[k].as_py()
+                    last, part = here, at
                 for values, v in zip(held, (turn, role, text)):
                     values.append(v)
-                chars += len(role) + len(text)
+                chars += 16 + len(role) + len(text)
         if held[0]:
+            done.append((last, part, chunk, *held))
             yield flush()
 
     return dealt.mapInArrow(cut, f"conv_id {kind}, {_CHUNK_DDL}")
@@ -255,11 +259,23 @@ def _facts(turns, roles) -> tuple:
     return (known[0] if known else None, known[-1] if known else None, len(set(known)), len(turns), initials[0], initials[-1], illegal)
 
 
-def _piece(conv, row, counts, cost, audit, repaired, schema):
+def _piece(row, counts, cost, audit, repaired):
     first_turn, last_turn, n_turns, n_rows, first, last, illegal = _facts(row["turns"], row["roles"])
-    values = (row["part"], row["chunk"], first_turn, last_turn, n_turns, n_rows, first, last, *counts, illegal, cost, audit,
-              [{"role": r, "text": t} for r, t in repaired])
-    return pa.record_batch([conv, *(pa.array([v], f.type) for v, f in zip(values, list(schema)[1:]))], schema=schema)
+    return (row["conv_id"], row["part"], row["chunk"], first_turn, last_turn, n_turns, n_rows, first, last, *counts, illegal, cost, audit,
+            [{"role": r, "text": t} for r, t in repaired])
+
+
+def _in_batches(batch: pa.RecordBatch, piece):
+    """``piece`` of every chunk, in record batches of bounded texts."""
+    schema = _piece_schema(batch.schema.field("conv_id").type)
+    out, chars = [], 0
+    for k in range(batch.num_rows):
+        row = batch.slice(k, 1).to_pylist()[0]
+        out.append(piece(row))
+        chars += sum(map(len, row["texts"]))
+        if chars > CHUNK_CHARS or k == batch.num_rows - 1:
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+            out, chars = [], 0
 
 
 def _piece_schema(conv_type) -> pa.Schema:
@@ -293,13 +309,14 @@ def repair(rows: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
 
     def whole(batches):
         solve = Solver()
+
+        def piece(row):
+            codes, counts = _coded(row["roles"], row["texts"], None)
+            cost, audit = solve(codes)
+            return _piece(row, counts, cost, audit, applied(audit, list(zip(row["roles"], row["texts"])), 0))
+
         for batch in batches:
-            schema = _piece_schema(batch.schema.field(0).type)
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                codes, counts = _coded(row["roles"], row["texts"], None)
-                cost, audit = solve(codes)
-                yield _piece(batch.column(0).slice(k, 1), row, counts, cost, audit, applied(audit, list(zip(row["roles"], row["texts"])), 0), schema)
+            yield from _in_batches(batch, piece)
 
     single = chunks.join(many, of_many, "left_anti").mapInArrow(whole, ddl).withColumn("whole", F.lit(True))
     return single.unionByName(_long(chunks.join(many, of_many, "left_semi"), kind, ddl))
@@ -376,18 +393,17 @@ def _long(chunks: DataFrame, kind: str, ddl: str) -> DataFrame:
 
     def pieces(batches):
         solve = Solver()
+
+        def piece(row):
+            codes, counts = _coded(row["roles"], row["texts"], set(row["repeated"] or ()))
+            cost, audit = solve(codes, row["p"], (row["q"],), False)
+            if row["end"]:
+                more = end_of(row["q"])
+                cost, audit = cost + more[0], audit + more[1]
+            return _piece(row, counts, cost, audit, applied(audit, list(zip(row["roles"], row["texts"])), row["p"]))
+
         for batch in batches:
-            at = batch.schema.get_field_index("conv_id")
-            schema = _piece_schema(batch.schema.field(at).type)
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                codes, counts = _coded(row["roles"], row["texts"], set(row["repeated"] or ()))
-                cost, audit = solve(codes, row["p"], (row["q"],), False)
-                if row["end"]:
-                    more = end_of(row["q"])
-                    cost, audit = cost + more[0], audit + more[1]
-                yield _piece(batch.column(at).slice(k, 1), row, counts, cost, audit,
-                             applied(audit, list(zip(row["roles"], row["texts"])), row["p"]), schema)
+            yield from _in_batches(batch, piece)
 
     return flagged.join(of_chunks, ["part", "chunk"]).mapInArrow(pieces, ddl).withColumn("whole", F.lit(False))
 
