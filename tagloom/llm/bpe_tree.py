@@ -19,9 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.common import worker_state
+
 LEAF_CHARS = 2048
 LONG_CHARS = 1 << 16
-CACHE_PIECES = 250_000
+#: Bytes of pieces and their ids that an encoder keeps, in two generations.
+CACHE_BYTES = 24 << 20
 FLUSH_CHARS = 2 << 20
 
 # Unicode's White_Space characters, which the pre-tokenizer's \s matches
@@ -48,6 +51,7 @@ class ByteBpe:
 
         self.library, self.leaf, self.cache = Tokenizer.from_file(path), leaf_chars, {}
         self.older: dict = {}
+        self.kept = 0
         self.library.no_truncation()
         self.library.no_padding()
         added = {i: t.content for i, t in self.library.get_added_tokens_decoder().items()}
@@ -75,8 +79,8 @@ class ByteBpe:
         return ids
 
     def _pieces(self, text: str, ids: list[int]) -> None:
-        if len(self.cache) > CACHE_PIECES:  # what is used again moves on, the rest goes
-            self.cache, self.older = {}, self.cache
+        if self.kept > CACHE_BYTES:  # what is used again moves on, the rest goes
+            self.cache, self.older, self.kept = {}, self.cache, 0
         cache, older = self.cache, self.older
         for p in _PIECE.findall(text):
             known = cache.get(p)
@@ -85,6 +89,7 @@ class ByteBpe:
                     known = self.tree(p)
                 else:
                     known = cache[p] = older.get(p) or tuple(self.whole(p))
+                    self.kept += 200 + len(p) + 8 * len(known)  # about: dictionary slot, text, tuple
             ids.extend(known)
 
     def tree(self, text: str) -> list[int]:
@@ -131,16 +136,6 @@ class ByteBpe:
         return self.decode_bytes(ids).decode("utf-8", "replace")
 
 
-_LOADED: dict = {}
-
-
-def loaded(path: str, leaf_chars: int = LEAF_CHARS) -> ByteBpe:
-    """One encoder per Python worker."""
-    if (path, leaf_chars) not in _LOADED:
-        _LOADED[path, leaf_chars] = ByteBpe(path, leaf_chars)
-    return _LOADED[path, leaf_chars]
-
-
 def _batches(rows, schema, size):
     """Record batches of at most about ``FLUSH_CHARS`` of ``size(row)``."""
     out, held = [], 0
@@ -169,7 +164,7 @@ def round_trip(docs: DataFrame, path: str, leaf_chars: int = LEAF_CHARS, long_ch
     long = F.length("text") > long_chars
 
     def short_texts(batches):
-        bpe = loaded(path, leaf_chars)
+        bpe = worker_state(ByteBpe, path, leaf_chars)
 
         def each():
             for batch in batches:
@@ -193,7 +188,7 @@ def round_trip(docs: DataFrame, path: str, leaf_chars: int = LEAF_CHARS, long_ch
         yield from _batches(each(), schema, lambda row: len(row[3]))
 
     def parts(batches):
-        bpe = loaded(path, leaf_chars)
+        bpe = worker_state(ByteBpe, path, leaf_chars)
         schema = pa.schema([("doc_id", pa.int64()), ("sha", pa.string()), ("part", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
         def each():
@@ -204,7 +199,7 @@ def round_trip(docs: DataFrame, path: str, leaf_chars: int = LEAF_CHARS, long_ch
         yield from _batches(each(), schema, lambda row: len(row[3]))
 
     def joined(table):
-        bpe = loaded(path, leaf_chars)
+        bpe = worker_state(ByteBpe, path, leaf_chars)
         of, copies = {}, 0
         for part, ids in zip(table.column("part").to_pylist(), table.column("ids")):
             of[part], copies = ids, copies + (part == 0)

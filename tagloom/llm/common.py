@@ -21,7 +21,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     plain exchanges, whose large partitions adaptive execution can split."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch = path
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove ``written`` tables that nothing reads any more: what was made of
+    them must have been written as well."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.scratch)
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+_HELD: dict = {}
+
+
+def worker_state(build, *args):
+    """``build(*args)``, kept in the Python worker for its next task. Workers
+    serve one operator after another, so only the last one's is kept."""
+    key = build, *args
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build(*args)
+    return _HELD[key]
 
 
 def likely(rows: DataFrame, column: str, wanted: DataFrame, other: str) -> DataFrame:

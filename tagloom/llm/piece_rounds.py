@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.common import worker_state
+
 FLUSH_CHARS = 1 << 19
 LONG_WORD = 64
 MARK = "▁"
@@ -278,16 +280,6 @@ def _near_least(rank: np.ndarray, reach: int) -> np.ndarray:
     return least
 
 
-_LOADED: dict = {}
-
-
-def loaded(path: str) -> PieceRounds:
-    """One encoder per Python worker; it holds tables of the vocabulary only."""
-    if path not in _LOADED:
-        _LOADED[path] = PieceRounds(path)
-    return _LOADED[path]
-
-
 _DDL = "doc_id long, ids array<int>, decoded string"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
@@ -301,7 +293,7 @@ def piece_round_trip(docs: DataFrame, path: str) -> DataFrame:
     words. No rows give no rows; other columns are ignored.
     """
     def trip(batches):
-        rounds = loaded(path)
+        rounds = worker_state(PieceRounds, path)
 
         def flush(doc_ids, texts):
             ids = rounds.encode_all(texts)

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.common import worker_state
+
 CACHE_UNITS = 250_000
 CACHE_PAIRS = 1_000_000
 FLUSH_CHARS = 1 << 20
@@ -113,15 +115,6 @@ class PrefixCounter:
         return (np.frombuffer(b"".join(parts), dtype=np.int32) + np.repeat(before, lengths))[1:]
 
 
-_LOADED: dict = {}
-
-
-def loaded(path: str) -> PrefixCounter:
-    if path not in _LOADED:
-        _LOADED[path] = PrefixCounter(path)
-    return _LOADED[path]
-
-
 def prefix_tokens(docs: DataFrame, path: str) -> DataFrame:
     """One row per document: doc_id, n_bytes, prefix_tokens (element k: the
     tokens of the first k characters, from 1).
@@ -132,7 +125,7 @@ def prefix_tokens(docs: DataFrame, path: str) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("prefix_tokens", pa.list_(pa.int32()))])
 
     def tables(batches):
-        counter = loaded(path)
+        counter = worker_state(PrefixCounter, path)
 
         def flush(ids, sizes, counts):
             offsets = np.cumsum([0, *map(len, counts)], dtype=np.int32)

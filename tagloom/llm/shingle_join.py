@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.cells import over_cells, to_cells
-from tagloom.llm.common import likely, written
+from tagloom.llm.common import dropped, likely, worker_state, written
 from tagloom.llm.components import forest, linked_rows
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
@@ -38,7 +39,8 @@ BRANCHES, DEPTH, LEAF_ROWS, SEED = 2, 6, 64, 5
 ALIKE = 0.7
 DEEP_SAMPLES = 16
 BLOCK_ROWS = 256
-CACHE_WORDS = 500_000
+SLICE_CHARS = 1 << 20
+_SPACE = re.compile(r"\s")
 
 
 def run_count(threshold: float = THRESHOLD, recall: float = RECALL, branches: int = BRANCHES) -> int:
@@ -54,26 +56,42 @@ class Shingler:
 
     def __init__(self, words: int = WORDS, samples: int = 0, seed: int = SEED):
         rng = np.random.default_rng(seed)
-        self.words, self.cache = words, {}
+        self.words = words
         self.places = rng.integers(1, 2**63, size=words, dtype=np.uint64) | np.uint64(1)
+        self.letters = rng.integers(1, 2**63, size=64, dtype=np.uint64) | np.uint64(1)
         self.factors = rng.integers(1, 2**31, size=samples, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
         self.shifts = rng.integers(0, 2**32, size=samples, dtype=np.uint32)
 
+    def _hashed(self, words: list[str]) -> np.ndarray:
+        """64-bit hashes of words, from all their letters at once."""
+        letters = np.frombuffer((" ".join(words) + " ").encode("utf-32-le"), dtype=np.uint32)
+        ends = np.flatnonzero(letters == 32)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        sizes = ends + 1 - starts
+        if (longest := int(sizes.max())) > len(self.letters):  # powers of an odd number, beyond the first places
+            more = np.multiply.accumulate(np.full(longest - len(self.letters), 0xD6E8FEB86659FD93, dtype=np.uint64))
+            factors = np.concatenate([self.letters, self.letters[-1] * more])
+        else:
+            factors = self.letters
+        x = (letters + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(31))) * factors[np.arange(len(letters)) - np.repeat(starts, sizes)]
+        h = np.add.reduceat(x ^ (x >> np.uint64(30)), starts)
+        return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
     def shingles(self, text: str) -> np.ndarray:
         """Sorted distinct n-grams of the lower-cased words; a text of fewer
         words is one n-gram, an empty one has none."""
-        cache, hashes = self.cache, []
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        for w in text.lower().split():
-            h = cache.get(w)
-            if h is None:
-                h = cache[w] = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
-            hashes.append(h)
-        h = np.array(hashes, dtype=np.uint64)
+        hashes, at = [], 0
+        while at < len(text):  # long texts in slices that end at white space
+            end = _SPACE.search(text, at + SLICE_CHARS) if len(text) - at > SLICE_CHARS else None
+            words = text[at:end.start() if end else len(text)].lower().split()
+            at = end.end() if end else len(text)
+            if words:
+                hashes.append(self._hashed(words))
+        if not hashes:
+            return np.zeros(0, dtype=np.uint64)
+        h = np.concatenate(hashes)
         n = max(1, len(h) - self.words + 1)
-        if not len(h):
-            return h
         grams = np.full(n, min(len(h), self.words), dtype=np.uint64)
         for k in range(min(self.words, len(h))):
             grams = (grams ^ (grams >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + h[k:k + n] * self.places[k]
@@ -89,6 +107,25 @@ class Shingler:
         return least
 
 
+def packed(tokens: np.ndarray, first: int) -> bytes:
+    """The first ``first`` tokens name the nodes of all sets: 32 bits each. The
+    others split crowded nodes further: 16 bits do."""
+    return tokens[:first].tobytes() + tokens[first:].astype(np.uint16).tobytes()
+
+
+def unpacked(samples: list[bytes], first: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``packed`` tokens: the first ones, the others."""
+    rows = np.frombuffer(b"".join(samples), dtype=np.uint8).reshape(len(samples), -1)
+    return rows[:, :4 * first].copy().view(np.uint32), rows[:, 4 * first:].copy().view(np.uint16)
+
+
+def _low_bytes(sample: Column, first: int, samples: int) -> Column:
+    """The lowest byte of every packed token, which pairs are estimated by."""
+    text = F.hex(sample)
+    at = [8 * k + 1 for k in range(first)] + [8 * first + 4 * k + 1 for k in range(samples - first)]
+    return F.unhex(F.concat(*[F.substring(text, k, 2) for k in at]))
+
+
 def _mix(path: np.ndarray, place: np.ndarray, token: np.ndarray) -> np.ndarray:
     """Name of the child node."""
     x = path.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
@@ -97,15 +134,6 @@ def _mix(path: np.ndarray, place: np.ndarray, token: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-_LOADED: dict = {}
-
-
-def _shingler(words: int, samples: int, seed: int) -> Shingler:
-    if (words, samples, seed) not in _LOADED:
-        _LOADED[words, samples, seed] = Shingler(words, samples, seed)
-    return _LOADED[words, samples, seed]
-
-
 def _set_key(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
 
@@ -131,25 +159,31 @@ def similar_texts(docs: DataFrame, threshold: float = THRESHOLD, words: int = WO
     (null without n-grams).
     """
     runs = run_count(threshold, recall)
-    samples = BRANCHES * runs + DEEP_SAMPLES * (depth - 1)
+    first = BRANCHES * runs
+    samples = first + DEEP_SAMPLES * (depth - 1)
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
                        *([raw_key(F.col("text")).alias("sha")] if named else []))
-    keyed = written(_sampled(rows, words, samples, seed), "sampled")
+    keyed = written(_sampled(rows, words, samples, first, seed), "sampled")
     sets = keyed.where("key is not null")
     classes = written(sets.groupBy("key").agg(F.first("sample").alias("sample"), F.count("*").alias("copies"),
                                               F.min("doc_id").alias("low")), "set-classes")
     leaves = _leaves(classes, runs, depth, leaf_rows)
     names = leaves.groupBy("key").agg(F.sort_array(F.collect_list("path")).alias("paths"))  # at most runs * 2^depth
     names = written(names, "leaf-names")
-    known = written(likely(classes, "key", names, "key").join(names, "key"), "leaf-classes")
+    low_bytes = _low_bytes(F.col("sample"), first, samples).alias("sample")
+    known = written(likely(classes, "key", names, "key").select("key", low_bytes, "copies", "low").join(names, "key"), "leaf-classes")
     estimate = threshold - 5 * math.sqrt(threshold * (1 - threshold) / samples)
-    cells = to_cells(leaves.join(known.select("key", "sample", "paths"), "key"), "path", "members", F.xxhash64("key"), block_rows)
+    # of its leaves' names a row needs the lesser ones: a pair is taken in the least leaf it shares
+    lesser = F.filter("paths", lambda p: p < F.col("path")).alias("paths")
+    cells = to_cells(leaves.join(known.select("key", "sample", "paths"), "key").select("key", "path", "members", "sample", lesser),
+                     "path", "members", F.xxhash64("key"), block_rows)
     wanted = written(over_cells(cells, _candidates(estimate), "path long, key binary").distinct(), "candidates")
     sizes = written(wanted.groupBy("path").agg(F.count("*").alias("members")), "candidate-sizes")
-    wanted = written(wanted.join(sizes, "path"), "sized-candidates")
-    owners = written(likely(known, "key", wanted, "key").join(wanted.select("key").distinct(), "key"), "candidate-classes")
-    whole = written(_whole_sets(rows, owners, words, seed), "candidate-sets")
-    cells = to_cells(wanted.join(whole, "key"), "path", "members", F.xxhash64("key"), block_rows)
+    wanted = written(wanted.join(sizes, "path").join(known, "key").select("key", "path", "members", "sample", "copies", "low", lesser), "sized-candidates")
+    whole = _whole_sets(rows, wanted, words, seed)
+    same_text = F.col("doc_id").eqNullSafe(F.col("low"))
+    cells = to_cells(wanted.join(whole.withColumnRenamed("key", "set_key"), (F.col("key") == F.col("set_key")) & same_text).drop("set_key", "doc_id", "low"),
+                     "path", "members", F.xxhash64("key"), block_rows)
     found = written(over_cells(cells, _compare(estimate, threshold), "key binary, links long, a binary, b binary"), "text-links")
     alone = keyed.where("key is null").select(
         "doc_id", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"),
@@ -157,19 +191,19 @@ def similar_texts(docs: DataFrame, threshold: float = THRESHOLD, words: int = WO
     return linked_rows(sets, "doc_id", found, ("sha", "root") if named else ()).unionByName(alone)
 
 
-def _sampled(rows: DataFrame, words: int, samples: int, seed: int) -> DataFrame:
+def _sampled(rows: DataFrame, words: int, samples: int, first: int, seed: int) -> DataFrame:
     """(doc_id, key of the n-gram set or null, drawn tokens, and sha if given)."""
     sha = [c for c in rows.columns if c == "sha"]
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("sample", pa.binary()), *((c, pa.binary()) for c in sha)])
 
     def sample(batches):
-        shingler = _shingler(words, samples, seed)
+        shingler = worker_state(Shingler, words, samples, seed)
         for batch in batches:
             keys, drawn = [], []
             for text in batch.column(1):
                 grams = shingler.shingles(text.as_py())
                 keys.append(_set_key(grams) if len(grams) else None)
-                drawn.append(shingler.drawn(grams).tobytes() if len(grams) else None)
+                drawn.append(packed(shingler.drawn(grams), first) if len(grams) else None)
             yield pa.record_batch([batch.column(0), pa.array(keys, pa.binary()), pa.array(drawn, pa.binary()), *(batch.column(c) for c in sha)], schema=schema)
 
     return rows.mapInArrow(sample, ", ".join(["doc_id long, key binary, sample binary", *(f"{c} binary" for c in sha)]))
@@ -183,13 +217,13 @@ def _children(level: int, runs: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sample = np.frombuffer(b"".join(batch.column("sample").to_pylist()), dtype=np.uint32).reshape(batch.num_rows, -1)
+            sample = unpacked(batch.column("sample").to_pylist(), BRANCHES * runs)[min(level, 1)]
             rows = np.arange(batch.num_rows)
             if level == 0:
                 starts = [(np.full(len(rows), k // BRANCHES, dtype=np.uint64), np.full(len(rows), k)) for k in range(BRANCHES * runs)]
             else:
                 path = batch.column("path").to_numpy().view(np.uint64)
-                first = BRANCHES * runs + DEEP_SAMPLES * (level - 1)
+                first = DEEP_SAMPLES * (level - 1)
                 one = (path >> np.uint64(7)) % np.uint64(DEEP_SAMPLES)
                 # the other places follow the first one around: never the same twice
                 starts = [(path, first + ((one + np.uint64(k * 7)) % np.uint64(DEEP_SAMPLES)).astype(np.int64)) for k in range(BRANCHES)]
@@ -211,7 +245,9 @@ def _leaves(classes: DataFrame, runs: int, depth: int, leaf_rows: int) -> DataFr
         n = F.col("members")
         sizes = into.groupBy("path").agg(F.count("*").alias("members"), F.max("of").alias("of")).where("members > 1").select(
             "path", "members", ((n <= leaf_rows) | F.coalesce(n >= ALIKE * F.col("of"), F.lit(False)) | F.lit(last)).alias("leaf"))
-        sized = written(into.select("key", "path").join(written(sizes, f"node-sizes-{level}"), "path"), f"sized-{level}")
+        sizes = written(sizes, f"node-sizes-{level}")
+        sized = written(into.select("key", "path").join(sizes, "path"), f"sized-{level}")
+        dropped(into, sizes)
         here = sized.where("leaf").select("key", "path", "members")
         leaves = here if leaves is None else leaves.unionByName(here)
         crowded = sized.where("not leaf")
@@ -228,8 +264,7 @@ def _pairs(cell: pa.Table, estimate: float) -> np.ndarray:
     leaf has, as a symmetric matrix."""
     n = cell.num_rows
     first = cell.column("cell")[0].as_py()
-    path = first["bucket"]
-    sample = np.frombuffer(b"".join(cell.column("sample").to_pylist()), dtype=np.uint32).reshape(n, -1).astype(np.uint8)
+    sample = np.frombuffer(b"".join(cell.column("sample").to_pylist()), dtype=np.uint8).reshape(n, -1)
     same = np.zeros((n, n), dtype=np.int16)
     for c in range(sample.shape[1]):
         same += sample[:, c][:, None] == sample[:, c][None, :]
@@ -240,12 +275,12 @@ def _pairs(cell: pa.Table, estimate: float) -> np.ndarray:
         near &= block[:, None] != block[None, :]
     if near.any():
         lists = cell.column("paths").to_pylist()
-        lesser = sorted({p for x in lists for p in x if p < path})
+        lesser = sorted({p for x in lists for p in x})
         if lesser:
             at = {p: k for k, p in enumerate(lesser)}
             has = np.zeros((n, len(lesser)), dtype=np.float32)
             for k, x in enumerate(lists):
-                has[k, [at[p] for p in x if p < path]] = 1
+                has[k, [at[p] for p in x]] = 1
             near &= ~((has @ has.T) > 0)
     return near
 
@@ -266,28 +301,21 @@ def _candidates(estimate: float):
     return candidates
 
 
-def _whole_sets(rows: DataFrame, owners: DataFrame, words: int, seed: int) -> DataFrame:
-    """The n-gram sets of candidate classes, from the text of one document of
-    each (key, sample, copies, paths, grams)."""
-    fields = [("key", pa.binary()), ("sample", pa.binary()), ("copies", pa.int64()), ("paths", pa.list_(pa.int64())), ("grams", pa.binary())]
-    schema = pa.schema(fields)
+def _whole_sets(rows: DataFrame, wanted: DataFrame, words: int, seed: int) -> DataFrame:
+    """(doc_id, key, grams): n-gram sets, computed again, of the texts that may
+    be the least document of a wanted class."""
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("grams", pa.binary())])
 
     def sets(batches):
-        shingler = _shingler(words, 0, seed)
+        shingler = worker_state(Shingler, words, 0, seed)
         for batch in batches:
-            keep, grams = [], []
-            for k, (text, key) in enumerate(zip(batch.column("text"), batch.column("key"))):
-                found = shingler.shingles(text.as_py())
-                if _set_key(found) == key.as_py():  # a repeated doc_id may bring another text
-                    keep.append(k)
-                    grams.append(found.tobytes())
-            at = pa.array(keep, pa.int64())
-            for a in range(0, len(keep), 256):
-                part = at.slice(a, 256)
-                yield pa.record_batch([*(batch.column(c).take(part) for c, _ in fields[:-1]), pa.array(grams[a:a + 256], pa.binary())], schema=schema)
-
-    return likely(rows, "doc_id", owners, "low").join(owners, F.col("doc_id").eqNullSafe(F.col("low"))).select("text", "key", "sample", "copies", "paths").mapInArrow(
-        sets, "key binary, sample binary, copies long, paths array<long>, grams binary")
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
+                grams = [shingler.shingles(text.as_py()) for text in part.column(1)]
+                yield pa.record_batch([part.column(0), pa.array([_set_key(g) for g in grams], pa.binary()),
+                                       pa.array([g.tobytes() for g in grams], pa.binary())], schema=schema)
+
+    return likely(rows, "doc_id", wanted, "low").select("doc_id", "text").mapInArrow(sets, "doc_id long, key binary, grams binary")
 
 
 def shared_counts(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
