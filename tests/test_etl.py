@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tagloom.operators.etl import questions_from_posts
 from tagloom.sources.questions import load_questions, save_questions
 from tagloom.sources.schema import QUESTION_COLUMNS, RAW_POST_FIELDS, raw_post_schema
-from tagloom.sources.xml import read_posts_xml, write_posts_xml
+from tagloom.sources.xml import read_posts_document, read_posts_xml, write_posts_xml, xml_rejects
 
 DUMP = """<?xml version="1.0" encoding="utf-8"?>
 <posts>
@@ -48,10 +48,10 @@ def test_whole_documents_fail_loudly(spark, tmp_path):
     path = tmp_path / "Damaged.xml"
     path.write_text(DAMAGED)
     with pytest.raises(Exception, match="FAILED_READ_FILE"):
-        read_posts_xml(spark, str(path), line_wise=False).collect()
+        read_posts_document(spark, str(path)).collect()
     good = "\n".join(x for x in DAMAGED.splitlines() if "amp" not in x)
     path.write_text(good.replace("\ufeff", ""))
-    assert sorted(r["_Id"] for r in read_posts_xml(spark, str(path), line_wise=False).collect()) == ["1", "3", "4", "6"]
+    assert sorted(r["_Id"] for r in read_posts_document(spark, str(path)).collect()) == ["1", "3", "4", "6"]
 
 
 def _dump(tmp_path):
@@ -131,7 +131,7 @@ def test_one_large_dump_is_read_in_parallel(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(512 * 1024))
     try:
-        assert read_posts_xml(spark, out, line_wise=False).rdd.getNumPartitions() == 1    # one document
+        assert read_posts_document(spark, out).rdd.getNumPartitions() == 1
         df = read_posts_xml(spark, out)
         assert df.rdd.getNumPartitions() > 2
         assert df.count() == posts.count()
@@ -139,3 +139,56 @@ def test_one_large_dump_is_read_in_parallel(spark, tmp_path):
             sorted(r["_Id"] for r in posts.select("_Id").collect())
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+MULTILINE = """﻿<?xml version="1.0" encoding="utf-8"?>
+<!-- a dump -->
+<posts>
+  <row
+    Id="1"
+    Title="a &lt;row b > c"
+    Tags="&lt;x&gt;"
+  />
+  <row Id="2" Title="same line" /><row Id="3"
+Title="t"></row>
+  <row Id="4" Title="bare & amp"
+  />
+  <row Id="5"
+  <row Id="6" Title="child"><tag
+  a="b">x</tag>
+  </row>
+  <row Title="no id"
+  />
+  <rows Id="7"/>
+  <row Id="8" Title="last"
+/></posts>
+"""
+
+
+def test_elements_over_lines(spark, tmp_path):
+    path = tmp_path / "Multi.xml"
+    path.write_text(MULTILINE)
+    rows = read_posts_xml(spark, str(path), line_wise=False).select("_Id", "_Title").collect()
+    assert sorted(map(tuple, rows)) == [("1", "a <row b > c"), ("2", "same line"), ("3", "t"), ("6", "child"), ("8", "last")]
+    rejects = [(r["line"], r["reason"]) for r in xml_rejects(spark, str(path), line_wise=False).collect()]
+    assert sorted(x[0].split()[1] if x[0] else "" for x in rejects) == ["", "Id=\"4\"", "Id=\"5\"", "Id=\"7\"/>"]
+    assert {x[1] for x in rejects if x[0] is None} == {"row without Id"}
+
+
+@pytest.mark.parametrize("split", [97, 1000, 4096])
+def test_elements_do_not_depend_on_splits(spark, tmp_path, split):
+    """One file cut at any byte, by several tasks: the rows that parsing it as
+    one document gives."""
+    rows = [f'<row\n Id="{k}"\n Title="{"é日 &lt;row " * (k % 7)}{k}"\n Body="{"x" * (k * 13 % 301)}"\n/>' for k in range(200)]
+    path = tmp_path / "Posts.xml"
+    path.write_text('<?xml version="1.0"?>\n<posts>\n' + "\n".join(rows) + "\n</posts>\n")
+    whole = read_posts_document(spark, str(path)).select("_Id", "_Title", "_Body").collect()
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        df = read_posts_xml(spark, str(path), line_wise=False).select("_Id", "_Title", "_Body")
+        assert df.rdd.getNumPartitions() > 1
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, whole)) and len(whole) == 200
+        assert xml_rejects(spark, str(path), line_wise=False).collect() == []
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
