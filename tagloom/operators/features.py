@@ -73,12 +73,17 @@ def term_frequencies(df: DataFrame, id_col: str, text_col: str,
     A document is one row, so no shuffle is needed.
     """
     rows = df.select(F.col(id_col).alias("id"), F.array_sort(_tokens(text_col, drop_stop_words)).alias("s"))
+    return _counted_runs(rows).select("id", "r.term", "r.tf")
+
+
+def _counted_runs(rows: DataFrame) -> DataFrame:
+    """(id, s: sorted array) -> (id, r: struct of term and tf), one per run."""
     new = F.transform("s", lambda t, i: F.when((i == 0) | (F.get("s", i - 1) != t), i))
     rows = rows.withColumn("at", F.filter(new, lambda i: i.isNotNull()))
     runs = F.transform("at", lambda i, k: F.struct(
         F.get("s", i).alias("term"),
         (F.coalesce(F.get("at", k + 1), F.size("s")) - i).cast("bigint").alias("tf")))
-    return rows.select("id", F.explode(runs).alias("r")).select("id", "r.term", "r.tf")
+    return rows.select("id", F.explode(runs).alias("r"))
 
 
 def document_frequencies(df: DataFrame, id_col: str, text_col: str, drop_stop_words: bool = True) -> DataFrame:
@@ -110,3 +115,17 @@ def exact_tfidf(df: DataFrame, id_col: str, text_col: str, min_doc_freq: int = 0
     return (join_by_term(tf, dfreq, dfreq.count())
             .select("id", "term", "tf", "df", weight.alias("idf"))
             .withColumn("tfidf", F.col("tf") * F.col("idf")))
+
+
+def legacy_bucket(word, num_features: int = 1000):
+    """Bucket of a word under the hash that HashingTF had before Spark 3 (the
+    one of SQL's ``hash``: Murmur3 with single trailing bytes, seed 42). The
+    current stage hashes trailing bytes together, so words whose length in
+    bytes is no multiple of four mostly fall into other buckets."""
+    return F.pmod(F.hash(word), F.lit(num_features))
+
+
+def legacy_term_frequencies(df: DataFrame, id_col: str, tokens_col: str, num_features: int = 1000) -> DataFrame:
+    """(id, bucket, tf) under the older hash, counted inside the row."""
+    rows = df.select(F.col(id_col).alias("id"), F.array_sort(F.transform(tokens_col, lambda w: legacy_bucket(w, num_features))).alias("s"))
+    return _counted_runs(rows).select("id", F.col("r.term").alias("bucket"), "r.tf")

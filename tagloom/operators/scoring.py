@@ -8,12 +8,19 @@ ones are scored by the fitted ``PipelineModel`` and written with their reply.
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.operators.labels import decode_labels
+from tagloom.session import scratch_path, written
+
 # Rejection reasons of a scoring request.
 REASON_NO_TITLE = "title is required"
 REASON_NO_BODY = "body is required"
+REASON_NO_JSON = "request is no JSON object"
+REASON_WRONG_TYPE = "title and body must be text"
 
 
 def request_status(title_col: str = "Title", body_col: str = "Body") -> Column:
@@ -27,6 +34,30 @@ def request_status(title_col: str = "Title", body_col: str = "Body") -> Column:
              .when(F.col(body_col).isNull(), F.lit(REASON_NO_BODY)))
 
 
+def json_request_status() -> Column:
+    """As ``request_status``, for the rows of ``parse_requests``."""
+    return F.coalesce(F.col("malformed"), request_status())
+
+
+def parse_requests(df: DataFrame, text_col: str = "value") -> DataFrame:
+    """JSON texts, one request each -> Id, Title, Body, text (as it came) and
+    malformed: a reason where the text is no JSON object, or where a value has
+    the wrong type. Absent keys give NULL, which ``request_status`` judges.
+    A projection only, for tables and streams alike."""
+    parsed = F.from_json(F.col(text_col), "Id long, Title variant, Body variant, _corrupt string",
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    kinds = [F.schema_of_variant(F.col(f"request.{c}")) for c in ("Title", "Body")]
+    # an absent key and a null are no text of another type
+    typed = [F.coalesce(k.isin("STRING", "VOID"), F.lit(True)) for k in kinds]
+    broken = F.col("request").isNull() | F.col("request._corrupt").isNotNull()
+    malformed = (F.when(F.col("text").isNull() | ~F.coalesce(F.col("text").rlike(r"^\s*\{"), F.lit(False)), REASON_NO_JSON)
+                  .when(broken, REASON_NO_JSON).when(~(typed[0] & typed[1]), REASON_WRONG_TYPE))
+    rows = df.select(F.col(text_col).alias("text"), parsed.alias("request"))
+    texts = [F.try_variant_get(F.col(f"request.{c}"), "$", "string") for c in ("Title", "Body")]
+    return rows.select(F.when(~broken, F.col("request.Id")).alias("Id"), *[F.when(malformed.isNull(), t).alias(c) for t, c in zip(texts, ("Title", "Body"))],
+                       "text", malformed.alias("malformed"))
+
+
 def split_requests(df: DataFrame, title_col: str = "Title", body_col: str = "Body"):
     """(valid, rejects): rejects carry a ``reason`` column."""
     reason = request_status(title_col, body_col)
@@ -66,6 +97,7 @@ import math  # noqa: E402
 # the driver: they are built from fitted parameters). Larger ones are joined
 # by shuffle, where AQE splits a hot feature's partition.
 BROADCAST_WEIGHTS_MAX_BYTES = 64 * 1024 * 1024
+FEATURE_BLOCK = 4096
 _BYTES_PER_WEIGHT_ROW = 24
 
 
@@ -149,6 +181,60 @@ def decisions_to_arrays(decisions, vocabulary, id_col: str = "id"):
     return g.withColumn("predictionLabel", decode_indexes("prediction", vocabulary))
 
 
+def block_weights(spark, model):
+    """(table, rows, bytes): one row per feature, (i, w) with the k members'
+    weights as one vector; feature -1 holds intercept less cut, so that a
+    margin above 0 is a positive. Built of FEATURE_BLOCK features at a time."""
+    members = [m.coefficients.toArray() for m in model.models]
+    base = [m.intercept - logit(m.getThreshold()) for m in model.models]
+    n_features = len(members[0]) if members else 0
+    path = scratch_path(spark, "block-weights")
+    schema = "i int, w array<double>"
+    spark.createDataFrame([(-1, [float(x) for x in base])], schema).write.parquet(path)
+    rows = 1
+    for low in range(0, n_features, FEATURE_BLOCK):
+        block = [(low + j, column) for j, column in enumerate(zip(*(m[low:low + FEATURE_BLOCK].tolist() for m in members))) if any(column)]
+        rows += len(block)
+        spark.createDataFrame([(i, list(w)) for i, w in block], schema).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path), rows, rows * 8 * max(1, len(members))
+
+
+def block_margins(entries, weights, n_bytes: int):
+    """(id, margins): of every id the vector of its k margins.
+
+    entries (id, i, v) with a row (id, -1, 1.0) for every id; weights (i, w).
+    One join, and one vector-valued sum per document: the plan does not grow
+    with the tags, and a document is one row again. The sum takes weights from
+    0 up, so negative values meet negated rows of the table.
+    """
+    negated = F.transform("w", lambda x: -x)
+    table = weights.select(F.col("i").alias("j"), F.explode(F.array(
+        F.struct(F.lit(False).alias("below"), F.col("w")), F.struct(F.lit(True).alias("below"), negated.alias("w")))).alias("r"))
+    table = table.select("j", "r.below", array_to_vector("r.w").alias("w"))
+    if 2 * n_bytes <= BROADCAST_WEIGHTS_MAX_BYTES:
+        table = F.broadcast(table)
+    rows = entries.join(table, (entries["i"] == table["j"]) & ((entries["v"] < 0) == table["below"]))
+    sums = rows.groupBy("id").agg(Summarizer.sum(F.col("w"), F.abs("v")).alias("s"))
+    return sums.select("id", vector_to_array("s").alias("margins"))
+
+
+def score_block_model(model, df, dictionary=None, id_col: str = "Id", features_col: str = "features"):
+    """(id, prediction, predictionLabel) of a BinaryRelevanceModel of logistic
+    regressions by one block matrix: the decisions of ``model.transform``,
+    in a plan of the same size for any number of tags. ``dictionary``: table
+    (tag, code) of the vocabulary; by default it is made of the model's.
+    """
+    spark = df.sparkSession
+    weights, _, n_bytes = block_weights(spark, model)
+    start = df.select(F.col(id_col).alias("id"), F.lit(-1).alias("i"), F.lit(1.0).alias("v"))
+    margins = block_margins(sparse_entries(df, id_col, features_col).unionByName(start), weights, n_bytes)
+    picked = F.filter(F.transform("margins", lambda m, k: F.when(m > 0, k.cast("double")).otherwise(-1.0)), lambda k: k >= 0)
+    scored = written(margins.select("id", picked.alias("prediction")), "block-scored")
+    if dictionary is None:
+        dictionary = written(spark.createDataFrame(list(enumerate(model.vocabulary)), "code int, tag string"), "vocabulary")
+    return decode_labels(scored, dictionary)
+
+
 def score_linear_model(model, df, id_col: str = "Id", features_col: str = "features",
                        threshold: float | None = None):
     """Score a BinaryRelevanceModel of logistic-regression members through

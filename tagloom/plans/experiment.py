@@ -14,7 +14,7 @@ from tagloom.operators.etl import questions_from_posts
 from tagloom.operators.features import feature_stages
 from tagloom.operators.labels import filter_tags, stable_split
 from tagloom.operators.relevance import BinaryRelevance
-from tagloom.session import written
+from tagloom.session import written_path
 from tagloom.sources.fixtures import posts_fixture
 
 # Fixed values of the reference experiment: 1000 hash buckets, IDF minimum
@@ -88,14 +88,16 @@ def run_experiment(spark: SparkSession, questions_path: str | None = None, *, da
     metrics with the chosen params, and a one-row DataFrame of the micro
     metrics.
     """
-    from tagloom.operators.metrics import micro_metrics, rowwise_metrics
+    from tagloom.operators.metrics import ObservedMetrics
     from tagloom.operators.tuning import (best_of_sweep, features_for_tuning, reference_grid, tag_evaluator,
                                           threshold_sweep, train_validation)
     from tagloom.sources.questions import load_questions
 
-    if data is None:
-        if questions_path is None:
-            raise ValueError("give questions_path or data")
+    if data is not None:
+        questions_path = None
+    elif questions_path is None:
+        raise ValueError("give questions_path or data")
+    else:
         data = load_questions(spark, questions_path, columns=("Id", "label", text_col))
     if tags:
         data = filter_tags(data, tags)
@@ -122,11 +124,21 @@ def run_experiment(spark: SparkSession, questions_path: str | None = None, *, da
         feats.unpersist()
     clf = base_classifier(threshold=params["threshold"], max_iter=params["maxIter"], tol=params["tol"])
     model = tagging_pipeline(text_col, clf, parallelism=parallelism).fit(train)
-    # scored once, written, and read by both metric passes
-    predictions = written(model.transform(test).drop(*FEATURE_COLUMNS), "predictions")
-    row = rowwise_metrics(predictions.select("predictionLabel", "label"), "predictionLabel", "label")
-    micro = micro_metrics(predictions.select("predictionLabel", "label"), "predictionLabel", "label")
-    metrics = row.select("*", *[F.lit(v).alias(k) for k, v in params.items()])
+    # scored, written and measured in one job, in a session of its own
+    side = spark.newSession()
+    if questions_path is None:
+        test = side.read.parquet(written_path(test, "held-out"))
+    else:
+        rows = load_questions(side, questions_path, columns=("Id", "label", text_col))
+        test = stable_split(filter_tags(rows, tags) if tags else rows, train_ratio, seed, method=split)[1]
+    watch = ObservedMetrics(model.stages[-1].vocabulary)
+    path = written_path(watch.watch(model.transform(test).drop(*FEATURE_COLUMNS)), "predictions")
+    predictions = spark.read.parquet(path)
+    found = watch.get()
+    micro_names = ("tp", "fp", "fn", "microPrecision", "microRecall", "microF1")
+    row = {k: v for k, v in found.items() if k not in micro_names}
+    metrics = spark.createDataFrame([{**row, **params}])
+    micro = spark.createDataFrame([{k: found[k] for k in micro_names}])
     return model, predictions, metrics, micro
 
 

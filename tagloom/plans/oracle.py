@@ -69,6 +69,13 @@ questions AS (
 )"""
 
 
+# Every post, questions and answers: what texts and models are made of.
+TEXTS = POSTS + """,
+texts AS (
+  SELECT CAST(_Id AS BIGINT) AS Id, regexp_extract_all(lower(_Tags), '[^<>]+') AS label, _Title AS Title, _Body AS Body FROM posts
+)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes)
 
@@ -119,7 +126,7 @@ ORACLE["label_cardinality"] = _with(QUESTIONS) + """
 SELECT CAST((SELECT count(DISTINCT l) FROM (SELECT unnest(label) AS l FROM questions)) AS BIGINT) AS n_labels,
        CAST(count(*) AS BIGINT) AS n_posts,
        CAST(sum(len(label)) AS BIGINT) AS n_assignments,
-       round(sum(len(label)) / count(*), 6) AS mean_labels
+       sum(len(label)) / count(*) AS mean_labels
 FROM questions
 """
 
@@ -128,6 +135,13 @@ SELECT Id, CASE WHEN ((Id * 7919 + 7 * 104729) % 1000 + 1000) % 1000 < 800 THEN
 FROM questions
 """
 
+ORACLE["top_labels"] = _with(TEXTS) + """
+SELECT label, n FROM (SELECT lbl AS label, count(*) AS n FROM (SELECT unnest(label) AS lbl FROM texts) GROUP BY lbl)
+ORDER BY n DESC, label LIMIT 5
+"""
+
+ORACLE["random_split"] = "SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_twice, true AS near_ratio FROM documents"
+
 ORACLE["hash_split"] = _with(QUESTIONS) + """
 SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_twice, true AS near_ratio FROM questions
 """
@@ -141,8 +155,8 @@ def _sql_list(words):
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
 
 
-TOKENS = QUESTIONS + f""",
-low AS (SELECT Id, lower(Body) AS t, regexp_replace(lower(Body), '{_WS}+$', '') AS r FROM questions),
+TOKENS = TEXTS + f""",
+low AS (SELECT Id, lower(Body) AS t, regexp_replace(lower(Body), '{_WS}+$', '') AS r FROM texts),
 tok AS (
   SELECT Id,
          CASE WHEN t = '' THEN ['']
@@ -171,10 +185,10 @@ FROM (SELECT Id, unnest(toks) AS term FROM tok_ns) GROUP BY term
 ORACLE["tfidf_terms"] = _with(TOKENS) + """,
 tf AS (SELECT Id, term, count(*) AS tf FROM (SELECT Id, unnest(toks) AS term FROM tok_ns) GROUP BY Id, term),
 dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
-n AS (SELECT count(*) AS n FROM questions)
+n AS (SELECT count(*) AS n FROM texts)
 SELECT tf.Id, tf.term, CAST(tf.tf AS BIGINT) AS tf, CAST(dfq.df AS BIGINT) AS df,
-       round(CASE WHEN dfq.df >= 2 THEN ln((n.n + 1.0) / (dfq.df + 1.0)) ELSE 0.0 END, 6) AS idf,
-       round(tf.tf * CASE WHEN dfq.df >= 2 THEN ln((n.n + 1.0) / (dfq.df + 1.0)) ELSE 0.0 END, 6) AS tfidf
+       CASE WHEN dfq.df >= 2 THEN ln((n.n + 1.0)::DOUBLE / (dfq.df + 1.0)::DOUBLE) ELSE 0.0::DOUBLE END AS idf,
+       tf.tf * CASE WHEN dfq.df >= 2 THEN ln((n.n + 1.0)::DOUBLE / (dfq.df + 1.0)::DOUBLE) ELSE 0.0::DOUBLE END AS tfidf
 FROM tf JOIN dfq ON tf.term = dfq.term CROSS JOIN n
 """
 
@@ -183,8 +197,55 @@ SELECT Id, CAST(len(toks) AS BIGINT) AS n_tokens, CAST(len(toks) AS BIGINT) AS m
 """
 
 
-ORACLE["idf_weights"] = _with(QUESTIONS) + """
-SELECT count(*) AS n_docs, CAST(1000 AS BIGINT) AS n_buckets, CAST(0 AS BIGINT) AS n_mismatch FROM questions
+# The word hash of the hashing stage, Murmur3 with seed 42 over UTF-8 bytes, in
+# arithmetic on unsigned integers. The older variant mixes every trailing byte,
+# signed, like a block of four.
+_ROTATED = "((({x} << 15) | ({x} >> 17)) & 4294967295)"
+_MIXED = "((((xor(h, k) << 13) | (xor(h, k) >> 19)) & 4294967295) * 5 + 3864292196) & 4294967295"
+
+
+def _hashed(source: str, legacy: bool) -> str:
+    """CTEs from ``source`` (a table with distinct ``term``) to ``hashed``
+    (term, bucket of 1000)."""
+    blocks = "list_transform(range(0, n // 4), lambda i: ('0x' || hx[8*i+7:8*i+8] || hx[8*i+5:8*i+6] || hx[8*i+3:8*i+4] || hx[8*i+1:8*i+2])::UBIGINT)"
+    byte = "('0x' || hx[2*i+1:2*i+2])::UBIGINT"
+    if legacy:
+        tail = f"list_transform(range(4 * (n // 4), n), lambda i: CASE WHEN {byte} > 127 THEN {byte} + 4294967040 ELSE {byte} END)"
+        every, rest = f"list_concat({blocks}, {tail})", "[]::UBIGINT[]"
+    else:
+        little = f"list_transform(range(4 * (n // 4), n), lambda i: {byte} << (8 * (i % 4))::UBIGINT)"
+        every, rest = blocks, f"CASE WHEN n % 4 = 0 THEN []::UBIGINT[] ELSE [list_sum({little})::UBIGINT] END"
+
+    def mixed(name):
+        first = f"list_transform({name}, lambda x: (x * 3432918353::UBIGINT) & 4294967295)"
+        turned = f"list_transform({first}, lambda x: {_ROTATED.format(x='x')})"
+        return f"list_transform({turned}, lambda x: (x * 461845907::UBIGINT) & 4294967295)"
+
+    return f"""
+hexed AS (SELECT term, hex(encode(term)) AS hx, strlen(term) AS n FROM {source}),
+cut AS (SELECT term, n, {every} AS every, {rest} AS rest FROM hexed),
+folded AS (
+  SELECT term, n, list_reduce(list_concat([42::UBIGINT], {mixed('every')}), lambda h, k: {_MIXED}) AS h, {mixed('rest')} AS r FROM cut
+),
+f0 AS (SELECT term, xor(CASE WHEN len(r) > 0 THEN xor(h, r[1]) ELSE h END, n::UBIGINT) AS h FROM folded),
+f1 AS (SELECT term, (xor(h, h >> 16) * 2246822507::UBIGINT) & 4294967295 AS h FROM f0),
+f2 AS (SELECT term, (xor(h, h >> 13) * 3266489909::UBIGINT) & 4294967295 AS h FROM f1),
+f3 AS (SELECT term, xor(h, h >> 16)::BIGINT AS h FROM f2),
+hashed AS (SELECT term, (((CASE WHEN h > 2147483647 THEN h - 4294967296 ELSE h END) % 1000 + 1000) % 1000)::INTEGER AS bucket FROM f3)"""
+
+
+_TERMS = """,
+tf AS (SELECT Id, term, count(*) AS tf FROM (SELECT Id, unnest(toks) AS term FROM tok_ns) GROUP BY Id, term),
+words AS (SELECT DISTINCT term FROM tf),"""
+
+ORACLE["idf_weights"] = _with(TOKENS) + _TERMS + _hashed("words", legacy=False) + """,
+dfq AS (SELECT bucket AS i, count(DISTINCT Id) AS df FROM tf JOIN hashed USING (term) GROUP BY bucket)
+SELECT g.i::INTEGER AS i, coalesce(df, 0)::BIGINT AS df,
+       CASE WHEN coalesce(df, 0) >= 2 THEN ln(((SELECT count(*) FROM texts) + 1.0)::DOUBLE / (df + 1.0)::DOUBLE) ELSE 0.0::DOUBLE END AS idf
+FROM (SELECT unnest(range(0, 1000)) AS i) g LEFT JOIN dfq ON g.i = dfq.i
+"""
+ORACLE["legacy_hash_tf"] = _with(TOKENS) + _TERMS + _hashed("words", legacy=True) + """
+SELECT bucket, count(DISTINCT Id)::BIGINT AS df, sum(tf)::BIGINT AS tf FROM tf JOIN hashed USING (term) GROUP BY bucket
 """
 
 
@@ -238,10 +299,8 @@ def _rowwise_select(group: str) -> str:
           if group else "(SELECT count(DISTINCT x) FROM (SELECT unnest(l) AS x FROM terms))")
     return f"""
 SELECT {sel}CAST(count(*) AS BIGINT) AS n, CAST({nl} AS BIGINT) AS n_labels,
-       round(avg(rp), 6) AS precision, round(avg(rr), 6) AS recall, round(avg(rf1), 6) AS f1,
-       round(avg(racc), 6) AS accuracy,
-       round(sum(rham) / (count(*) * {nl}), 6) AS hammingLoss,
-       round(avg(rsub), 6) AS subsetAccuracy
+       avg(rp) AS precision, avg(rr) AS recall, avg(rf1) AS f1, avg(racc) AS accuracy,
+       sum(rham) / (count(*) * {nl}) AS hammingLoss, avg(rsub) AS subsetAccuracy
 FROM terms t {by}
 """
 
@@ -255,9 +314,9 @@ ORACLE["metrics_subset"] = _with(PSEUDO) + _rowwise_select("n_true")
 
 ORACLE["metrics_micro"] = _with(PSEUDO) + """
 SELECT CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(fn) AS BIGINT) AS fn,
-       round(sum(tp) / (sum(tp) + sum(fp)), 6) AS microPrecision,
-       round(sum(tp) / (sum(tp) + sum(fn)), 6) AS microRecall,
-       round(2 * sum(tp) / (2 * sum(tp) + sum(fp) + sum(fn)), 6) AS microF1
+       sum(tp) / (sum(tp) + sum(fp)) AS microPrecision,
+       sum(tp) / (sum(tp) + sum(fn)) AS microRecall,
+       2 * sum(tp) / (2 * sum(tp) + sum(fp) + sum(fn)) AS microF1
 FROM per_label
 """
 
@@ -269,8 +328,8 @@ scored AS (
   FROM per_label
 )
 SELECT v[CAST(label AS INTEGER) + 1] AS tag, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
-       CAST(fn AS BIGINT) AS fn, round(prec, 6) AS precision, round(rec, 6) AS recall,
-       round(CASE WHEN prec + rec = 0 THEN 0.0 ELSE 2 * prec * rec / (prec + rec) END, 6) AS f1
+       CAST(fn AS BIGINT) AS fn, prec AS precision, rec AS recall,
+       CASE WHEN prec + rec = 0 THEN 0.0 ELSE 2 * prec * rec / (prec + rec) END AS f1
 FROM scored CROSS JOIN vocab
 """
 
@@ -285,6 +344,14 @@ ORACLE["evaluator_metrics"] = (
         for m, up in _EVALUATED))
 
 
+ORACLE["metrics_observed"] = (
+    _with(PSEUDO) + ", rowwise AS (" + _rowwise_select("") + "), micro AS ("
+    + ORACLE["metrics_micro"].split(_with(PSEUDO))[1] + ")\n"
+    + " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, {m}::DOUBLE AS value FROM {'micro' if m.startswith('micro') else 'rowwise'}"
+        for m in [*(m for m, _ in _EVALUATED), "n", "n_labels"]))
+
+
 # ------------------------------------------------------- sources / sinks ----
 
 _XML = """
@@ -301,6 +368,11 @@ SELECT reason, CAST(sum(n) AS BIGINT) AS n FROM (
   FROM posts WHERE right(_Id, 1) IN ('3', '4', '6')
 ) GROUP BY reason
 """
+ORACLE["xml_multiline"] = _with(POSTS) + _XML + "WHERE right(_Id, 1) NOT IN ('3', '4', '6')"
+ORACLE["xml_multiline_rejects"] = _with(POSTS) + """
+SELECT CASE right(_Id, 1) WHEN '6' THEN 'row without Id' ELSE 'malformed row element' END AS reason, count(*) AS n
+FROM posts WHERE right(_Id, 1) IN ('3', '4', '6') GROUP BY ALL
+"""
 ORACLE["xml_rechunk"] = _with(POSTS) + _XML
 
 ORACLE["questions_parquet_year"] = _with(QUESTIONS) + """
@@ -337,33 +409,45 @@ ORACLE["request_rejects"] = _with(REQUESTS) + """
 SELECT Id, CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS status, reason FROM judged
 """
 
+JSON_REQUESTS = REQUESTS + """,
+json_judged AS (
+  SELECT CASE WHEN Id % 20 NOT IN (3, 11) THEN Id END AS Id,
+         CASE WHEN Id % 20 IN (3, 11) THEN 'request is no JSON object'
+              WHEN Id % 20 IN (4, 12) THEN 'title and body must be text'
+              WHEN Title IS NULL OR NOT regexp_matches(Title, '[^\\x00-\\x20]') THEN 'title is required'
+              WHEN Body IS NULL OR Id % 20 = 6 THEN 'body is required' END AS reason
+  FROM requests
+)"""
+ORACLE["json_requests"] = _with(JSON_REQUESTS) + "SELECT Id, reason, true AS has_text FROM json_judged"
+
 # ---------------------------------------------------------------- models ----
 # SQL cannot fit a model. It gives what must hold of any right result: rows,
 # tags, losses of predicting nothing, and that nothing disagrees.
 
-SIDES = QUESTIONS + """,
+_SIDE = """,
 sides AS (
-  SELECT *, CASE WHEN (Id % 1000 * 7919 + 7 * 104729) % 1000 < 800 THEN 'train' ELSE 'test' END AS side FROM questions
+  SELECT *, CASE WHEN (Id % 1000 * 7919 + 7 * 104729) % 1000 < 800 THEN 'train' ELSE 'test' END AS side FROM {}
 )"""
+SIDES = TEXTS + _SIDE.format("texts")
 
 ORACLE["table_scoring"] = _with(REQUESTS) + "SELECT Id, reason, reason IS NULL AS replied FROM judged"
 
 ORACLE["br_fit_predict"] = _with(SIDES) + """
-SELECT tag, (SELECT count(*) FROM questions) AS n_rows, CAST(0 AS BIGINT) AS n_mismatch,
+SELECT tag, (SELECT count(*) FROM texts) AS n_rows, count(*) AS n_train, CAST(0 AS BIGINT) AS n_mismatch,
        CASE WHEN tag IN ('de', 'en', 'es', 'fr') THEN true END AS predicted
-FROM (SELECT DISTINCT unnest(label) AS tag FROM sides WHERE side = 'train')
+FROM (SELECT unnest(list_distinct(label)) AS tag FROM sides WHERE side = 'train') GROUP BY tag
 """
 ORACLE["br_metrics"] = _with(SIDES) + """
-SELECT side, n, n_labels, round(tags / (n * n_labels), 6) AS nothing_loss,
+SELECT side, n, n_labels, tags / (n * n_labels) AS nothing_loss,
        CASE WHEN side = 'train' THEN true END AS beats_nothing, true AS within_bounds
 FROM (SELECT side, count(*) AS n, sum(len(label)) AS tags FROM sides GROUP BY side)
 JOIN (SELECT side, count(DISTINCT tag) AS n_labels FROM (SELECT side, unnest(label) AS tag FROM sides) GROUP BY side) USING (side)
 """
-ORACLE["br_save_load"] = _with(QUESTIONS) + """
-SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_mismatch, true AS most_tagged FROM questions
-"""
+_AGREES = "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_mismatch, true AS most_tagged, CAST(sum(len(label)) AS BIGINT) AS n_given"
+ORACLE["br_save_load"] = _with(TEXTS) + _AGREES + " FROM texts"
 ORACLE["stream_score"] = ORACLE["br_save_load"]
-ORACLE["br_linear_score"] = ORACLE["br_save_load"]
+ORACLE["br_linear_score"] = _with(TEXTS) + _AGREES + ", CAST(0 AS BIGINT) AS n_block_mismatch FROM texts"
+ORACLE["stream_tables"] = _with(JSON_REQUESTS) + "SELECT Id, reason, true AS as_batch FROM json_judged"
 
 ORACLE["threshold_sweep"] = _with(SIDES) + """,
 valid AS (SELECT Id, label FROM sides WHERE side = 'train' AND (Id % 1000 * 7919 + 11 * 104729) % 1000 >= 800)
@@ -375,26 +459,27 @@ ORACLE["tvs_best_params"] = _with(SIDES) + """
 SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_grid, true AS winner_has_least_loss, true AS losses_are_shares
 FROM sides WHERE side = 'train'
 """
-ORACLE["experiment_report"] = _with(SIDES) + """,
+ORACLE["experiment_report"] = _with(QUESTIONS + _SIDE.format("questions")) + """,
 kept AS (
   SELECT Id, side, list_filter(label, lambda t: t IN ('de', 'en', 'es', 'fr', 'quality', 'toxic')) AS label FROM sides
 ),
 test AS (SELECT label FROM kept WHERE len(label) > 0 AND side = 'test'),
 k AS (SELECT count(DISTINCT t) AS n_labels FROM (SELECT unnest(label) AS t FROM test))
-SELECT count(*) AS n, any_value(n_labels) AS n_labels, round(sum(len(label)) / (count(*) * any_value(n_labels)), 6) AS nothing_loss,
+SELECT count(*) AS n, any_value(n_labels) AS n_labels, sum(len(label)) / (count(*) * any_value(n_labels)) AS nothing_loss,
        true AS beats_nothing, true AS on_grid
 FROM test, k
 """
-_PROMISES = ["any classifier", "asks for a classifier", "copy reaches the base learner", "declared schema",
-             "members have the params", "names of the indexes", "raw scores tell the predictions",
-             "refuses a missing column", "refuses labels that are no arrays", "top tags in order"]
-ORACLE["br_contract"] = _with(QUESTIONS) + f"""
-SELECT promise, true AS kept, (SELECT count(*) FROM questions) AS n_rows FROM (SELECT unnest({_sql_list(_PROMISES)}) AS promise)
+_PROMISES = ["a frame the caller keeps stays kept", "a restarted fit fits what is left", "any classifier", "asks for a classifier",
+             "copy reaches the base learner", "declared schema", "estimator loads as saved", "evaluator loads as saved",
+             "members have the params", "names of the indexes", "no columns but the declared", "raw scores tell the predictions",
+             "refuses a missing column", "refuses labels that are no arrays", "refuses what cannot be written", "top tags in order"]
+ORACLE["br_contract"] = _with(TEXTS) + f"""
+SELECT promise, true AS kept, (SELECT count(*) FROM texts) AS n_rows FROM (SELECT unnest({_sql_list(_PROMISES)}) AS promise)
 """
 
 
 ORACLE["linear_score_rule"] = _with(TOKENS) + """,
-q AS (SELECT Id, label FROM questions),
+q AS (SELECT Id, label FROM texts),
 lv AS (SELECT list(lbl ORDER BY lbl) AS v FROM (SELECT DISTINCT unnest(label) AS lbl FROM q)),
 presence AS (
   SELECT DISTINCT t.Id AS id, t.term

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.functions.tags import split_tags
 from tagloom.functions.text import remove_stop_words, tokenize
 from tagloom.operators.etl import questions_from_posts
 from tagloom.session import scratch_path, written
@@ -89,6 +90,14 @@ def q_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("n", F.col("n").cast("bigint"))
 
 
+@register
+def q_top_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five most frequent tags of all posts, named by a sketch and counted
+    exactly."""
+    from tagloom.operators.labels import top_labels
+    return top_labels(_tagged_posts(spark, sf_dir).select("label"), 5)
+
+
 @register
 def q_label_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.operators.labels import label_cardinality
@@ -117,18 +126,37 @@ def q_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
                    (F.abs(F.avg("t") - 0.8) < 0.06).alias("near_ratio"))
 
 
+@register
+def q_random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``randomSplit`` of every post: each on one side, about four fifths on
+    the training side."""
+    from tagloom.plans.experiment import random_split
+    posts = written(_tagged_posts(spark, sf_dir).select("Id"), "split-ids")
+    train, test = random_split(posts, 0.8, 7)
+    both = train.withColumn("t", F.lit(1)).unionByName(test.withColumn("t", F.lit(0)))
+    per = both.groupBy("Id").agg(F.count(F.lit(1)).alias("sides"), F.max("t").alias("t"))
+    return per.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("sides") != 1, 1).otherwise(0)).alias("n_twice"),
+                   (F.abs(F.avg("t") - 0.8) < 0.09).alias("near_ratio"))
+
+
 # ------------------------------------------------------------------ text ----
 
-def _question_text(spark, sf_dir):
-    """Question id and whole text (the body holds the complete document)."""
-    return questions(spark, sf_dir, spread=True).select(F.col("Id").cast("bigint").alias("Id"), F.col("Body").alias("text"))
+def _tagged_posts(spark, sf_dir):
+    """Every post, questions and answers, with id, tags, title and whole text
+    (the body holds the complete document)."""
+    return posts_fixture(spark, sf_dir, spread=True).select(
+        F.col("_Id").cast("bigint").alias("Id"), split_tags("_Tags").alias("label"), F.col("_Title").alias("Title"), F.col("_Body").alias("Body"))
+
+
+def _post_text(spark, sf_dir):
+    return _tagged_posts(spark, sf_dir).select("Id", F.col("Body").alias("text"))
 
 
 @register
 def q_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokenizer stage over whole texts: one row per (post, position, token)."""
     from tagloom.operators.features import text_tokenizer
-    t = text_tokenizer("text", "toks").transform(_question_text(spark, sf_dir))
+    t = text_tokenizer("text", "toks").transform(_post_text(spark, sf_dir))
     return t.select("Id", F.posexplode("toks").alias("pos", "token")) \
             .withColumn("pos", F.col("pos").cast("bigint"))
 
@@ -137,7 +165,7 @@ def q_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_tokens_nostop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokenizer + StopWordsRemover stages: tokens left after stop words."""
     from tagloom.operators.features import stop_words_remover, text_tokenizer
-    t = text_tokenizer("text", "toks").transform(_question_text(spark, sf_dir))
+    t = text_tokenizer("text", "toks").transform(_post_text(spark, sf_dir))
     t = stop_words_remover("toks", "kept").transform(t)
     return t.select("Id", F.posexplode("kept").alias("pos", "token")) \
             .withColumn("pos", F.col("pos").cast("bigint"))
@@ -147,17 +175,17 @@ def q_tokens_nostop(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_doc_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(term, df): documents containing each non-stop term."""
     from tagloom.operators.features import document_frequencies
-    return document_frequencies(_question_text(spark, sf_dir), "Id", "text")
+    return document_frequencies(_post_text(spark, sf_dir), "Id", "text")
 
 
 @register
 def q_tfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact-term TF-IDF with minimum document frequency 2."""
     from tagloom.operators.features import exact_tfidf
-    w = exact_tfidf(_question_text(spark, sf_dir), "Id", "text", min_doc_freq=2)
+    w = exact_tfidf(_post_text(spark, sf_dir), "Id", "text", min_doc_freq=2)
     return w.select(F.col("id").alias("Id"), "term", F.col("tf").cast("bigint").alias("tf"),
                     F.col("df").cast("bigint").alias("df"),
-                    F.round("idf", 6).alias("idf"), F.round("tfidf", 6).alias("tfidf"))
+                    "idf", "tfidf")
 
 
 @register
@@ -168,7 +196,7 @@ def q_hashing_tf_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.operators.features import hashing_tf, stop_words_remover, text_tokenizer
     stages = [text_tokenizer("text", "toks"), stop_words_remover("toks", "kept"),
               hashing_tf(1000, "kept", "tf")]
-    t = Pipeline(stages=stages).fit(_question_text(spark, sf_dir)).transform(_question_text(spark, sf_dir))
+    t = Pipeline(stages=stages).fit(_post_text(spark, sf_dir)).transform(_post_text(spark, sf_dir))
     mass = F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda a, x: a + x)
     return t.select("Id", F.size("kept").cast("bigint").alias("n_tokens"),
                     mass.cast("bigint").alias("mass"))
@@ -176,24 +204,22 @@ def q_hashing_tf_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def q_idf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """HashingTF and IDF stages over whole texts: each bucket's document
-    frequency and weight against a grouped count of the vectors' entries, and
-    the corpus size the stage has seen."""
+    """HashingTF and IDF stages over whole texts: document frequency and weight
+    of every bucket, as learned."""
     from pyspark.ml import Pipeline
     from tagloom.operators.features import feature_stages
-    from tagloom.operators.scoring import sparse_entries
-    text = _question_text(spark, sf_dir)
-    model = Pipeline(stages=feature_stages("text")).fit(text)
-    stage = model.stages[-1]
+    stage = Pipeline(stages=feature_stages("text")).fit(_post_text(spark, sf_dir)).stages[-1]
     learned = [(i, int(d), float(w)) for i, (d, w) in enumerate(zip(stage.docFreq, stage.idf.toArray()))]
-    learned = spark.createDataFrame(learned, "i int, d bigint, w double")
-    counted = sparse_entries(model.transform(text), "Id", "TFOut").groupBy("i").agg(F.count(F.lit(1)).alias("df"))
-    n = int(stage.numDocs)
-    weight = F.when(F.coalesce("df", F.lit(0)) >= 2, F.log(F.lit(n + 1.0) / (F.col("df") + 1.0))).otherwise(0.0)
-    off = (F.col("d") != F.coalesce("df", F.lit(0))) | (F.abs(F.col("w") - weight) > 1e-9)
-    return learned.join(counted, "i", "left").agg(
-        F.lit(n).cast("bigint").alias("n_docs"), F.count(F.lit(1)).alias("n_buckets"),
-        F.sum(F.when(off, 1).otherwise(0)).alias("n_mismatch"))
+    return spark.createDataFrame(learned, "i int, df bigint, idf double")
+
+
+@register
+def q_legacy_hash_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets of the older word hash: posts and occurrences in each."""
+    from tagloom.operators.features import legacy_term_frequencies
+    t = _post_text(spark, sf_dir).select("Id", remove_stop_words(tokenize("text")).alias("toks"))
+    return legacy_term_frequencies(t, "Id", "toks").groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"))
 
 
 # --------------------------------------------------------------- metrics ----
@@ -216,10 +242,6 @@ def _pseudo_predictions(spark, sf_dir):
                     label_indexes("label", vocab).alias("label")), vocab
 
 
-def _round_all(df, cols):
-    return df.select(*[F.round(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])
-
-
 _ROW_METRICS = ["precision", "recall", "f1", "accuracy", "hammingLoss", "subsetAccuracy"]
 
 
@@ -227,15 +249,14 @@ _ROW_METRICS = ["precision", "recall", "f1", "accuracy", "hammingLoss", "subsetA
 def q_metrics_rowwise(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.operators.metrics import rowwise_metrics
     pl, _ = _pseudo_predictions(spark, sf_dir)
-    return _round_all(rowwise_metrics(pl), _ROW_METRICS)
+    return rowwise_metrics(pl)
 
 
 @register
 def q_metrics_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.operators.metrics import rowwise_metrics
     pl, _ = _pseudo_predictions(spark, sf_dir)
-    out = rowwise_metrics(pl, group_cols=["Year"]).withColumn("Year", F.col("Year").cast("bigint"))
-    return _round_all(out, _ROW_METRICS)
+    return rowwise_metrics(pl, group_cols=["Year"]).withColumn("Year", F.col("Year").cast("bigint"))
 
 
 @register
@@ -244,14 +265,14 @@ def q_metrics_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.operators.metrics import rowwise_metrics
     pl, _ = _pseudo_predictions(spark, sf_dir)
     pl = pl.withColumn("n_true", F.size("label").cast("bigint"))
-    return _round_all(rowwise_metrics(pl, group_cols=["n_true"]), _ROW_METRICS)
+    return rowwise_metrics(pl, group_cols=["n_true"])
 
 
 @register
 def q_metrics_micro(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.operators.metrics import micro_metrics
     pl, _ = _pseudo_predictions(spark, sf_dir)
-    return _round_all(micro_metrics(pl), ["microPrecision", "microRecall", "microF1"])
+    return micro_metrics(pl)
 
 
 @register
@@ -260,9 +281,8 @@ def q_metrics_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.operators.metrics import by_label_metrics
     pl, vocab = _pseudo_predictions(spark, sf_dir)
     m = by_label_metrics(pl)
-    m = m.select(decode_indexes(F.array("label"), vocab)[0].alias("tag"), "tp", "fp", "fn",
-                 "precision", "recall", "f1")
-    return _round_all(m, ["precision", "recall", "f1"])
+    return m.select(decode_indexes(F.array("label"), vocab)[0].alias("tag"), "tp", "fp", "fn",
+                    "precision", "recall", "f1")
 
 
 @register
@@ -274,11 +294,26 @@ def q_evaluator_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = []
     for name in _ROW_METRICS + ["microPrecision", "microRecall", "microF1"]:
         ev = MultilabelEvaluator(predictionCol="prediction", labelCol="label").setMetricName(name)
-        rows.append((name, round(ev.evaluate(pl), 6), ev.isLargerBetter()))
+        rows.append((name, ev.evaluate(pl), ev.isLargerBetter()))
     pl.unpersist()
     return spark.createDataFrame(rows, "metric string, value double, larger_is_better boolean")
 
 
+@register
+def q_metrics_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every metric measured while the predictions are written: no second job
+    reads them. Tags are compared as text."""
+    from tagloom.functions.tags import decode_indexes
+    from tagloom.operators.metrics import ObservedMetrics
+    pl, vocab = _pseudo_predictions(spark.newSession(), sf_dir)
+    tags = pl.select("Id", decode_indexes("prediction", vocab).alias("predictionLabel"), decode_indexes("label", vocab).alias("label"))
+    watch = ObservedMetrics(vocab)
+    written(watch.watch(tags), "observed")
+    found = watch.get()
+    rows = [(m, float(found[m])) for m in [*_ROW_METRICS, "microPrecision", "microRecall", "microF1", "n", "n_labels"]]
+    return spark.createDataFrame(rows, "metric string, value double")
+
+
 # ------------------------------------------------------- sources / sinks ----
 
 _XML_COLS = ["_Id", "_PostTypeId", "_CreationDate", "_Score", "_ViewCount", "_Body",
@@ -296,8 +331,8 @@ def _written_posts_xml(spark, sf_dir, max_records=None):
 def q_xml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts written as an XML dump and read back, each file as one document,
     with the all-text schema."""
-    from tagloom.sources.xml import read_posts_xml
-    return read_posts_xml(spark, _written_posts_xml(spark, sf_dir), line_wise=False).select(*_XML_COLS)
+    from tagloom.sources.xml import read_posts_document
+    return read_posts_document(spark, _written_posts_xml(spark, sf_dir)).select(*_XML_COLS)
 
 
 def _spoiled_dump(spark, sf_dir):
@@ -330,6 +365,38 @@ def q_xml_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xml_rejects(spark, _spoiled_dump(spark, sf_dir)).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _multiline_dump(spark, sf_dir):
+    """The dump with every attribute on a line of its own, and with damaged
+    rows: a bare ampersand (Id ending in 3), a row that never ends (4), a row
+    without Id (6), and a child element over lines (7)."""
+    lines = spark.read.text(_written_posts_xml(spark, sf_dir))
+    at = F.regexp_extract("value", r'<row Id="\d*(\d)"', 1)
+    v = F.col("value")
+    spoiled = (F.when(at == "3", F.replace(v, F.lit("<row "), F.lit('<row Note="a & b" ')))
+               .when(at == "4", F.regexp_replace(v, "/>$", ""))
+               .when(at == "6", F.regexp_replace(v, r'<row Id="\d+"', "<row"))
+               .when(at == "7", F.regexp_replace(v, "/>$", ">\n<tag>x</tag>\n</row>"))
+               .otherwise(v))
+    path = scratch_path(spark, "multiline-xml")
+    lines.select(F.regexp_replace(spoiled, r'" (\w+=")', '"\n    $1').alias("value")).write.text(path)
+    return path
+
+
+@register
+def q_xml_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole rows of a partly damaged dump whose elements span lines, cut
+    at row tags and read in parallel."""
+    from tagloom.sources.xml import read_posts_xml
+    return read_posts_xml(spark, _multiline_dump(spark, sf_dir), line_wise=False).select(*_XML_COLS)
+
+
+@register
+def q_xml_multiline_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements of the damaged multi-line dump that are no whole row."""
+    from tagloom.sources.xml import xml_rejects
+    return xml_rejects(spark, _multiline_dump(spark, sf_dir), line_wise=False).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register
 def q_xml_rechunk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dump re-chunked into files of at most 250 rows, read back."""
@@ -353,11 +420,16 @@ def q_questions_parquet_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def q_decode_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Index arrays decoded back to tag strings with the model vocabulary."""
-    from tagloom.functions.tags import decode_indexes
-    pl, vocab = _pseudo_predictions(spark, sf_dir)
-    return pl.select(F.col("Id").cast("bigint").alias("Id"),
-                     F.array_join(decode_indexes("prediction", vocab), "|").alias("tags"))
+    """Tag arrays coded to indexes and back by a dictionary table, which holds
+    every tag: no tag is in the plan."""
+    from tagloom.operators.labels import decode_labels, encode_labels, tag_dictionary
+    q = questions(spark, sf_dir).select("Id", "Score", "label")
+    words = tag_dictionary(q)
+    pred = F.concat(F.filter("label", lambda t: t != "toxic"),
+                    F.when(F.col("Score") > 2000, F.array(F.lit("quality"))).otherwise(F.array().cast("array<string>")))
+    coded = encode_labels(q.select("Id", pred.alias("tags")), words, "tags", "indexes")
+    names = decode_labels(written(coded, "coded"), words, "indexes", "names")
+    return names.select(F.col("Id").cast("bigint").alias("Id"), F.array_join("names", "|").alias("tags"))
 
 
 @register
@@ -390,6 +462,27 @@ def q_request_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Id", F.when(st.isNull(), F.lit("accepted")).otherwise(F.lit("rejected")).alias("status"), st.alias("reason"))
 
 
+def _json_requests(spark, sf_dir):
+    """Every post as a line of JSON; some are cut off (3), no object (11), or
+    have a number for a title (4), no body (6), a list for a body (12)."""
+    r = _requests(spark, sf_dir)
+    k = F.col("Id") % 20
+    line = F.to_json(F.struct("Id", F.when(~k.isin(4), F.col("Title")).alias("Title"), F.when(~k.isin(6, 12), F.col("Body")).alias("Body")))
+    line = (F.when(k == 3, F.expr("substring(line, 1, length(line) - 1)")).when(k == 11, F.concat(F.lit("["), F.col("line"), F.lit("]")))
+            .when(k == 4, F.concat(F.lit('{"Title":7,'), F.substring("line", 2, 1 << 30)))
+            .when(k == 12, F.concat(F.lit('{"Body":["x"],'), F.substring("line", 2, 1 << 30))).otherwise(F.col("line"))).alias("value"), line
+    return r.select("Id", line[1].alias("line")).select(line[0])
+
+
+@register
+def q_json_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests as JSON texts, some malformed: each accepted, or rejected with
+    a reason and its text."""
+    from tagloom.operators.scoring import json_request_status, parse_requests
+    p = parse_requests(_json_requests(spark, sf_dir)).withColumn("reason", json_request_status())
+    return p.select("Id", "reason", F.col("text").isNotNull().alias("has_text"))
+
+
 # ------------------------------------------------------------- models ----
 
 _SPLIT_SEED = 7
@@ -403,7 +496,7 @@ def _model_data(spark, sf_dir):
     carrying its ``side``) with its whole tag set. Models are fitted on the
     training side; every post is scored."""
     from tagloom.operators.labels import split_column
-    q = questions(spark, sf_dir, spread=True).select("Id", "label", "Title", "Body")
+    q = _tagged_posts(spark, sf_dir)
     q = q.withColumn("side", split_column("Id", 0.8, _SPLIT_SEED, method="arith"))
     return q.where(F.col("side") == "train"), q
 
@@ -425,27 +518,36 @@ def fitted_model(spark, sf_dir):
 @register
 def q_br_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binary relevance against one separately fitted logistic regression per
-    tag: per tag the posts, those the two disagree on, and whether a language
-    tag is ever predicted."""
+    tag: per tag the posts, the training posts that have it, those where the
+    two disagree, and whether a language tag is ever predicted."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark.util import inheritable_thread_target
     from tagloom.functions.tags import target_column
+    from tagloom.operators.relevance import BinaryRelevanceModel
     _, posts = _model_data(spark, sf_dir)
     model = fitted_model(spark, sf_dir)
     br = model.stages[-1]
     scored = written(model.transform(posts).select("Id", "label", "side", "features", "prediction"), "scored")
     fit_rows = scored.where(F.col("side") == "train").persist()
-    out = None
-    for i, tag in enumerate(br.vocabulary):
-        lr = _classifier().setLabelCol("y").setPredictionCol("own")
-        one = lr.fit(fit_rows.select("features", target_column("label", tag).alias("y")))
-        ours = F.array_contains("prediction", float(i))
-        got = one.transform(scored.select("prediction", "features")).agg(
-            F.lit(tag).alias("tag"), F.count(F.lit(1)).alias("n_rows"),
-            F.sum(F.when(ours != (F.col("own") == 1.0), 1).otherwise(0)).alias("n_mismatch"),
-            (F.sum(F.when(ours, 1).otherwise(0)) > 0).alias("predicted"))
-        out = got if out is None else out.unionByName(got)
-    out = written(out.withColumn("predicted", F.when(F.col("tag").isin(LANGUAGES), F.col("predicted"))), "br-fit")
+
+    def one(tag: str):
+        return _classifier().setLabelCol("y").fit(fit_rows.select("features", target_column("label", tag).alias("y")))
+
+    with ThreadPool(8) as pool:
+        apart = pool.map(inheritable_thread_target(spark)(one), br.vocabulary)
     fit_rows.unpersist()
-    return out
+    both = BinaryRelevanceModel(labels=br.vocabulary, models=apart).setPredictionCol("own").transform(scored)
+    code = F.col("i").cast("double")
+    names = spark.createDataFrame(list(enumerate(br.vocabulary)), "i int, tag string")
+    per = both.select("label", "side", "prediction", "own", F.explode(F.sequence(F.lit(0), F.lit(len(apart) - 1))).alias("i")).groupBy("i").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.when(F.array_contains("prediction", code) != F.array_contains("own", code), 1).otherwise(0)).alias("n_mismatch"),
+        (F.sum(F.when(F.array_contains("prediction", code), 1).otherwise(0)) > 0).alias("predicted"))
+    trained = scored.where(F.col("side") == "train").select(F.explode(F.array_distinct("label")).alias("tag")).groupBy("tag").agg(
+        F.count(F.lit(1)).alias("n_train"))
+    return written(per.join(names, "i").join(trained, "tag").select(
+        "tag", "n_rows", "n_train", "n_mismatch", F.when(F.col("tag").isin(LANGUAGES), F.col("predicted")).alias("predicted")), "br-fit")
 
 
 @register
@@ -461,18 +563,20 @@ def q_br_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     nothing = F.col("tags") / (F.col("n") * F.col("n_labels"))
     within = [F.col(c).between(0.0, 1.0) for c in ("precision", "recall", "f1", "accuracy", "subsetAccuracy")]
     return m.join(tags, "side").select(
-        "side", "n", "n_labels", F.round(nothing, 6).alias("nothing_loss"),
+        "side", "n", "n_labels", nothing.alias("nothing_loss"),
         F.when(F.col("side") == "train", F.col("hammingLoss") < nothing).alias("beats_nothing"),
         (within[0] & within[1] & within[2] & within[3] & within[4]).alias("within_bounds"))
 
 
-def _mismatches(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(n_rows, n_mismatch, n_tagged) of two (Id, tags) tables joined on Id."""
+def _mismatches(a: DataFrame, b: DataFrame, posts: DataFrame) -> DataFrame:
+    """(n_rows, n_mismatch, most_tagged) of two (Id, tags) tables joined on Id,
+    and the tags that the posts were given."""
+    given = posts.agg(F.sum(F.size("label")).alias("n_given"))
     j = a.alias("a").join(b.alias("b"), F.col("a.Id") == F.col("b.Id"), "full_outer")
     differs = ~F.col("a.tags").eqNullSafe(F.col("b.tags")) | F.col("a.Id").isNull() | F.col("b.Id").isNull()
     return j.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
                  F.sum(F.when(differs, 1).otherwise(0)).cast("bigint").alias("n_mismatch"),
-                 (F.sum(F.when(F.col("a.tags") != "", 1).otherwise(0)) * 2 > F.count(F.lit(1))).alias("most_tagged"))
+                 (F.sum(F.when(F.col("a.tags") != "", 1).otherwise(0)) * 2 > F.count(F.lit(1))).alias("most_tagged")).join(given)
 
 
 def _tags(scored: DataFrame) -> DataFrame:
@@ -488,7 +592,7 @@ def q_br_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fitted_model(spark, sf_dir)
     path = scratch_path(spark, "model")
     model.write().overwrite().save(path)
-    return _mismatches(_tags(model.transform(posts)), _tags(PipelineModel.load(path).transform(posts)))
+    return _mismatches(_tags(model.transform(posts)), _tags(PipelineModel.load(path).transform(posts)), posts)
 
 
 @register
@@ -503,7 +607,26 @@ def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = start_scoring(read_request_stream(spark, src, schema, max_files_per_trigger=2), model, out, ck)
     q.awaitTermination()
     streamed = spark.read.parquet(out).select("Id", F.array_join("tags", "|").alias("tags"))
-    return _mismatches(streamed, _tags(model.transform(posts)))
+    return _mismatches(streamed, _tags(model.transform(posts)), posts)
+
+
+@register
+def q_stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON requests streamed into a table of tags and one of rejects: each
+    request's outcome, and whether its tags are those of batch scoring."""
+    from tagloom.operators.scoring import parse_requests
+    from tagloom.plans.experiment import tagging_pipeline
+    from tagloom.streaming.score_stream import read_json_stream, scored_tables, start_scoring_tables
+    train, _ = _model_data(spark, sf_dir)
+    model = tagging_pipeline("Body", _classifier(), parallelism=4, labels=LANGUAGES).fit(train)
+    src, out, ck = (scratch_path(spark, n) for n in ("json", "streamed", "ckpt"))
+    _json_requests(spark, sf_dir).write.text(src)
+    start_scoring_tables(read_json_stream(spark, src, 2), model, out, ck).awaitTermination()
+    tags, rejects = scored_tables(spark, out)
+    asked = parse_requests(spark.read.text(src)).where("malformed is null").withColumn("Body", F.coalesce("Body", F.lit("")))
+    batch = model.transform(asked).select("Id", F.col("predictionLabel").alias("want"))
+    good = tags.join(batch, "Id", "left").select("Id", F.lit(None).cast("string").alias("reason"), F.col("tags").eqNullSafe(F.col("want")).alias("as_batch"))
+    return good.unionByName(rejects.select("Id", "reason", F.lit(True).alias("as_batch")))
 
 
 @register
@@ -601,10 +724,65 @@ def q_experiment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = predictions.agg(F.sum(F.size("label")).alias("tags"))
     nothing = F.col("tags") / (F.col("n") * F.col("n_labels"))
     return metrics.join(F.broadcast(tags)).select(
-        "n", "n_labels", F.round(nothing, 6).alias("nothing_loss"), (F.col("hammingLoss") < nothing).alias("beats_nothing"),
+        "n", "n_labels", nothing.alias("nothing_loss"), (F.col("hammingLoss") < nothing).alias("beats_nothing"),
         (F.col("tol").isin(0.01, 0.1) & F.col("threshold").isin(0.5, 0.65, 0.8) & (F.col("maxIter") == 100)).alias("on_grid"))
 
 
+def _persistence_promises(spark, data, lr, model) -> dict:
+    """Promises of saving, loading, refusing and resuming."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.util import MLWritable
+    from tagloom.operators.metrics import MultilabelEvaluator
+    from tagloom.operators.relevance import BinaryRelevance, BinaryRelevanceModel
+    places = [scratch_path(spark, n) for n in ("estimator", "evaluator", "refused", "journal")]
+    est = BinaryRelevance(classifier=lr, topN=3, minSupport=2, stringPredictionCol="names")
+    est.write().overwrite().save(places[0])
+    back = BinaryRelevance.load(places[0])
+    ev = MultilabelEvaluator(metricName="hammingLoss", labelCol="l", emptyAs="zero")
+    ev.write().overwrite().save(places[1])
+    ev2 = MultilabelEvaluator.load(places[1])
+
+    class Bare:     # a member that cannot be written
+        pass
+
+    try:
+        BinaryRelevanceModel(labels=["x"], models=[Bare()]).write().save(places[2])
+        refused = False
+    except ValueError:
+        refused = True
+    fits = []
+
+    class Counted(LogisticRegression):
+        def _fit(self, dataset):
+            fits.append(1)
+            return super()._fit(dataset)
+
+    resumable = BinaryRelevance(classifier=Counted(maxIter=2), labels=["de", "en"], journal=places[3])
+    first, before = resumable.fit(data), len(fits)
+    again = BinaryRelevance(classifier=Counted(maxIter=2), labels=["de", "en", "fr"], journal=places[3]).fit(data)
+    plain = model.transform(data)
+    return {
+        "estimator loads as saved": (back.getClassifier().getMaxIter(), back.getOrDefault(back.topN), back.getStringPredictionCol()) == (
+            lr.getMaxIter(), 3, "names"),
+        "evaluator loads as saved": (ev2.getMetricName(), ev2.getLabelCol(), ev2.isLargerBetter()) == ("hammingLoss", "l", False),
+        "refuses what cannot be written": refused and isinstance(model, MLWritable),
+        "no columns but the declared": plain.columns == [*data.columns, "prediction", "names", "raw"],
+        "a frame the caller keeps stays kept": _stays_kept(data, lr),
+        "a restarted fit fits what is left": (before, len(fits)) == (2, 3) and all(
+            a.coefficients == b.coefficients for a, b in zip(first.models, again.models)),
+    }
+
+
+def _stays_kept(data, lr) -> bool:
+    from pyspark import StorageLevel
+    from tagloom.operators.relevance import BinaryRelevance
+    kept = data.persist()
+    BinaryRelevance(classifier=lr, labels=["en"]).fit(kept)
+    stays = kept.storageLevel != StorageLevel.NONE
+    kept.unpersist()
+    return stays and kept.storageLevel == StorageLevel.NONE
+
+
 @register
 def q_br_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The estimator's contract on the post table, one row per promise: params
@@ -624,7 +802,7 @@ def q_br_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tuned.fit(data)
     out = model.transform(data)
     top = [r["label"] for r in label_counts(data).orderBy(F.col("n").desc(), "label").limit(3).collect()]
-    checks = {
+    checks = _persistence_promises(spark, data, lr, model) | {
         "copy reaches the base learner": tuned.getClassifier().getThreshold() == 0.7 and lr.getMaxIter() == 5,
         "members have the params": all(m.getThreshold() == 0.7 for m in model.models),
         "top tags in order": model.vocabulary == sorted(top),
@@ -663,7 +841,7 @@ def q_linear_score_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.operators.features import document_frequencies, join_by_term, terms
     from tagloom.operators.labels import label_vocabulary
     from tagloom.operators.scoring import linear_decisions
-    q = questions(spark, sf_dir, spread=True).select("Id", F.array_distinct("label").alias("label"), "Body")
+    q = _tagged_posts(spark, sf_dir).select("Id", F.array_distinct("label").alias("label"), "Body")
     vocab = label_vocabulary(q)
     codes = spark.createDataFrame(list(enumerate(vocab)), "label int, tag string")
     # (term, tag) counts: the tags ride along in the row, nothing is joined
@@ -690,9 +868,10 @@ def q_linear_score_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def q_br_linear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fitted model's logistic-regression members scored in SQL form (one
-    join on the feature index, one grouped sum, one comparison): must equal
-    the chained member transforms on every post."""
-    from tagloom.operators.scoring import score_linear_model
+    join on the feature index, one grouped sum, one comparison), by (document,
+    tag) and by the block matrix of all tags: both must equal the chained
+    member transforms on every post."""
+    from tagloom.operators.scoring import score_block_model, score_linear_model
     _, posts = _model_data(spark, sf_dir)
     model = fitted_model(spark, sf_dir)
     feats = written(model.transform(posts).select("Id", "features", "predictionLabel"), "scored")
@@ -700,4 +879,6 @@ def q_br_linear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = feats.select("Id").join(sql.select(F.col("id").alias("Id"), "predictionLabel"), "Id", "left") \
              .select("Id", F.array_join(F.coalesce("predictionLabel", F.array().cast("array<string>")), "|")
                      .alias("tags"))
-    return _mismatches(_tags(feats), b)
+    block = _tags(score_block_model(model.stages[-1], feats).withColumnRenamed("id", "Id"))
+    by_block = _mismatches(_tags(feats), block, posts).select(F.col("n_mismatch").alias("n_block_mismatch"))
+    return _mismatches(_tags(feats), b, posts).join(by_block)

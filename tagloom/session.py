@@ -91,9 +91,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared scratch folder and read it
     back: it survives lost executors, and joins of it get plain exchanges,
     whose large partitions adaptive execution can split."""
+    return df.sparkSession.read.schema(df.schema).parquet(written_path(df, name))
+
+
+def written_path(df: DataFrame, name: str) -> str:
+    """Where a frame has been written, for reading it in another session."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
 
 
 def spread_thin_input(df, *keys: str):

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.ml.feature import RegexTokenizer
 from pyspark.sql import functions as F
 
@@ -65,3 +66,54 @@ def test_arith_split_of_large_ids(spark):
     df = spark.createDataFrame([(i,) for i in big], "Id long")
     got = {r["Id"]: r["s"] for r in df.select("Id", split_column("Id", 0.8, 7, "arith").alias("s")).collect()}
     assert got == {i: "train" if (i * 7919 + 7 * 104729) % 1000 < 800 else "test" for i in big}
+
+
+def test_dictionary_codes_and_decodes_in_order(spark):
+    from tagloom.functions.tags import label_indexes
+    from tagloom.operators.labels import decode_labels, encode_labels, label_vocabulary, tag_dictionary
+    rows = [(1, ["b", "a", "b"]), (1, ["zz", "é"]), (2, []), (None, None), (3, ["a", None, "unknown"])]
+    df = spark.createDataFrame(rows, "Id long, label array<string>")
+    known = spark.createDataFrame([(["b", "a", "zz", "é"],)], "label array<string>")
+    words = tag_dictionary(known)
+    vocab = label_vocabulary(known)
+    assert [(r.tag, r.code) for r in words.orderBy("code").collect()] == [(t, i) for i, t in enumerate(vocab)]
+    want = df.select("Id", label_indexes("label", vocab).alias("x")).collect()
+    got = encode_labels(df, words, out="x").select("Id", "x").collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    kept = encode_labels(df, words, out="x", keep_unknown=True).where("Id = 3").first()
+    assert kept.x == [0.0, -1.0, -1.0]
+    back = decode_labels(encode_labels(df, words, out="x"), words, "x", "names").select("Id", "names").collect()
+    assert sorted(map(repr, [(r.Id, r.names) for r in back])) == sorted(map(repr, [
+        (1, ["b", "a", "b"]), (1, ["zz", "é"]), (2, []), (None, None), (3, ["a"])]))
+    plan = encode_labels(df, words, out="x")._jdf.queryExecution().toString()
+    assert "zz" not in plan
+
+
+def test_dictionary_over_many_partitions(spark):
+    from tagloom.operators.labels import tag_dictionary
+    df = spark.range(5000).selectExpr("array(concat('t', lpad(id % 3000, 5, '0'))) AS label").repartition(7)
+    rows = tag_dictionary(df).orderBy("code").collect()
+    assert [(r.tag, r.code) for r in rows] == [(f"t{k:05d}", k) for k in range(3000)]
+
+
+def test_top_labels_are_exact(spark):
+    from tagloom.operators.labels import label_counts, label_vocabulary, top_labels
+    # a tag on a third of all rows, some frequent ones, thousands of rare ones
+    df = spark.range(30_000).selectExpr(
+        "array(if(id % 3 = 0, 'hot', concat('f', id % 11)), concat('r', id % 9000)) AS label").repartition(6)
+    for n, size in ((1, 64), (5, 64), (20, 64), (12, 8192), (40, 16)):
+        want = label_counts(df).orderBy("n", ascending=False).collect()
+        want = sorted(((-r.n, r.label) for r in want))[:n]
+        got = top_labels(df, n, sketch_items=size).collect()
+        assert sorted((-r.n, r.label) for r in got) == want, (n, size)
+    assert label_vocabulary(df, top_n=1) == ["hot"]
+    assert top_labels(df.limit(0), 3).collect() == []
+
+
+def test_unbounded_vocabulary_is_refused(spark, monkeypatch):
+    import tagloom.operators.labels as labels
+    monkeypatch.setattr(labels, "MAX_TAGS", 3)
+    df = spark.createDataFrame([(["a", "b", "c"],), (["d"],)], "label array<string>")
+    with pytest.raises(ValueError, match="more than 3 tags"):
+        labels.label_vocabulary(df)
+    assert labels.label_vocabulary(df.limit(1)) == ["a", "b", "c"]

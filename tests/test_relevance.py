@@ -189,3 +189,78 @@ def test_cached_input_is_not_cached_again(spark, feats):
     from tagloom.operators.relevance import _reads_cache
     assert _reads_cache(feats) and _reads_cache(feats.select("features", "label").where("Id > 3"))
     assert not _reads_cache(spark.range(5))
+
+
+def test_a_stopped_fit_goes_on(feats, tmp_path):
+    """Stopped after some members, started again: fits the rest, and gives the
+    model of an undisturbed fit."""
+    fits = []
+
+    class Stopping(LogisticRegression):
+        def _fit(self, dataset):
+            if len(fits) == 2:
+                raise RuntimeError("executor lost")
+            fits.append(1)
+            return super()._fit(dataset)
+
+    tags, journal = ["de", "en", "es", "fr"], str(tmp_path / "journal")
+    with pytest.raises(Exception, match="executor lost"):
+        BinaryRelevance(classifier=Stopping(maxIter=5), labels=tags, journal=journal).fit(feats)
+    fits2 = []
+
+    class Stopping(LogisticRegression):  # noqa: F811  (same name, so the same journal)
+        def _fit(self, dataset):
+            fits2.append(1)
+            return super()._fit(dataset)
+
+    model = BinaryRelevance(classifier=Stopping(maxIter=5), labels=tags, journal=journal).fit(feats)
+    assert len(fits) + len(fits2) == 4 and len(fits2) == 2
+    plain = BinaryRelevance(classifier=LogisticRegression(maxIter=5), labels=tags).fit(feats)
+    assert [m.coefficients for m in model.models] == [m.coefficients for m in plain.models]
+    # other params, other rows: nothing is taken over
+    fits2.clear()
+    BinaryRelevance(classifier=Stopping(maxIter=4), labels=tags, journal=journal).fit(feats)
+    BinaryRelevance(classifier=Stopping(maxIter=5), labels=tags, journal=journal).fit(feats.where("Id % 2 = 0"))
+    assert len(fits2) == 8
+
+
+def test_half_written_member_is_fitted_again(feats, tmp_path):
+    journal = tmp_path / "journal"
+    br = BinaryRelevance(classifier=LogisticRegression(maxIter=2), labels=["de"], journal=str(journal))
+    first = br.fit(feats)
+    marks = list(journal.glob("*/*/_DONE"))
+    assert len(marks) == 1
+    marks[0].unlink()
+    assert br.fit(feats).models[0].coefficients == first.models[0].coefficients and marks[0].exists()
+
+
+def test_block_matrix_equals_chain(spark, feats):
+    """500 members: same decisions as chained transforms, in a plan whose size
+    does not depend on their number."""
+    from tagloom.operators.scoring import score_block_model
+    base = BinaryRelevance(classifier=LogisticRegression(maxIter=3), labels=["de", "en", "es", "fr"]).fit(feats)
+    members = [m.copy({m.threshold: 0.02 + (k % 97) / 100}) for k in range(125) for m in base.models]
+    model = BinaryRelevanceModel(labels=[f"t{k}" for k in range(500)], models=members)
+    rows = feats.select("Id", "features").limit(60)
+    rows = rows.unionByName(rows.limit(1).selectExpr("-1L AS Id", "features"))
+    got = {r.id: (r.prediction, r.predictionLabel) for r in score_block_model(model, rows).collect()}
+    # the chain, a few members at a time: its plan does grow
+    want = {r.Id: [] for r in rows.collect()}
+    for low in range(0, 500, 50):
+        part = BinaryRelevanceModel(labels=model.vocabulary[low:low + 50], models=members[low:low + 50])
+        for r in part.transform(rows).collect():
+            want[r.Id] += [low + int(x) for x in r.prediction]
+    assert {k: [int(x) for x in p] for k, (p, _) in got.items()} == want
+    assert all(names == [f"t{int(x)}" for x in p] for p, names in got.values())
+
+
+def test_block_plan_does_not_grow(spark, feats):
+    from tagloom.operators.scoring import block_margins, block_weights, sparse_entries
+    base = BinaryRelevance(classifier=LogisticRegression(maxIter=2), labels=["de", "en"]).fit(feats)
+    sizes = []
+    for k in (2, 200):
+        model = BinaryRelevanceModel(labels=[f"t{i}" for i in range(k)], models=(base.models * k)[:k])
+        weights, _, n_bytes = block_weights(spark, model)
+        plan = block_margins(sparse_entries(feats, "Id", "features"), weights, n_bytes)._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append(len(plan))
+    assert abs(sizes[0] - sizes[1]) < 100

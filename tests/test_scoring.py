@@ -1,3 +1,4 @@
+import os
 import json
 
 import pytest
@@ -84,3 +85,55 @@ def test_experiment_cli(spark, tmp_path, capsys):
     assert main([path, "en", "de", "fr", "es"]) == 0
     out = capsys.readouterr().out
     assert "hammingLoss" in out and "threshold" in out
+
+
+LINES = ['{"Id":1,"Title":"t","Body":"b"}', '{"Id":2,"Title":"","Body":"b"}', '{"Id":3,"Title":"t"}', '{"Id":4,"Title":"t","Body":null}',
+         '{"Id":5,"Title":7,"Body":"b"}', '{"Id":6,"Title":"t","Body":["b"]}', '{"Id":7,"Title":"t","Body":"b"', "", "nonsense", '["Title"]',
+         '{"Id":"x","Title":"t","Body":"b"}', '{"Title":"no id","Body":"é \\u00e9","More":{"a":1}}', ' {"Id":9,"Title":"t","Body":"b"}']
+
+
+def test_malformed_json_requests(spark):
+    from tagloom.operators.scoring import REASON_NO_JSON, REASON_WRONG_TYPE, json_request_status, parse_requests
+    df = spark.createDataFrame([(x,) for x in LINES] + [(None,)], "value string")
+    rows = parse_requests(df).withColumn("reason", json_request_status()).collect()
+    by_text = {r.text: r for r in rows}
+    assert len(rows) == len(LINES) + 1
+    want = [None, REASON_NO_TITLE, REASON_NO_BODY, REASON_NO_BODY, REASON_WRONG_TYPE, REASON_WRONG_TYPE, REASON_NO_JSON, REASON_NO_JSON, REASON_NO_JSON,
+            REASON_NO_JSON, REASON_NO_JSON, None, None]
+    assert [by_text[x].reason for x in LINES] == want
+    assert by_text[None].reason == REASON_NO_JSON
+    assert (by_text[LINES[0]].Id, by_text[LINES[0]].Title, by_text[LINES[0]].Body) == (1, "t", "b")
+    assert (by_text[LINES[11]].Id, by_text[LINES[11]].Body) == (None, "é é")
+
+
+def test_two_tables_and_a_replayed_batch(spark, saved_model, tmp_path):
+    """JSON requests into tags and rejects; a batch that is replayed after a
+    failure changes neither table."""
+    import glob
+
+    from tagloom.operators.scoring import parse_requests
+    from tagloom.streaming.score_stream import read_json_stream, scored_tables, start_scoring_tables
+    path, data = saved_model
+    model = PipelineModel.load(path)
+    src, out, ck = (str(tmp_path / n) for n in ("json", "out", "ck"))
+    good = data.select("Id", "Title", "Body").where("Title <> ''").select(F.to_json(F.struct("*")).alias("value"))
+    good.unionByName(spark.createDataFrame([(x,) for x in LINES], "value string")).repartition(3).write.text(src)
+
+    def run():
+        start_scoring_tables(read_json_stream(spark, src, 1), model, out, ck).awaitTermination()
+        tags, rejects = scored_tables(spark, out)
+        return sorted(map(repr, tags.collect())), sorted(map(repr, rejects.collect()))
+
+    first = run()
+    assert len(first[0]) == good.count() + 3 and len(first[1]) == len(LINES) - 3
+    batch = model.transform(parse_requests(good).drop("text", "malformed"))
+    want = {r.Id: list(r.predictionLabel) for r in batch.collect()}
+    tags = scored_tables(spark, out)[0].collect()
+    assert {r.Id: list(r.tags) for r in tags if r.Id in want and r.Id not in (1, 9)} == {k: v for k, v in want.items() if k not in (1, 9)}
+    commits = sorted(glob.glob(ck + "/commits/[0-9]*"), key=lambda x: int(x.rsplit("/", 1)[1]))
+    last = commits[-1].rsplit("/", 1)       # as if the last batch had failed after its write
+    for name in (last[1], f".{last[1]}.crc"):
+        if os.path.exists(f"{last[0]}/{name}"):
+            os.remove(f"{last[0]}/{name}")
+    assert run() == first
+    assert len(glob.glob(ck + "/commits/[0-9]*")) == len(commits)

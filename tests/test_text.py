@@ -50,3 +50,46 @@ def test_exact_tfidf_weights(spark):
     w0 = {(r["id"], r["term"]): r for r in exact_tfidf(df, "id", "t").collect()}
     assert w0[(1, "apple")]["tfidf"] == 2 * math.log((n + 1) / (1 + 1))
     assert (3, "") in w0 and F is not None
+
+
+def test_legacy_buckets_are_the_sql_hash(spark):
+    """The older word hash mixes trailing bytes one by one, signed; words of
+    whole blocks of four bytes fall into the same bucket under both."""
+    from tagloom.operators.features import hashing_tf, legacy_bucket, legacy_term_frequencies
+    from pyspark.ml.functions import vector_to_array
+
+    def murmur(data: bytes, legacy: bool, seed: int = 42) -> int:
+        mask = 0xFFFFFFFF
+
+        def rot(x, r):
+            return ((x << r) | (x >> (32 - r))) & mask
+
+        def mix_k(k):
+            return rot(k * 0xCC9E2D51 & mask, 15) * 0x1B873593 & mask
+
+        def mix_h(h, k):
+            return (rot(h ^ k, 13) * 5 + 0xE6546B64) & mask
+
+        h, whole = seed, len(data) // 4 * 4
+        for i in range(0, whole, 4):
+            h = mix_h(h, mix_k(int.from_bytes(data[i:i + 4], "little")))
+        if legacy:
+            for b in data[whole:]:
+                h = mix_h(h, mix_k((b - 256 if b > 127 else b) & mask))
+        elif data[whole:]:
+            h ^= mix_k(int.from_bytes(data[whole:], "little"))
+        h ^= len(data)
+        h = (h ^ h >> 16) * 0x85EBCA6B & mask
+        h = (h ^ h >> 13) * 0xC2B2AE35 & mask
+        h ^= h >> 16
+        return h - (1 << 32) if h >= 1 << 31 else h
+
+    words = ["", "a", "ab", "abc", "abcd", "straße", "日本語", "école", "four" * 5, "x" * 31]
+    df = spark.createDataFrame([(1, words + ["a", "ab"])], "Id long, toks array<string>")
+    got = {r.w: r.b for r in df.selectExpr("explode(array_distinct(toks)) AS w").select("w", legacy_bucket("w", 1000).alias("b")).collect()}
+    assert got == {w: murmur(w.encode(), True) % 1000 for w in words}
+    stage = vector_to_array(F.col("tf"))
+    now = hashing_tf(1000, "toks", "tf").transform(df).select(stage.alias("a")).first().a
+    assert {i for i, x in enumerate(now) if x} == {murmur(w.encode(), False) % 1000 for w in words}
+    tf = {r.bucket: r.tf for r in legacy_term_frequencies(df, "Id", "toks").collect()}
+    assert sum(tf.values()) == len(words) + 2 and tf[got["a"]] >= 2
