@@ -22,11 +22,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagloom.llm.cells import over_cells, to_cells
-from tagloom.llm.common import written
+from tagloom.llm.common import likely, written
 from tagloom.llm.components import forest, linked_rows
 
 THRESHOLD = 0.98
@@ -34,6 +36,8 @@ WIDTH, SEED = 2.0, 7
 #: Unrelated vectors expected in a vector's bucket; a pair's chance to be missed.
 STRANGERS, MISS = 0.125, 1e-4
 BLOCK_ROWS = 512
+#: Low bits of a bucket's 64-bit name that tell its table.
+TABLE_BITS = 12
 
 
 def step_chance(distance: float, width: float) -> float:
@@ -46,7 +50,10 @@ def table_plan(n: int, threshold: float, width: float = WIDTH, strangers: float
     """Integers per bucket name and tables for n vectors."""
     near, far = step_chance(math.sqrt(2 - 2 * threshold), width), step_chance(math.sqrt(2), width)
     hashes = max(1, math.ceil(math.log(max(n, 2) / strangers) / -math.log(far)))
-    return hashes, math.ceil(math.log(miss) / math.log1p(-(near ** hashes)))
+    tables = math.ceil(math.log(miss) / math.log1p(-(near ** hashes)))
+    if tables > 1 << TABLE_BITS:
+        raise ValueError(f"{tables} tables: the threshold is too low for these hashes")
+    return hashes, tables
 
 
 def bucket_names(x: np.ndarray, width: float, hashes: int, tables: int, seed: int) -> np.ndarray:
@@ -74,7 +81,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, width: float
     largest.
     """
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("label").cast("string"),
-                          F.col("embedding").cast("array<double>").alias("embedding"))
+                          F.col("embedding").cast(_kept_type(vectors)).alias("embedding"))
     usable = (F.col("label").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0)
               & ~F.exists("embedding", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
               & F.exists("embedding", lambda v: v != 0))
@@ -84,12 +91,15 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, width: float
     classes = written(classes, "vector-classes")
     hashes, tables = table_plan(classes.count(), threshold, width, strangers, miss)
     named = written(_named(classes, width, hashes, tables, seed), "vector-buckets")
-    # names go through the bucket count; vectors join only the buckets that are shared
+    # hashes of names go through the bucket count; vectors join only the buckets that are shared
+    place = F.xxhash64("name", "label", "n")
     member = named.select("key", "label", F.size("embedding").alias("n"), F.posexplode("buckets").alias("t", "name")).select(
-        "key", F.concat_ws("|", "t", "name", "n", "label").alias("bucket"))
+        "key", "t", F.shiftleft(place, TABLE_BITS).bitwiseOR(F.col("t").cast("long")).alias("bucket"))
     counts = written(member.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1"), "bucket-sizes")
-    shared = written(member.join(counts, "bucket"), "shared-buckets")
-    cells = to_cells(shared.join(named, "key"), "bucket", "members", F.xxhash64("key"), block_rows)
+    shared = written(likely(member, "bucket", counts, "bucket").join(counts, "bucket"), "shared-buckets")
+    # of the names those of the tables up to the bucket's own
+    vectors_of = shared.join(named, "key").withColumn("buckets", F.slice("buckets", F.lit(1), F.col("t") + 1)).drop("t")
+    cells = to_cells(vectors_of, "bucket", "members", F.xxhash64("key"), block_rows)
     found = written(over_cells(cells, _compare(threshold), "key binary, links long, a binary, b binary"), "vector-links")
     linked = linked_rows(keyed, "vec_id", found)
     alone = rows.where(~F.coalesce(usable, F.lit(False))).select(
@@ -97,9 +107,18 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, width: float
     return linked.unionByName(alone)
 
 
+def _kept_type(vectors: DataFrame) -> str:
+    """Single precision is moved as it is; comparisons are in double."""
+    kind = vectors.schema["embedding"].dataType
+    single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    return "array<float>" if single else "array<double>"
+
+
 def _keyed(rows: DataFrame) -> DataFrame:
     """Adds ``key``: a 128-bit name of label and vector."""
-    schema = pa.schema([("vec_id", pa.int64()), ("label", pa.string()), ("embedding", pa.list_(pa.float64())), ("key", pa.binary())])
+    kind = rows.schema["embedding"].dataType.simpleString()
+    number = pa.float32() if "float" in kind else pa.float64()
+    schema = pa.schema([("vec_id", pa.int64()), ("label", pa.string()), ("embedding", pa.list_(number)), ("key", pa.binary())])
 
     def name(batches):
         for batch in batches:
@@ -110,18 +129,21 @@ def _keyed(rows: DataFrame) -> DataFrame:
                                             person=hashlib.md5(label.encode()).digest()).digest())
             yield pa.record_batch([*batch.columns, pa.array(keys, pa.binary())], schema=schema)
 
-    return rows.mapInArrow(name, "vec_id long, label string, embedding array<double>, key binary")
+    return rows.mapInArrow(name, f"vec_id long, label string, embedding {kind}, key binary")
 
 
 def _matrix(column) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    return (values.astype(np.float64) if values.dtype.kind == "f" else values).reshape(len(column), -1)
 
 
 def _named(classes: DataFrame, width, hashes, tables, seed) -> DataFrame:
     """Adds ``buckets``: the vector's bucket name in each table."""
+    kind = classes.schema["embedding"].dataType.simpleString()
+    number = pa.float32() if "float" in kind else pa.float64()
     schema = pa.schema([("key", pa.binary()), ("label", pa.string()), ("copies", pa.int64()),
-                        ("embedding", pa.list_(pa.float64())), ("buckets", pa.list_(pa.int64()))])
+                        ("embedding", pa.list_(number)), ("buckets", pa.list_(pa.int64()))])
 
     def name(batches):
         for batch in batches:
@@ -138,18 +160,20 @@ def _named(classes: DataFrame, width, hashes, tables, seed) -> DataFrame:
             yield pa.record_batch([*(batch.column(c) for c in schema.names[:-1]), pa.array(out, pa.list_(pa.int64()))], schema=schema)
 
     return classes.select(*schema.names[:-1]).mapInArrow(
-        name, "key binary, label string, copies long, embedding array<double>, buckets array<long>")
+        name, f"key binary, label string, copies long, embedding {kind}, buckets array<long>")
 
 
 def _compare(threshold: float):
     schema = pa.schema([("key", pa.binary()), ("links", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
 
     def compare(cell: pa.Table) -> list[pa.RecordBatch]:
-        n = cell.num_rows
-        if n < 2:
+        if cell.num_rows < 2:
             return []
+        lengths = pc.list_value_length(cell.column("embedding").combine_chunks()).to_numpy()
+        if lengths.min() != lengths.max():  # buckets that share only their 64-bit name
+            return [b for k in np.unique(lengths) for b in compare(cell.filter(pa.array(lengths == k)))]
         first = cell.column("cell")[0].as_py()
-        table, i, j = int(first["bucket"].split("|")[0]), first["i"], first["j"]
+        table, i, j = first["bucket"] & (1 << TABLE_BITS) - 1, first["i"], first["j"]
         x, buckets = _matrix(cell.column("embedding")), _matrix(cell.column("buckets"))
         copies = cell.column("copies").to_numpy()
         x = x / np.abs(x).max(axis=1, keepdims=True)
@@ -159,6 +183,8 @@ def _compare(threshold: float):
         if i != j:  # pairs within a block belong to the block's own cell
             block = cell.column("block").to_numpy()
             near &= block[:, None] != block[None, :]
+        labels = np.unique(np.array(cell.column("label").to_pylist(), dtype=object), return_inverse=True)[1]
+        near &= (labels[:, None] == labels[None, :]) & (buckets[:, table][:, None] == buckets[:, table][None, :])
         for t in range(table):  # an earlier table holds the pair in one bucket: counted there
             if not near.any():
                 return []

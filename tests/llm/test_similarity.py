@@ -139,3 +139,50 @@ def test_runs_and_intersections():
     want = [len(np.intersect1d(sets[a], sets[b])) for a, b in pairs]
     assert shared_counts(sets, pairs).tolist() == want
     assert shared_counts(sets, pairs[:5]).tolist() == want[:5]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_planted_vector_links_are_found(spark, kind):
+    """Pairs at cosines just above the threshold among strangers, in two
+    labels: every one is found, and no other."""
+    rng = np.random.default_rng(12)
+    n, dims = 2500, 64
+    base = rng.standard_normal((n, dims))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = rng.standard_normal((n, dims))
+    side -= (side * base).sum(axis=1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = rng.uniform(0.9802, 0.99, n)[:, None]
+    near = cosine * base + np.sqrt(1 - cosine ** 2) * side
+    near[::5] = 0.979 * base[::5] + np.sqrt(1 - 0.979 ** 2) * side[::5]    # just below
+    rows = [(k, k % 2, base[k].tolist()) for k in range(n)] + [(n + k, k % 2 if k % 7 else 1 - k % 2, near[k].tolist()) for k in range(n)]
+    df = spark.createDataFrame(rows, f"vec_id long, label int, embedding array<{kind}>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(df).collect()}
+    for k in range(n):
+        linked = k % 5 != 0 and k % 7 != 0
+        assert got[k] == ((1, k) if linked else (0, k)), k
+        assert got[n + k] == ((1, k) if linked else (0, n + k)), k
+
+
+def test_buckets_of_one_name_are_told_apart(spark, monkeypatch):
+    """All buckets of a table under one 64-bit name: nothing is counted twice,
+    and labels and lengths stay apart."""
+    import tagloom.llm.embedding_neardup as module
+    real = module.F
+
+    class Functions:
+        def xxhash64(self, *cols):
+            return real.lit(7).cast("long") if cols == ("name", "label", "n") else real.xxhash64(*cols)
+
+        def __getattr__(self, name):
+            return getattr(real, name)
+
+    rng = np.random.default_rng(2)
+    rows = []
+    for k in range(60):
+        x = rng.standard_normal(8 if k % 3 else 6)
+        rows += [(3 * k, "a", x.tolist()), (3 * k + 1, "a", (x + 0.01 * rng.standard_normal(len(x))).tolist()), (3 * k + 2, "b", x.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")
+    want = sorted(map(tuple, near_vectors(df).collect()))
+    monkeypatch.setattr(module, "F", Functions())
+    assert sorted(map(tuple, near_vectors(df).collect())) == want
