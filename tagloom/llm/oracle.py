@@ -56,7 +56,8 @@ _HASH = "('0x' || substr(md5({0}), 1, 15))::BIGINT"
 
 OP3 = f"""
 WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+    {_HASH.format("coalesce(text, '')")} AS digest FROM documents
 ),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS no FROM d GROUP BY source
@@ -86,9 +87,9 @@ won AS (
   WHERE r <= seats GROUP BY no
 ),
 dealt AS (
-  SELECT doc_id, size, source_size, target, t.no, coalesce(won.blocks, 0) AS blocks,
-    {_HASH.format("'shard11:' || coalesce(doc_id::VARCHAR, '')")} % shards AS shard,
-    {_HASH.format("'order11:' || coalesce(doc_id::VARCHAR, '')")} AS place
+  SELECT doc_id, size, digest, source_size, target, t.no, coalesce(won.blocks, 0) AS blocks,
+    {_HASH.format("'shard11:' || coalesce(doc_id::VARCHAR, '') || ':' || digest")} % shards AS shard,
+    {_HASH.format("'order11:' || coalesce(doc_id::VARCHAR, '') || ':' || digest")} AS place
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN won ON won.no = t.no
 ),
 sh AS (SELECT no, shard, blocks, sum(size)::BIGINT AS words FROM dealt GROUP BY ALL),
@@ -102,7 +103,7 @@ quota AS (
 ),
 laid AS (
   SELECT dealt.*, words, greatest(ceil(words / 64)::BIGINT, 1) AS n, coalesce(quota, 0) AS quota,
-    sum(size) OVER (PARTITION BY dealt.no, dealt.shard ORDER BY place, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING)::BIGINT AS e
+    sum(size) OVER (PARTITION BY dealt.no, dealt.shard ORDER BY place, doc_id NULLS FIRST, digest ROWS UNBOUNDED PRECEDING)::BIGINT AS e
   FROM dealt JOIN sh ON sh.no = dealt.no AND sh.shard = dealt.shard
   LEFT JOIN quota ON quota.no = dealt.no AND quota.shard = dealt.shard
 ),

@@ -11,8 +11,8 @@ alone, so blocks are never materialised.
 
 Only DataFrame functions run here. Windows are taken over a shard (about
 SHARD_WORDS words, however large its source) or over one row per source; no
-window or task holds a whole source; a source of more than REGION shards
-shares its blocks among regions of shards first.
+window or task holds a whole source, nor all rows of one id or none; a source
+of more than REGION shards shares its blocks among regions of shards first.
 """
 
 from __future__ import annotations
@@ -95,13 +95,16 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, block_wo
     ``taken`` counts the words the mix takes of the document, repeats counted,
     never above twice its size. Null texts have size 0 and nothing is taken of
     them; the null source is a source, last in order. Repeated rows are
-    documents of their own, laid one behind the other. No rows give no rows;
-    other columns are ignored. The same rows always give the same mix.
+    documents of their own, laid one behind the other, and one row until they
+    are. Long texts are counted whole. No rows give no rows; other columns are
+    ignored. The same rows always give the same mix.
     """
-    rows = written(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), _size().alias("size")), "sizes")
+    rows = written(_counted(_sized(docs)), "sizes")
     laid = _with_quotas(rows, rows, weights, share, block_words, shard_words, seed)
-    in_shard = Window.partitionBy("no", "shard").orderBy("at", F.col("doc_id").asc_nulls_first(), "size")
-    laid = laid.withColumn("end", F.sum("size").over(in_shard.rowsBetween(Window.unboundedPreceding, 0)))
+    in_shard = Window.partitionBy("no", "shard").orderBy("at", F.col("doc_id").asc_nulls_first(), "digest")
+    before = F.coalesce(F.sum(F.col("size") * F.col("copies")).over(in_shard.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    laid = laid.withColumn("before", before).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    laid = laid.withColumn("end", F.col("before") + F.col("copy") * F.col("size"))
     # of the blocks before b, the seeded even choice takes (b * extra + phase) div n
     taken = [F.expr(
         f"passes * ({x}) + {block_words} * (((({x}) div {block_words}) * extra + phase) div n)"
@@ -117,27 +120,36 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, bloc
 
     A shard's whole passes repeat all its documents; for the rest of its quota
     a seeded, even choice along the documents' sizes is taken once more, so
-    that the words taken keep close to the quota.
+    that the words taken keep close to the quota. Rows alike in id, source and
+    text lie in one shard; as in ``mix_sources``, null texts have no words.
     """
-    sizes = written(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), _size().alias("size")), "sizes")
-    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long"), F.col("source").cast("string"), _size().alias("size"))
-    laid = _with_quotas(rows, sizes, weights, share, block_words, shard_words, seed)
-    by_size = Window.partitionBy("no", "shard").orderBy("size", "at", F.col("doc_id").asc_nulls_first())
+    sizes = written(_counted(_sized(docs)), "sizes")
+    laid = _with_quotas(_sized(docs, F.struct("*").alias("doc")), sizes, weights, share, block_words, shard_words, seed)
+    by_size = Window.partitionBy("no", "shard").orderBy("size", "at", F.col("doc_id").asc_nulls_first(), "digest")
     laid = laid.withColumn("i", F.row_number().over(by_size).cast("long"))
     copies = F.expr("passes + (i * extra + phase) div n - ((i - 1) * extra + phase) div n").cast("int")
     return laid.where(copies > 0).select("doc", F.explode(F.sequence(F.lit(1), copies)).alias("copy")).select("doc.*")
 
 
-def _size() -> Column:
-    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+def _sized(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, source, size in words, and 60 bits of the text's digest, which
+    spread rows that have one id, or none, over shards."""
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    return docs.select(*more, F.col("doc_id").cast("long"), F.col("source").cast("string"), size.alias("size"),
+                       _number(F.coalesce("text", F.lit(""))).alias("digest"))
+
+
+def _counted(sized: DataFrame) -> DataFrame:
+    """Rows alike in id, source and text as one, with their number."""
+    return sized.groupBy("doc_id", "source", "size", "digest").agg(F.count("*").alias("copies"))
 
 
 def _with_quotas(rows: DataFrame, sizes: DataFrame, weights, share, block_words, shard_words, seed) -> DataFrame:
-    """Rows (doc_id, source, size and others) with their source's target and
-    their shard's quota: passes over all n blocks, extra blocks, and phase.
-    ``sizes`` holds the same doc_id, source and size, cheap to read again."""
+    """Rows (doc_id, source, size, digest and others) with their source's target
+    and their shard's quota: passes over all n blocks, extra blocks, and phase.
+    ``sizes`` holds the same rows, counted, cheap to read again."""
     by_name = Window.partitionBy(F.lit(1)).orderBy(F.col("source").asc_nulls_last())
-    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn(
+    sources = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size")).withColumn(
         "no", F.row_number().over(by_name) - 1)
     aimed = targets(sources, weights, share)
     total = F.sum("target").over(Window.partitionBy(F.lit(1)).orderBy("no").rowsBetween(
@@ -148,7 +160,7 @@ def _with_quotas(rows: DataFrame, sizes: DataFrame, weights, share, block_words,
         "shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long")), "mix-sources")
 
     def dealt(rows: DataFrame) -> DataFrame:
-        key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+        key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("digest").cast("string"))
         to = aimed.select(F.col("source").alias("_s"), "no", "shards", "target", "source_size")
         return rows.join(to, F.col("source").eqNullSafe(F.col("_s"))).withColumn(
             "shard", F.pmod(_number(F.lit(f"shard{seed}"), key), F.col("shards"))).withColumn(
@@ -156,7 +168,7 @@ def _with_quotas(rows: DataFrame, sizes: DataFrame, weights, share, block_words,
 
     # source -> regions of REGION shards -> shards: no window holds more than
     # the regions of a source or the shards of a region
-    shards = written(dealt(sizes).groupBy("no", "shard").agg(F.sum("size").alias("words")).withColumn(
+    shards = written(dealt(sizes).groupBy("no", "shard").agg(F.sum(F.col("size") * F.col("copies")).alias("words")).withColumn(
         "region", F.expr(f"shard div {REGION}")), "mix-shards")
     regions = shards.groupBy("no", "region").agg(F.sum("words").alias("region_words")).join(
         aimed.select("no", "blocks"), "no")

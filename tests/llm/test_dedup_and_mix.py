@@ -98,3 +98,21 @@ def test_mix_of_odd_rows(odd, none):
     assert len(got) == odd.count() and all(0 <= x.taken <= 2 * x.size for x in got)
     assert mix_sources(none).collect() == []
     assert mixed_documents(odd).columns == odd.columns and mixed_documents(none).collect() == []
+
+
+def test_mix_without_ids_and_with_copies(spark):
+    """No row has an id of its own, and one text is copied a thousand times:
+    shards stay small, copies are one row in them, and targets are kept."""
+    from tagloom.llm.source_mix import SEED, SHARE, WEIGHTS, _counted, _sized, _with_quotas
+    rows = [(None if k % 3 else 5, f"w{k} " * (20 + k % 30), "hot" if k % 4 else "b") for k in range(3000)]
+    rows += [(None, "same text again and again " * 4, "hot")] * 1000
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix_sources(frame, shard_words=2000, block_words=16).collect()
+    assert len(got) == 4000 and all(0 <= r.taken <= 2 * r.size for r in got)
+    for size, target in {(r.source_size, r.target) for r in got}:
+        assert abs(sum(r.taken for r in got if r.source_size == size) - target) <= 0.02 * target
+    again = mix_sources(frame.repartition(9), shard_words=2000, block_words=16).collect()
+    assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, got), key=repr)
+    sizes = _counted(_sized(frame))
+    laid = _with_quotas(sizes, sizes, WEIGHTS, SHARE, 16, 2000, SEED)
+    assert max(r["count"] for r in laid.groupBy("no", "shard").count().collect()) < 200
