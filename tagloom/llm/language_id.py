@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Labelled rows per language that the centroids are fitted on, at most.
 SAMPLE_ROWS = 300
+#: Languages that are learned, at most: the most frequent ones.
+LANGUAGES = 500
 BUCKETS, CENTROIDS, ROUNDS, SEED = 4096, 4, 12, 3
 #: Share of a centroid's own sample that may lie beyond its radius.
 BEYOND = 0.005
@@ -89,16 +91,23 @@ def fold(folds: int = FOLDS):
 
 def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, centroids: int = CENTROIDS, seed: int = SEED) -> LanguageModel:
     """Fit on at most ``sample_rows`` rows per non-null lang, those with the
-    least hash of doc_id, leaving out the held-out fold.
+    least hash of doc_id (then of the text), leaving out the held-out fold; of
+    more than LANGUAGES langs the most frequent are learned.
 
-    The group limit is applied within each input partition before the shuffle,
-    so a frequent language sends no more rows to a task than a rare one.
+    The group limits are applied within each input partition before the
+    shuffle, so a frequent language, or id, sends no more rows to a task than a
+    rare one. Rows count as their own lang says, whatever id they share.
     """
-    ids = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string")).where(
-        F.col("lang").isNotNull() & (fold() != HELD_OUT))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = ids.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample_rows).select("doc_id", F.col("lang").alias("learned"))
-    sample = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen.distinct()), "doc_id")
+    ids = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string").alias("learned")).where(
+        F.col("learned").isNotNull() & (fold() != HELD_OUT))
+    known = ids.groupBy("learned").agg(F.count("*").alias("rows")).orderBy(F.col("rows").desc(), "learned").limit(LANGUAGES)
+    order = Window.partitionBy("learned").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = ids.distinct().join(F.broadcast(known.select("learned")), "learned").withColumn(
+        "n", F.row_number().over(order)).where(F.col("n") <= sample_rows).drop("n")
+    sample = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string").alias("learned"), "text").join(
+        F.broadcast(chosen), ["doc_id", "learned"])
+    order = Window.partitionBy("learned").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    sample = sample.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample_rows)
 
     def count(batches):
         schema = pa.schema([("learned", pa.string()), ("doc_id", pa.int64()), ("counts", pa.binary())])
@@ -146,8 +155,9 @@ def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, centroids: int = C
     ``und`` with score 0 for null texts, texts without a letter, and all texts
     if nothing could be learned. ``rejected`` marks texts outside the nearest
     centroid's radius; they keep its language. A null doc_id is neither held
-    out nor learned from. Repeated rows get a row each. No rows give no rows;
-    other columns are ignored.
+    out nor learned from. Repeated rows get a row each; of equally near
+    centroids the first language in order wins. Texts of any length are read
+    whole. No rows give no rows; other columns are ignored.
     """
     model = learn(docs, sample_rows, centroids, seed)
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()),
