@@ -17,14 +17,13 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import written
@@ -38,9 +37,26 @@ LEXICON = 2000
 STEM, MIN_DOCS, IMPURE, CHANCE, CHANCE_LEFT = (4, 5, 6, 7), 3, 0.05, 1e-5, 5e-4
 FOLDS, HELD_OUT = 5, 0
 
+#: Verbs of harm by language, the letters that their dictionary form ends in,
+#: and the endings that replace these (fixed values).
+VERBS = {
+    "en": ("kill hurt destroy murder beat shoot stab strangle burn crush smash punch", ("e", ""), ("", "e", "s", "es", "ed", "ing", "er")),
+    "de": ("töten umbringen schlagen verletzen vernichten verprügeln", ("en", "n"), ("en", "e", "st", "t", "est", "et", "te", "ten", "n")),
+    "fr": ("tuer frapper détruire blesser écraser", ("er", "re"), ("er", "re", "e", "es", "ent", "ons", "ez", "é", "erai", "era", "is", "it", "rai")),
+    "es": ("matar golpear destruir herir quemar aplastar", ("ar", "ir"), ("ar", "ir", "o", "a", "as", "an", "amos", "ado", "aré", "ará", "iré", "irá")),
+}
+
+
+def inflected(verb: str, off: tuple[str, ...], endings: tuple[str, ...]) -> set[str]:
+    """Forms of a verb: its stem with every ending; a short stem's last
+    consonant may be doubled."""
+    stem = next((verb[:len(verb) - len(x)] for x in off if x and verb.endswith(x)), verb)
+    stems = {stem, stem + stem[-1]} if len(stem) <= 4 and "" in endings and stem[-1] not in "aeiouy" else {stem}
+    return {verb} | {s + e for s in stems for e in endings if len(s + e) >= 3}
+
+
+THREATS = frozenset(f for verbs, off, endings in VERBS.values() for v in verbs.split() for f in inflected(v, off, endings))
 #: Word lists of the grammar (fixed values), English, German, French, Spanish.
-THREATS = frozenset("""kill hurt destroy murder beat shoot stab strangle burn töten umbringen schlagen verletzen vernichten
-tuer frapper détruire blesser matar golpear destruir herir quemar""".split())
 TARGETS = frozenset("""you your yours yourself he him his she her they them their u du dich dir dein deine ihr euch euer sie er
 tu te toi ton ta tes vous votre vos il elle ils eux usted ustedes tú ti tus él ella ellos""".split())
 NEGATIONS = frozenset("""not no never neither nor without cannot nicht kein keine keinen nie niemals weder ohne
@@ -48,6 +64,9 @@ pas ne jamais aucun sans non nunca jamás tampoco sin ningún""".split())
 REPORTS = frozenset("""said says say saying wrote writes called calls claimed claims reported quoted quote alleged
 sagte sagt schrieb nannte behauptet zitiert dit disait écrit appelé affirme cité dijo dice escribió llamó afirma citó""".split())
 
+#: The grammar's word lists: threats, targets, negations, reports.
+WORDS = (THREATS, TARGETS, NEGATIONS, REPORTS)
+
 SYMBOLS = ("other", "insult", "threat", "target", "negation", "report",
            "insult-", "insult'", "insult@", "threat-", "threat'", "threat!")
 #: What a clause adds to: plain, negated, reported and aimed cues, uttered threats.
@@ -119,23 +138,25 @@ def grammar() -> tuple[list, list]:
 
 @dataclass
 class ToxicModel:
-    """Cue weights (a stem ends in ``*``) and the score's coefficients."""
+    """Cue weights (a stem ends in ``*``), the score's coefficients, and the
+    grammar's word lists."""
 
     cues: dict[str, float] = field(default_factory=dict)
     coefficients: np.ndarray = field(default_factory=lambda: PRIOR.copy())
+    words: tuple = WORDS
 
     def __post_init__(self):
         self.ready = False
 
     def __getstate__(self):
-        return {"cues": self.cues, "coefficients": self.coefficients, "ready": False}
+        return {"cues": self.cues, "coefficients": self.coefficients, "words": self.words, "ready": False}
 
     def _prepare(self):
         import ahocorasick
 
         self.table, self.out = grammar()
         self.finder = ahocorasick.Automaton()
-        self.triggers: dict[str, float] = dict.fromkeys(THREATS, 0.0) | self.cues
+        self.triggers: dict[str, float] = dict.fromkeys(self.words[0], 0.0) | self.cues
         for cue in self.triggers:
             self.finder.add_word(cue.rstrip("*"), cue)
         if len(self.finder):
@@ -150,12 +171,12 @@ class ToxicModel:
             weight = next((self.stems[word[:n]] for n in self.lengths if word[:n] in self.stems), None)
         if weight is not None:
             return 1, weight
-        for k, words in ((2, THREATS), (3, TARGETS), (4, NEGATIONS)):
-            if word in words:
+        for k in (2, 3, 4):
+            if word in self.words[k - 2]:
                 return k, 0.0
         if word.endswith(("n't", "n’t")):
             return 4, 0.0
-        return (5, 0.0) if word in REPORTS or not word[0].isalpha() else (0, 0.0)
+        return (5, 0.0) if word in self.words[3] or not word[0].isalpha() else (0, 0.0)
 
     def evidence(self, text: str) -> np.ndarray:
         """Sums per kind over the matched clauses of a text."""
@@ -195,50 +216,27 @@ def fold(doc_id: Column | str = "doc_id", folds: int = FOLDS) -> Column:
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % folds
 
 
-def _without_copies(sample: DataFrame) -> DataFrame:
-    """Copies of a text, near ones too, are no further evidence: a row goes if
-    it shares one of eight min-hashes of word triples with a row before it.
-    Only the hashes of the bounded sample reach the driver."""
-    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("least", pa.list_(pa.int64()))])
-    factors = np.random.default_rng(1).integers(1, 2**31, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-    def hashes(batches):
-        for batch in batches:
-            least, rows = [], []
-            for text in batch.column("text"):
-                words = text.as_py().lower().split()
-                triples = np.array([zlib.crc32(" ".join(words[k:k + 3]).encode()) for k in range(max(1, len(words) - 2))], dtype=np.uint64)
-                mixed = (triples[:, None] * factors) & np.uint64(0xFFFFFFFF)
-                least.append(mixed.min(axis=0).astype(np.int64).tolist())
-                rows.append(zlib.crc32(text.as_py().encode()))
-            yield pa.record_batch([batch.column("doc_id"), pa.array(rows, pa.int64()), pa.array(least, schema.field(2).type)], schema=schema)
-
-    seen, keep = set(), []
-    for r in sorted(sample.select("doc_id", "text").mapInArrow(hashes, "doc_id long, row long, least array<long>").collect()):
-        marks = set(enumerate(r.least))
-        if not marks & seen:
-            keep.append((r.doc_id, r.row))
-        seen |= marks
-    kept = sample.sparkSession.createDataFrame(keep, "doc_id long, row long")
-    return sample.withColumn("row", F.crc32(F.col("text").cast("binary"))).join(F.broadcast(kept), ["doc_id", "row"]).select("text", "toxic")
-
-
-def learn(docs: DataFrame, labels: DataFrame, sample_rows: tuple[int, int] = SAMPLE_ROWS) -> ToxicModel:
+def learn(docs: DataFrame, labels: DataFrame, sample_rows: tuple[int, int] = SAMPLE_ROWS, words: tuple = WORDS) -> ToxicModel:
     """Fit on at most ``sample_rows`` labelled rows (toxic, clean), those with the
-    least hash of doc_id, leaving out the held-out fold.
+    least hash of doc_id (then of the text), leaving out the held-out fold.
 
-    Labels other than 0 and 1 and null ids or texts are not used. Without rows
-    of both classes the model is the grammar alone, with no cues.
+    Labels other than 0 and 1 and null ids or texts are not used; repeated
+    labels and repeated rows count once. Without rows of both classes the model
+    is the grammar alone, with no cues.
     """
     usable = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).where(
-        F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold() != HELD_OUT))
-    chosen = None
-    for label, most in ((1, sample_rows[0]), (0, sample_rows[1])):
-        # ids only, few and small
-        part = usable.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    sample = docs.select(F.col("doc_id").cast("long"), "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
-    sample = _without_copies(written(sample.select("doc_id", "text", "toxic").dropDuplicates(), "labelled-texts"))
+        F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold() != HELD_OUT)).distinct()
+    most = F.when(F.col("toxic") == 1, sample_rows[0]).otherwise(sample_rows[1])
+
+    def first(rows: DataFrame, *order) -> DataFrame:
+        """At most so many rows of each class; the limit is applied within each
+        partition first."""
+        place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id", *order))
+        return rows.withColumn("n", place).where((F.col("n") <= max(sample_rows)) & (F.col("n") <= most)).drop("n")
+
+    # ids only, few and small; several texts may share one
+    sample = docs.select(F.col("doc_id").cast("long"), "text").where("text is not null").join(F.broadcast(first(usable)), "doc_id")
+    sample = written(first(sample.dropDuplicates(["doc_id", "toxic", "text"]), F.xxhash64("text")), "labelled-texts")
 
     def terms(batches):
         schema = pa.schema([("term", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
@@ -265,7 +263,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: tuple[int, int] = SAM
         F.col("term") != "", F.col("toxic").desc(), "term").limit(LEXICON * len(STEM)).collect()
     size = next(((r.toxic, r.clean) for r in top if not r.term), (0, 0))
     if not min(size):
-        return ToxicModel()
+        return ToxicModel(words=words)
     counts = {r.term: (r.toxic, r.clean) for r in top if r.term}
     counts = {t: c for t, c in counts.items() if _chance(*c, *size) <= CHANCE_LEFT and (c[1] + 0.3) / size[1] <= IMPURE * c[0] / size[0]}
 
@@ -279,7 +277,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: tuple[int, int] = SAM
             yield pa.record_batch([pa.array(found, schema.field(0).type)], schema=schema)
 
     held = sample.where("toxic = 1").select("text").mapInArrow(holding, "terms array<string>").collect()
-    model = ToxicModel(_lexicon(counts, sorted(r.terms for r in held), *size))
+    model = ToxicModel(_lexicon(counts, sorted(r.terms for r in held), *size), words=words)
 
     def evidence(batches):
         schema = pa.schema([("toxic", pa.int32()), ("x", pa.list_(pa.float64()))])
@@ -363,14 +361,15 @@ def toxic_score(model: ToxicModel, text: Column | str = "text") -> Column:
     return score(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: tuple[int, int] = SAMPLE_ROWS) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: tuple[int, int] = SAMPLE_ROWS, words: tuple = WORDS) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted.
 
     Null and empty texts get the score of no evidence; a null doc_id is not
-    held out. Repeated rows are scored each; repeated labels are used each. No
-    rows give no rows; other columns are ignored.
+    held out. Repeated rows are scored each; a document labelled both 0 and 1
+    is a row of both classes. Texts of any length are read whole. No rows give
+    no rows; other columns are ignored.
     """
-    model = learn(docs, labels, sample_rows)
+    model = learn(docs, labels, sample_rows, words)
     scored = docs.select(F.col("doc_id").cast("long"), F.coalesce(fold() == HELD_OUT, F.lit(False)).alias("held_out"),
                          toxic_score(model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -6,7 +6,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tagloom.llm.language_id import gram_counts, identify
-from tagloom.llm.toxicity import NEGATION, REPORTED, SYMBOLS, ToxicModel, compiled, compose, grammar, toxicity
+from tagloom.llm.toxicity import (AIMED, ANSWERED, KINDS, NEGATION, REPORTED, SYMBOLS, UTTERED, WORDS, ToxicModel, compiled, compose, grammar,
+                                  toxicity)
 
 SF = "/root/testdata/sf0.01"
 
@@ -60,9 +61,98 @@ def test_grammar_rewrites_by_context():
     assert run(["threat", "other", "target"])[-1] == "threat!"
     assert run(["target", "threat"])[-1] == "threat!"
     assert run(["negation", "threat", "target"])[-1] == "target"
-    # the composed table equals feeding one transducer to the other
+
+
+def feed(transducer, symbols):
+    state, out = transducer.start, []
+    for x in symbols:
+        state, y = transducer.step(state, x)
+        out.append(y)
+    return out
+
+
+def test_composed_table_equals_feeding_one_to_the_next():
+    """Brute force: the five transducers one after another, over all short
+    clauses and many long ones."""
+    import itertools
+    import random
+    chain = (NEGATION, REPORTED, AIMED, ANSWERED, UTTERED)
+
+    def by_hand(symbols):
+        for t in chain:
+            symbols = feed(t, symbols)
+        return symbols
+
+    words = SYMBOLS[:6]
+    for n in range(5):
+        for clause in itertools.product(words, repeat=n):
+            assert run(clause) == by_hand(list(clause))
+    r = random.Random(6)
+    for _ in range(500):
+        clause = r.choices(words, k=r.randint(5, 40))
+        assert run(clause) == by_hand(clause)
     table, out = compiled(compose(NEGATION, REPORTED))
-    assert len(table) > 4 and len(out) == len(table)
+    for _ in range(200):
+        clause, state, got = r.choices(words, k=20), 0, []
+        for w in clause:
+            k = words.index(w)
+            got.append(SYMBOLS[out[state][k]])
+            state = int(table[state][k])
+        assert got == feed(REPORTED, feed(NEGATION, clause))
+
+
+def test_inflected_and_aimed_threats():
+    model = ToxicModel()
+    for text in ("I am killing you", "they stabbed him", "ich verletze dich", "je vais te frapper", "voy a matarte, te mato", "he shoots them", "she punches you"):
+        assert model.score(text) > model.score(""), text
+    for text in ("killing time", "the burning house", "he said they killed him", "I would never hurt you"):
+        assert model.evidence(text)[KINDS["threat!"]] == 0, text
+
+
+def test_the_grammar_decides_where_words_do_not(spark):
+    """Clean texts that deny or report the insults that toxic ones aim: without
+    its word lists the grammar cannot tell them apart."""
+    import random
+    r = random.Random(4)
+    insults = ["moron", "idiot", "scum", "loser"]
+    filler = ["Thing", "ering", "onha", "bleou", "wherth"]
+
+    def text(kind):
+        x, tail = r.choice(insults), " ".join(r.choices(filler, k=6))
+        middle = {"toxic": f"you {x}", "denied": f"not {x} ering", "reported": f"said onha {x}", "clean": "you said not onha"}[kind]
+        return f"{tail}. {middle}. {tail}."
+
+    kinds = ["toxic"] * 300 + ["denied", "reported"] * 12 + ["clean"] * 1476
+    rows = [(k, text(kind), int(kind == "toxic")) for k, kind in enumerate(kinds)]
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(x[0], x[2]) for x in rows], "doc_id long, toxic int")
+
+    def auc(words):
+        truth = {x[0]: x[2] for x in rows}
+        got = [(truth[x.doc_id], x.score) for x in toxicity(docs, labels, words=words).collect() if x.held_out]
+        pos, neg = ([s for t, s in got if t == k] for k in (1, 0))
+        return np.mean([(a > b) + (a == b) / 2 for a in pos for b in neg])
+
+    whole = auc(WORDS)
+    assert whole > 0.9999 and auc((frozenset(),) * 4) < whole - 0.002
+
+
+def test_rows_that_share_an_id(spark):
+    """One id on every row, in several languages and with both labels: a row
+    is learned as its own lang and label say."""
+    r = np.random.default_rng(3)
+    words = {"aa": ["kala", "mano", "tuli"], "bb": ["strum", "plotz", "gritz"]}
+    rows = [(1, " ".join(r.choice(words[lang], 20)), lang, k % 2) for k in range(300) for lang in ("aa", "bb")] + [(1, "kala " * 5, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    assert len(identify(docs).collect()) == 601
+    pred = {x.lang_pred for x in identify(docs.where("lang = 'bb'").unionByName(docs.where("lang is null"))).collect()}
+    assert pred == {"bb"}
+    from tagloom.llm.language_id import learn
+    assert learn(docs, sample_rows=40).languages == ["aa", "bb"]
+    model = learn(docs, sample_rows=40)
+    assert model.predict("strum gritz plotz")[0] == "bb" and model.predict("mano tuli kala")[0] == "aa"
+    labels = spark.createDataFrame([(1, 0), (1, 1), (1, 1)], "doc_id long, toxic int")
+    assert toxicity(docs, labels, (20, 20)).count() == 601
 
 
 def test_clauses_not_words_are_scored():
