@@ -24,7 +24,7 @@ from tagloom.llm.common import worker_state
 LEAF_CHARS = 2048
 LONG_CHARS = 1 << 16
 #: Bytes of pieces and their ids that an encoder keeps, in two generations.
-CACHE_BYTES = 24 << 20
+CACHE_BYTES = 48 << 20
 FLUSH_CHARS = 2 << 20
 
 # Unicode's White_Space characters, which the pre-tokenizer's \s matches
@@ -175,41 +175,44 @@ def round_trip(docs: DataFrame, path: str, leaf_chars: int = LEAF_CHARS, long_ch
         yield from _batches(each(), _IDS, lambda row: len(row[2]) + len(row[1]))
 
     def cut(batches):
-        schema = pa.schema([("doc_id", pa.int64()), ("sha", pa.string()), ("part", pa.int64()), ("text", pa.string())])
+        schema = pa.schema([("doc_id", pa.int64()), ("sha", pa.string()), ("copies", pa.int64()), ("part", pa.int64()), ("text", pa.string())])
 
         def each():
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for doc_id, text, copies in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                     text = text.as_py()
                     sha = hashlib.sha256(text.encode()).hexdigest()
                     for part, at in enumerate(range(0, len(text), long_chars)):
-                        yield doc_id, sha, part, text[at:at + long_chars]
+                        yield doc_id, sha, copies, part, text[at:at + long_chars]
 
-        yield from _batches(each(), schema, lambda row: len(row[3]))
+        yield from _batches(each(), schema, lambda row: len(row[4]))
 
     def parts(batches):
         bpe = worker_state(ByteBpe, path, leaf_chars)
-        schema = pa.schema([("doc_id", pa.int64()), ("sha", pa.string()), ("part", pa.int64()), ("ids", pa.list_(pa.int32()))])
+        schema = pa.schema([("doc_id", pa.int64()), ("sha", pa.string()), ("copies", pa.int64()), ("part", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
         def each():
             for batch in batches:
                 for row in batch.to_pylist():
-                    yield row["doc_id"], row["sha"], row["part"], bpe.encode(row["text"])
+                    yield row["doc_id"], row["sha"], row["copies"], row["part"], bpe.encode(row["text"])
+
+        yield from _batches(each(), schema, lambda row: len(row[4]))
 
-        yield from _batches(each(), schema, lambda row: len(row[3]))
+    schema = _IDS.append(pa.field("copies", pa.int64()))
 
     def joined(table):
         bpe = worker_state(ByteBpe, path, leaf_chars)
-        of, copies = {}, 0
-        for part, ids in zip(table.column("part").to_pylist(), table.column("ids")):
-            of[part], copies = ids, copies + (part == 0)
+        of = dict(zip(table.column("part").to_pylist(), table.column("ids")))
         row = [of[k].as_py() for k in sorted(of)]
         while len(row) > 1:  # neighbours pair up, as in a tree
             row = [bpe.join(*row[k:k + 2]) if len(row[k:k + 2]) == 2 else row[k] for k in range(0, len(row), 2)]
-        doc_id, text = table.column("doc_id")[0].as_py(), bpe.decode(row[0])
-        return pa.table([pa.array([x] * copies, f.type) for x, f in zip((doc_id, row[0], text), _IDS)], schema=_IDS)
-
-    cuts = rows.where(long).mapInArrow(cut, "doc_id long, sha string, part long, text string")
-    encoded = cuts.repartition("doc_id", "part").mapInArrow(parts, "doc_id long, sha string, part long, ids array<int>")
-    return rows.where(~long).mapInArrow(short_texts, _IDS_DDL).unionByName(
-        encoded.groupBy("doc_id", "sha").applyInArrow(joined, _IDS_DDL))
+        doc_id, copies = (table.column(c)[0].as_py() for c in ("doc_id", "copies"))
+        return pa.table([pa.array([x], f.type) for x, f in zip((doc_id, row[0], bpe.decode(row[0]), copies), schema)], schema=schema)
+
+    # copies of a long text are one row from before it is cut until after it is joined
+    counted = rows.where(long).groupBy("doc_id", "text").agg(F.count("*").alias("copies"))
+    cuts = counted.mapInArrow(cut, "doc_id long, sha string, copies long, part long, text string")
+    encoded = cuts.repartition("sha", "part").mapInArrow(parts, "doc_id long, sha string, copies long, part long, ids array<int>")
+    whole = encoded.groupBy("doc_id", "sha").applyInArrow(joined, _IDS_DDL + ", copies long").select(
+        "doc_id", "ids", "decoded", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).drop("copy")
+    return rows.where(~long).mapInArrow(short_texts, _IDS_DDL).unionByName(whole)

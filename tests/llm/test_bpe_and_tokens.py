@@ -56,7 +56,9 @@ def test_prefix_counts_equal_library_at_every_prefix():
 def test_round_trip_of_odd_rows(spark, odd, none):
     bpe = ByteBpe(BYTE)
     long = "Der Text " + "straßen" * 3000 + " <|endoftext|> it's " + " " * 50 + "x"
-    docs = odd.unionByName(spark.createDataFrame([(20, long), (None, long), (20, long)], "doc_id long, text string"), allowMissingColumns=True)
+    # many copies of one long text, with one id and with none
+    more = [(20, long), (20, long), (20, long + "y")] + [(None, long)] * 50
+    docs = odd.unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True)
     got = round_trip(docs, BYTE, leaf_chars=64, long_chars=1000).collect()
     want = [(r.doc_id, bpe.whole(r.text or ""), r.text or "") for r in docs.collect()]
     assert sorted(map(repr, want)) == sorted(repr((r.doc_id, r.ids, r.decoded)) for r in got)
