@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LANE_BYTES = 1024
+LONG_LANE = 64 * LANE_BYTES
 BUFFER_BYTES = 4 << 20
 
 
@@ -220,6 +221,7 @@ class SecretScanner:
         self.search = Automaton([(r.scan or r.pattern, r.any_case) for r in rules], True)
         if not self.search.resets.any():
             raise ValueError("no byte resets these rules: texts could not be cut into lanes")
+        self.steps = self.search.table.tolist()
         self.gap = bytes([int(np.flatnonzero(self.search.resets)[0])])
         self.one = []
         for r in rules:
@@ -241,8 +243,21 @@ class SecretScanner:
         order = np.argsort(-length, kind="stable")
         lane, length = lane[order], length[order]
         classes, table, accepting = search.class_of[data], search.table, search.accepting
+        # text without a resetting byte for long: alone in its lane, it goes byte by byte
+        unsplit = int(np.searchsorted(-length, -LONG_LANE, side="right"))
+        alone: list[tuple[np.ndarray, np.ndarray]] = []
+        for a, n in zip(lane[:unsplit].tolist(), length[:unsplit].tolist()):
+            s, at, states = search.start * search.classes, [], []
+            for k, c in enumerate(classes[a:a + n].tobytes()):
+                s = self.steps[s + c]
+                if s >= accepting:
+                    at.append(a + k)
+                    states.append(s)
+            if at:
+                alone.append((np.array(at), search.accepts[np.array(states) // search.classes]))
+        lane, length = lane[unsplit:], length[unsplit:]
         state = np.full(len(lane), search.start * search.classes, dtype=np.int32)
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+        found = alone
         active = np.searchsorted(-length, -np.arange(1, int(length[0]) + 1), side="right") if len(length) else []
         at = lane.copy()
         for n in active:
@@ -262,18 +277,32 @@ class SecretScanner:
                 yield int(edges[stretch]), int(edges[stretch + 1]), int(mask)
 
     def matches(self, stretch: bytes, rule: int) -> Iterator[tuple[int, int]]:
-        """Leftmost, longest, non-overlapping matches that the rule counts."""
+        """Leftmost, longest, non-overlapping matches that the rule counts.
+
+        A run that leaves (state, place) pairs behind it without accepting
+        again marks them; no later run goes past a mark. So every pair is
+        walked once, and the time is linear in the stretch, however its
+        matches fail.
+        """
         table, accepts, start, dead, pattern = self.one[rule]
         least, group = self.rules[rule].least, self.rules[rule].group
         at, n = 0, len(stretch)
+        vain: dict[int, bytearray] = {}
         while at < n:
-            state, end = start, -1
+            state, end, walked = start, -1, []
             for k in range(at, n):
                 state = table[state][stretch[k]]
-                if state == dead:
+                if state == dead or state in vain and vain[state][k]:
                     break
                 if accepts[state]:
-                    end = k + 1
+                    end, walked = k + 1, []
+                else:
+                    walked.append((state, k))
+            if len(walked) > 8:     # a short run costs less than its marks
+                for s, k in walked:
+                    if s not in vain:
+                        vain[s] = bytearray(n)
+                    vain[s][k] = 1
             if end < 0:
                 at += 1
                 continue
@@ -323,8 +352,9 @@ def find_secrets(docs: DataFrame, rules=RULES) -> DataFrame:
     """One row per document: doc_id, spans (array of kind, start, end, base;
     code points, end exclusive; by start, then the rules' order).
 
-    Null texts count as empty: no spans. Repeated rows are scanned each. No
-    rows give no rows; other columns are ignored.
+    Null texts count as empty: no spans. Repeated rows are scanned each. Texts
+    of any length are read whole, in time linear in their length. No rows give
+    no rows; other columns are ignored.
     """
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())])
     schema = pa.schema([("doc_id", pa.int64()), ("spans", pa.list_(span))])

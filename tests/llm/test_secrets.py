@@ -60,3 +60,28 @@ def test_query_on_whole_table(spark):
         assert r.spans == ",".join(f"{RULES[k].kind}:{a}:{b}" for a, k, b in spans)
         total += len(spans)
     assert total > 10
+
+
+def test_unsplit_texts_byte_by_byte(monkeypatch):
+    import tagloom.llm.secret_scan as module
+    r = random.Random(9)
+    parts = [p for p in PARTS if p not in ("\n", "é", "日", "\x00", "  ")]
+    texts = ["".join(r.choices(parts, k=r.randint(0, 60))) for _ in range(300)]
+    monkeypatch.setattr(module, "LONG_LANE", 40)
+    assert scanner().scan([t.encode() for t in texts]) == [brute(t) for t in texts]
+
+
+def test_long_texts_that_nearly_match():
+    """A megabyte of beginnings that all fail, or overlap, in linear time."""
+    import time
+    near = ["eyJ" * 350_000 + "=eyJ" + "." * 8, "eyJa." * 200_000, "token" * 200_000 + ":" + "a" * 11, "gh" * 10 + "p_" * 500_000,
+            "xoxb-" * 200_000, "-----BEGIN " + "A" * 1_000_000, "-----BEGIN " * 90_000, "0" * 1_000_000 + "g", "AKIA" * 250_000]
+    for text in near:
+        t0 = time.time()
+        found = scanner().scan([text.encode()])
+        assert time.time() - t0 < 6, text[:20]
+        if not text.startswith(("eyJ", "-----")):    # the regexes themselves are quadratic there
+            assert found == [brute(text)]
+    for cut in (300, 301, 302):      # the same shapes, short enough for the regexes
+        texts = [t[:cut] + t[-20:] for t in near]
+        assert scanner().scan([t.encode() for t in texts]) == [brute(t) for t in texts]
