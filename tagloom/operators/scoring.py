@@ -98,7 +98,7 @@ import math  # noqa: E402
 # by shuffle, where AQE splits a hot feature's partition.
 BROADCAST_WEIGHTS_MAX_BYTES = 64 * 1024 * 1024
 FEATURE_BLOCK = 4096
-_BYTES_PER_WEIGHT_ROW = 24
+_BYTES_PER_WEIGHT_ROW = 24      # label, feature number, weight
 
 
 def logit(p: float) -> float:
@@ -138,7 +138,7 @@ def sparse_entries(df, id_col: str, features_col: str):
     return v.select("id", F.explode(pairs).alias("e")).select("id", "e.i", "e.v").where("v != 0.0")
 
 
-def linear_decisions(entries, weights, bias, threshold: float, n_weight_rows: int | None = None,
+def linear_decisions(entries, weights, bias, threshold: float, weight_bytes: int | None = None,
                      ids=None):
     """Positive (id, label) pairs of a linear multi-label model, in SQL.
 
@@ -155,7 +155,8 @@ def linear_decisions(entries, weights, bias, threshold: float, n_weight_rows: in
     with documents x all labels, only with the evidence and the output.
     """
     cut = logit(threshold)
-    if n_weight_rows is not None and n_weight_rows * _BYTES_PER_WEIGHT_ROW <= BROADCAST_WEIGHTS_MAX_BYTES:
+    # broadcast only weights whose size is known to be small
+    if weight_bytes is not None and weight_bytes <= BROADCAST_WEIGHTS_MAX_BYTES:
         weights = F.broadcast(weights)
     if "cut" not in bias.columns:
         bias = bias.withColumn("cut", F.lit(cut))
@@ -244,6 +245,6 @@ def score_linear_model(model, df, id_col: str = "Id", features_col: str = "featu
     if threshold is not None:      # one threshold instead of each member's own
         bias = bias.drop("cut")
     entries = sparse_entries(df, id_col, features_col)
-    dec = linear_decisions(entries, weights, bias, 0.5 if threshold is None else threshold, n,
+    dec = linear_decisions(entries, weights, bias, 0.5 if threshold is None else threshold, n * _BYTES_PER_WEIGHT_ROW,
                            ids=df.select(F.col(id_col).alias("id")))
     return decisions_to_arrays(dec, model.vocabulary)

@@ -290,12 +290,9 @@ def q_evaluator_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every metric of the Evaluator and whether larger is better."""
     from tagloom.operators.metrics import MultilabelEvaluator
     pl, _ = _pseudo_predictions(spark, sf_dir)
-    pl = pl.select("prediction", "label").cache()
-    rows = []
-    for name in _ROW_METRICS + ["microPrecision", "microRecall", "microF1"]:
-        ev = MultilabelEvaluator(predictionCol="prediction", labelCol="label").setMetricName(name)
-        rows.append((name, ev.evaluate(pl), ev.isLargerBetter()))
-    pl.unpersist()
+    ev = MultilabelEvaluator(predictionCol="prediction", labelCol="label")
+    found = ev.getMetrics(pl)
+    rows = [(name, found[name], ev.setMetricName(name).isLargerBetter()) for name in _ROW_METRICS + ["microPrecision", "microRecall", "microF1"]]
     return spark.createDataFrame(rows, "metric string, value double, larger_is_better boolean")
 
 
@@ -654,7 +651,7 @@ def _tuning_features(spark, sf_dir, method="arith"):
 def q_threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 6-point grid (maxIter 100 x tol {0.01, 0.1} x threshold {0.5, 0.65,
     0.8}) evaluated with 2 fits per tag instead of 6, and its Hamming loss
-    counted again from the probabilities of members fitted apart."""
+    counted again, member by member, from their probabilities."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import vector_to_array
     from tagloom.operators.labels import split_column
@@ -663,11 +660,11 @@ def q_threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     lr = LogisticRegression(regParam=0.05)
     br = BinaryRelevance(classifier=lr, parallelism=8)
     feats = written(_tuning_features(spark, sf_dir), "tuning-features")
-    sweep = threshold_sweep(br, feats, reference_grid(lr), 0.8, 11, method="arith")
+    fitted: dict = {}       # params -> model
+    sweep = threshold_sweep(br, feats, reference_grid(lr), 0.8, 11, method="arith", fitted=fitted)
     side = split_column("Id", 0.8, 11, "arith")
     again = None
-    for tol in (0.01, 0.1):
-        model = br.copy({lr.tol: tol, lr.maxIter: 100}).fit(feats.where(side == "train"))
+    for params_text, model in fitted.items():
         probs = feats.where(side == "test").withColumn("set", F.lit(0))
         wrong = [F.lit(0)]
         for i, m in enumerate(model.models):
@@ -679,7 +676,7 @@ def q_threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
         unknown = F.size(F.array_except("label", F.array(*[F.lit(v) for v in model.vocabulary])))
         counted = probs.withColumn("t", F.explode(F.array(*[F.lit(t) for t in (0.5, 0.65, 0.8)]))).groupBy("t").agg(
             F.sum(sum(wrong[1:], wrong[0]) + unknown).alias("wrong"))
-        counted = counted.select(F.lit(f"maxIter=100, tol={tol}").alias("params"), F.col("t").alias("threshold"), "wrong")
+        counted = counted.select(F.lit(params_text).alias("params"), F.col("t").alias("threshold"), "wrong")
         again = counted if again is None else again.unionByName(counted)
     n_labels = F.col("n_labels")
     return sweep.join(again, ["params", "threshold"]).select(
@@ -859,7 +856,8 @@ def q_linear_score_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     odds = F.try_divide(F.col("n_l"), F.col("n_o"))
     bias = stats.select("label", F.coalesce(F.log(odds), F.lit(float("inf"))).alias("b"))
     entries = terms(q, "Id", "Body").select("id", F.col("term").alias("i"), F.lit(1.0).alias("v"))
-    dec = linear_decisions(entries, w, bias, 0.5, w.count(), ids=q.select(F.col("Id").alias("id")))
+    n_bytes = w.agg(F.sum(F.octet_length("i") + 48)).first()[0]      # term, numbers, row overhead
+    dec = linear_decisions(entries, w, bias, 0.5, n_bytes, ids=q.select(F.col("Id").alias("id")))
     names = F.array(*[F.lit(t) for t in vocab])
     return dec.select(F.col("id").cast("bigint").alias("Id"),
                       F.element_at(names, F.col("label") + 1).alias("tag"))
