@@ -35,7 +35,8 @@ def _only(docs: DataFrame, key: Column, kept: DataFrame, kept_key: Column) -> Da
     least by the other columns, then the text)."""
     # the row travels as one struct: its columns may have any names
     rows = docs.select(F.struct("*").alias("doc"), F.concat_ws(":", F.col("doc_id").cast("long"), key).alias("at"))
-    rest = [F.col(f"doc.`{c}`") for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map" not in kind]
+    names = [c.replace("`", "``") for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map" not in kind]
+    rest = [F.col(f"doc.`{c}`") for c in names]
     # copies meet before they are moved, so no task holds all rows of an id or a text
     one = rows.groupBy("at").agg(F.min_by("doc", F.struct(*rest, F.col("doc.text"))).alias("doc"))
     at = kept.select(F.concat_ws(":", "doc_id", kept_key).alias("at"))
