@@ -102,10 +102,15 @@ def tag_dictionary(df: DataFrame, label_col: str = "label") -> DataFrame:
     return written(coded.select("tag", (F.col("start") + F.col("place") - 1).cast("int").alias("code")), "tag-dictionary")
 
 
-def _through(df: DataFrame, dictionary: DataFrame, col: str, out: str, have: str, give: str, value: Column, missing: Column | None) -> DataFrame:
-    """``col``'s elements looked up in the dictionary, in order. Rows are told
-    apart by a number of their own, so ids may repeat."""
-    numbered = df.withColumn("__row", F.monotonically_increasing_id())
+def _through(df: DataFrame, dictionary: DataFrame, col: str, out: str, have: str, give: str, value: Column, missing: Column | None,
+             id_col: str | None) -> DataFrame:
+    """``col``'s elements looked up in the dictionary, in order. Rows meet their
+    elements again by ``id_col``, or by a number of their own; numbers are
+    written first, as two readings of a plan may number differently."""
+    if id_col is None:
+        numbered = written(df.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    else:
+        numbered = df.withColumn("__row", F.col(id_col))
     items = numbered.select("__row", F.posexplode(col).alias("__pos", "__item"))
     table = dictionary.select(F.col(have).alias("__key"), value.alias("__value"))
     if dictionary.count() <= BROADCAST_TAGS:
@@ -121,18 +126,20 @@ def _through(df: DataFrame, dictionary: DataFrame, col: str, out: str, have: str
 
 
 def encode_labels(df: DataFrame, dictionary: DataFrame, label_col: str = "label", out: str = "indexes",
-                  keep_unknown: bool = False) -> DataFrame:
+                  keep_unknown: bool = False, id_col: str | None = None) -> DataFrame:
     """Tag arrays -> array<double> of dictionary codes, order and repeats
     kept; unknown tags are dropped, or coded -1.0. Equal to
     ``label_indexes`` for dictionaries of any size: the plan holds no tag.
-    ``df`` is read twice and must be repeatable."""
-    return _through(df, dictionary, label_col, out, "tag", "double", F.col("code").cast("double"), F.lit(-1.0) if keep_unknown else None)
+    ``id_col``: a unique column without nulls, if there is one; it saves
+    writing the rows with numbers."""
+    return _through(df, dictionary, label_col, out, "tag", "double", F.col("code").cast("double"), F.lit(-1.0) if keep_unknown else None, id_col)
 
 
-def decode_labels(df: DataFrame, dictionary: DataFrame, index_col: str = "prediction", out: str = "predictionLabel") -> DataFrame:
+def decode_labels(df: DataFrame, dictionary: DataFrame, index_col: str = "prediction", out: str = "predictionLabel",
+                  id_col: str | None = None) -> DataFrame:
     """Index arrays -> tag arrays by the dictionary table; indexes that it has
-    not are dropped."""
-    return _through(df, dictionary, index_col, out, "code", "string", F.col("tag"), None)
+    not are dropped. ``id_col`` as in ``encode_labels``."""
+    return _through(df, dictionary, index_col, out, "code", "string", F.col("tag"), None, id_col)
 
 
 def num_labels(df: DataFrame, label_col: str = "label") -> int:

@@ -76,12 +76,15 @@ def score(model: PipelineModel, df: DataFrame, keep=("Id",), tags_col: str = "pr
 
 
 def score_table(model_path: str, requests: DataFrame, output_path: str, rejects_path: str | None = None,
-                keep=("Id",), fmt: str = "parquet") -> None:
+                keep=("Id",), fmt: str = "parquet", block: bool = False) -> None:
     """Batch scoring job: load the saved pipeline, split off invalid requests,
-    score the rest and write both tables."""
+    score the rest and write both tables. ``block``: score linear members by
+    their block matrix, for models of many tags (the first of ``keep`` is the
+    unique id)."""
     model = PipelineModel.load(model_path)
     valid, rejects = split_requests(requests)
-    score(model, valid, keep).write.mode("overwrite").format(fmt).save(output_path)
+    scored = score_by_block(model, valid, keep, keep[0]) if block else score(model, valid, keep)
+    scored.write.mode("overwrite").format(fmt).save(output_path)
     if rejects_path:
         rejects.select(*keep, "reason").write.mode("overwrite").format(fmt).save(rejects_path)
 
@@ -233,7 +236,19 @@ def score_block_model(model, df, dictionary=None, id_col: str = "Id", features_c
     scored = written(margins.select("id", picked.alias("prediction")), "block-scored")
     if dictionary is None:
         dictionary = written(spark.createDataFrame(list(enumerate(model.vocabulary)), "code int, tag string"), "vocabulary")
-    return decode_labels(scored, dictionary)
+    return decode_labels(scored, dictionary, id_col="id")
+
+
+def score_by_block(model: PipelineModel, df: DataFrame, keep=("Id",), id_col: str = "Id") -> DataFrame:
+    """As ``score``, for a pipeline that ends in linear members, by their block
+    matrix: for many tags. Ids must be unique; the features are written."""
+    br = model.stages[-1]
+    features = PipelineModel(model.stages[:-1]).transform(df).select(*dict.fromkeys([*keep, id_col, br.getFeaturesCol()]))
+    features = written(features, "block-features")
+    tags = score_block_model(br, features, id_col=id_col, features_col=br.getFeaturesCol()).select(
+        F.col("id").alias("__id"), F.col("predictionLabel").alias("tags"))
+    scored = features.join(tags, features[id_col] == tags["__id"])
+    return scored.select(*keep, "tags", reply_json("tags").alias("reply"))
 
 
 def score_linear_model(model, df, id_col: str = "Id", features_col: str = "features",

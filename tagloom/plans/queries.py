@@ -424,8 +424,8 @@ def q_decode_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = tag_dictionary(q)
     pred = F.concat(F.filter("label", lambda t: t != "toxic"),
                     F.when(F.col("Score") > 2000, F.array(F.lit("quality"))).otherwise(F.array().cast("array<string>")))
-    coded = encode_labels(q.select("Id", pred.alias("tags")), words, "tags", "indexes")
-    names = decode_labels(written(coded, "coded"), words, "indexes", "names")
+    coded = encode_labels(q.select("Id", pred.alias("tags")), words, "tags", "indexes", id_col="Id")
+    names = decode_labels(written(coded, "coded"), words, "indexes", "names", id_col="Id")
     return names.select(F.col("Id").cast("bigint").alias("Id"), F.array_join("names", "|").alias("tags"))
 
 

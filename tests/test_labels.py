@@ -85,6 +85,9 @@ def test_dictionary_codes_and_decodes_in_order(spark):
     back = decode_labels(encode_labels(df, words, out="x"), words, "x", "names").select("Id", "names").collect()
     assert sorted(map(repr, [(r.Id, r.names) for r in back])) == sorted(map(repr, [
         (1, ["b", "a", "b"]), (1, ["zz", "é"]), (2, []), (None, None), (3, ["a"])]))
+    rows = spark.range(40).selectExpr("id", "array(if(id % 2 = 0, 'a', 'zz'), 'b') AS label")
+    by_id = encode_labels(rows, words, out="x", id_col="id").select("id", "x").collect()
+    assert sorted(map(tuple, by_id)) == sorted(map(tuple, rows.select("id", label_indexes("label", vocab).alias("x")).collect()))
     plan = encode_labels(df, words, out="x")._jdf.queryExecution().toString()
     assert "zz" not in plan
 

@@ -52,6 +52,17 @@ def test_score_table(spark, saved_model, tmp_path):
     assert json.loads(r["reply"]) == {"tags": list(r["tags"])}
 
 
+def test_score_table_by_block(spark, saved_model, tmp_path):
+    path, data = saved_model
+    req = data.select("Id", "Title", "Body").unionByName(
+        spark.createDataFrame([(-1, "", "x"), (-2, "zzz", "no known word")], "Id long, Title string, Body string"))
+    outs = [str(tmp_path / n) for n in ("chain", "block")]
+    score_table(path, req, outs[0])
+    score_table(path, req, outs[1], block=True)
+    chain, block = ({r.Id: (list(r.tags), r.reply) for r in spark.read.parquet(o).collect()} for o in outs)
+    assert chain == block and len(chain) == data.count() + 1
+
+
 def test_stream_equals_batch(spark, saved_model, tmp_path):
     path, data = saved_model
     model = PipelineModel.load(path)
