@@ -187,3 +187,77 @@ def test_toxicity_without_labels_and_odd_rows(spark, odd, none):
         got = toxicity(docs, marks).collect()
         assert len(got) == docs.count()
         assert all(0 <= r.score <= 1 for r in got)
+
+
+def grams_by_hand(text):
+    """Counts of hashed 1- to 3-grams of letters, one blank for what is none."""
+    from tagloom.llm.language_id import _FACTORS, BUCKETS
+    if not any(c.isalpha() for c in text.lower()):
+        return None
+    letters = "".join(c if c.isalpha() else " " for c in text.lower())
+    x = " " + letters[:1].replace(" ", " ") + "".join(b for a, b in zip(letters, letters[1:]) if b != " " or a != " ") + " "
+    counts, mask = [0] * BUCKETS, 0xFFFFFFFF
+    for n in (1, 2, 3):
+        for at in range(len(x) - n + 1):
+            h = n * 97
+            for k in range(n):
+                h = (h ^ (ord(x[at + k]) * int(_FACTORS[k]) & mask)) * 2654435769 & mask
+                h ^= h >> 15
+            counts[h % BUCKETS] += 1
+    return counts
+
+
+def test_language_against_plain_nearest_centroid(spark):
+    """Every prediction again without arrays: hashed grams, TF-IDF, cosines."""
+    import math
+    import random
+
+    from tagloom.llm.language_id import learn
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = learn(docs, sample_rows=30)
+    centroids = [list(map(float, c)) for c in model.centroids]
+    r = random.Random(2)
+    texts = [t[:400] for (t,) in docs.select("text").limit(25).collect()]
+    texts += ["".join(r.choices("aéß日 1.\nÄ'", k=r.randint(0, 30))) for _ in range(60)] + ["", " ", "  a  b "]
+    for text in texts:
+        counts = grams_by_hand(text)
+        got = gram_counts(text)
+        assert (counts is None) == (got is None) and (got is None or got.tolist() == counts)
+        if counts is None:
+            assert model.predict(text) == ("und", 0.0, True)
+            continue
+        x = {k: math.log1p(c) * float(model.idf[k]) for k, c in enumerate(counts) if c}
+        norm = math.sqrt(sum(v * v for v in x.values()))
+        near = [sum(v * c[k] for k, v in x.items()) / norm for c in centroids]
+        best = max(range(len(near)), key=lambda k: (near[k], -k))
+        lang, score, rejected = model.predict(text)
+        assert abs(score - min(1, max(0, near[best]))) < 1e-9
+        if sorted(near)[-1] - sorted(near)[-2] > 1e-9:
+            assert lang == model.languages[model.owner[best]] and rejected == bool(near[best] < model.floor[best])
+
+
+def test_evidence_against_plain_clauses():
+    """Brute force: every clause, every word, one transducer after another."""
+    import math
+    import random
+    import re
+
+    from tagloom.llm.toxicity import _WORD
+    model = ToxicModel({"moron": 2.5, "lowe*": 1.5, "idiot": 3.0})
+    model.evidence("")
+    r = random.Random(11)
+    words = ["moron", "Moron", "moron's", "loweisch", "idiots", "idiot", "kill", "killing", "you", "He", "them", "not", "never", "didn't", "said", '"',
+             "the", "a", "of", ".", ",", "!", "\n", ";", "x1", "_", "日本", "é"]
+    for _ in range(1500):
+        text = " ".join(r.choices(words, k=r.randint(0, 40)))
+        text = text.replace(" .", ".") if r.random() < 0.5 else text
+        sums = [0.0] * len(KINDS)
+        for clause in re.split(r"[.,;:!?\n]", text.lower()):
+            classes = [model._classes(w) for w in _WORD.findall(clause)]
+            symbols = [SYMBOLS[k] for k, _ in classes]
+            for t in (NEGATION, REPORTED, AIMED, ANSWERED, UTTERED):
+                symbols = feed(t, symbols)
+            for symbol, (_, weight) in zip(symbols, classes):
+                if symbol in KINDS:
+                    sums[KINDS[symbol]] += weight or 1.0
+        assert np.allclose(model.evidence(text), [math.log1p(x) for x in sums]), text
