@@ -517,22 +517,18 @@ def q_br_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binary relevance against one separately fitted logistic regression per
     tag: per tag the posts, the training posts that have it, those where the
     two disagree, and whether a language tag is ever predicted."""
-    from multiprocessing.pool import ThreadPool
-
-    from pyspark.util import inheritable_thread_target
     from tagloom.functions.tags import target_column
-    from tagloom.operators.relevance import BinaryRelevanceModel
+    from tagloom.operators.relevance import BinaryRelevanceModel, in_threads
     _, posts = _model_data(spark, sf_dir)
     model = fitted_model(spark, sf_dir)
     br = model.stages[-1]
     scored = written(model.transform(posts).select("Id", "label", "side", "features", "prediction"), "scored")
     fit_rows = scored.where(F.col("side") == "train").persist()
 
-    def one(tag: str):
-        return _classifier().setLabelCol("y").fit(fit_rows.select("features", target_column("label", tag).alias("y")))
+    def one(i: int):
+        return _classifier().setLabelCol("y").fit(fit_rows.select("features", target_column("label", br.vocabulary[i]).alias("y")))
 
-    with ThreadPool(8) as pool:
-        apart = pool.map(inheritable_thread_target(spark)(one), br.vocabulary)
+    apart = in_threads(spark, len(br.vocabulary), one)
     fit_rows.unpersist()
     both = BinaryRelevanceModel(labels=br.vocabulary, models=apart).setPredictionCol("own").transform(scored)
     code = F.col("i").cast("double")

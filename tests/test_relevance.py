@@ -264,3 +264,18 @@ def test_block_plan_does_not_grow(spark, feats):
         plan = block_margins(sparse_entries(feats, "Id", "features"), weights, n_bytes)._jdf.queryExecution().optimizedPlan().toString()
         sizes.append(len(plan))
     assert abs(sizes[0] - sizes[1]) < 100
+
+
+def test_threads_do_not_share_job_properties(spark):
+    """Each call has properties of its own: what one sets, no other sees."""
+    import threading
+    from tagloom.operators.relevance import in_threads
+    sc, meet = spark.sparkContext, threading.Barrier(4)
+
+    def work(i):
+        sc.setLocalProperty("tagloom.test", str(i))
+        meet.wait()
+        return sc.getLocalProperty("tagloom.test")
+
+    assert in_threads(spark, 4, work, 4) == ["0", "1", "2", "3"]
+    assert in_threads(spark, 0, work) == []
