@@ -13,7 +13,7 @@ from tagloom.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # Queries that fit many models: checked at this size by scripts/check_oracle.py.
-SLOW = {"tvs_best_params", "threshold_sweep", "br_fit_predict", "table_scoring", "stream_score"}
+SLOW = {"tvs_best_params", "threshold_sweep", "br_fit_predict", "br_metrics", "br_save_load", "table_scoring", "stream_score"}
 
 
 def test_entry(spark):
