@@ -14,7 +14,7 @@ from tagloom.operators.etl import questions_from_posts
 from tagloom.operators.features import feature_stages
 from tagloom.operators.labels import filter_tags, stable_split
 from tagloom.operators.relevance import BinaryRelevance
-from tagloom.session import written_path
+from tagloom.session import side_session, written_path
 from tagloom.sources.fixtures import posts_fixture
 
 # Fixed values of the reference experiment: 1000 hash buckets, IDF minimum
@@ -125,7 +125,7 @@ def run_experiment(spark: SparkSession, questions_path: str | None = None, *, da
     clf = base_classifier(threshold=params["threshold"], max_iter=params["maxIter"], tol=params["tol"])
     model = tagging_pipeline(text_col, clf, parallelism=parallelism).fit(train)
     # scored, written and measured in one job, in a session of its own
-    side = spark.newSession()
+    side = side_session(spark)
     if questions_path is None:
         test = side.read.parquet(written_path(test, "held-out"))
     else:

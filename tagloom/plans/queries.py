@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.tags import split_tags
 from tagloom.functions.text import remove_stop_words, tokenize
 from tagloom.operators.etl import questions_from_posts
-from tagloom.session import scratch_path, written
+from tagloom.session import scratch_path, side_session, written
 from tagloom.sources.fixtures import posts_fixture
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -302,7 +302,7 @@ def q_metrics_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     reads them. Tags are compared as text."""
     from tagloom.functions.tags import decode_indexes
     from tagloom.operators.metrics import ObservedMetrics
-    pl, vocab = _pseudo_predictions(spark.newSession(), sf_dir)
+    pl, vocab = _pseudo_predictions(side_session(spark), sf_dir)
     tags = pl.select("Id", decode_indexes("prediction", vocab).alias("predictionLabel"), decode_indexes("label", vocab).alias("label"))
     watch = ObservedMetrics(vocab)
     written(watch.watch(tags), "observed")

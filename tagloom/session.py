@@ -94,6 +94,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(written_path(df, name))
 
 
+def side_session(spark: SparkSession) -> SparkSession:
+    """Another session of the application with the same SQL settings, also
+    those that were set while running."""
+    side = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            side.conf.set(key, value)
+    return side
+
+
 def written_path(df: DataFrame, name: str) -> str:
     """Where a frame has been written, for reading it in another session."""
     path = scratch_path(df.sparkSession, name)
