@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -36,6 +37,8 @@ LEXICON = 2000
 #: accident, counted over all rows, or over toxic rows without another cue.
 STEM, MIN_DOCS, IMPURE, CHANCE, CHANCE_LEFT = (4, 5, 6, 7), 3, 0.05, 1e-5, 5e-4
 FOLDS, HELD_OUT = 5, 0
+#: Min-hashes of a sample row, and the share of them that makes it no new text.
+MARKS, COPY = 64, 0.2
 
 #: Verbs of harm by language, the letters that their dictionary form ends in,
 #: and the endings that replace these (fixed values).
@@ -216,6 +219,42 @@ def fold(doc_id: Column | str = "doc_id", folds: int = FOLDS) -> Column:
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % folds
 
 
+def _without_copies(sample: DataFrame) -> DataFrame:
+    """Copies of a text, near ones, and texts around one shared passage are no
+    further evidence of its words: a row goes if its min-hashes of word triples
+    agree with those of a kept row of its class in a share of COPY, which
+    estimates how much they share. Only the hashes of the bounded sample reach
+    the driver."""
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("toxic", pa.int32()), ("least", pa.list_(pa.int64()))])
+    factors = np.random.default_rng(1).integers(1, 2**31, MARKS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def hashes(batches):
+        for batch in batches:
+            least, rows = [], []
+            for text in batch.column("text"):
+                words = text.as_py().lower().split()
+                triples = np.array([zlib.crc32(" ".join(words[k:k + 3]).encode()) for k in range(max(1, len(words) - 2))], dtype=np.uint64)
+                marks = np.full(MARKS, 2**32, dtype=np.uint64)
+                for at in range(0, len(triples), 4096):     # long texts in slices
+                    marks = np.minimum(marks, ((triples[at:at + 4096, None] * factors) & np.uint64(0xFFFFFFFF)).min(axis=0))
+                least.append(marks.astype(np.int64).tolist())
+                rows.append(zlib.crc32(text.as_py().encode()))
+            yield pa.record_batch([batch.column("doc_id"), pa.array(rows, pa.int64()), batch.column("toxic"), pa.array(least, schema.field(3).type)], schema=schema)
+
+    kept, holders = [], {}
+    found = sample.select("doc_id", "text", "toxic").mapInArrow(hashes, "doc_id long, row long, toxic int, least array<long>").collect()
+    for r in sorted(found):
+        agree = Counter(k for mark in enumerate(r.least) for k in holders.get((r.toxic, *mark), ()))
+        if agree and max(agree.values()) >= COPY * MARKS:
+            continue
+        for mark in enumerate(r.least):
+            holders.setdefault((r.toxic, *mark), []).append(len(kept))
+        kept.append((r.doc_id, r.row, r.toxic))
+    kept = sample.sparkSession.createDataFrame(kept, "doc_id long, row long, toxic int")
+    return sample.withColumn("row", F.crc32(F.col("text").cast("binary"))).join(
+        F.broadcast(kept.distinct()), ["doc_id", "row", "toxic"]).select("doc_id", "text", "toxic")
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: tuple[int, int] = SAMPLE_ROWS, words: tuple = WORDS) -> ToxicModel:
     """Fit on at most ``sample_rows`` labelled rows (toxic, clean), those with the
     least hash of doc_id (then of the text), leaving out the held-out fold.
@@ -237,6 +276,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: tuple[int, int] = SAM
     # ids only, few and small; several texts may share one
     sample = docs.select(F.col("doc_id").cast("long"), "text").where("text is not null").join(F.broadcast(first(usable)), "doc_id")
     sample = written(first(sample.dropDuplicates(["doc_id", "toxic", "text"]), F.xxhash64("text")), "labelled-texts")
+    sample = written(_without_copies(sample), "labelled-originals")
 
     def terms(batches):
         schema = pa.schema([("term", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
