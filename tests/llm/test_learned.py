@@ -118,12 +118,14 @@ def test_the_grammar_decides_where_words_do_not(spark):
     import random
     r = random.Random(4)
     insults = ["moron", "idiot", "scum", "loser"]
-    filler = ["Thing", "ering", "onha", "bleou", "wherth"]
+
+    def prose():
+        return " ".join("".join(r.choices("abdeghilnorstu", k=r.randint(3, 8))) for _ in range(12))
 
     def text(kind):
-        x, tail = r.choice(insults), " ".join(r.choices(filler, k=6))
+        x = r.choice(insults)
         middle = {"toxic": f"you {x}", "denied": f"not {x} ering", "reported": f"said onha {x}", "clean": "you said not onha"}[kind]
-        return f"{tail}. {middle}. {tail}."
+        return f"{prose()}. {middle}. {prose()}."
 
     kinds = ["toxic"] * 300 + ["denied", "reported"] * 12 + ["clean"] * 1476
     rows = [(k, text(kind), int(kind == "toxic")) for k, kind in enumerate(kinds)]
