@@ -8,7 +8,6 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tagloom.operators.etl import questions_from_posts
 from tagloom.operators.features import feature_stages
