@@ -37,6 +37,11 @@ def dropped(*tables: DataFrame) -> None:
 _HELD: dict = {}
 
 
+def release() -> None:
+    """Drop what another operator has kept in this Python worker."""
+    _HELD.clear()
+
+
 def worker_state(build, *args):
     """``build(*args)``, kept in the Python worker for its next task. Workers
     serve one operator after another, so only the last one's is kept."""

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import written
+from tagloom.llm.common import release, written
 
 #: Labelled rows that the model is fitted on, at most: toxic, clean.
 SAMPLE_ROWS = (2000, 8000)
@@ -229,6 +229,7 @@ def _without_copies(sample: DataFrame) -> DataFrame:
     factors = np.random.default_rng(1).integers(1, 2**31, MARKS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def hashes(batches):
+        release()
         for batch in batches:
             least, rows = [], []
             for text in batch.column("text"):
@@ -396,6 +397,7 @@ def toxic_score(model: ToxicModel, text: Column | str = "text") -> Column:
     """Score of a text column, 0 to 1; null counts as empty."""
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
+        release()
         return pd.Series([model.score(t) for t in texts], dtype="float64")
 
     return score(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
