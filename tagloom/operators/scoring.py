@@ -8,11 +8,10 @@ ones are scored by the fitted ``PipelineModel`` and written with their reply.
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.operators.features import TAG_BLOCK
 from tagloom.operators.labels import decode_labels
 from tagloom.session import scratch_path, written
 
@@ -102,6 +101,7 @@ import math  # noqa: E402
 BROADCAST_WEIGHTS_MAX_BYTES = 64 * 1024 * 1024
 FEATURE_BLOCK = 4096
 _BYTES_PER_WEIGHT_ROW = 24      # label, feature number, weight
+_BYTES_PER_BLOCK_ROW = TAG_BLOCK * 8 + 64
 
 
 def logit(p: float) -> float:
@@ -141,40 +141,94 @@ def sparse_entries(df, id_col: str, features_col: str):
     return v.select("id", F.explode(pairs).alias("e")).select("id", "e.i", "e.v").where("v != 0.0")
 
 
+def _side_by_side(weights, width: int):
+    """(label, i, w) -> a row per feature and block of ``width`` labels, with
+    w0 .. (NULL: no weight). ``n``, the uses of a feature, stays where known."""
+    place = F.pmod("label", F.lit(width))
+    uses = [F.max("n").alias("n")] if "n" in weights.columns else []
+    return weights.groupBy("i", F.floor(F.col("label") / width).cast("int").alias("block")).agg(
+        *[F.sum(F.when(place == j, F.col("w"))).alias(f"w{j}") for j in range(width)], *uses)
+
+
+def _sums(met, width: int):
+    """(id, block, dots): sums of v * w0 .. of each id and block (NULL: none).
+    Plain sums of a fixed number of columns: one row per document leaves a
+    task, however many entries and tags it has."""
+    sums = met.groupBy("id", "block").agg(*[F.sum(F.col("v") * F.col(f"w{j}")).alias(f"d{j}") for j in range(width)])
+    return sums.select("id", "block", F.array(*[f"d{j}" for j in range(width)]).alias("dots"))
+
+
+def _often_used(rows):
+    """Condition for the most used features, as many as may be broadcast (by
+    quarter octaves of their uses)."""
+    level = F.floor(F.log2("n") * 4).cast("int")
+    n_bytes = F.sum(F.octet_length(F.col("i").cast("string")) + F.lit(_BYTES_PER_BLOCK_ROW))
+    left, least = BROADCAST_WEIGHTS_MAX_BYTES, 1 << 30
+    for r in sorted(rows.groupBy(level.alias("level")).agg(n_bytes.alias("n_bytes")).collect(), reverse=True):
+        left -= r["n_bytes"]
+        if left < 0:
+            break
+        least = r["level"]
+    return level >= least
+
+
+def _met_weights(entries, weights, width: int, weight_bytes: int | None):
+    """Entries joined to the weights of their feature, side by side. Weights
+    known to be small are broadcast. Of others the most used features are,
+    which have most of the entries; only the entries of the rest are shuffled."""
+    rows = _side_by_side(weights, width)
+    # a row of one weight becomes a block of them at most
+    if weight_bytes is not None and weight_bytes // _BYTES_PER_WEIGHT_ROW * _BYTES_PER_BLOCK_ROW <= BROADCAST_WEIGHTS_MAX_BYTES:
+        return entries.join(F.broadcast(rows), "i")
+    if "n" not in rows.columns:
+        rows = rows.join(entries.groupBy("i").agg(F.count(F.lit(1)).alias("n")), "i")
+    rows = written(rows, "weight-blocks")
+    often = _often_used(rows)
+    seldom = entries.join(F.broadcast(rows.where(often).select("i").distinct()), "i", "left_anti")
+    return entries.join(F.broadcast(rows.where(often)), "i").unionByName(seldom.join(rows.where(~often), "i"))
+
+
 def linear_decisions(entries, weights, bias, threshold: float, weight_bytes: int | None = None,
                      ids=None):
     """Positive (id, label) pairs of a linear multi-label model, in SQL.
 
-    entries (id, i, v), weights (label, i, w), bias (label, b, and optionally
-    cut). margin(id, label) = b + sum(v * w); positive iff margin > the
-    label's cut, by default logit(threshold) — the members' rule probability
-    > threshold.
+    entries (id, i, v), weights (label, i, w, and optionally n: the entries
+    that feature i has), bias (label, b, and optionally cut). margin(id, label)
+    = b + sum(v * w); positive iff margin > the label's cut, by default
+    logit(threshold) — the members' rule probability > threshold.
 
     Only pairs with evidence (a shared non-zero feature) are aggregated. A
     pair without evidence has margin b, so it is positive only for the
     "default-on" labels whose bias alone clears the cut; those pairs are
     added for the documents in ``ids`` (one ``id`` column; default: documents
-    with entries) that have no evidence row for the label. Nothing scales
-    with documents x all labels, only with the evidence and the output.
+    with entries) that have no evidence row for the label. An entry meets the
+    weights of TAG_BLOCK labels in one row: rows grow with the entries and the
+    output, not with documents x all labels.
     """
     cut = logit(threshold)
-    # broadcast only weights whose size is known to be small
-    if weight_bytes is not None and weight_bytes <= BROADCAST_WEIGHTS_MAX_BYTES:
-        weights = F.broadcast(weights)
     if "cut" not in bias.columns:
         bias = bias.withColumn("cut", F.lit(cut))
     biases = sorted((r["label"], r["b"], r["cut"]) for r in bias.collect())     # k rows: one per tag
     bias_df = bias.sparkSession.createDataFrame(biases, "label int, b double, cut double")
-    sums = (entries.join(weights, "i")
-            .groupBy("id", "label").agg(F.sum(F.col("v") * F.col("w")).alias("dot")))
-    scored = sums.join(F.broadcast(bias_df), "label")         # k rows, bounded by the model
+    width = max(1, min(TAG_BLOCK, max((k for k, _, _ in biases), default=0) + 1))
+    sums = _sums(_met_weights(entries, weights, width, weight_bytes), width)
+    default_on: dict[int, list[int]] = {}
+    for k, b, at in biases:
+        if b > at:
+            default_on.setdefault(k // width, []).append(k)
+    if default_on:
+        sums = written(sums, "evidence")        # read twice
+    dots = sums.select("id", "block", F.posexplode("dots").alias("place", "dot")).where("dot is not null")
+    scored = dots.select("id", (F.col("block") * width + F.col("place")).alias("label"), "dot").join(
+        F.broadcast(bias_df), "label")         # k rows, bounded by the model
     positive = scored.where(F.col("dot") + F.col("b") > F.col("cut")).select("id", "label")
-    default_on = [k for k, b, at in biases if b > at]
     if not default_on:
         return positive
     docs = ids if ids is not None else entries.select("id").distinct()
-    cand = docs.select("id", F.explode(F.array(*[F.lit(k) for k in default_on])).alias("label"))
-    silent = cand.join(sums.select("id", "label"), ["id", "label"], "left_anti")
+    blocks = [F.struct(F.lit(block).alias("block"), F.array(*[F.lit(k) for k in on]).alias("on")) for block, on in default_on.items()]
+    cand = docs.select("id", F.inline(F.array(*blocks)))
+    silent = cand.join(sums, ["id", "block"], "left").select("id", F.explode(
+        F.filter("on", lambda k: F.get("dots", k - F.col("block") * width).isNull())).alias("label"))
     return positive.unionByName(silent)
 
 
@@ -200,26 +254,27 @@ def block_weights(spark, model):
         block = [(low + j, column) for j, column in enumerate(zip(*(m[low:low + FEATURE_BLOCK].tolist() for m in members))) if any(column)]
         rows += len(block)
         spark.createDataFrame([(i, list(w)) for i, w in block], schema).write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path), rows, rows * 8 * max(1, len(members))
+    blocks = max(1, math.ceil(len(members) / TAG_BLOCK))
+    return spark.read.schema(schema).parquet(path), rows, rows * blocks * _BYTES_PER_BLOCK_ROW
 
 
 def block_margins(entries, weights, n_bytes: int):
     """(id, margins): of every id the vector of its k margins.
 
     entries (id, i, v) with a row (id, -1, 1.0) for every id; weights (i, w).
-    One join, and one vector-valued sum per document: the plan does not grow
-    with the tags, and a document is one row again. The sum takes weights from
-    0 up, so negative values meet negated rows of the table.
+    One join, and one sum per document and block of TAG_BLOCK tags: the plan
+    does not grow with the tags, and a document is one row again.
     """
-    negated = F.transform("w", lambda x: -x)
-    table = weights.select(F.col("i").alias("j"), F.explode(F.array(
-        F.struct(F.lit(False).alias("below"), F.col("w")), F.struct(F.lit(True).alias("below"), negated.alias("w")))).alias("r"))
-    table = table.select("j", "r.below", array_to_vector("r.w").alias("w"))
-    if 2 * n_bytes <= BROADCAST_WEIGHTS_MAX_BYTES:
+    starts = F.sequence(F.lit(1), F.greatest(F.size("w"), F.lit(1)), F.lit(TAG_BLOCK))
+    table = weights.select(F.col("i").alias("j"), F.posexplode(F.transform(starts, lambda at: F.slice("w", at, TAG_BLOCK))).alias("block", "w"))
+    table = table.select("j", "block", *[F.get("w", F.lit(j)).alias(f"w{j}") for j in range(TAG_BLOCK)])
+    if n_bytes <= BROADCAST_WEIGHTS_MAX_BYTES:
         table = F.broadcast(table)
-    rows = entries.join(table, (entries["i"] == table["j"]) & ((entries["v"] < 0) == table["below"]))
-    sums = rows.groupBy("id").agg(Summarizer.sum(F.col("w"), F.abs("v")).alias("s"))
-    return sums.select("id", vector_to_array("s").alias("margins"))
+    sums = _sums(entries.join(table, entries["i"] == table["j"]), TAG_BLOCK)
+    whole = sums.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("block", "dots"))).alias("blocks"))
+    # the last block's places beyond the tags are NULL
+    margins = F.filter(F.flatten(F.transform("blocks", lambda b: b["dots"])), lambda m: m.isNotNull())
+    return whole.select("id", margins.alias("margins"))
 
 
 def score_block_model(model, df, dictionary=None, id_col: str = "Id", features_col: str = "features"):

@@ -1,5 +1,6 @@
 import math
 import os
+import re
 
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
@@ -280,3 +281,51 @@ def test_threads_do_not_share_job_properties(spark):
 
     assert in_threads(spark, 4, work, 4) == ["0", "1", "2", "3"]
     assert in_threads(spark, 0, work) == []
+
+
+def _entries_and_weights(spark):
+    """70 tags, 40 features: feature f has weights for the tags that 1 + f % 3
+    divides; the first feature is in every row, the last ones in few."""
+    weights = [(k, f"f{f}", ((k * 7 + f * 13) % 17 - 8) / 4) for f in range(40) for k in range(70) if k % (1 + f % 3) == 0]
+    entries = [(d, f"f{f}", 1.0 + d % 3) for d in range(60) for f in range(40) if (d * 31 + f * 17) % (f + 1) == 0]
+    bias = [(k, (k % 5 - 2) / 2) for k in range(70)]
+    return entries, weights, bias
+
+
+@pytest.mark.parametrize("broadcast_max, weight_bytes", [(1 << 26, 24 * 3000), (1 << 26, None), (3000, None), (0, None)])
+def test_decisions_by_blocks_of_tags(spark, monkeypatch, broadcast_max, weight_bytes):
+    """Side-by-side sums decide as the rule does, whether all weights are
+    broadcast, the most used features' only, or none; ids without entries get
+    the tags that are on by default."""
+    from tagloom.operators import scoring
+    monkeypatch.setattr(scoring, "BROADCAST_WEIGHTS_MAX_BYTES", broadcast_max)
+    entries, weights, bias = _entries_and_weights(spark)
+    ids = [*range(60), 99]
+    got = scoring.linear_decisions(
+        spark.createDataFrame(entries, "id int, i string, v double"), spark.createDataFrame(weights, "label int, i string, w double"),
+        spark.createDataFrame(bias, "label int, b double"), 0.5, weight_bytes, spark.createDataFrame([(i,) for i in ids], "id int"))
+    margin = {(d, k): b for d in ids for k, b in bias}
+    of = {}
+    for k, f, w in weights:
+        of.setdefault(f, []).append((k, w))
+    for d, f, v in entries:
+        for k, w in of[f]:
+            margin[d, k] += v * w
+    assert sorted((r.id, r.label) for r in got.collect()) == sorted(p for p, m in margin.items() if m > 0)
+
+
+def test_sums_leave_a_task_once_per_document(spark):
+    """One group per document, not one per (document, tag), and sums that need
+    no sorting; a split of the weights shuffles only the rest's entries."""
+    from tagloom.operators.scoring import block_margins, linear_decisions
+    entries, weights, bias = _entries_and_weights(spark)
+    e = spark.createDataFrame(entries, "id int, i string, v double")
+    plan = linear_decisions(e, spark.createDataFrame(weights, "label int, i string, w double"),
+                            spark.createDataFrame([(k, -1.0) for k, _ in bias], "label int, b double"), 0.5, 24 * 3000)
+    text = plan._jdf.queryExecution().sparkPlan().toString()
+    assert "keys=[id" in text and "block" in text and not re.search(r"keys=\[id#\d+L?, label", text)
+    table = spark.createDataFrame([(i, [0.5] * 70) for i in range(-1, 40)], "i int, w array<double>")
+    rows = spark.createDataFrame([(d, i, -1.0) for d in range(9) for i in range(-1, 5)], "id int, i int, v double")
+    margins = block_margins(rows, table, 1)
+    assert "aggregate_metrics" not in margins._jdf.queryExecution().optimizedPlan().toString()
+    assert {tuple(r.margins) for r in margins.collect()} == {(-3.0,) * 70}

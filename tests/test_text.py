@@ -93,3 +93,18 @@ def test_legacy_buckets_are_the_sql_hash(spark):
     assert {i for i, x in enumerate(now) if x} == {murmur(w.encode(), False) % 1000 for w in words}
     tf = {r.bucket: r.tf for r in legacy_term_frequencies(df, "Id", "toks").collect()}
     assert sum(tf.values()) == len(words) + 2 and tf[got["a"]] >= 2
+
+
+def test_terms_of_written_arrays(spark):
+    """Terms of texts and of their written arrays are the same, and no filter
+    of the plan splits a text again."""
+    from tagloom.operators.features import distinct_terms, label_term_counts, terms
+    rows = [(1, "The cat  sat on A cat", ["x", "y"]), (2, "", ["x"]), (3, None, ["y"]), (4, " cat\n", None), (5, "the", ["z"])]
+    df = spark.createDataFrame(rows, "Id int, Body string, label array<string>")
+    arrays = df.select("Id", "label", distinct_terms("Body").alias("terms"))
+    got = terms(df, "Id", "Body")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, terms(arrays, "Id", "terms").collect())) == [
+        (1, ""), (1, "cat"), (1, "sat"), (2, ""), (4, ""), (4, "cat")]
+    assert "size(" not in got._jdf.queryExecution().optimizedPlan().toString()
+    counts = label_term_counts(arrays, ["x", *[f"t{k}" for k in range(40)], "y"])
+    assert sorted(map(tuple, counts.collect())) == [(0, "", 2), (0, "cat", 1), (0, "sat", 1), (41, "", 1), (41, "cat", 1), (41, "sat", 1)]
