@@ -329,3 +329,31 @@ def test_sums_leave_a_task_once_per_document(spark):
     margins = block_margins(rows, table, 1)
     assert "aggregate_metrics" not in margins._jdf.queryExecution().optimizedPlan().toString()
     assert {tuple(r.margins) for r in margins.collect()} == {(-3.0,) * 70}
+
+
+def test_members_at_a_time_fit_in_memory(feats, monkeypatch):
+    """Fits that run together share the storage memory: with room for
+    three copies of the rows (which the caller keeps), three run at a time."""
+    from tagloom.operators import relevance
+    asked = []
+    run = relevance.in_threads
+    monkeypatch.setattr(relevance, "in_threads", lambda spark, n, work, threads=8: asked.append(threads) or run(spark, n, work, threads))
+    for room, want in ((3.5, 3), (0.5, 1), (100, 4)):
+        def sized(self, n=1000):
+            return n
+        monkeypatch.setattr(relevance._Projection, "size", sized)
+        monkeypatch.setattr(relevance, "_storage_bytes", lambda spark, room=room: int(room * 1000 / relevance.FIT_SHARE))
+        BinaryRelevance(classifier=LogisticRegression(maxIter=1), labels=["de", "en", "es", "fr"], parallelism=8).fit(feats)
+        assert asked.pop() == want
+    monkeypatch.undo()
+    assert relevance._storage_bytes(feats.sparkSession) > 1 << 20
+
+
+def test_fit_on_counts_is_the_pipelines_fit(spark):
+    from tagloom.plans.experiment import base_classifier, fit_on_counts, tagging_pipeline
+    data = training_posts(spark, "/root/testdata/sf0.001", LANG_TAGS)
+    pipeline = tagging_pipeline("Body", base_classifier(max_iter=5), labels=["de", "en"])
+    one, two = fit_on_counts(pipeline, data), pipeline.fit(data)
+    assert [type(s) for s in one.stages] == [type(s) for s in two.stages]
+    for a, b in zip(one.stages[-1].models, two.stages[-1].models):
+        assert abs(a.coefficients.toArray() - b.coefficients.toArray()).max() < 1e-6
