@@ -357,3 +357,41 @@ def test_fit_on_counts_is_the_pipelines_fit(spark):
     assert [type(s) for s in one.stages] == [type(s) for s in two.stages]
     for a, b in zip(one.stages[-1].models, two.stages[-1].models):
         assert abs(a.coefficients.toArray() - b.coefficients.toArray()).max() < 1e-6
+
+
+def _columns_joined(node):
+    """Columns of the sides of all joins in a plan."""
+    children = [node.children().apply(i) for i in range(node.children().size())]
+    found = {c.split("#")[0] for child in children for c in child.output().mkString(",").split(",")} if node.nodeName() == "Join" else set()
+    return found.union(*[_columns_joined(child) for child in children])
+
+
+def test_linear_score_joins_counts_not_texts(spark, tmp_path, monkeypatch):
+    """Posts meet their flags with term counts: no text is moved for it, also
+    where the flags are too large to be broadcast. Documents and flags repeat."""
+    from tagloom import session
+    from tagloom.plans import queries
+    docs = [(d % 57, f"{'der und die' if d % 2 else 'the and of'} word{d % 7} word{d % 3}", "de" if d % 2 else "en", f"s{d % 3}", 20) for d in range(60)]
+    flags = [(d % 40, d % 4 // 3, d % 5 // 4) for d in range(45)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(flags, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    joined, write = [], session.written_path
+
+    def watched(df, name):
+        joined.append(_columns_joined(df._jdf.queryExecution().optimizedPlan()))
+        return write(df, name)
+
+    monkeypatch.setattr(session, "written_path", watched)
+    monkeypatch.setattr(queries, "_classifier", lambda: LogisticRegression(threshold=0.5, maxIter=3, regParam=0.05))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        posts = queries._tagged_posts(spark, str(tmp_path))
+        df = queries.QUERIES["br_linear_score"](spark, str(tmp_path))
+        joined.append(_columns_joined(df._jdf.queryExecution().optimizedPlan()))
+        assert any("quality" in columns for columns in joined)
+        assert not any(columns & {"text", "_Body", "Body", "TitleSplitted", "TitleStop"} for columns in joined)
+        assert posts.columns == ["Id", "label", "Title", "Body"]
+        assert df.first().n_given == posts.agg(F.sum(F.size("label"))).first()[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
