@@ -26,6 +26,13 @@ def read_request_stream(spark: SparkSession, path: str, schema, fmt: str = "parq
     return r.load(path)
 
 
+def files_per_batch(spark: SparkSession, waiting: int) -> int:
+    """Files of a micro-batch, for so many that wait: one for each core, as
+    fewer leave cores idle while a batch lasts; but a quarter of them at most,
+    and 2 at least."""
+    return max(2, min(spark.sparkContext.defaultParallelism, waiting // 4))
+
+
 def score_stream(requests: DataFrame, model: PipelineModel, keep=("Id",),
                  tags_col: str = "predictionLabel") -> DataFrame:
     """Streaming DataFrame of (kept columns, reason, tags, reply).

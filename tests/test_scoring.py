@@ -148,3 +148,39 @@ def test_two_tables_and_a_replayed_batch(spark, saved_model, tmp_path):
             os.remove(f"{last[0]}/{name}")
     assert run() == first
     assert len(glob.glob(ck + "/commits/[0-9]*")) == len(commits)
+
+
+def test_stream_query_joins_texts_once_and_batches_follow_the_cores(spark, tmp_path, monkeypatch):
+    """The fit, the stream and batch scoring read posts that met their flags
+    once; many waiting files are taken a core's share at a time, not two.
+    Documents and flags repeat."""
+    from pyspark.ml.classification import LogisticRegression
+
+    from tagloom.plans import queries
+    from tagloom.streaming import score_stream
+    docs = [(d, f"{'der und die' if d % 2 else 'the and of'} word{d % 7} word{d % 3}", "de" if d % 2 else "en", f"s{d % 3}", 20)
+            for d in (n % 57 for n in range(96))]
+    flags = [(d % 40, d % 4 // 3, d % 5 // 4) for d in range(45)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars int").repartition(16).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(flags, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    calls, taken = [], []
+    prepared, read = queries._model_data, score_stream.read_request_stream
+    monkeypatch.setattr(queries, "_model_data", lambda *a: calls.append(1) or prepared(*a))
+    monkeypatch.setattr(queries, "_classifier", lambda: LogisticRegression(threshold=0.5, maxIter=3, regParam=0.05))
+    monkeypatch.setattr(score_stream, "read_request_stream", lambda *a, max_files_per_trigger: taken.append(max_files_per_trigger) or read(
+        *a, max_files_per_trigger=max_files_per_trigger))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "4k")
+    try:
+        posts = queries._tagged_posts(spark, str(tmp_path))
+        n_posts, given = posts.count(), posts.agg(F.sum(F.size("label"))).first()[0]
+        df = queries.QUERIES["stream_score"](spark, str(tmp_path))
+        assert "doc_id" not in df._jdf.queryExecution().optimizedPlan().toString()
+        row = df.first()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(calls) == 1 and taken == [spark.sparkContext.defaultParallelism]
+    assert (row.n_mismatch, row.n_given) == (0, given) and row.n_rows >= n_posts
+    assert [score_stream.files_per_batch(spark, n) for n in (1, 8, 12, 1000)] == [2, 2, 3, spark.sparkContext.defaultParallelism]
