@@ -395,3 +395,60 @@ def test_linear_score_joins_counts_not_texts(spark, tmp_path, monkeypatch):
         assert df.first().n_given == posts.agg(F.sum(F.size("label"))).first()[0]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _repeated_tables(spark, folder):
+    """Documents and flags that repeat."""
+    docs = [(d % 57, f"{'der und die' if d % 2 else 'the and of'} word{d % 7} word{d % 3}", "de" if d % 2 else "en", f"s{d % 3}", 20) for d in range(60)]
+    flags = [(d % 40, d % 4 // 3, d % 5 // 4) for d in range(45)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(flags, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+
+
+@pytest.fixture
+def joined(spark, monkeypatch):
+    """Columns of the joins of every table written, with no broadcast."""
+    from tagloom import session
+    seen, write = [], session.written_path
+
+    def watched(df, name):
+        seen.append(_columns_joined(df._jdf.queryExecution().optimizedPlan()))
+        return write(df, name)
+
+    monkeypatch.setattr(session, "written_path", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield seen
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+TEXTS = {"text", "_Body", "Body", "TitleSplitted", "TitleStop"}
+
+
+def test_fit_predict_splits_texts_once_and_bounds_the_separate_fits(spark, tmp_path, monkeypatch, joined):
+    """Posts meet their flags with term counts, once; the members fitted apart
+    are as many at a time as memory holds."""
+    from tagloom.operators import relevance
+    from tagloom.plans import queries
+    _repeated_tables(spark, tmp_path)
+    asked, run = [], relevance.in_threads
+    monkeypatch.setattr(relevance, "in_threads", lambda spark, n, work, threads=8: asked.append(threads) or run(spark, n, work, threads))
+    monkeypatch.setattr(relevance, "_storage_bytes", lambda spark: 1)
+    monkeypatch.setattr(queries, "_classifier", lambda: LogisticRegression(threshold=0.5, maxIter=3, regParam=0.05))
+    posts = queries._tagged_posts(spark, str(tmp_path))
+    rows = queries.QUERIES["br_fit_predict"](spark, str(tmp_path)).collect()
+    assert sum("quality" in columns for columns in joined) == 1
+    assert not any(columns & TEXTS for columns in joined)
+    assert asked == [1, 1]
+    given = {r.tag for r in posts.select(F.explode("label").alias("tag")).distinct().collect()}
+    assert {r.tag for r in rows} == given and {(r.n_rows, r.n_mismatch) for r in rows} == {(posts.count(), 0)}
+
+
+def test_separate_fits_read_few_partitions(spark):
+    """Small rows in many partitions cost more tasks than work; large ones stay."""
+    from tagloom.operators.relevance import FIT_BYTES, few_parts
+    rows = spark.range(0, 100, 1, 20)
+    assert few_parts(rows, 10, 4).rdd.getNumPartitions() == 1
+    assert few_parts(rows, 10, 1).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert few_parts(rows, FIT_BYTES * 9, 4).rdd.getNumPartitions() == 9
+    assert few_parts(rows, FIT_BYTES * 99, 4) is rows
